@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import lines, media, mixing
 from .common import read
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the boilerplate lines of their source, which stands for the host."""
+    return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents stored as Ogg files and read back."""
+    return media.digests(read(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, repeating; labelled quality scales the sampling keys."""
     docs = mixing.quality(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), read(spark, sf_dir, "labels"))
@@ -16,9 +26,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op6_ogg_media": op6_ogg_media,
     "op10_source_mix": op10_source_mix,
 }
 
 ORACLE_SQL = {
+    "op2_line_dedup": lines.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
 }

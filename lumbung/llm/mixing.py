@@ -52,20 +52,24 @@ def targets(sources: DataFrame, weight: Column, most: int) -> DataFrame:
     return leveled.withColumn("target", F.least((most * F.col("source_size")).cast("double"), F.col("level") * F.col("weight")))
 
 
-def mix_sources(docs: DataFrame, weight: Column | None = None, *, most: int = 3, whole: bool = False) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, most: int = 3, whole: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target and taken.
 
-    docs: doc_id, text, source; other columns are allowed and not kept. weight: quality of a row of docs, held within
-    WEIGHTS, null counts as 1. whole: the last document that a target reaches is taken whole if that is
+    docs: doc_id, text, source; other columns are allowed and not kept. weights: doc_id and weight, the quality of documents, one row
+    each at most; held within WEIGHTS, 1 where there is none. whole: the last document that a target reaches is taken whole if that is
     nearer to the target, else not at all; otherwise its first words are taken, which meets the target.
 
     Null texts have size 0 and nothing is taken of them; null sources are a source of their own, which comes last. Rows
     that share an id have one key and follow each other, smaller sizes first. A source without words has target 0. An empty table gives
     an empty result. taken is at most `most` times size.
     """
-    value = F.coalesce(weight, F.lit(1.0)) if weight is not None else F.lit(1.0)
-    value = F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), value.cast("double")))
-    slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), (-F.log(uniform(F.col("doc_id"))) / value).alias("rank_key"))
+    slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))  # texts go no further than this
+    value = F.lit(1.0)
+    if weights is not None:
+        known = weights.select(F.col("doc_id").alias("weight_id"), F.col("weight").cast("double").alias("weight"))
+        slim = slim.join(known, F.col("doc_id") == F.col("weight_id"), "left")
+        value = F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), F.coalesce("weight", F.lit(1.0))))
+    slim = slim.select("doc_id", "source", "size", (-F.log(uniform(F.col("doc_id"))) / value).alias("rank_key"))
     slim = cut(slim.withColumn("key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source"))))
     count = max(1, min(BUCKETS, slim.count() // BUCKET_ROWS))
     place = F.floor((1 - F.exp(-F.col("rank_key") * WEIGHTS[0])) * count)
@@ -88,17 +92,14 @@ def mix_sources(docs: DataFrame, weight: Column | None = None, *, most: int = 3,
     return filled.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + rest).cast("long").alias("taken"))
 
 
-def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with a column mix_weight: 2 if labelled good, 0.5 if labelled bad, 1 if not labelled.
-
-    Several labels of one document count by their mean. Only ids and labels are joined here.
-    """
-    known = labels.filter("doc_id is not null").groupBy(F.col("doc_id").alias("__label_id")).agg(F.pow(F.lit(4.0), F.avg("quality") - 0.5).alias("mix_weight"))
-    return docs.join(known, F.col("doc_id") == F.col("__label_id"), "left").drop("__label_id")
+def quality(labels: DataFrame) -> DataFrame:
+    """doc_id and weight: 2 if labelled good, 0.5 if labelled bad, between them by the mean of several labels. Null ids and qualities have none."""
+    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id")
+    return known.agg(F.pow(F.lit(4.0), F.avg("quality") - 0.5).alias("weight"))
 
 
 ORACLE_SQL = r"""
-with known as (select doc_id, pow(4.0, avg(quality) - 0.5) w from labels where doc_id is not null group by doc_id),
+with known as (select doc_id, pow(4.0, avg(quality) - 0.5) w from labels where doc_id is not null and quality is not null group by doc_id),
 docs as (
   select d.doc_id, d.source, coalesce(len(regexp_extract_all(d.text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
     -ln((('0x' || substr(md5(coalesce(d.doc_id::varchar, '')), 1, 13))::bigint + 1) / 4503599627370496.0::double)

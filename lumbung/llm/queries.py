@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import lines, media, mixing
 from .common import read
@@ -21,8 +20,7 @@ def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, repeating; labelled quality scales the sampling keys."""
-    docs = mixing.quality(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), read(spark, sf_dir, "labels"))
-    return mixing.mix_sources(docs, F.col("mix_weight"))
+    return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
 
 
 QUERIES = {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, media, mixing
+from . import jaccard, lines, media, mixing
 from .common import read
 
 
@@ -18,6 +18,11 @@ def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(read(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by 3-word shingles and a similarity of 0.9."""
+    return jaccard.join_components(read(spark, sf_dir, "documents"), jaccard.Join(words=3, num=90, den=100))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, repeating; labelled quality scales the sampling keys."""
     return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
@@ -26,6 +31,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op6_ogg_media": op6_ogg_media,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_source_mix": op10_source_mix,
 }
 

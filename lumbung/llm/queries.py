@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, media, mixing
+from . import jaccard, lines, media, mixing, pii
 from .common import read
 
 
@@ -13,6 +13,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: plain spans and those that deobfuscation adds."""
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
 def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents stored as Ogg files and read back."""
     return media.digests(read(spark, sf_dir, "documents"))
@@ -30,6 +35,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_pii": op4_pii,
     "op6_ogg_media": op6_ogg_media,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_source_mix": op10_source_mix,

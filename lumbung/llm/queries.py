@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, media, mixing, pii
+from . import jaccard, lines, media, mixing, pii, topk
 from .common import read
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best of all vectors for each vector whose id is divisible by 50."""
+    rows = topk.quantize(read(spark, sf_dir, "embeddings"))
+    return topk.search(rows, rows.filter("vec_id % 50 = 0"), k=5)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the boilerplate lines of their source, which stands for the host."""
     return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
@@ -34,6 +40,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_exact_topk": op1_exact_topk,
     "op2_line_dedup": op2_line_dedup,
     "op4_pii": op4_pii,
     "op6_ogg_media": op6_ogg_media,
@@ -42,6 +49,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_exact_topk": topk.ORACLE_SQL,
     "op2_line_dedup": lines.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
 }

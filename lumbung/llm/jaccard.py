@@ -3,22 +3,25 @@
 A document's set is its distinct word n-grams. Two sets that link share a token among the first few tokens of each, whatever order all tokens
 are sorted by (prefix filter). The plan:
 
-1. One pass gives each document's set a size and a 128-bit digest, so that equal sets go on as one, and counts all tokens in
+1. One pass gives each document's set a size and a 128-bit digest, so that equal sets go on as one, and counts all words and all tokens in
    hashed counters.
-2. Under the first order (rare tokens first, by those counters), the prefix tokens are dealt out by token. Sets
-   that share one are chained to the first of its group, which is a pass over sorted rows: no pairs are made. Tokens that the
-   counters show to be frequent are salted, and the first sets of their parts chained in turn.
-3. Components of those chains are the groups within which links can be. A group's sets meet in blocks that
-   are bounded by number and tokens; every two blocks of a group meet in one task.
-4. There, two sets are candidates only if they share prefix tokens under each of three other orders (rare tokens of the blocks first;
-   two hash orders): the intersection of the filters. Candidates of fitting sizes that are not linked yet are verified on the whole sets.
-5. Links that connect something new (at most one less than sets in a task) make the final components.
+2. Under the first order (tokens of rare words first, tokens that are frequent as a whole last, by those counters), the prefix tokens are dealt out by
+   token, and sets that share one make a group; equal groups are taken once.
+3. Within a group, sets must also share enough of their prefixes under the second order (by a hash): two sets that link lack few tokens of
+   each other, so of their prefixes up to the earlier end all but those few are common. Pairs that pass are only chained, not returned. Groups of
+   frequent tokens are salted and chained as a whole, by the first set of each part.
+4. Components of those chains are the clusters within which links can be. A cluster's sets meet in blocks that
+   are bounded by number and tokens; every two blocks of a cluster meet in one task.
+5. There, two sets are candidates only if they share prefix tokens under each of three orders (rare tokens of the blocks first; the
+   second order; a third by another hash): the intersection of the filters. Candidates of fitting sizes that are not linked yet are verified on the whole sets.
+6. Links that connect something new (at most one less than sets in a task) make the final components.
 
 Any order gives right results as long as all sets use the same: the counters only make it fast.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,18 +42,21 @@ _PART = 1 << 12
 
 @dataclass(frozen=True)
 class Join:
-    """Sets of word n-grams of `words` words link when den * intersection >= num * union. counters: hashed token counters, a power of two.
+    """Sets of word n-grams of `words` words link when den * intersection >= num * union. word_counters, token_counters: hashed counters, powers of two.
 
-    block_sets, block_tokens: bounds of a block. salt_rows: rows of a frequent token that go to one part.
+    block_sets, block_tokens: bounds of a block. salt_rows: rows of a frequent token that go to one part. group_sets: sets
+    of a group up to which its pairs are filtered by the second order; a larger one is chained as a whole.
     """
 
     words: int = 5
     num: int = 80
     den: int = 100
-    counters: int = 1 << 18
+    word_counters: int = 1 << 18
+    token_counters: int = 1 << 20
     block_sets: int = 256
     block_tokens: int = 1 << 20
     salt_rows: int = 1000
+    group_sets: int = 512
 
     def needed(self, a: int, b: np.ndarray) -> np.ndarray:
         """Least intersection with which sets of sizes a and b link."""
@@ -61,21 +67,31 @@ class Join:
         return n - -(-self.num * n // self.den) + 1
 
 
-def token_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
-    """The sorted distinct tokens of each text: hashes of its n-grams, of all its words if it has fewer, none without words."""
+def word_sets(texts: list[str | None], n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text: the sorted distinct tokens (hashes of its n-grams, of all its words if it has fewer, none without words), the first word of each, all words."""
     for begin, end in hashing.chunks(texts):
         found = hashing.words(texts[begin:end])
         for i in range(end - begin):
             h = found.hashes[found.first[i] : found.first[i + 1]]
             k = min(n, len(h))
             if not k:
-                yield h
+                yield h, np.zeros(0, np.int64), h
                 continue
             token = np.full(len(h) - k + 1, k, np.uint64)
             for j in range(k):
                 token = hashing.mix(token * _ONE + h[j : j + len(token)])
-            token.sort()
-            yield token[np.concatenate(([True], token[1:] != token[:-1]))]
+            order = np.argsort(token, kind="stable")
+            token = token[order]
+            new = np.concatenate(([True], token[1:] != token[:-1]))
+            yield token[new], order[new], h
+
+
+def token_sets(texts: list[str | None], n: int) -> Iterator[np.ndarray]:
+    return (t for t, _, _ in word_sets(texts, n))
+
+
+def _slot(h: np.ndarray, counters: int) -> np.ndarray:
+    return (h >> np.uint64(64 - (counters.bit_length() - 1))).astype(np.int64)
 
 
 def set_digest(tokens: np.ndarray) -> tuple[int, int]:
@@ -84,110 +100,225 @@ def set_digest(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(np.array(both, np.uint64).view(np.int64).tolist())
 
 
+def second_prefix(tokens: np.ndarray, rule: Join) -> np.ndarray:
+    """The prefix under the second order, as its sorted hashes."""
+    ranks = hashing.mix(tokens ^ _TWO)
+    k = rule.prefix(len(tokens)) if len(tokens) else 0
+    return np.sort(np.partition(ranks, k - 1)[:k] if k < len(ranks) else ranks)
+
+
 def _measure(docs: DataFrame, rule: Join) -> DataFrame:
-    """Rows (doc_id, n, d1, d2) of documents, and rows (part, counts) with the task's counters; checkpointed."""
+    """Rows (doc_id, n, d1, d2) of documents, and rows (part, counts) with the task's counters, words before tokens; checkpointed."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts, shift = np.zeros(rule.counters, np.int64), np.uint64(64 - (rule.counters.bit_length() - 1))
+        counts = [np.zeros(rule.word_counters, np.int64), np.zeros(rule.token_counters, np.int64)]
+        held: tuple[list, list] = ([], [])
+
+        def count() -> None:
+            for total, hashes in zip(counts, held, strict=True):
+                np.add(total, np.bincount(_slot(np.concatenate(hashes), len(total)), minlength=len(total)), out=total)
+                hashes.clear()
+
         for b in batches:
-            rows, held, size = [], [], 0
-            for tokens in token_sets(b["text"].tolist(), rule.words):
-                rows.append((len(tokens), *set_digest(tokens)))
-                held.append(tokens)
-                size += len(tokens)
-                if size > 1 << 18:
-                    counts += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=rule.counters)
-                    held, size = [], 0
-            if size:
-                counts += np.bincount((np.concatenate(held) >> shift).astype(np.int64), minlength=rule.counters)
-            out = pd.DataFrame(rows, columns=["n", "d1", "d2"])
+            rows, size = [], 0
+            for tokens, _, words in word_sets(b["text"].tolist(), rule.words):
+                rows.append((len(tokens), *set_digest(tokens), second_prefix(tokens, rule).tobytes()))
+                held[0].append(words)
+                held[1].append(tokens)
+                size += len(words)
+                if size > 1 << 20:
+                    count()
+                    size = 0
+            if held[0]:
+                count()
+            out = pd.DataFrame(rows, columns=["n", "d1", "d2", "second"])
             out.insert(0, "doc_id", b["doc_id"].astype("Int64").to_numpy())
             yield out.assign(part=None, counts=None)
-        if counts.any():
-            parts = counts.astype("<u4").reshape(-1, min(_PART, rule.counters))
-            yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "part": range(len(parts)), "counts": [p.tobytes() for p in parts]})
+        if counts[0].any():
+            parts = np.concatenate(counts).astype("<u4").reshape(-1, _PART)
+            yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "second": None, "part": range(len(parts)), "counts": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
-    return cut(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, d1 long, d2 long, part int, counts binary"))
+    return cut(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, d1 long, d2 long, second binary, part int, counts binary"))
 
 
-def _counters(measured: DataFrame, rule: Join) -> np.ndarray:
-    """All tasks' counters added up: a fixed number of them, whatever the input."""
+def _counters(measured: DataFrame, rule: Join) -> tuple[np.ndarray, np.ndarray]:
+    """All tasks' counters of words and of tokens added up: a fixed number of them, whatever the input."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for part, counts in zip(b["part"], b["counts"], strict=True):
-                value = np.frombuffer(counts, "<u4").astype(np.int64)
+                value = np.frombuffer(zlib.decompress(counts), "<u4").astype(np.int64)
                 sums[part] = sums[part] + value if part in sums else value
-        yield pd.DataFrame({"part": list(sums), "counts": [s.tobytes() for s in sums.values()]})
+        yield pd.DataFrame({"part": list(sums), "counts": [np.minimum(s, 2**32 - 1).astype("<u4").tobytes() for s in sums.values()]})
 
     rows = measured.filter("part is not null").select("part", "counts").repartition("part").mapInPandas(run, "part int, counts binary").collect()
-    out = np.zeros(rule.counters, np.int64)
-    width = min(_PART, rule.counters)
+    out = np.zeros(rule.word_counters + rule.token_counters, np.uint32)
     for r in rows:
-        out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["counts"], np.int64)
-    return out
+        out[r["part"] * _PART : (r["part"] + 1) * _PART] = np.frombuffer(r["counts"], "<u4")
+    return out[: rule.word_counters], out[rule.word_counters :]
 
 
-def _chains(docs: DataFrame, counts: np.ndarray, rule: Join) -> DataFrame:
-    """Links (a, b) between the d1 of sets that share a prefix token under the first order."""
+def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: DataFrame, rule: Join) -> DataFrame:
+    """Links (a, b) between the d1 of sets that share prefix tokens under the first and the second order. seconds: d1, n, second."""
     spark = docs.sparkSession
-    usual = 2 * max(1.0, counts.mean())
-    shared = spark.sparkContext.broadcast(counts)
-    shift = np.uint64(64 - (rule.counters.bit_length() - 1))
+    usual = 2 * max(8.0, float(counters[1].mean()))
+    shared = spark.sparkContext.broadcast(counters)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # of the task's sets: copies go out once a task
-        often = shared.value
-        rank = (4 * np.log2(np.maximum(often / usual, 1))).astype(np.uint8)
+        words, often = shared.value
+        weight = np.log2(words + 1.0).astype(np.float32)
+        late = np.where(often > usual, 1000 + 4 * np.log2(np.maximum(often / usual, 1)), 0).astype(np.float32)
         parts = np.where(often > usual, often // rule.salt_rows, 0).astype(np.uint64)
         for b in batches:
-            tokens, sids = [], []
-            for t in token_sets(b.column("text").to_pylist(), rule.words):
+            tokens, sids, salted = [], [], []
+            for t, at, h in word_sets(b.column("text").to_pylist(), rule.words):
                 sid = set_digest(t)[0]
                 if not len(t) or sid in seen:
                     continue
                 seen.add(sid)
-                order = np.argsort(rank[(t >> shift).astype(np.int64)], kind="stable")[: rule.prefix(len(t))]
+                sums = np.concatenate(([0], np.cumsum(weight[_slot(h, len(weight))], dtype=np.float64)))
+                slot = _slot(t, len(often))
+                # rounded, so that the sums of equal words are equal in all places
+                rank = np.maximum(np.round(4 * (sums[np.minimum(at + rule.words, len(h))] - sums[at])), np.round(late[slot]))
+                order = np.argsort(rank, kind="stable")[: rule.prefix(len(t))]
                 tokens.append(t[order])
                 sids.append(np.full(len(order), sid, np.int64))
+                salted.append(parts[slot[order]])
             if not tokens:
                 continue
             token, sid = np.concatenate(tokens), np.concatenate(sids)
-            salts = parts[(token >> shift).astype(np.int64)]
+            salts = np.concatenate(salted)
             salt = np.where(salts > 1, hashing.mix(sid.view(np.uint64)) % np.maximum(salts, 1), 0)
             key = hashing.mix(token + salt * _ONE)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(token.view(np.int64)), pa.array(sid), pa.array(salts > 1)], ["key", "token", "sid", "salted"])
 
-    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Over rows sorted by key, token: (a, b) from the first set of each group, and of salted groups (token, first) with salted true."""
-        last = (None, None, None)
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows sorted by key, token, sid. kind 0: (group, sid) of groups to filter; 1: (first, sid) of groups to chain; 2: (token, first) of salted parts."""
+        rest = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
+        leader = None  # of the group in rest, if it is being chained
+
+        def batch(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            kinds = np.concatenate([np.full(len(a), k, np.int32) for k, a, _ in rows] or [np.zeros(0, np.int32)])
+            a, b = (np.concatenate([r[i] for r in rows] or [np.zeros(0, np.int64)]) for i in (1, 2))
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(a), pa.array(b)], ["kind", "a", "b"])
+
+        def take(key: np.ndarray, token: np.ndarray, sid: np.ndarray, salted: np.ndarray, last: bool) -> pa.RecordBatch:
+            nonlocal rest, leader
+            out: list[tuple[int, np.ndarray, np.ndarray]] = []
+            if not len(key):
+                return batch(out)
+            starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (token[1:] != token[:-1]))))
+            ends = np.append(starts[1:], len(key))
+            if leader is not None:  # the first group goes on
+                out.append((1, np.full(ends[0], leader, np.int64), sid[: ends[0]]))
+                done = last or len(starts) > 1
+                if not done:
+                    rest = [x[-1:] for x in (key, token, sid, salted)]
+                    return batch(out)
+                leader, starts, ends = None, starts[1:], ends[1:]
+            if not last and len(starts):
+                begin = starts[-1]
+                rest = [x[begin:] for x in (key, token, sid, salted)]
+                if ends[-1] - begin > rule.group_sets:
+                    leader = int(sid[begin])
+                    out.append((1, np.full(ends[-1] - begin, leader, np.int64), sid[begin:]))
+                    if salted[begin]:
+                        out.append((2, token[begin : begin + 1], sid[begin : begin + 1]))
+                    rest = [x[-1:] for x in rest]
+                starts, ends = starts[:-1], ends[:-1]
+            elif last:
+                rest = [x[:0] for x in rest]
+            sizes = ends - starts
+            heads = starts[salted[starts]] if len(starts) else starts
+            out.append((2, token[heads], sid[heads]))
+            whole = (sizes > rule.group_sets) | salted[starts] if len(starts) else np.zeros(0, bool)
+            for kind, chosen in ((0, ~whole & (sizes > 1)), (1, whole & (sizes > 1))):
+                n, s = sizes[chosen], starts[chosen]
+                if not len(n):
+                    continue
+                at = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                members = sid[at]
+                if kind:
+                    name = np.repeat(sid[s], n)
+                else:  # a group's name follows from its members, so equal groups are one
+                    sums = np.add.reduceat(hashing.mix(members.view(np.uint64)), np.concatenate(([0], np.cumsum(n)[:-1])))
+                    name = np.repeat(hashing.mix(sums + n.astype(np.uint64)).view(np.int64), n)
+                pairs = np.unique(np.stack([name, members], 1), axis=0)
+                out.append((kind, pairs[:, 0], pairs[:, 1]))
+            return batch(out)
+
         for b in batches:
-            if not b.num_rows:
-                continue
-            key, token, sid = (b.column(c).to_numpy() for c in ("key", "token", "sid"))
-            salted = b.column("salted").to_numpy(zero_copy_only=False)
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (token[1:] != token[:-1])
-            new[0] = (key[0], token[0]) != last[:2]
-            at = np.maximum.accumulate(np.where(new, np.arange(len(key)), -1))
-            first = np.where(at >= 0, sid[at], last[2] if last[2] is not None else 0)
-            last = (key[-1], token[-1], first[-1])
-            link = first != sid
-            pairs = np.unique(np.stack([first[link], sid[link]], 1), axis=0)
-            head = new & salted
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([pairs[:, 0], token[head]])), pa.array(np.concatenate([pairs[:, 1], sid[head]])), pa.array(np.repeat([False, True], [len(pairs), head.sum()]))],
-                ["a", "b", "salted"],
-            )
+            new = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "token", "sid", "salted")]
+            yield take(*(np.concatenate(x) for x in zip(rest, new, strict=True)), last=False)
+        yield take(*rest, last=True)
 
     n = partitions(spark)
     rows = docs.select("text").mapInArrow(prefixes, "key long, token long, sid long, salted boolean")
     rows = rows.repartition(n, "key").sortWithinPartitions("key", "token", "sid")
-    found = cut(rows.mapInArrow(chain, "a long, b long, salted boolean"))
-    heads = found.filter("salted").select(F.col("a").alias("token"), F.col("b").alias("sid"))
+    found = cut(rows.mapInArrow(group, "kind int, a long, b long"))
+    heads = found.filter("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("sid"))
     firsts = heads.groupBy("token").agg(F.min("sid").alias("a"))
-    return found.filter("not salted").select("a", "b").union(heads.join(firsts, "token").select("a", F.col("sid").alias("b")))
+    chained = found.filter("kind = 1").select("a", "b").union(heads.join(firsts, "token").select("a", F.col("sid").alias("b")))
+    members = found.filter("kind = 0").select(F.col("a").alias("name"), F.col("b").alias("sid")).distinct()
+
+    def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Over rows sorted by name: chains of the pairs of each group that pass the second order."""
+        held: list[tuple] = []
+        for b in batches:
+            out = []
+            for row in b[["name", "sid", "n", "second"]].itertuples(index=False, name=None):
+                if held and held[0][0] != row[0]:
+                    out += passed(held, rule)
+                    held = []
+                held.append(row)
+            yield pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        yield pd.DataFrame(passed(held, rule), columns=["a", "b"], dtype="int64")
+
+    rows = members.join(seconds.withColumnRenamed("d1", "sid"), "sid").select("name", "sid", "n", "second")
+    rows = rows.repartition(n, "name").sortWithinPartitions("name", "sid")
+    return chained.union(rows.mapInPandas(narrow, "a long, b long"))
+
+
+def passed(group: list[tuple], rule: Join) -> list[tuple[int, int]]:
+    """Chains (sid, sid) of the sets of a group, rows (name, sid, n, second prefix), that pass the second order.
+
+    Up to the earlier end of two prefixes, each set has some tokens; the other lacks at most its size less the intersection that a link needs.
+    """
+    m = len(group)
+    if m < 2:
+        return []
+    size = np.array([g[2] for g in group])
+    second = [np.frombuffer(g[3], np.uint64) for g in group]
+    ends = np.array([x[-1] if len(x) < n else np.iinfo(np.uint64).max for x, n in zip(second, size, strict=True)], np.uint64)
+    if m == 2:
+        common = np.array([[0, len(np.intersect1d(*second, assume_unique=True))]])
+    else:
+        known, local = np.unique(np.concatenate(second), return_inverse=True)
+        owner = np.repeat(np.arange(m), [len(x) for x in second])
+        common = None
+        if m * len(known) <= 1 << 22:
+            table = np.zeros((m, len(known)), np.float32)
+            table[owner, local] = 1
+            common = table @ table.T
+        else:
+            order = np.argsort(local, kind="stable")
+            starts = np.searchsorted(local[order], np.arange(len(known) + 1))
+            owners, begins = owner[order], np.concatenate(([0], np.cumsum([len(x) for x in second])))
+            common = np.stack([np.bincount(np.concatenate([owners[starts[t] : starts[t + 1]] for t in local[begins[i] : begins[i + 1]]]), minlength=m) for i in range(m)])
+    until = np.stack([np.searchsorted(x, ends, side="right") for x in second])
+    links, root = [], np.arange(m)
+    for i in range(m - 1):
+        other = np.arange(i + 1, m)
+        need = rule.needed(int(size[i]), size[other])
+        fits = (need <= size[i]) & (need <= size[other])
+        fits &= (common[i, other] >= until[i, other] - (size[i] - need)) & (common[i, other] >= until[other, i] - (size[other] - need))
+        for j in other[fits]:
+            if root[i] != root[j]:
+                links.append((group[i][1], group[j][1]))
+                root[root == max(root[i], root[j])] = min(root[i], root[j])
+    return links
 
 
 def _prefix_tables(tokens: list[np.ndarray], order: np.ndarray, rule: Join) -> list[np.ndarray]:
@@ -303,8 +434,10 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
     prepare(docs.sparkSession)
     measured = _measure(docs, rule)
     rows = measured.filter("part is null").select("doc_id", "n", "d1", "d2")
-    classes = cut(rows.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
-    chains = _chains(docs, _counters(measured, rule), rule)
+    sets = measured.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies"), F.first("second").alias("second"))
+    sets = cut(sets)
+    classes = sets.drop("second")
+    chains = _chains(docs, _counters(measured, rule), sets.select("d1", "n", "second"), rule)
     clusters = components(chains).withColumnRenamed("component", "cluster")
     inside = cut(classes.filter("rep is not null").join(clusters, F.col("d1") == F.col("node")).select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "cluster"))
     sizes = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).filter("sets > 1")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, media, mixing, pii, topk
+from . import jaccard, lines, media, mixing, packing, pii, topk
 from .common import read
 
 
@@ -34,6 +34,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(read(spark, sf_dir, "documents"), jaccard.Join(words=3, num=90, den=100))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to weights 1, 2, 3, repeating; labelled quality scales the sampling keys."""
     return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
@@ -45,6 +50,7 @@ QUERIES = {
     "op4_pii": op4_pii,
     "op6_ogg_media": op6_ogg_media,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,
 }
 

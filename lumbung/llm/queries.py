@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, media, mixing, packing, pii, topk
+from . import jaccard, lines, media, mixing, packing, pii, topk, toxicity
 from .common import read
 
 
@@ -29,6 +29,12 @@ def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digests(read(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of the labels that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by 3-word shingles and a similarity of 0.9."""
     return jaccard.join_components(read(spark, sf_dir, "documents"), jaccard.Join(words=3, num=90, den=100))
@@ -49,6 +55,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_pii": op4_pii,
     "op6_ogg_media": op6_ogg_media,
+    "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,

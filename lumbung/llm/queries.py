@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, media, mixing, packing, pii, topk, toxicity
+from . import jaccard, lines, markup, media, mixing, packing, pii, topk, toxicity
 from .common import read
 
 
@@ -19,6 +19,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of all pages."""
+    return markup.extract(read(spark, sf_dir, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in all documents: plain spans and those that deobfuscation adds."""
     return pii.scan(read(spark, sf_dir, "documents"))
@@ -53,6 +58,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_line_dedup": op2_line_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_pii": op4_pii,
     "op6_ogg_media": op6_ogg_media,
     "op7_toxicity": op7_toxicity,

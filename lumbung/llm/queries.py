@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, lines, markup, media, mixing, packing, pii, topk, toxicity
+from . import jaccard, licenses, lines, markup, media, mixing, packing, pii, topk, toxicity
 from .common import read
 
 
@@ -29,6 +29,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(read(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License texts in all documents, with coverage and spans."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op6_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents stored as Ogg files and read back."""
     return media.digests(read(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_pii": op4_pii,
+    "op5_license_scan": op5_license_scan,
     "op6_ogg_media": op6_ogg_media,
     "op7_toxicity": op7_toxicity,
     "op8_jaccard_join": op8_jaccard_join,

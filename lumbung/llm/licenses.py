@@ -192,7 +192,7 @@ def align(words: np.ndarray, text: np.ndarray, diagonal: int, band: int, templat
             if c and i and i < n and score[i, c - 1] - 1 > best:
                 best, how = score[i, c - 1] - 1, 3
             score[i, c], step[i, c] = best, how
-    i, c = n, int(np.argmax(score[n]))
+    i, c = n, max(range(width), key=lambda k: (score[n, k], -abs(k - band)))  # of equal ones the nearest to the diagonal
     if score[n, c] <= -(10**5):
         return None
     matched, first, last = 0, -1, -1

@@ -1,6 +1,346 @@
-"""Registered queries and their SQL counterparts."""
+"""Registered queries, each with the SQL that gives the same rows.
+
+The engine's own lexicons name topics that test tables don't speak of, so classification is shown with CORPUS, words that they do have.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import classify, dates, text
+from ..operators import relational as rel
+from ..sources import feeds, pages
+from . import articles
+
+CORPUS = {"alpha": ["the", "of the", "of"], "beta": ["and", "in"], "gamma": ["de", "la", "que"], "delta": ["of", "to", "is"]}
+PRIORITIES = {"pressing": ["urgent", "high"], "usual": ["medium", "low"]}
+AS_OF = "1995-06-17T12:00:00"
+CONTEXT = articles.Context(AS_OF, years=(1993, 1994, 1995), topics=PRIORITIES, places={"open": ["o"], "filled": ["f"]}, default_topic="none", default_place="none")
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):  # noqa: ANN201
+    """Registers a function under its name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 60).alias("title"), F.substring("text", 61, 2000).alias("content"))
+
+
+_TITLED = "select doc_id, substr(text, 1, 60) as title, substr(text, 61, 2000) as content from documents"
+_EDGE = r"[^\p{L}\p{N}_]"
+
+
+def _count_sql(x: str, words: list[str]) -> str:
+    """Matches of each word, added up; edges are doubled so that two matches can share one."""
+    doubled = rf"regexp_replace(' ' || {x} || ' ', '({_EDGE})', '\1\1', 'g')"
+    return " + ".join(f"len(regexp_extract_all({doubled}, '(?i){_EDGE}{w.replace(' ', '  ')}{_EDGE}'))" for w in words)
+
+
+def _place_sql(x: str, words: list[str]) -> str:
+    """Where the first match of any word begins, from 1."""
+    each = [f"case when regexp_matches(' ' || {x} || ' ', '(?is){_EDGE}{w}{_EDGE}') then length(regexp_extract(' ' || {x} || ' ', '(?is)^(.*?){_EDGE}{w}{_EDGE}', 1)) + 1 end" for w in words]
+    return f"least({', '.join(each)})" if len(each) > 1 else each[0]
+
+
+def _any_sql(x: str, words: list[str]) -> str:
+    return f"regexp_matches(' ' || {x} || ' ', '(?i){_EDGE}({'|'.join(words)}){_EDGE}')"
+
+
+def _topic_sql(source: str, lexicon: dict[str, list[str]], default: str) -> str:
+    parts = [
+        f"select doc_id, {i} as prio, '{name}' as label, {_place_sql('title', words)} as pos, {_count_sql('content', words)} as freq from t where {_any_sql('title', words)}"
+        for i, (name, words) in enumerate(lexicon.items())
+    ]
+    best = "select doc_id, label, row_number() over (partition by doc_id order by freq desc, pos, prio) as r from m"
+    return f"with t as ({source}), m as ({' union all '.join(parts)}), b as ({best}) select t.doc_id, coalesce(b.label, '{default}') as label from t left join b on t.doc_id = b.doc_id and b.r = 1"
+
+
+_TITLE_CASE = r"array_to_string(list_transform(range(1, length(s) + 1), lambda i: case when i = 1 or not regexp_matches(s[i - 1], '\p{L}') then upper(s[i]) else lower(s[i]) end), '')"
+_HOST = r"regexp_extract(url, 'https?://(?:www\.)?([^/]+)', 1)"
+_SOURCE = f"case when {_HOST} = '' then 'News' else (select {_TITLE_CASE} from (select replace(replace({_HOST}, '.com', ''), '.co.id', '') as s)) end"
+
+
+@query("select page_id, substr(md5(url), 1, 12) as id from pages")
+def url_id(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _read(spark, sf_dir, "pages").select("page_id", text.url_id(F.col("url")).alias("id"))
+
+
+@query(f"select page_id, {_SOURCE} as source from pages")
+def domain_source(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _read(spark, sf_dir, "pages").select("page_id", text.domain_source(F.col("url")).alias("source"))
+
+
+@query(r"select doc_id, trim(regexp_replace(coalesce(text, ''), '[\s\x0b\x1c-\x1f\x{85}\p{Z}]+', ' ', 'g')) as cleaned from documents")
+def clean_text(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _read(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
+
+
+@query(f"select doc_id, {_any_sql('title', CORPUS['gamma'])} as hit from ({_TITLED})")
+def keyword_any(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _titled(spark, sf_dir).select("doc_id", text.any_keyword(F.col("title"), CORPUS["gamma"]).alias("hit"))
+
+
+@query(f"select doc_id, ({_count_sql('content', CORPUS['alpha'])})::integer as n from ({_TITLED})")
+def keyword_count_sum(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _titled(spark, sf_dir).select("doc_id", text.keyword_count(F.col("content"), CORPUS["alpha"]).alias("n"))
+
+
+@query(f"select doc_id, ({_place_sql('title', CORPUS['alpha'])})::integer as pos from ({_TITLED})")
+def keyword_first_pos(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _titled(spark, sf_dir).select("doc_id", text.keyword_position(F.col("title"), CORPUS["alpha"]).cast("int").alias("pos"))
+
+
+@query(f"select doc_id, case {' '.join(f'''when {_any_sql('x', w)} then '{n}' ''' for n, w in CORPUS.items())} else 'none' end as label from (select doc_id, title || ' ' || content as x from ({_TITLED}))")
+def detect_location(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _titled(spark, sf_dir).select("doc_id", classify.label_place(F.concat_ws(" ", "title", "content"), CORPUS, "none").alias("label"))
+
+
+@query(_topic_sql(_TITLED, CORPUS, "none"))
+def detect_disease(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _titled(spark, sf_dir).select("doc_id", classify.label_topic(F.col("title"), F.col("content"), CORPUS, "none").alias("label"))
+
+
+_URL_DAY = "case when o_orderstatus = 'P' then '/1995/02/30/' else strftime(o_orderdate, '/%Y/%m/%d/') end"
+
+
+@query(f"select o_orderkey, case when d <= timestamp '1995-06-18 12:00:00' then d::date end as day from (select o_orderkey, try_strptime({_URL_DAY}, '/%Y/%m/%d/') as d from orders)")
+def url_date(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Orders of status P get a URL with 30 February."""
+    day = F.when(F.col("o_orderstatus") == "P", F.lit("/1995/02/30/")).otherwise(F.date_format("o_orderdate", "/yyyy/MM/dd/"))
+    found = dates.date_from_url(F.concat(F.lit("https://x.example"), day, F.col("o_orderkey").cast("string")), dates.instant(AS_OF))
+    return _read(spark, sf_dir, "orders").select("o_orderkey", found["local"].cast("date").alias("day"))
+
+
+_WEEK = """year(o_orderdate)::integer as "Year", month(o_orderdate)::integer as "Month", week(o_orderdate)::integer as "Week", ((day(o_orderdate) - 1) // 7 + 1)::integer as "Minggu_ke",
+  strftime(date_trunc('week', o_orderdate)::date, '%Y-%m-%d') as "Minggu_Mulai", printf('%d-W%02d', isoyear(o_orderdate), week(o_orderdate)) as "Week_Label" """
+
+
+def _weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = dates.week_fields(F.col("o_orderdate"))
+    return _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", *[c.alias(n) for n, c in fields.items()])
+
+
+@query(f"select o_orderkey, {_WEEK} from orders")
+def week_fields(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _weeks(spark, sf_dir).drop("o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+
+
+@query("select o_orderkey from orders where o_orderdate between timestamp '1995-06-12 00:00:00' and timestamp '1995-06-18 23:59:59'")
+def week_window(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _read(spark, sf_dir, "orders").filter(dates.in_week(F.col("o_orderdate").cast("timestamp"), dates.instant(AS_OF))).select("o_orderkey")
+
+
+_FUTURE = """("Year" > 1995 or ("Year" = 1995 and "Month" > 6) or ("Year" = 1995 and "Month" = 6 and "Minggu_Mulai" > '1995-06-17'))"""
+
+
+@query(f"select * from (select o_orderkey, {_WEEK} from orders) where not {_FUTURE}")
+def future_audit_clean(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.audit(week_fields(spark, sf_dir), dates.instant(AS_OF))[0]
+
+
+@query(f"select * from (select o_orderkey, {_WEEK} from orders) where {_FUTURE}")
+def future_audit_bad(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.audit(week_fields(spark, sf_dir), dates.instant(AS_OF))[1]
+
+
+@query("select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(timestamp '1995-04-01', timestamp '1995-06-01', interval 1 month)) as m)")
+def month_ranges(spark, sf_dir):  # noqa: ANN001, ANN201
+    return dates.last_months(spark, AS_OF)
+
+
+@query("select doc_id, id from (select doc_id, md5(text) as id, row_number() over (partition by md5(text) order by doc_id) as r from documents) where r = 1")
+def dedup_keep_first(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.keep_first(_read(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("id")), "id", ["doc_id"])
+
+
+@query("""select url, doc_id, label, source from (select *, row_number() over (partition by url order by source desc, doc_id desc) as r from (
+  select md5(text) as url, doc_id, 'old' as label, 0 as source from documents union all select md5(text), doc_id, 'new', 1 from documents where lang = 'en')) where r = 1""")
+def dedup_keep_last_merge(spark, sf_dir):  # noqa: ANN001, ANN201
+    docs = _read(spark, sf_dir, "documents").select(F.md5("text").alias("url"), "doc_id", "lang")
+    old, new = docs.withColumn("label", F.lit("old")).drop("lang"), docs.filter("lang = 'en'").withColumn("label", F.lit("new")).drop("lang")
+    return rel.merge_by_url(old, new, "doc_id").withColumnRenamed("__source", "source")
+
+
+@query("select doc_id, md5(text) as id from documents d where not exists (select 1 from documents s where s.source = 'src0' and md5(s.text) = md5(d.text))")
+def anti_join_seen(spark, sf_dir):  # noqa: ANN001, ANN201
+    docs = _read(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("id"), "source")
+    return rel.anti_seen(docs.drop("source"), docs.filter("source = 'src0'")).select("doc_id", "id")
+
+
+@query(f"""select o_orderkey, row_number() over (order by "Year" desc, "Month" desc, "Week" desc, o_orderkey) as "No" from (select o_orderkey, {_WEEK} from orders)""")
+def sort_and_number(spark, sf_dir):  # noqa: ANN001, ANN201
+    rows = _weeks(spark, sf_dir).select("o_orderkey", "Year", "Month", "Week")
+    return rel.number_rows(rows, rel.newest_first(["o_orderkey"])).select("o_orderkey", F.col("No").cast("long").alias("No"))
+
+
+@query("select doc_id, id from (select doc_id, md5(text) as id, row_number() over (partition by md5(text) order by doc_id) as r from documents) where r = 1 order by doc_id limit 3000")
+def phase_cap(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.first_rows(dedup_keep_first(spark, sf_dir), 3000, ["doc_id"])
+
+
+@query("""with b as (select strftime(o_orderdate, '%Y-%m') as batch, count(*) as n from orders group by 1),
+  k as (select batch, coalesce(sum(n) over (order by batch rows between unbounded preceding and 1 preceding), 0) as before from b)
+  select o_orderkey, strftime(o_orderdate, '%Y-%m') as batch from orders where strftime(o_orderdate, '%Y-%m') in (select batch from k where before < 5000)""")
+def batch_cap(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.cap_batches(_read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("batch")), "batch", 5000).select("o_orderkey", "batch")
+
+
+_FILES = "select page_id, url || case when length(html) % 3 = 0 then '/a.jpg' when length(html) % 3 = 1 then '/a.JPG' else '/a.html' end as url from pages"
+
+
+@query(rf"select page_id, url from ({_FILES}) where not regexp_matches(url, '\.(jpg|png|mp4|gif|jpeg|webp)$')")
+def media_url_filter(spark, sf_dir):  # noqa: ANN001, ANN201
+    """URLs get an ending that follows from the page's length."""
+    rest = F.length("html") % 3
+    named = _read(spark, sf_dir, "pages").select("page_id", F.concat("url", F.when(rest == 0, "/a.jpg").when(rest == 1, "/a.JPG").otherwise("/a.html")).alias("url"))
+    return named.filter(text.not_media(F.col("url")))
+
+
+@query(r"select page_id, url from pages where regexp_matches(url, '(?i)\.example\.(com|org)/(en|fr)')")
+def url_keyword_filter(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _read(spark, sf_dir, "pages").select("page_id", "url").filter(text.url_keyword(F.col("url"), r"\.EXAMPLE\.(com|org)/(en|fr)"))
+
+
+@query("""select year(o_orderdate)::integer as "Year", count(*) as n from orders group by 1""")
+def count_by_year(spark, sf_dir):  # noqa: ANN001, ANN201
+    return rel.count_by_year(_weeks(spark, sf_dir))
+
+
+def _pages_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages to article rows: the path that every page takes."""
+    found = pages.extract(pages.usable(_read(spark, sf_dir, "pages")), pages.Site("any"), keep=("page_id", "url"))
+    items = found.select(
+        F.col("page_id").alias("seq"), text.domain_source(F.col("url")).alias("source"), "title", F.col("body").alias("content"), "url", F.lit(None).cast(dates.STRUCT).alias("pub")
+    )
+    context = articles.Context("2026-11-26T12:00:00", topics=CORPUS, places=CORPUS, default_topic="none", default_place="none")
+    return rel.keep_first(articles.make_rows(items, context), "id", ["seq"])
+
+
+@query(f"""select "Source", count(*) as n from (select distinct url, {_SOURCE} as "Source" from pages where length(html) > 200 and regexp_matches(html, '(?s)<h1[^>]*>\\s*[^<\\s]')) group by 1 order by n desc, "Source" limit 10""")
+def top_sources(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The ten sources with most articles, from pages."""
+    return rel.top_sources(_pages_as_articles(spark, sf_dir))
+
+
+@query()
+def page_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    return _pages_as_articles(spark, sf_dir)
+
+
+@query(r"""select page_id, trim(replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&')) as title
+  from pages where regexp_matches(html, '(?s)<h1[^>]*>\s*[^<\s]')""")
+def html_title(spark, sf_dir):  # noqa: ANN001, ANN201
+    return pages.extract(_read(spark, sf_dir, "pages"), pages.Site("any"), keep=("page_id",)).select("page_id", "title")
+
+
+@query()
+def html_body(spark, sf_dir):  # noqa: ANN001, ANN201
+    return pages.extract(_read(spark, sf_dir, "pages"), pages.Site("any"), keep=("page_id",)).select("page_id", "body")
+
+
+_MONTHS = "['Januari', 'Februari', 'Maret', 'April', 'Mei', 'Juni', 'Juli', 'Agustus', 'September', 'Oktober', 'November', 'Desember']"
+
+
+@query("""with d as (select o_orderkey, o_orderstatus as s, o_orderdate::date as d from orders),
+  c as (select *, case when s = 'P' then d when day(d) <= 12 then make_date(year(d), day(d), month(d)) else d end as swapped from d)
+  select o_orderkey, case when s = 'O' then case when d <= timestamp '1995-06-18 12:00:00' then d when day(d) <= 12 and swapped <= timestamp '1995-06-18 12:00:00' then swapped end
+    else case when swapped <= timestamp '1995-06-18 12:00:00' then swapped when d <= timestamp '1995-06-18 12:00:00' then d end end as day from c""")
+def parse_date_formats(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Orders of status F are written as ISO dates, those of O as day/month/year, those of P with the month's Indonesian name."""
+    names = F.element_at(F.array(*[F.lit(n.strip(" '")) for n in _MONTHS.strip("[]").split(",")]), F.month("o_orderdate"))
+    named = F.concat_ws(" ", F.dayofmonth("o_orderdate"), names, F.year("o_orderdate"))
+    raw = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(named)
+    return _read(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(raw, AS_OF)["local"].cast("date").alias("day"))
+
+
+def _escaped(x: str):  # noqa: ANN202
+    return F.replace(F.replace(F.col(x), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+@query("select page_id, url as loc, '1995-03-0' || (length(html) % 9 + 1)::varchar as lastmod from pages where url <> ''")
+def sitemap_urls(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A sitemap of each page; those of an even length give the date in their news element."""
+    day = F.concat(F.lit("1995-03-0"), (F.length("html") % 9 + 1).cast("string"))
+    news = F.concat(F.lit('<news:news xmlns:news="urn:n"><news:publication_date>'), day, F.lit("</news:publication_date></news:news>"))
+    mod = F.when(F.length("html") % 2 == 0, news).otherwise(F.concat(F.lit("<lastmod>"), day, F.lit("</lastmod>")))
+    xml = F.concat(F.lit('<urlset xmlns="urn:s"><url><loc> '), _escaped("url"), F.lit(" </loc>"), mod, F.lit("</url></urlset>"))
+    maps = _read(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("sitemap_url"), xml.alias("xml"))
+    return feeds.sitemap_urls(maps).select(F.col("sitemap_url").cast("long").alias("page_id"), "loc", "lastmod")
+
+
+@query("select page_id::varchar as source, 0 as entry_idx, url as link, 'Page ' || page_id::varchar as title, substr(html, 1, 40) as body, '12 Mar 1995' as raw_date from pages where url <> ''")
+def feed_entries(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Two feeds of each page, the first of them empty."""
+    rows = _read(spark, sf_dir, "pages").withColumn("cut", F.substring("html", 1, 40))
+    item = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"), F.lit("</title><link>"), _escaped("url"), F.lit("</link><description>"), _escaped("cut"), F.lit("</description><pubDate>12 Mar 1995</pubDate></item>"))
+    both = rows.withColumn("feed_idx", F.explode(F.array(F.lit(0), F.lit(1))))
+    xml = F.concat(F.lit("<rss><channel>"), F.when(F.col("feed_idx") == 1, item).otherwise(F.lit("")), F.lit("</channel></rss>"))
+    return feeds.feed_entries(both.select(F.col("page_id").cast("string").alias("source"), "feed_idx", F.lit(200).alias("status"), xml.alias("xml")))
+
+
+@query("select 'root' as sitemap_url, 0 as level union all select 'r' || r_regionkey, 1 from region union all select 'n' || n_nationkey, 2 from nation")
+def sitemap_tree(spark, sf_dir):  # noqa: ANN001, ANN201
+    """An index of regions, each an index of its nations."""
+    entry = lambda c, key: F.concat(F.lit(f"<sitemap><loc>{c}"), F.col(key).cast("string"), F.lit("</loc></sitemap>"))
+    index = lambda c: F.concat(F.lit("<sitemapindex>"), F.concat_ws("", F.collect_list(c)), F.lit("</sitemapindex>"))
+    region, nation = _read(spark, sf_dir, "region"), _read(spark, sf_dir, "nation")
+    maps = region.groupBy().agg(index(entry("r", "r_regionkey")).alias("xml")).select(F.lit("root").alias("sitemap_url"), "xml")
+    maps = maps.union(nation.groupBy("n_regionkey").agg(index(entry("n", "n_nationkey")).alias("xml")).select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), "xml"))
+    maps = maps.union(nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.lit("<urlset></urlset>")))
+    return feeds.sitemap_tree(maps, ["root"])
+
+
+def _order_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as articles: the customer is the url, the priority the title, the status the content."""
+    pub = F.struct(F.col("o_orderdate").cast("timestamp").alias("instant"), F.col("o_orderdate").cast("timestamp_ntz").alias("local"))
+    url = F.concat(F.lit("https://shop.example/"), F.col("o_custkey").cast("string"))
+    orders = _read(spark, sf_dir, "orders")
+    items = orders.select(F.col("o_orderkey").alias("seq"), F.lit("Shop").alias("source"), F.col("o_orderpriority").alias("title"), F.col("o_orderstatus").alias("content"), url.alias("url"), pub.alias("pub"))
+    return articles.make_rows(items, CONTEXT)
+
+
+_ARTICLES = f"""select o_orderkey as seq, 'Shop' as "Source", o_orderpriority as "Title", o_orderstatus as "Content", 'https://shop.example/' || o_custkey as url, {_WEEK},
+  case when regexp_matches(o_orderpriority, '(?i)urgent|high') then 'pressing' when regexp_matches(o_orderpriority, '(?i)medium|low') then 'usual' else 'none' end as "Penyakit",
+  case o_orderstatus when 'O' then 'open' when 'F' then 'filled' else 'none' end as "Lokasi" from orders where o_orderdate <= timestamp '1995-06-18 12:00:00'"""
+_PUBLIC = '"No", "Source", "Title", "Content", "Year", "Month", "Week", "Minggu_ke", "Minggu_Mulai", "Week_Label", "Penyakit", "Lokasi", url'
+
+
+@query(f"""with a as ({_ARTICLES}), f as (select * from (select *, row_number() over (partition by url order by seq) as r from a where "Year" in (1993, 1994, 1995)) where r = 1),
+  n as (select *, row_number() over (order by "Year" desc nulls last, "Month" desc nulls last, "Week" desc nulls last, seq) as "No" from f) select {_PUBLIC} from n where not {_FUTURE}""")
+def full_finalize(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A full run over one phase: year filter, first row of each url, numbers, audit."""
+    return articles.full_run([_order_articles(spark, sf_dir)], CONTEXT)[0]
+
+
+@query(f"""with a as ({_ARTICLES}), o as (select * from (select *, row_number() over (partition by url order by seq) as r from a where "Year" = 1994) where r = 1),
+  w as (select * from a where "Year" = 1995 and "Minggu_Mulai" = '1995-06-12'),
+  u as (select * exclude (r), 0 as src from o union all select *, 1 from w), m as (select * from (select *, row_number() over (partition by url order by src desc, seq desc) as r from u) where r = 1),
+  n as (select *, row_number() over (order by "Year" desc nulls last, "Month" desc nulls last, "Week" desc nulls last, src, seq) as "No" from m) select {_PUBLIC} from n where not {_FUTURE}""")
+def weekly_merge(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The orders of as_of's week upserted into those of 1994."""
+    rows = _order_articles(spark, sf_dir)
+    existing = rel.keep_first(rows.filter("Year = 1994"), "url", ["seq"]).withColumn("No", F.col("seq"))
+    return articles.weekly_update(rel.public_columns(existing), rows, CONTEXT)
+
+
+def as_of() -> dt.datetime:
+    return dt.datetime.fromisoformat(AS_OF)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumbung.llm import jaccard, lines, mixing, packing, toxicity
-from lumbung.llm.common import prepare, read
+from lumbung.llm.common import cut, prepare, read
 
 #: Near copies: word 5-grams with a similarity of 0.8 or more.
 NEAR = jaccard.Join(words=5, num=80, den=100)
@@ -37,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: whole, up to three times, rows of those that it does not take go."""
     taken = mixing.mix_sources(docs, mixing.quality(read(spark, sf_dir, "labels")), whole=True)
     times = taken.filter("taken > 0").groupBy(F.col("doc_id").alias("__taken_id")).agg(F.max(F.expr("cast(taken div size as int)")).alias("__times"))
-    repeated = docs.join(times, F.col("doc_id") == F.col("__taken_id")).withColumn("__copy", F.explode(F.expr("sequence(1, __times)")))
+    repeated = docs.join(jaccard.within_bounds(cut(times)), F.col("doc_id") == F.col("__taken_id")).withColumn("__copy", F.explode(F.expr("sequence(1, __times)")))
     return repeated.select(docs.columns)
 
 

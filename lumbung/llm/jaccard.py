@@ -36,6 +36,8 @@ from .common import cut, partitions, prepare
 from .graph import components
 
 _ONE, _TWO, _THREE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
+#: Rows of ids up to which a side of a join is broadcast, some tens of MB; texts then stay where they are.
+BROADCAST_ROWS = 500_000
 #: Counters are sent in parts of this many.
 _PART = 1 << 12
 
@@ -101,10 +103,10 @@ def set_digest(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def second_prefix(tokens: np.ndarray, rule: Join) -> np.ndarray:
-    """The prefix under the second order, as its sorted hashes."""
-    ranks = hashing.mix(tokens ^ _TWO)
+    """The prefix under the second order, as its sorted distinct ranks: half of a hash. Tokens of the last rank all belong to it, so it is whole up to its end."""
+    ranks = (hashing.mix(tokens ^ _TWO) >> np.uint64(32)).astype("<u4")
     k = rule.prefix(len(tokens)) if len(tokens) else 0
-    return np.sort(np.partition(ranks, k - 1)[:k] if k < len(ranks) else ranks)
+    return np.unique(ranks[ranks <= np.partition(ranks, k - 1)[k - 1]] if k < len(ranks) else ranks)
 
 
 def _measure(docs: DataFrame, rule: Join) -> DataFrame:
@@ -284,14 +286,15 @@ def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: D
 def passed(group: list[tuple], rule: Join) -> list[tuple[int, int]]:
     """Chains (sid, sid) of the sets of a group, rows (name, sid, n, second prefix), that pass the second order.
 
-    Up to the earlier end of two prefixes, each set has some tokens; the other lacks at most its size less the intersection that a link needs.
+    Up to the earlier end of two prefixes, each set has some ranks; of these the other lacks at most as many as the set has tokens beyond the intersection that
+    a link needs, for a rank that it lacks is of a token that it lacks.
     """
     m = len(group)
     if m < 2:
         return []
     size = np.array([g[2] for g in group])
-    second = [np.frombuffer(g[3], np.uint64) for g in group]
-    ends = np.array([x[-1] if len(x) < n else np.iinfo(np.uint64).max for x, n in zip(second, size, strict=True)], np.uint64)
+    second = [np.frombuffer(g[3], "<u4") for g in group]
+    ends = np.array([x[-1] if rule.prefix(int(n)) < n else 2**32 - 1 for x, n in zip(second, size, strict=True)], "<u4")
     if m == 2:
         common = np.array([[0, len(np.intersect1d(*second, assume_unique=True))]])
     else:
@@ -385,6 +388,11 @@ def verify(ids: list[int], sets: list[np.ndarray], side: list[int], rule: Join)
     return links
 
 
+def within_bounds(rows: DataFrame) -> DataFrame:
+    """Rows of a few numbers, to be broadcast if a count shows that they are under BROADCAST_ROWS; more are shuffled."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def _links(docs: DataFrame, candidates: DataFrame, rule: Join) -> DataFrame:
     """Links (a, b) between representatives. candidates: doc_id, d1, d2, cluster, blocks (of its cluster)."""
     spark = docs.sparkSession
@@ -414,7 +422,7 @@ def _links(docs: DataFrame, candidates: DataFrame, rule: Join) -> DataFrame:
             yield pd.concat(out) if out else pd.DataFrame({"a": [], "b": []}, dtype="int64")
         yield done()
 
-    rows = docs.select("doc_id", "text").join(candidates, "doc_id").select("doc_id", "d1", "d2", "cluster", "blocks", "text")
+    rows = docs.select("doc_id", "text").join(within_bounds(candidates), "doc_id").select("doc_id", "d1", "d2", "cluster", "blocks", "text")
     rows = rows.mapInPandas(sets, "doc_id long, cluster long, blocks int, tokens binary")
     rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -445,7 +453,7 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
     by_sets = F.ceil(F.col("sets") / F.greatest(F.lit(rule.block_sets), F.least(F.lit(16 * rule.block_sets), F.col("sets") / 8)))
     by_tokens = F.ceil(F.col("tokens") / rule.block_tokens)
     sizes = sizes.select("cluster", F.when(F.col("sets") <= 2 * rule.block_sets, by_tokens).otherwise(F.greatest(by_sets, by_tokens)).cast("int").alias("blocks"))
-    links = _links(docs, inside.drop("n").join(sizes, "cluster"), rule)
+    links = _links(docs, cut(inside.drop("n").join(sizes, "cluster")), rule)
     joined = components(links).select(F.col("node").alias("rep"), "component")
     classes = classes.join(joined, "rep", "left").select("d1", "d2", "copies", F.coalesce("component", "rep").alias("least"))
     found = rows.filter("n > 0").join(classes, ["d1", "d2"], "left").select("doc_id", "n", F.coalesce("least", "doc_id").alias("component_id"), "copies")
@@ -454,7 +462,6 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, rule: Join) -> DataFrame:
-    """docs with one row of each component: that of the smallest id. Of repeated ids one row stays; rows without words stay as they are, and so do null ids without copies."""
-    found = join_components(docs, rule).filter("doc_id = component_id or doc_id is null").select(F.col("doc_id").alias("__kept")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return kept
+    """docs with one document of each component: that of the smallest id. Rows that share its id stay together; rows without words and rows of null id stay as they are."""
+    gone = join_components(docs, rule).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(within_bounds(cut(gone)), F.col("doc_id") == F.col("__gone"), "left_anti")

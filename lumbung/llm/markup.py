@@ -36,6 +36,9 @@ IMPLIED_ENDS = {
 #: End tags don't reach past these.
 SCOPE = frozenset("table td th caption html template".split())
 
+#: Elements that are open at once; what is nested deeper becomes a sibling, as in browsers.
+DEEPEST = 256
+
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,8192}\"|'[^']{0,8192}')*+)>|</?([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)",
     re.S,
@@ -141,7 +144,7 @@ def parse(source: str) -> tuple[Node, list[str]]:
             node.children.append(html.unescape(content) if tag in ("textarea", "title") else content)
             at = source.find(">", stop) + 1 if close_tag else end
             at = at or end
-        elif tag not in VOID and not attributes.endswith("/") or (attributes.endswith("/") and tag in BLOCK):
+        elif len(stack) < DEEPEST and tag not in VOID and (tag in BLOCK or not attributes.endswith("/")):
             stack.append(node)
     return root, styles
 
@@ -320,7 +323,8 @@ def render(source: str | None) -> str:
                 children = [children[0].removeprefix("\n"), *children[1:]]
             stack.extend((c, None) for c in reversed(children))
             continue
-        now.end()
+        if tag in BLOCK:
+            now.end()
         if tag in ("li", "dd", "blockquote", "td", "th", "table", "caption"):
             lines, outer = out.pop().lines, out[-1]
             if tag == "li":

@@ -252,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, c
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic_rows), (0, clean_rows))]
     chosen = parts[0].union(parts[1]).withColumnRenamed("doc_id", "label_id")  # bounded by the two limits, so it may be broadcast
-    rows = docs.filter("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     first = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))  # an id that is repeated is learned once
     found = sorted(first.collect(), key=lambda r: r["doc_id"])
     model = Model()

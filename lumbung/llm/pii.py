@@ -26,7 +26,7 @@ KINDS = ("email", "ip", "card", "phone")
 # The patterns of plain identifiers and their bounds.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")  # a match cannot begin within a run of digits: it would at its start
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")

@@ -6,6 +6,7 @@ A parsed date is a struct: instant TIMESTAMP, to compare, and local TIMESTAMP_NT
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -47,56 +48,69 @@ def translate_names(x: Column) -> Column:
     return x
 
 
-def _date(y: Column, m: Column, d: Column, clock: Column, zone: Column) -> Column:
-    """A candidate from texts of its parts; null if there is no such day. The zone's offset goes from the local time to the instant."""
-    local = F.try_to_timestamp(F.concat(y, F.lit("-"), F.lpad(m, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"), F.lit(" "), clock), F.lit("yyyy-MM-dd HH:mm:ss"))
-    digits = F.replace(zone, F.lit(":"), F.lit(""))
-    seconds = F.when(zone.rlike(r"^[+-]"), (F.substring(digits, 2, 2).cast("int") * 3600 + F.substring(digits, 4, 2).cast("int") * 60) * F.when(zone.startswith("-"), -1).otherwise(1)).otherwise(0)
-    moved = F.timestamp_micros(F.unix_micros(local) - seconds.cast("long") * 1_000_000)
-    return F.when(local.isNotNull(), F.struct(moved.alias("instant"), local.cast("timestamp_ntz").alias("local")))
+def _readings(x: Column, swap: bool) -> tuple[Column, Column]:
+    """The day-first and the month-first reading of the two common numeric formats; null for other texts and for days that there aren't.
 
+    ISO texts have their parts at fixed places. Without swap they have the second reading only. Local times are read as UTC, then moved by the zone's offset.
+    """
+    iso, numeric = x.rlike(_ISO), x.rlike(_NUMERIC)
+    number = lambda c: c.try_cast("int")
+    part = lambda i, at, n: number(F.when(iso, F.substring(x, at, n)).when(numeric, F.regexp_extract(x, _NUMERIC, i)))
+    year, one, two = part(3, 1, 4), part(1, 6, 2), part(2, 9, 2)
+    timed = iso & F.substring(x, 14, 1).eqNullSafe(":")
+    clock = [F.when(timed, number(F.substring(x, 12, 2))).otherwise(0), F.when(timed, number(F.substring(x, 15, 2))).otherwise(0)]
+    second = F.when(timed & (F.substring(x, 17, 1) == ":"), number(F.substring(x, 18, 2))).otherwise(0).cast("decimal(16,6)")
+    zone = F.replace(F.when(timed, F.regexp_extract(x, r"[+-]\d{2}:?\d{2}$", 0)).otherwise(F.lit("")), F.lit(":"), F.lit(""))
+    shift = F.when(zone == "", F.lit(0)).otherwise((number(F.substring(zone, 2, 2)) * 60 + number(F.substring(zone, 4, 2))) * F.when(zone.startswith("-"), -1).otherwise(1))
+
+    def read(month: Column, day: Column, known: Column) -> Column:
+        local = F.when(known, F.try_make_timestamp(year, month, day, *clock, second))
+        moved = F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 60_000_000)
+        return F.when(local.isNotNull(), F.struct(moved.alias("instant"), local.cast("timestamp_ntz").alias("local")))
 
-def _candidates(x: Column, swap: bool) -> Column:
-    """The day-first and then the month-first reading of the two common numeric formats; null for other texts."""
-    part = lambda i, p: F.regexp_extract(x, p, i)
-    clock = F.when(part(4, _ISO) == "", "00:00:00").otherwise(F.concat(part(4, _ISO), F.lit(":"), part(5, _ISO), F.lit(":"), F.when(part(6, _ISO) == "", "00").otherwise(part(6, _ISO))))
-    year, second, third, zone = part(1, _ISO), part(2, _ISO), part(3, _ISO), part(7, _ISO)
-    straight = _date(year, second, third, clock, zone)
-    iso = F.array(_date(year, third, second, clock, zone), straight) if swap else F.array(straight)
-    midnight, none = F.lit("00:00:00"), F.lit("")
-    a, b, y = part(1, _NUMERIC), part(2, _NUMERIC), part(3, _NUMERIC)
-    numeric = F.array(_date(y, b, a, midnight, none), _date(y, a, b, midnight, none))
-    return F.when(x.rlike(_ISO), iso).when(x.rlike(_NUMERIC), numeric)
+    return read(two, one, numeric | (iso & swap)), read(one, two, numeric | iso)
 
 
 def _other_udf(as_of: dt.datetime):  # noqa: ANN202
-    """Other formats by dateutil, missing parts from as_of's day: the readings day first and month first."""
+    """Other formats by dateutil, after translate_names()'s rule, missing parts from as_of's day: the readings day first and month first."""
 
     @F.pandas_udf(f"array<{STRUCT}>")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from dateutil import parser
 
+        names = re.compile(r"(?<![a-zA-Z])(?:" + "|".join(sorted(NAMES, key=len, reverse=True)) + r")(?![a-zA-Z])", re.IGNORECASE)
         default = as_of.replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+        known: dict[str, list | None] = {}
+
+        def read(text: str) -> list | None:
+            found: list = []
+            english = names.sub(lambda m: NAMES[m[0].lower()], text)
+            for day_first in (True, False):
+                try:
+                    value = parser.parse(english, dayfirst=day_first, default=default)
+                except Exception:  # noqa: BLE001, S112  what isn't a date has no reading
+                    continue
+                utc = (value.astimezone(dt.UTC) if value.tzinfo else value).replace(tzinfo=None)
+                if all(f["instant"] != utc for f in found):
+                    found.append({"instant": utc, "local": value.replace(tzinfo=None)})
+            return found or None
+
         for b in batches:
-            out = []
-            for text in b:
-                found: list = []
-                for day_first in (True, False) if text else ():
-                    try:
-                        value = parser.parse(text, dayfirst=day_first, default=default)
-                    except Exception:  # noqa: BLE001, S112  what isn't a date has no reading
-                        continue
-                    local = value.replace(tzinfo=None)
-                    utc = (value.astimezone(dt.UTC) if value.tzinfo else value).replace(tzinfo=None)
-                    if all(f["instant"] != utc for f in found):
-                        found.append({"instant": utc, "local": local})
-                out.append(found or None)
-            yield pd.Series(out, dtype="object")
+            known = known if len(known) < 50_000 else {}  # dates repeat, and parsing them is slow
+            for text in b[b.notna()].unique():
+                if text not in known:
+                    known[text] = read(text)
+            yield pd.Series([known[t] if t is not None else None for t in b], dtype="object")
 
     return parse
 
 
-def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "reference") -> Column:
+def stripped(raw: Column) -> Column:
+    """The text that parse_date() reads; as a column of its own, it is made once and not in each part of the expression."""
+    return F.regexp_replace(raw, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+
+
+def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "reference", strip: bool = True) -> Column:
     """A struct of instant and local, or null: the first reading of a text that isn't in the future, day first.
 
     policy "reference" also reads ISO dates day first, so 2025-03-12 is 3 December if that is past; "iso_strict" reads them as they stand. The
@@ -105,11 +119,11 @@ def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "referenc
     if policy not in ("reference", "iso_strict"):
         raise ValueError(f"unknown policy {policy!r}")
     moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    stripped = F.regexp_replace(raw, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
-    known = F.filter(_candidates(stripped, policy == "reference"), lambda c: c.isNotNull())
-    known = F.when(F.size(known) > 0, known)
-    other = _other_udf(moment.replace(tzinfo=None))(F.when(known.isNull() & (stripped != ""), translate_names(stripped)))
-    return F.get(F.filter(F.coalesce(known, other), lambda c: ~is_future(c["instant"], instant(as_of))), 0)
+    text = stripped(raw) if strip else raw
+    first, second = _readings(text, policy == "reference")
+    other = _other_udf(moment.replace(tzinfo=None))(F.when(first.isNull() & second.isNull() & (text != ""), text))
+    past = lambda c: ~is_future(c["instant"], instant(as_of))
+    return F.coalesce(F.when(past(first), first), F.when(past(second), second), F.get(F.filter(other, past), 0))
 
 
 def date_from_url(url: Column, as_of: Column) -> Column:

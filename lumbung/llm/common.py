@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,12 +16,33 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch: texts may be long, and a batch is held as a whole.
+BATCH_ROWS = 2000
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that gives freed memory back to the system when its task ends: Python workers live on, idle or for other queries."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library keeps its memory
+                pass
+
+    return wrapped
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, and sets a checkpoint folder where the session names none.
+    """Lets Python workers import this package, bounds Arrow batches, and sets a checkpoint folder where the session names none.
 
     On a cluster spark.checkpoint.dir names a shared folder and is used as it is.
     """
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     known = context.environment.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep) + os.environ.get("PYTHONPATH", "").split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, ROOT) if x)

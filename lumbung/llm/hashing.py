@@ -71,7 +71,7 @@ def words(texts: list[str | None], table: bytes = LOWER) -> Words:
     return Words(data, base, np.searchsorted(starts, base), starts, ends, _between(sums, starts, ends), sums)
 
 
-def chunks(texts: list[str | None], size: int = 1 << 20) -> list[tuple[int, int]]:
+def chunks(texts: list[str | None], size: int = 1 << 18) -> list[tuple[int, int]]:
     """Ranges of texts with about `size` characters each, to bound what is held at once; a longer text is alone in its range."""
     found, begin, held = [], 0, 0
     for i, t in enumerate(texts):

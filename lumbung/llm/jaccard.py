@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import cut, partitions, prepare
+from .common import cut, frugal, partitions, prepare
 from .graph import components
 
 _ONE, _TWO, _THREE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -128,7 +128,7 @@ def _measure(docs: DataFrame, rule: Join) -> DataFrame:
                 held[0].append(words)
                 held[1].append(tokens)
                 size += len(words)
-                if size > 1 << 20:
+                if size > 1 << 18:
                     count()
                     size = 0
             if held[0]:
@@ -140,7 +140,7 @@ def _measure(docs: DataFrame, rule: Join) -> DataFrame:
             parts = np.concatenate(counts).astype("<u4").reshape(-1, _PART)
             yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "second": None, "part": range(len(parts)), "counts": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
-    return cut(docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n long, d1 long, d2 long, second binary, part int, counts binary"))
+    return cut(docs.select("doc_id", "text").mapInPandas(frugal(run), "doc_id long, n long, d1 long, d2 long, second binary, part int, counts binary"))
 
 
 def _counters(measured: DataFrame, rule: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -257,9 +257,9 @@ def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: D
         yield take(*rest, last=True)
 
     n = partitions(spark)
-    rows = docs.select("text").mapInArrow(prefixes, "key long, token long, sid long, salted boolean")
+    rows = docs.select("text").mapInArrow(frugal(prefixes), "key long, token long, sid long, salted boolean")
     rows = rows.repartition(n, "key").sortWithinPartitions("key", "token", "sid")
-    found = cut(rows.mapInArrow(group, "kind int, a long, b long"))
+    found = cut(rows.mapInArrow(frugal(group), "kind int, a long, b long"))
     heads = found.filter("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("sid"))
     firsts = heads.groupBy("token").agg(F.min("sid").alias("a"))
     chained = found.filter("kind = 1").select("a", "b").union(heads.join(firsts, "token").select("a", F.col("sid").alias("b")))
@@ -280,7 +280,7 @@ def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: D
 
     rows = members.join(seconds.withColumnRenamed("d1", "sid"), "sid").select("name", "sid", "n", "second")
     rows = rows.repartition(n, "name").sortWithinPartitions("name", "sid")
-    return chained.union(rows.mapInPandas(narrow, "a long, b long"))
+    return chained.union(rows.mapInPandas(frugal(narrow), "a long, b long"))
 
 
 def passed(group: list[tuple], rule: Join) -> list[tuple[int, int]]:
@@ -423,12 +423,12 @@ def _links(docs: DataFrame, candidates: DataFrame, rule: Join) -> DataFrame:
         yield done()
 
     rows = docs.select("doc_id", "text").join(within_bounds(candidates), "doc_id").select("doc_id", "d1", "d2", "cluster", "blocks", "text")
-    rows = rows.mapInPandas(sets, "doc_id long, cluster long, blocks int, tokens binary")
+    rows = rows.mapInPandas(frugal(sets), "doc_id long, cluster long, blocks int, tokens binary")
     rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     rows = rows.select("doc_id", "tokens", "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
     rows = rows.repartition(partitions(spark), "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "side", "doc_id")
-    return rows.mapInPandas(meet, "a long, b long")
+    return rows.mapInPandas(frugal(meet), "a long, b long")
 
 
 def join_components(docs: DataFrame, rule: Join) -> DataFrame:

@@ -27,14 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, partitions, prepare
+from .common import cut, frugal, partitions, prepare
 
 #: Pieces of a cell; islands, epochs, generations an epoch, packings of an island.
 CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 4
 #: Share of a sequence from which a bin is well filled, and stays as it is.
 WELL = 0.995
 #: Words whose ids a worker keeps.
-CACHE = 600_000
+CACHE = 300_000
 
 
 # How the tokenizer splits a word; within these characters, letters are letters in every Unicode version and lower case stays among them.
@@ -120,7 +120,7 @@ def cut_pieces(docs: DataFrame, length: int = 2048, tokenizer: str | None = None
                     rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return docs.select("doc_id", "text").mapInPandas(frugal(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(items: list[int], sizes: list[int], capacity: int, bins: list[list[int]], free: list[int]) -> None:
@@ -248,7 +248,7 @@ def _epoch(islands: DataFrame, capacity: int, first: bool, seed: int) -> DataFra
                 out.append((row.cell, row.island, [_dump(p[1], len(sizes)) for p in island.packings]))
             yield pd.DataFrame(out, columns=["cell", "island", "packings"])
 
-    return islands.mapInPandas(run, _STATE)
+    return islands.mapInPandas(frugal(run), _STATE)
 
 
 def _pack_cells(pieces: DataFrame, capacity: int, level: int, cell: int = CELL) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import prepare
+from .common import frugal, prepare
 
 #: Score from which a document is called toxic; the share of labelled rows that are held out is one in FOLDS.
 CUT, FOLDS, HELD = 0.3, 4, 2
@@ -277,7 +277,10 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
             values = [model.scores(read_texts(texts[i:j]), table) for i, j in hashing.chunks(texts)]
             yield pd.Series(np.concatenate(values) if values else np.zeros(0))
 
-    return docs.withColumn(name, F.pandas_udf(run, "double")("text"))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from frugal(run)(batches)
+
+    return docs.withColumn(name, F.pandas_udf(scored, "double")("text"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

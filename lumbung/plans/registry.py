@@ -42,7 +42,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 60).alias("title"), F.substring("text", 61, 2000).alias("content"))
+    """Documents with their first line as title and the whole rest as content, which is empty for texts of one line."""
+    line = F.instr("text", "\n")
+    rest = F.when(line > 0, F.expr("substring(text, instr(text, '\n') + 1)")).when(F.col("text").isNotNull(), "")
+    return _read(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"), rest.alias("content"))
 
 
 _TITLED = "select doc_id, substr(text, 1, 60) as title, substr(text, 61, 2000) as content from documents"
@@ -96,17 +99,17 @@ def clean_text(spark, sf_dir):  # noqa: ANN001, ANN201
 
 @query(f"select doc_id, {_any_sql('title', CORPUS['gamma'])} as hit from ({_TITLED})")
 def keyword_any(spark, sf_dir):  # noqa: ANN001, ANN201
-    return _titled(spark, sf_dir).select("doc_id", text.any_keyword(F.col("title"), CORPUS["gamma"]).alias("hit"))
+    return _read(spark, sf_dir, "documents").select("doc_id", text.any_keyword(F.col("text"), CORPUS["gamma"]).alias("hit"))
 
 
 @query(f"select doc_id, ({_count_sql('content', CORPUS['alpha'])})::integer as n from ({_TITLED})")
 def keyword_count_sum(spark, sf_dir):  # noqa: ANN001, ANN201
-    return _titled(spark, sf_dir).select("doc_id", text.keyword_count(F.col("content"), CORPUS["alpha"]).alias("n"))
+    return _read(spark, sf_dir, "documents").select("doc_id", text.keyword_count(F.col("text"), CORPUS["alpha"]).alias("n"))
 
 
 @query(f"select doc_id, ({_place_sql('title', CORPUS['alpha'])})::integer as pos from ({_TITLED})")
 def keyword_first_pos(spark, sf_dir):  # noqa: ANN001, ANN201
-    return _titled(spark, sf_dir).select("doc_id", text.keyword_position(F.col("title"), CORPUS["alpha"]).cast("int").alias("pos"))
+    return _read(spark, sf_dir, "documents").select("doc_id", text.keyword_position(F.col("text"), CORPUS["alpha"]).cast("int").alias("pos"))
 
 
 @query(f"select doc_id, case {' '.join(f'''when {_any_sql('x', w)} then '{n}' ''' for n, w in CORPUS.items())} else 'none' end as label from (select doc_id, title || ' ' || content as x from ({_TITLED}))")
@@ -291,8 +294,8 @@ def sitemap_urls(spark, sf_dir):  # noqa: ANN001, ANN201
 @query("select page_id::varchar as source, 0 as entry_idx, url as link, 'Page ' || page_id::varchar as title, substr(html, 1, 40) as body, '12 Mar 1995' as raw_date from pages where url <> ''")
 def feed_entries(spark, sf_dir):  # noqa: ANN001, ANN201
     """Two feeds of each page, the first of them empty."""
-    rows = _read(spark, sf_dir, "pages").withColumn("cut", F.substring("html", 1, 40))
-    item = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"), F.lit("</title><link>"), _escaped("url"), F.lit("</link><description>"), _escaped("cut"), F.lit("</description><pubDate>12 Mar 1995</pubDate></item>"))
+    rows = _read(spark, sf_dir, "pages")
+    item = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"), F.lit("</title><link>"), _escaped("url"), F.lit("</link><description>"), _escaped("html"), F.lit("</description><pubDate>12 Mar 1995</pubDate></item>"))
     both = rows.withColumn("feed_idx", F.explode(F.array(F.lit(0), F.lit(1))))
     xml = F.concat(F.lit("<rss><channel>"), F.when(F.col("feed_idx") == 1, item).otherwise(F.lit("")), F.lit("</channel></rss>"))
     return feeds.feed_entries(both.select(F.col("page_id").cast("string").alias("source"), "feed_idx", F.lit(200).alias("status"), xml.alias("xml")))

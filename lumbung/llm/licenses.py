@@ -2,8 +2,9 @@
 
 Texts and templates are words in lower case without punctuation. Every K words have a hash; of each WINDOW hashes in a row the smallest is a fingerprint
 (winnowing), so a run of K + WINDOW - 1 common words always gives a common fingerprint. An inverted index from fingerprints to places in templates is
-small and goes to every task. Hits of a template near one diagonal are a candidate, and the template is aligned with the text there, within a
+small and goes to every task. Templates that are shorter than that run are looked up by all hashes of the text. Hits of a template near one diagonal are a candidate, and the template is aligned with the text there, within a
 band: that gives the words of the template that the text has (coverage) and where they begin and end in the text (span, in code points).
+Templates are notices and headers; the bodies of Apache-2.0 and the GPL and the BSD disclaimer have none.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("all-rights-reserved", "All rights reserved. No part of this work may be reproduced without permission."),
+    ("all-rights-reserved", "All rights reserved."),
 ]
 
 
@@ -100,6 +102,7 @@ class Index:
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES) -> None:
         self.names = [n for n, _ in templates]
         self.words = [hashing.words([t], hashing.PLAIN).hashes for _, t in templates]
+        self.short = [len(h) < K + WINDOW - 1 for h in self.words]
         rows = []
         for i, h in enumerate(self.words):
             g, at = grams(h)
@@ -108,6 +111,7 @@ class Index:
         rows.sort()
         self.hashes = np.array([r[0] for r in rows], np.uint64)
         self.places = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)
+        self.brief = np.array([h for h, i, _ in rows if self.short[i]], np.uint64)
         self.counts = np.bincount(self.places[:, 0], minlength=len(templates)) if len(rows) else np.zeros(len(templates), np.int64)
 
     def scan(self, texts: list[str | None]) -> Iterator[tuple[int, Match, int, int]]:
@@ -122,9 +126,11 @@ class Index:
             return
         chosen = fingerprints(g, doc[at])
         hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for i in hit[chosen[hit]]:
+        for i in hit[chosen[hit] | np.isin(g[hit], self.brief)]:
             a, b = np.searchsorted(self.hashes, g[i], "left"), np.searchsorted(self.hashes, g[i], "right")
             for template, place in self.places[a:b].tolist():
+                if not (chosen[i] or self.short[template]):
+                    continue
                 hits.setdefault((int(doc[at[i]]), template), []).append((int(at[i]), place))
         by_doc: dict[int, list[Match]] = {}
         for (d, template), places in hits.items():

@@ -9,6 +9,8 @@ from .common import cut
 
 #: A line is dropped if it is on more than RATIO of its host's pages, and on PAGES of them at least: below that, a share says nothing.
 RATIO, PAGES = 0.1, 10
+#: The floor that a share needs, for hosts of every size: on two pages a line is as likely from two copies of a text.
+SHARE_PAGES = 3
 #: Boilerplate lines of all hosts together up to which they are broadcast; beyond, the join is shuffled by host.
 BROADCAST_LINES = 200_000
 _BLANKS = " \t\r"
@@ -38,6 +40,8 @@ def boilerplate(pages: DataFrame, *, ratio: float = RATIO, least: int = PAGES) -
 def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", *, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
     """docs with its boilerplate lines taken out of the text, and n_lines, n_dropped: lines before, lines dropped.
 
+    With the default floor, hosts under PAGES pages lose nothing; with least=SHARE_PAGES, as the queries use it, those under 3 pages.
+
     A page is a row of docs; lines are compared without blanks, tabs and carriage returns at their ends; each counts once a page. Empty lines
     are never dropped. Rows of null host are a host of their own. Null texts stay null and have no lines; empty
     texts have one, empty line. A page may lose all its lines: its text is then empty and its row stays. Repeated rows are pages

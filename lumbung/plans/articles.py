@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify, dates, text
-from ..functions.lexicon import DEFAULT_PLACE, DEFAULT_TOPIC, PROVINCES, STARTER_TOPICS, Lexicon
+from ..functions.lexicon import DEFAULT_PLACE, DEFAULT_TOPIC, PROVINCES, Lexicon
+from ..functions.topics import TOPICS
 from ..operators import relational as rel
 
 
@@ -24,7 +25,7 @@ class Context:
     as_of: str
     years: tuple[int, ...] = (2025, 2026)
     policy: str = "reference"
-    topics: Lexicon = field(default_factory=lambda: STARTER_TOPICS)
+    topics: Lexicon = field(default_factory=lambda: TOPICS)
     places: Lexicon = field(default_factory=lambda: PROVINCES)
     default_topic: str = DEFAULT_TOPIC
     default_place: str = DEFAULT_PLACE

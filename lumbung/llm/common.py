@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import os
+import re
 import tempfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Folder that holds the package; Python workers must be able to import from it.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -20,6 +22,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 2000
 
 
+#: Rows of ids up to which a side of a join is broadcast, some tens of MB; texts then stay where they are.
+BROADCAST_ROWS = 500_000
+
+
 def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over batches that gives freed memory back to the system when its task ends: Python workers live on, idle or for other queries."""
 
@@ -36,9 +42,9 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, bounds Arrow batches, and sets a checkpoint folder where the session names none.
+    """Lets Python workers import this package, bounds Arrow batches, and sets a checkpoint folder where none is set.
 
-    On a cluster spark.checkpoint.dir names a shared folder and is used as it is.
+    spark.checkpoint.dir names a shared folder and is used as it is. Only where all runs in one process, as in tests, a temporary folder stands in for it.
     """
     context = spark.sparkContext
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
@@ -47,16 +53,42 @@ def prepare(spark: SparkSession) -> SparkSession:
     if ROOT not in known.split(os.pathsep) + os.environ.get("PYTHONPATH", "").split(os.pathsep):
         context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, ROOT) if x)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lumbung-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lumbung-"))
     return spark
 
 
+def map_texts(docs: DataFrame, run: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
+    """run() over batches of doc_id and text of docs, to rows of a schema that begins with "doc_id long".
+
+    Ids go through Python as text: in a batch with a null, numbers would become doubles, and those above 2**53 others.
+    """
+    slim = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    rows = slim.mapInPandas(frugal(run), schema.replace("doc_id long", "doc_id string", 1))
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as it takes to be none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder: computed once, and not lost with an executor."""
     prepare(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def within_bounds(rows: DataFrame) -> DataFrame:
+    """Rows of a few numbers, to be broadcast if a count shows that they are under BROADCAST_ROWS; more are shuffled."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -32,12 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import cut, frugal, partitions, prepare
+from .common import cut, frugal, map_texts, partitions, prepare, within_bounds
 from .graph import components
 
 _ONE, _TWO, _THREE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
-#: Rows of ids up to which a side of a join is broadcast, some tens of MB; texts then stay where they are.
-BROADCAST_ROWS = 500_000
 #: Counters are sent in parts of this many.
 _PART = 1 << 12
 
@@ -134,13 +132,13 @@ def _measure(docs: DataFrame, rule: Join) -> DataFrame:
             if held[0]:
                 count()
             out = pd.DataFrame(rows, columns=["n", "d1", "d2", "second"])
-            out.insert(0, "doc_id", b["doc_id"].astype("Int64").to_numpy())
+            out.insert(0, "doc_id", b["doc_id"])
             yield out.assign(part=None, counts=None)
         if counts[0].any():
             parts = np.concatenate(counts).astype("<u4").reshape(-1, _PART)
             yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "second": None, "part": range(len(parts)), "counts": [zlib.compress(p.tobytes(), 1) for p in parts]})
 
-    return cut(docs.select("doc_id", "text").mapInPandas(frugal(run), "doc_id long, n long, d1 long, d2 long, second binary, part int, counts binary"))
+    return cut(map_texts(docs, run, "doc_id long, n long, d1 long, d2 long, second binary, part int, counts binary"))
 
 
 def _counters(measured: DataFrame, rule: Join) -> tuple[np.ndarray, np.ndarray]:
@@ -388,11 +386,6 @@ def verify(ids: list[int], sets: list[np.ndarray], side: list[int], rule: Join)
     return links
 
 
-def within_bounds(rows: DataFrame) -> DataFrame:
-    """Rows of a few numbers, to be broadcast if a count shows that they are under BROADCAST_ROWS; more are shuffled."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
-
-
 def _links(docs: DataFrame, candidates: DataFrame, rule: Join) -> DataFrame:
     """Links (a, b) between representatives. candidates: doc_id, d1, d2, cluster, blocks (of its cluster)."""
     spark = docs.sparkSession

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from . import hashing
-from .common import prepare
+from .common import map_texts, prepare
 
 #: Words of a hash, hashes of a window, least share of a template's words.
 K, WINDOW, COVERAGE = 3, 3, 0.8
@@ -240,10 +240,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = shared.value
         for b in batches:
-            texts, ids, rows = b["text"].tolist(), b["doc_id"].astype("Int64").tolist(), []
+            texts, ids, rows = b["text"].tolist(), b["doc_id"].tolist(), []
             for begin, end in hashing.chunks(texts):
                 rows += [(ids[begin + d], index.names[m.template], m.template, m.coverage, m.matched, s, e) for d, m, s, e in index.scan(texts[begin:end])]
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            yield out.assign(doc_id=out["doc_id"].astype("Int64"))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return map_texts(docs, run, SCHEMA)

@@ -16,6 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import map_texts
+
 #: Samples of a packet, packets of a page (three lacing values each; a page has 255), samples a second.
 FRAME, PAGE_FRAMES, RATE = 576, 85, 8000
 _MIRROR = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
@@ -216,7 +218,7 @@ def digests(docs: DataFrame) -> DataFrame:
             found.insert(0, "doc_id", b["doc_id"].to_numpy())
             yield found
 
-    return docs.select("doc_id", "text").mapInPandas(run, DIGEST_SCHEMA)
+    return map_texts(docs, run, DIGEST_SCHEMA)
 
 
 def store(docs: DataFrame) -> DataFrame:
@@ -226,7 +228,7 @@ def store(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "media": [encode(payload_of(t)[0]) for t in b["text"]]})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, media binary")
+    return map_texts(docs, run, "doc_id long, media binary")
 
 
 def demultiplex(files: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:

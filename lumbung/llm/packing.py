@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, frugal, partitions, prepare
+from .common import cut, frugal, map_texts, partitions, prepare
 
 #: Pieces of a cell; islands, epochs, generations an epoch, packings of an island.
 CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 4
@@ -113,14 +113,14 @@ def cut_pieces(docs: DataFrame, length: int = 2048, tokenizer: str | None = None
         encoder = _ENCODERS[path]
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"].astype("Int64").to_numpy(), b["text"], strict=True):
+            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 ids = encoder.encode(text) + tail
                 for i, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInPandas(frugal(run), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_texts(docs, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(items: list[int], sizes: list[int], capacity: int, bins: list[list[int]], free: list[int]) -> None:

@@ -21,6 +21,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import map_texts
+
 KINDS = ("email", "ip", "card", "phone")
 
 # The patterns of plain identifiers and their bounds.
@@ -249,7 +251,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc_id, text in zip(b["doc_id"].astype("Int64").to_numpy(), b["text"], strict=True):
+            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 base, spans = find(text)
                 counts = [0] * len(KINDS)
                 for kind, _, _ in base:
@@ -257,7 +259,7 @@ def scan(docs: DataFrame) -> DataFrame:
                 rows.append((doc_id, *counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return docs.select("doc_id", "text").mapInPandas(run, SCHEMA)
+    return map_texts(docs, run, SCHEMA)
 
 
 def redact(text: str | None, mask: str = "[{}]") -> str | None:

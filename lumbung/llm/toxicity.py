@@ -7,12 +7,16 @@ logit. Trained with Adam; the gradient goes to each filter's best position only.
 A filter over words is a sum of terms of one word each, so a trained model is a table of those terms by bucket: texts of any length are scored by
 looking words up, and pooled over all their words.
 
+Embeddings do not begin at random: the first coordinate of a bucket's is the log of how much likelier its words make label 1 (_begin), from which training
+goes on. Training runs in one task, on a sample that is bounded in rows and characters; the driver gets the trained tables only, which have a fixed size.
+
 A threshold for each language is chosen on rows that were kept from training; the language is guessed from function words of the text. Scores are the logistic
 of the distance to it, moved so that the threshold is at CUT.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import frugal, prepare
+from .common import free_name, frugal, prepare
 
 #: Score from which a document is called toxic; the share of labelled rows that are held out is one in FOLDS.
 CUT, FOLDS, HELD = 0.3, 4, 2
 #: The most labelled rows that are learned from, toxic and not: the bound of the sample, taken by hash of the id.
 TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
+#: The most characters of the sample, in the order of the same hash; a row that goes beyond is left out.
+SAMPLE_CHARS = 1 << 26
 #: Buckets of embeddings, their width, words of the filters, filters of each width, first bytes of a word that have their own embedding.
 BUCKETS, WIDTH, SPANS, FILTERS, PREFIXES = 1 << 15, 8, (1, 2, 3), 6, (4, 6)
 #: Documents of the sample that a bucket must be in to be learned: what is rarer says nothing about other documents.
@@ -139,8 +145,22 @@ class Model:
             self.p[f"w{n}"] = r.normal(0, 0.3, (n, WIDTH, FILTERS))
         self.thresholds = np.zeros(1 + len(LANGUAGES))
         self.scale = 1.0
+        self.fixed: np.ndarray | None = None
+
+    def dump(self) -> bytes:
+        """What scoring needs: the table of terms and the layers after it."""
+        return pickle.dumps({"fixed": self.table().astype(np.float32), "p": {k: self.p[k] for k in ("bias", "out", "b")}, "thresholds": self.thresholds, "scale": self.scale})
+
+    @classmethod
+    def load(cls, data: bytes) -> Model:
+        model = cls.__new__(cls)
+        model.__dict__.update(pickle.loads(data))  # noqa: S301  made by dump() in a task of this very run
+        return model
 
     def table(self) -> np.ndarray:
+        """The filters' terms of each bucket; a loaded model has no more than these."""
+        if self.fixed is not None:
+            return self.fixed
         return np.concatenate([self.p["e"] @ self.p[f"w{n}"][j] for n, j, _ in _TERMS], 1)
 
     def fit(self, texts: list[str | None], labels: np.ndarray, seed: int = 7) -> None:
@@ -244,20 +264,37 @@ def held_out(doc_id: str = "doc_id"):  # noqa: ANN201
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % FOLDS == HELD
 
 
-def train(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
-    """A model of the labelled rows that are not held out, of which at most toxic_rows and clean_rows are read, by hash of the id.
+def train(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+    """A model of the labelled rows that are not held out, of which at most toxic_rows and clean_rows with `chars` characters are read, by hash of the id.
 
-    Null ids, texts and labels are left out; a document with several labels counts as toxic if one is.
+    Null ids, texts and labels are left out; a document with several labels counts as toxic if one is. Without any row all scores are equal.
     """
+    prepare(docs.sparkSession)
     known = labels.filter("doc_id is not null and toxic is not null").filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     parts = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in ((1, toxic_rows), (0, clean_rows))]
     chosen = parts[0].union(parts[1]).withColumnRenamed("doc_id", "label_id")  # bounded by the two limits, so it may be broadcast
     rows = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "toxic")
     first = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))  # an id that is repeated is learned once
-    found = sorted(first.collect(), key=lambda r: r["doc_id"])
+    ordered = first.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("text", "toxic")
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        texts, truth, held = [], [], 0
+        for b in batches:
+            for text, toxic in zip(b["text"], b["toxic"], strict=True):
+                if held + len(text) <= chars:
+                    held += len(text)
+                    texts.append(text)
+                    truth.append(toxic)
+        model = Model()
+        model.fit(texts, np.array(truth))
+        yield pd.DataFrame({"model": [model.dump()]})
+
+    found = ordered.mapInPandas(frugal(fit), "model binary").collect()  # one row of a fixed size
+    if found:
+        return Model.load(bytes(found[0]["model"]))
     model = Model()
-    model.fit([r["text"] for r in found], np.array([r["toxic"] for r in found]))
-    return model
+    model.fit([], np.zeros(0))
+    return Model.load(model.dump())
 
 
 def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -265,13 +302,11 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
     Null, empty and blank texts have the score of a text without words. Equal texts have equal scores; an empty table gives no rows.
     """
-    thin = Model()
-    thin.p = {k: model.p[k] for k in ("bias", "out", "b")}
-    thin.thresholds, thin.scale = model.thresholds, model.scale
-    shared = prepare(docs.sparkSession).sparkContext.broadcast((thin, model.table().astype(np.float32)))  # of a fixed size
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model.dump())  # of a fixed size
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model, table = shared.value
+        model = Model.load(shared.value)
+        table = model.table()
         for b in batches:
             texts = b.tolist()
             values = [model.scores(read_texts(texts[i:j]), table) for i, j in hashing.chunks(texts)]
@@ -290,5 +325,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """docs without the rows that the model calls toxic."""
-    return with_score(docs, model, "__score").filter(F.col("__score") < CUT).select(docs.columns)
+    """docs without the rows that the model calls toxic. Rows are judged each on its own: null ids, repeated rows and null texts stay unless their score is CUT or more."""
+    name = free_name(docs, "__score")
+    return with_score(docs, model, name).filter(F.col(name) < CUT).select(docs.columns)

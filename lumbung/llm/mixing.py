@@ -7,7 +7,8 @@ met by complete epochs over the source and then by the documents whose keys come
 The prefix sums that this takes are made in two levels, so that a source with most of the rows does not meet in
 one task: keys fall into many buckets in key order, the buckets' totals (few rows) are summed along each source, and
 only within a bucket are documents sorted. Keys are mapped to buckets by a fixed increasing function, so
-that a rerun, or a task that is run again, makes the same buckets.
+that a rerun, or a task that is run again, makes the same buckets. Rows of one id and size, which have one key, go on as one row with their number,
+so that an id which a third of the rows share is no hot spot.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, within_bounds
 
 #: Quality weights are held within these bounds, which also bounds how uneven the buckets can be.
 WEIGHTS = (0.5, 2.0)
@@ -52,17 +53,8 @@ def targets(sources: DataFrame, weight: Column, most: int) -> DataFrame:
     return leveled.withColumn("target", F.least((most * F.col("source_size")).cast("double"), F.col("level") * F.col("weight")))
 
 
-def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, most: int = 3, whole: bool = False) -> DataFrame:
-    """One row per row of docs: doc_id, source, size, source_size, target and taken.
-
-    docs: doc_id, text, source; other columns are allowed and not kept. weights: doc_id and weight, the quality of documents, one row
-    each at most; held within WEIGHTS, 1 where there is none. whole: the last document that a target reaches is taken whole if that is
-    nearer to the target, else not at all; otherwise its first words are taken, which meets the target.
-
-    Null texts have size 0 and nothing is taken of them; null sources are a source of their own, which comes last. Rows
-    that share an id have one key and follow each other, smaller sizes first. A source without words has target 0. An empty table gives
-    an empty result. taken is at most `most` times size.
-    """
+def _placed(docs: DataFrame, weights: DataFrame | None, most: int) -> DataFrame:
+    """Rows doc_id, source, size, copies (of them), source_size, target, epochs, left (words that the fractional epoch takes) and start (words before them in it)."""
     slim = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))  # texts go no further than this
     value = F.lit(1.0)
     if weights is not None:
@@ -70,26 +62,62 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, most: int
         slim = slim.join(known, F.col("doc_id") == F.col("weight_id"), "left")
         value = F.greatest(F.lit(WEIGHTS[0]), F.least(F.lit(WEIGHTS[1]), F.coalesce("weight", F.lit(1.0))))
     slim = slim.select("doc_id", "source", "size", (-F.log(uniform(F.col("doc_id"))) / value).alias("rank_key"))
-    slim = cut(slim.withColumn("key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source"))))
+    slim = slim.withColumn("key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
+    slim = cut(slim.groupBy("key", "source", "rank_key", "doc_id", "size").agg(F.count(F.lit(1)).alias("copies")))
     count = max(1, min(BUCKETS, slim.count() // BUCKET_ROWS))
     place = F.floor((1 - F.exp(-F.col("rank_key") * WEIGHTS[0])) * count)
+    words = F.col("size") * F.col("copies")
     rows = slim.withColumn("bucket", F.least(place, F.lit(count - 1)).cast("int"))
 
-    sums = rows.groupBy("key", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    sums = rows.groupBy("key", "source", "bucket").agg(F.sum(words).alias("bucket_size"))
     along = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = targets(sums.groupBy("key", "source").agg(F.sum("bucket_size").alias("source_size")), (F.col("place") - 1) % 3 + 1, most)
     sums = sums.select("key", "bucket", F.coalesce(F.sum("bucket_size").over(along), F.lit(0)).alias("bucket_start"))
     sums = sums.join(totals.select("key", "source_size", "target"), "key")
 
     within = Window.partitionBy("key", "bucket").orderBy("rank_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.join(sums, ["key", "bucket"]).withColumn("start", F.col("bucket_start") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = rows.join(sums, ["key", "bucket"]).withColumn("start", F.col("bucket_start") + F.coalesce(F.sum(words).over(within), F.lit(0)))
     filled = placed.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)))
-    left = F.col("target") - F.col("epochs") * F.col("source_size")
+    return filled.withColumn("left", F.col("target") - F.col("epochs") * F.col("source_size"))
+
+
+def _all_or_none() -> Column:
+    """Whether the fractional epoch takes a row of _placed() with all its copies: if that is nearer to the target than without them."""
+    return F.col("start") + F.col("size") * F.col("copies") / 2 <= F.col("left")
+
+
+def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, most: int = 3, whole: bool = False) -> DataFrame:
+    """One row per row of docs: doc_id, source, size, source_size, target and taken.
+
+    docs: doc_id, text, source; other columns are allowed and not kept. weights: doc_id and weight, the quality of documents, one row
+    each at most; held within WEIGHTS, 1 where there is none. whole: the last document that a target reaches is taken whole if that is
+    nearer to the target, else not at all, together with other rows of its source that share id and size; otherwise its first words are taken, which
+    meets the target.
+
+    Null texts have size 0 and nothing is taken of them; null sources are a source of their own, which comes last. Rows
+    that share an id have one key and follow each other, smaller sizes first. A source without words has target 0. An empty table gives
+    an empty result. taken is at most `most` times size.
+    """
+    each = _placed(docs, weights, most).withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)")))
     if whole:
-        rest = F.when(F.col("start") + F.col("size") / 2 <= left, F.col("size")).otherwise(F.lit(0))
+        rest = F.when(_all_or_none(), F.col("size")).otherwise(F.lit(0))
     else:
-        rest = F.greatest(F.lit(0), F.least(F.col("size"), F.floor(left) - F.col("start")))
-    return filled.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + rest).cast("long").alias("taken"))
+        rest = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("left") - F.col("start") - F.col("copy") * F.col("size")))
+    return each.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + rest).cast("long").alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, weights: DataFrame | None = None, *, most: int = 3) -> DataFrame:
+    """docs with each row as often as the mix takes it whole, up to `most` times; rows that it does not take go, and those without words, of which there is nothing to take.
+
+    Null ids, null sources and ids that several rows share are mixed like others: each row gets the decision of its own id, source and size. Rows that are the same in all
+    three are taken equally often. All columns stay as they are; an empty table gives no rows.
+    """
+    times = _placed(docs, weights, most).select("source", "doc_id", "size", (F.col("epochs") + _all_or_none().cast("int")).cast("int").alias("times"))
+    times = cut(times.filter("times > 0 and size > 0"))
+    known = times.select(*[F.col(c).alias(f"__mix_{c}") for c in times.columns])
+    same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (word_count(F.col("text")) == F.col("__mix_size"))
+    repeated = docs.join(within_bounds(known), same).withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)")))
+    return repeated.select(docs.columns)
 
 
 def quality(labels: DataFrame) -> DataFrame:

@@ -70,3 +70,31 @@ def test_sql(spark):
     expected = sorted(con.sql(mixing.ORACLE_SQL).fetchall(), key=str)
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
     assert sorted(map(tuple, mixing.mix_sources(docs, mixing.quality(labels)).select("doc_id", "source", "size", "source_size", "target", "taken").collect()), key=str) == expected
+
+
+def test_repeated_documents(spark):
+    rows = [(i, words(5 + i % 40, i), "en", f"s{i % 3}") for i in range(200)]
+    rows += [(None, words(9, 900 + i), "en", "s1") for i in range(6)] + [(7, words(30, 950), "en", "s0"), (None, None, "en", None), (500, "", "en", "s2")] + [(8, words(4, 8), "en", None)] * 3
+    docs = documents(spark, rows)
+    decided = {}
+    for r in mixing.mix_sources(docs, whole=True).collect():
+        decided.setdefault((r["doc_id"], r["source"], r["size"]), []).append(r["taken"])
+    expected = []
+    for r in rows:
+        size = len((r[1] or "").split())
+        own = decided[r[0], r[3], size]
+        assert len(set(own)) == 1
+        expected += [(r[0], r[1], r[3])] * (own[0] // size if size else 0)
+    kept = mixing.repeat_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"], r["source"]) for r in kept.collect()), key=str) == sorted(expected, key=str)
+    assert any(r[0] is None for r in expected) and mixing.repeat_documents(documents(spark, [])).collect() == []
+
+
+def test_one_id_in_many_rows(spark):
+    rows = [(1, words(6, 1), "en", "a")] * 700 + [(i, words(6, i), "en", "b") for i in range(100)]
+    found = mixing.mix_sources(documents(spark, rows)).collect()
+    assert len(found) == 800
+    for s in "ab":
+        own = [r for r in found if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 1 and all(0 <= r["taken"] <= 18 for r in own)

@@ -43,13 +43,60 @@ def test_large_components_stay_exact(spark):
     assert found(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("scale", [9e6, 1e15, 1e30])
+def test_large_finite_vectors_take_part(spark, scale):
+    r = random.Random(3)
+    rows = [(i, [float(np.float32(r.gauss(0, 1))) for _ in range(4)]) for i in range(60)] + [(77, [scale, 0.0, 0.0, 1.0]), (100, [0.0, scale, 1.0, 0.0])]
+    held = [(q, k, i, max(1 - 2**63, min(2**63 - 1, s))) for q, k, i, s in brute(rows)]
+    got = found(spark, rows)
+    assert [x[:2] + x[3:] for x in got] == [x[:2] + x[3:] for x in held] and any(x[2] == 77 for x in got)
+
+
+def scored(rows, ids, query_ids, k=5, superblock=4096):
+    """Share of all pairs that are scored exactly, run as search() runs it: one set of thresholds, a Search for each superblock."""
+    order = np.lexsort((ids, -topk._lengths(rows)))
+    ids, rows = ids[order], rows[order]
+    rotation = np.linalg.eigh(rows.T @ rows)[1][:, ::-1]
+    seeds = min(len(ids), topk.SEEDS)
+    at = np.flatnonzero(np.isin(ids, query_ids))
+    least, need = topk.thresholds(ids[at], rows[at], ids[:seeds], rows[:seeds], k)
+    done, best = 0, {}
+    for b in range(0, len(ids), superblock):
+        asked = np.flatnonzero(need <= topk._lengths(rows[b : b + superblock]).max())
+        if len(asked):
+            s = topk.Search(ids[at][asked], rows[at][asked], least[asked], rotation, k)
+            for i in range(b, min(b + superblock, len(ids)), topk.TILE):
+                s.tile(ids[i : min(i + topk.TILE, b + superblock)], rows[i : min(i + topk.TILE, b + superblock)])
+            done += s.scored
+            for q, v, x in s.results().itertuples(index=False, name=None):
+                best.setdefault(q, []).append((-x, v))
+    return done / (len(at) * len(ids)), {q: sorted(v)[:k] for q, v in best.items()}
+
+
 def test_pruning_saves_work():
     r = np.random.default_rng(1)
-    basis = r.normal(size=(4, 32))
-    rows = np.floor(64 * (r.normal(size=(4000, 4)) @ basis) * r.exponential(1, (4000, 1))).astype(np.int64)
-    rows = rows[np.argsort(-(rows**2).sum(1))]
-    rotation = np.linalg.eigh(rows.T.astype(float) @ rows)[1][:, ::-1]
-    s = topk.Search(np.arange(10), rows[:10], rotation, 5)
-    for i in range(0, 4000, 500):
-        s.tile(np.arange(i, min(i + 500, 4000)), rows[i : i + 500])
-    assert s.scored < 10 * 4000 / 2
+    ids = np.arange(40_000)
+    rows = np.floor(256 * r.normal(size=(40_000, 32)) * r.lognormal(0, 0.6, (40_000, 1)) * np.linspace(1.5, 0.1, 32))
+    asked = ids[::2000]
+    share, best = scored(rows, ids, asked)
+    assert share < 0.1
+    for q in asked:
+        exact = (rows[q] @ rows.T).astype(np.int64)
+        assert best[q] == sorted((-x, i) for i, x in enumerate(exact.tolist()) if i != q)[:5]
+
+
+def test_superblocks_that_no_query_needs_are_not_sent(spark):
+    r = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in r.normal(size=6) * (8 if i < 60 else 0.05)]) for i in range(3000)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_marks_never_lose_a_pair():
+    r = random.Random(6)
+    for _ in range(500):
+        n = r.randint(1, 30)
+        heights, needs = sorted((r.randint(0, 9) for _ in range(n)), reverse=True), sorted(r.randint(0, 9) for _ in range(n))
+        every = r.randint(1, 5)
+        for b, p in [(b, p) for b in range(n) for p in range(n) if heights[b] >= needs[p]]:
+            assert topk._last([(i, heights[i]) for i in range(0, n, every)], needs[p], n, True) >= b
+            assert topk._last([(i, needs[i]) for i in range(0, n, every)], heights[b], n, False) >= p

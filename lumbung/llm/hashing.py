@@ -56,6 +56,17 @@ def _between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
+def _sums(array: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(array) + 1, np.uint64)
+    np.cumsum(_BYTE[array] * _powers("power", _BASE, len(array)), out=sums[1:])
+    return sums
+
+
+def spans(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of parts of data."""
+    return _between(_sums(np.frombuffer(data, np.uint8)), starts, ends)
+
+
 def words(texts: list[str | None], table: bytes = LOWER) -> Words:
     """Words of all texts after each byte of their UTF-8 is mapped by table; null texts have none."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
@@ -66,8 +77,7 @@ def words(texts: list[str | None], table: bytes = LOWER) -> Words:
     blank = SPACE[array]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
     starts, ends = edges[0::2], edges[1::2]
-    sums = np.zeros(len(array) + 1, np.uint64)
-    np.cumsum(_BYTE[array] * _powers("power", _BASE, len(array)), out=sums[1:])
+    sums = _sums(array)
     return Words(data, base, np.searchsorted(starts, base), starts, ends, _between(sums, starts, ends), sums)
 
 

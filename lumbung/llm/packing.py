@@ -15,8 +15,6 @@ pieces dealt to new cells, so that what cells lose at their ends is lost once, n
 from __future__ import annotations
 
 import random
-import re
-import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -27,68 +25,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import hashing
 from .common import cut, frugal, map_texts, partitions, prepare
+from .tokens import CHUNK, Encoder
 
 #: Pieces of a cell; islands, epochs, generations an epoch, packings of an island.
 CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 4
 #: Share of a sequence from which a bin is well filled, and stays as it is.
 WELL = 0.995
-#: Words whose ids a worker keeps.
-CACHE = 300_000
-
-
-# How the tokenizer splits a word; within these characters, letters are letters in every Unicode version and lower case stays among them.
-_FAST = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]+")
-_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^0-9a-zß-öø-ſ]+")
-
-
-def _byte_letters() -> dict[int, str]:
-    """Byte-level vocabularies write visible Latin-1 bytes as themselves and the others, in order, as the letters from 256 on."""
-    seen = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
-    rest = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
-class Encoder:
-    """Ids of texts as little-endian 32-bit bytes.
-
-    The tokenizer of `path` splits at white space and never joins across it, so a text's ids are those of its blank-separated parts; parts are encoded
-    once while they are in the cache. Parts of plain Latin letters, digits and signs go to the tokenizer's model directly, which takes a third of the time; what
-    the tokenizer does before that (lower case, splitting, bytes as letters) is simple for them. All others go through the whole tokenizer.
-    """
-
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.model, self.letters = self.tokenizer.model, _byte_letters()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def part(self, part: str) -> bytes:
-        """Ids of a text without blanks."""
-        if not _FAST.fullmatch(part) or ("<" in part and any(t in part for t in self.special)):
-            return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-        ids = []
-        for piece in _SPLIT.findall(part.lower()):
-            if not piece.isascii():
-                piece = piece.encode().decode("latin-1").translate(self.letters)
-            ids += [t.id for t in self.model.tokenize(piece)]
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode(self, text: str | None) -> bytes:
-        parts = (text or "").encode().split()
-        found = list(map(self.known.get, parts))
-        if None in found:
-            if len(self.known) > CACHE:
-                self.known.clear()
-            for i, f in enumerate(found):
-                if f is None:
-                    f = self.known.get(parts[i])
-                    if f is None:
-                        f = self.known[parts[i]] = self.part(parts[i].decode())
-                    found[i] = f
-        return b"".join(found)
-
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -112,12 +56,13 @@ def cut_pieces(docs: DataFrame, length: int = 2048, tokenizer: str | None = None
             _ENCODERS[path] = Encoder(path)
         encoder = _ENCODERS[path]
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                ids = encoder.encode(text) + tail
-                for i, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at : at + 4 * length]
-                    rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
+            rows, ids, texts = [], b["doc_id"].tolist(), b["text"].tolist()
+            for begin, end in hashing.chunks(texts, CHUNK):
+                for doc_id, found in zip(ids[begin:end], encoder.many(texts[begin:end]), strict=True):
+                    data = found.tobytes() + tail
+                    for i, at in enumerate(range(0, len(data), 4 * length)):
+                        part = data[at : at + 4 * length]
+                        rows.append((doc_id, i, at // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return map_texts(docs, run, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -1,11 +1,11 @@
+import json
 import random
 import zlib
 from collections import defaultdict
 
-import numpy as np
 import pytest
 
-from lumbung.llm import packing
+from lumbung.llm import packing, tokens
 
 from .fixtures import documents, texts, words
 
@@ -21,9 +21,37 @@ def test_ids_are_the_tokenizers():
     e, r = encoder(), random.Random(8)
     letters = [chr(i) for i in range(1, 0x250)] + list("'''strevdml <|>\n　😀é")
     samples = [t for _, t, *_ in texts() if t] + ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(3000)] + ["a<|endoftext|>b it's", "İI ſ x́"]
-    for t in samples:
-        assert e.encode(t) == np.array(e.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
-    assert e.encode(None) == b""
+    samples += ["x" * 500 + " y'll've " + "é" * 90 + "ab" * 40, "a\x85b\u2028c", " ".join(samples[20:400])]
+    assert e.merges is not None
+    for i in range(0, len(samples), 50):
+        for t, ids in zip(samples[i : i + 50], e.many(samples[i : i + 50]), strict=True):
+            assert ids.tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert [len(x) for x in e.many([None, "", " \n"])] == [0, 0, 0]
+
+
+def test_long_texts_in_parts(monkeypatch):
+    e, text = encoder(), " ".join(texts()[0][1] for _ in range(50)) + " " + "z" * 300
+    monkeypatch.setattr(tokens, "CHUNK", 200)
+    assert "".join(tokens.cut_at_blanks(text, 200)) == text and len(tokens.cut_at_blanks(text, 200)) > 50
+    assert e.many([text])[0].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_small_cache(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE", 20)
+    e = encoder()
+    for t in [words(30, i % 4) for i in range(20)]:
+        assert e.many([t])[0].tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def test_other_tokenizers_run_as_they_are(tmp_path):
+    config = json.loads(open(packing.default_tokenizer(), encoding="utf-8").read())
+    config["normalizer"] = None
+    path = tmp_path / "cased.json"
+    path.write_text(json.dumps(config), encoding="utf-8")
+    e = packing.Encoder(str(path))
+    assert e.merges is None
+    text = "Some Words in Upper CASE, it's 2024"
+    assert e.many([text])[0].tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def valid(pieces, packed, length):
@@ -58,7 +86,7 @@ def test_pieces_tile_documents(spark):
     for r in packing.cut_pieces(documents(spark, [(i, words(50 * i, i), "en", "s") for i in range(20)]), 100).collect():
         found[r["doc_id"]].append(r)
     for i in range(20):
-        ids = e.encode(words(50 * i, i)) + b"\0\0\0\0"
+        ids = e.many([words(50 * i, i)])[0].tobytes() + b"\0\0\0\0"
         for k, r in enumerate(sorted(found[i], key=lambda r: r["piece"])):
             assert (r["piece"], r["start"]) == (k, 100 * k) and r["ids_crc32"] == zlib.crc32(ids[4 * r["start"] : 4 * (r["start"] + r["length"])])
         assert sum(r["length"] for r in found[i]) == len(ids) // 4 and all(r["length"] == 100 for r in found[i] if r["piece"] < len(found[i]) - 1)

@@ -1,14 +1,15 @@
 """Best-fit packing of tokenized documents into sequences by a grouping genetic algorithm on islands.
 
-Documents are cut into pieces of a sequence's length at most. Pieces that fill a sequence are one; the others are dealt by a
-hash to cells of about CELL pieces. A cell is packed on several islands, each of which is a row that holds a population of packings:
+Documents are cut into pieces of a sequence's length at most. Pieces that fill a sequence are one; the others are dealt by
+their row number to cells of about CELL pieces. A cell is packed on several islands, each of which is a row that holds a population of packings:
 
+* an island begins with pieces put best-fit in random orders, which leaves room in many bins; one of the first island's packings takes them longest first;
 * crossover injects whole well-filled bins of one packing into another, takes out the bins that hold a duplicate, and puts the displaced
   pieces back best-fit, longest first;
 * mutation dissolves some of the emptiest bins in the same way;
 * after each epoch an island's best packing goes to the next island of its cell.
 
-A cell whose packing has as few bins as its tokens need is done at once. The bins that are not well filled, of all cells, are opened again and their
+All cells evolve for an epoch. After it, a cell that has as few bins as its tokens need is done. The bins that are not well filled, of all cells, are opened again and their
 pieces dealt to new cells, so that what cells lose at their ends is lost once, not once a cell.
 """
 
@@ -30,7 +31,7 @@ from .common import cut, frugal, map_texts, partitions, prepare
 from .tokens import CHUNK, Encoder
 
 #: Pieces of a cell; islands, epochs, generations an epoch, packings of an island.
-CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 4
+CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 5
 #: Share of a sequence from which a bin is well filled, and stays as it is.
 WELL = 0.995
 
@@ -109,16 +110,17 @@ class Island:
     def done(self) -> bool:
         return bool(self.packings) and len(self.packings[0][1]) <= self.least
 
-    def begin(self) -> None:
-        """Best-fit decreasing, and the same with the sizes shaken."""
-        for shake in (0.0, 0.1, 0.3, 0.6):
-            order = sorted(range(len(self.sizes)), key=lambda i: -self.sizes[i] * (1 - shake * self.random.random()))
+    def begin(self, longest_first: bool = False) -> None:
+        """Best-fit in random orders, and longest first for one packing if asked for."""
+        for number in range(POPULATION):
+            order = list(range(len(self.sizes)))
+            self.random.shuffle(order)
+            if longest_first and not number:
+                order.sort(key=lambda i: -self.sizes[i])
             bins: list[list[int]] = []
             free: list[int] = []
             best_fit(order, self.sizes, self.capacity, bins, free)
             self.add(bins, free)
-            if self.done:
-                return
 
     def _refill(self, bins: list[list[int]], free: list[int], displaced: list[int]) -> None:
         displaced.sort(key=lambda i: -self.sizes[i])
@@ -148,24 +150,25 @@ class Island:
         self._refill([list(one[1][i]) for i in kept], [one[2][i] for i in kept], displaced)
 
     def evolve(self, generations: int = GENERATIONS) -> None:
+        """Two different parents cross, and the best packing mutates, in each generation. A packing that is as good as can be ends it."""
         for _ in range(generations):
-            if self.done:
-                return
-            one, two = self.random.choice(self.packings), self.random.choice(self.packings)
+            one, two = self.random.sample(self.packings, 2) if len(self.packings) > 1 else self.packings * 2
             self.cross(one, two)
             self.mutate(self.packings[0])
+            if self.done:
+                return
 
 
 def _dump(bins: list[list[int]], n: int) -> bytes:
     """A packing as the bin of each item."""
-    out = np.zeros(n, np.uint16)
+    out = np.zeros(n, np.uint32)
     for i, b in enumerate(bins):
         out[b] = i
     return out.tobytes()
 
 
 def _load(data: bytes) -> list[list[int]]:
-    of = np.frombuffer(data, np.uint16)
+    of = np.frombuffer(data, np.uint32)
     bins: list[list[int]] = [[] for _ in range(int(of.max(initial=0)) + 1)]
     for i, b in enumerate(of.tolist()):
         bins[b].append(i)
@@ -185,11 +188,12 @@ def _epoch(islands: DataFrame, capacity: int, first: bool, seed: int) -> DataFra
                 sizes = [int(x) for x in row.sizes]
                 island = Island(sizes, capacity, int(row.cell) * 1009 + int(row.island) * 31 + seed)
                 if first:
-                    island.begin()
+                    island.begin(longest_first=not row.island)
                 else:
                     for p in [*row.packings, *([row.guest] if row.guest is not None else [])]:
                         island.add(_load(p))
-                island.evolve()
+                if first or not island.done:
+                    island.evolve()
                 out.append((row.cell, row.island, [_dump(p[1], len(sizes)) for p in island.packings]))
             yield pd.DataFrame(out, columns=["cell", "island", "packings"])
 
@@ -197,11 +201,11 @@ def _epoch(islands: DataFrame, capacity: int, first: bool, seed: int) -> DataFra
 
 
 def _pack_cells(pieces: DataFrame, capacity: int, level: int, cell: int = CELL) -> DataFrame:
-    """pieces with bin (cell, number in the cell), fill (tokens of the bin) and offset."""
+    """pieces (with row, a number of their own) with bin (cell, number in the cell), fill (tokens of the bin) and offset."""
     spark = pieces.sparkSession
     count = max(1, -(-pieces.count() // cell))
-    placed = pieces.withColumn("cell", F.expr(f"pmod(xxhash64(doc_id, piece, ids_crc32, {level}), {count})"))
-    members = F.array_sort(F.collect_list(F.struct("length", "doc_id", "piece", "start", "ids_crc32")))
+    placed = pieces.withColumn("cell", F.expr(f"pmod(xxhash64(row, {level}), {count})"))
+    members = F.array_sort(F.collect_list(F.struct("length", "row", "doc_id", "piece", "start", "ids_crc32")))
     cells = cut(placed.groupBy("cell").agg(members.alias("items")))
     islands = cells.select("cell", F.col("items.length").alias("sizes"), F.explode(F.expr(f"sequence(0, {ISLANDS - 1})")).alias("island"))
     islands = islands.repartition(max(partitions(spark), min(count * ISLANDS, 8 * partitions(spark))), "cell", "island")
@@ -237,20 +241,24 @@ def _pack_cells(pieces: DataFrame, capacity: int, level: int, cell: int = CELL)
 def pack(pieces: DataFrame, length: int = 2048, *, cell: int = CELL) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32) with sequence_id and offset, in sequences of at most `length` tokens.
 
-    Repeated pieces are packed each. A sequence's pieces are gapless from 0. An empty table gives no rows; null ids are packed like others.
+    Repeated pieces, and pieces of equal length, are packed each as a row of its own; which of them comes first does not matter. A sequence's pieces are gapless from
+    0. An empty table gives no rows; null ids are packed like others.
     """
     prepare(pieces.sparkSession)
-    pieces = cut(pieces)
-    full = pieces.filter(F.col("length") >= length).withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    number = lambda level: (F.lit(level).cast("long") * F.lit(1 << 61)) + F.col("cell") * 65536 + F.col("bin")
+    pieces = cut(pieces.select(*columns[:5], F.monotonically_increasing_id().alias("row")))
+    full = pieces.filter(F.col("length") >= length).withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long"))
+    number = lambda level: (F.lit(level).cast("long") * F.lit(1 << 61)) + F.col("cell") * (1 << 24) + F.col("bin")
     first = cut(_pack_cells(pieces.filter(F.col("length") < length), length, 0, cell))
     well = F.col("fill") >= int(WELL * length)
-    again = _pack_cells(first.filter(~well).select(*columns[:5]), length, 1, cell)
+    again = _pack_cells(first.filter(~well).select(*columns[:5], "row"), length, 1, cell)
     kept = first.filter(well).withColumn("sequence_id", number(0)).select(columns)
     return full.select(columns).union(kept).union(again.withColumn("sequence_id", number(1)).select(columns))
 
 
 def pack_documents(docs: DataFrame, length: int = 2048, tokenizer: str | None = None) -> DataFrame:
-    """Pieces of docs (doc_id, text) and the sequences that they are packed into; other columns do not matter."""
+    """Pieces of docs (doc_id, text) and the sequences that they are packed into; other columns do not matter.
+
+    Null and empty texts are a piece of one token. Repeated rows are packed each; long texts give as many pieces as they need; an empty table gives no rows.
+    """
     return pack(cut_pieces(docs, length, tokenizer), length)

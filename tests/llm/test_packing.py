@@ -115,6 +115,65 @@ def test_operators_keep_all_items():
     assert island.packings[0][0] >= before
 
 
+def decreasing(sizes, capacity):
+    bins, free = [], []
+    packing.best_fit(sorted(range(len(sizes)), key=lambda i: -sizes[i]), sizes, capacity, bins, free)
+    return len(bins)
+
+
+def triplets(n, capacity, seed):
+    """Sizes of which three fill a bin, in such a way that longest first does not find it."""
+    r, sizes = random.Random(seed), []
+    for _ in range(n):
+        a = r.randint(capacity * 38 // 100, capacity * 49 // 100)
+        b = r.randint((capacity - a) // 2 - capacity // 20, (capacity - a) // 2 + capacity // 20)
+        sizes += [a, b, capacity - a - b]
+    return sizes
+
+
+def test_evolution_beats_best_fit_decreasing():
+    gains = []
+    for seed in range(4):
+        sizes = triplets(30, 2048, seed)
+        island = packing.Island(sizes, 2048, seed)
+        island.begin()  # random orders only
+        first = len(island.packings[0][1])
+        island.evolve(60)
+        gains.append(decreasing(sizes, 2048) - len(island.packings[0][1]))
+        assert len(island.packings[0][1]) < first
+    assert min(gains) >= 0 and sum(gains) >= 3
+
+
+def test_crossover_alone_improves(monkeypatch):
+    monkeypatch.setattr(packing.Island, "mutate", lambda self, one: None)
+    sizes = triplets(60, 2048, 9)
+    island = packing.Island(sizes, 2048, 9)
+    island.begin()
+    before = island.packings[0][0]
+    island.evolve(30)
+    assert island.packings[0][0] > before
+
+
+def test_migration_brings_a_better_packing(spark):
+    sizes, r = triplets(20, 2048, 3), random.Random(3)
+    exact = [[3 * i, 3 * i + 1, 3 * i + 2] for i in range(20)]
+    island = packing.Island(sizes, 2048, 1)
+    island.begin()
+    own = [packing._dump(p[1], len(sizes)) for p in island.packings]
+    guests = [None, packing._dump(exact, len(sizes))]
+    rows = [(i, 0, sizes, own, g) for i, g in enumerate(guests)]
+    r.shuffle(rows)
+    state = packing._epoch(spark.createDataFrame(rows, "cell long, island int, sizes array<long>, packings array<binary>, guest binary"), 2048, False, 0)
+    found = {x["cell"]: len(packing._load(bytes(x["packings"][0]))) for x in state.collect()}
+    assert found[1] == 20 < len(island.packings[0][1])
+
+
+def test_equal_rows_spread_over_cells(spark):
+    pieces = spark.range(100_000).selectExpr("1L as doc_id", "0 as piece", "0L as start", "1500L as length", "7L as ids_crc32")
+    packed = packing.pack(pieces, 2048, cell=1500)
+    assert packed.groupBy("sequence_id").count().filter("count > 1").count() == 0 and packed.select("sequence_id").distinct().count() == 100_000
+
+
 def test_best_fit():
     bins, free = [], []
     packing.best_fit([0, 1, 2, 3], [6, 5, 4, 5], 10, bins, free)

@@ -71,59 +71,127 @@ def _readings(x: Column, swap: bool) -> tuple[Column, Column]:
     return read(two, one, numeric | (iso & swap)), read(one, two, numeric | iso)
 
 
+#: Names of months and days in both languages, in lower case: months by number, days for any.
+_ENGLISH_MONTHS = "january february march april may june july august september october november december".split()
+_ENGLISH_DAYS = "monday tuesday wednesday thursday friday saturday sunday".split()
+
+
+def _month_numbers() -> dict[str, int]:
+    known = {n: i + 1 for i, m in enumerate(_ENGLISH_MONTHS) for n in (m, m[:3])} | {"sept": 9}
+    return known | {k: known[v.lower()] for k, v in NAMES.items() if v.lower() in known}
+
+
+_MONTHS = _month_numbers()
+_DAYS = sorted({d for m in _ENGLISH_DAYS for d in (m, m[:3])} | {k for k, v in NAMES.items() if v.lower() in _ENGLISH_DAYS}, key=len, reverse=True)
+_NAMED = rf"(?i)^(?:(?:{'|'.join(_DAYS)}),?\s+)?(\d{{1,2}})\s+({'|'.join(sorted(_MONTHS, key=len, reverse=True))}),?\s+(\d{{4}})(?:,?\s+(\d{{1,2}}):(\d{{2}})(?::(\d{{2}}))?(?:\s*(WIB|WITA|WIT|GMT|UTC|[+-]\d{{4}}))?)?$"
+
+
+def _named(x: Column) -> Column:
+    """The one reading of texts such as "Kamis, 12 Maret 2026 10:00 WIB" or "Thu, 12 Mar 2026 10:00:00 +0700"; null for others. Names of zones count as none, as UTC does."""
+    part = lambda i: F.regexp_extract(x, _NAMED, i)
+    month = F.try_element_at(F.create_map(*[F.lit(v) for pair in _MONTHS.items() for v in pair]), F.lower(part(2)))
+    number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
+    local = F.when(x.rlike(_NAMED), F.try_make_timestamp(number(3), month, number(1), number(4), number(5), number(6).cast("decimal(16,6)")))
+    zone = part(7)
+    minutes = F.coalesce(F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int"), F.lit(0))
+    shift = F.when(zone.startswith("-"), -minutes).when(zone.startswith("+"), minutes).otherwise(F.lit(0))
+    moved = F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 60_000_000)
+    return F.when(local.isNotNull(), F.struct(moved.alias("instant"), local.cast("timestamp_ntz").alias("local")))
+
+
+def _reader(as_of: dt.datetime, swap: bool):  # noqa: ANN202
+    """A function from a text to its readings by dateutil, day first and month first, after translate_names()'s rule, missing parts from as_of's day; it remembers texts."""
+    from dateutil import parser
+
+    names = re.compile(r"(?<![a-zA-Z])(?:" + "|".join(sorted(NAMES, key=len, reverse=True)) + r")(?![a-zA-Z])", re.IGNORECASE)
+    iso, default = re.compile(_ISO), as_of.replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
+    known: dict[str, list] = {}
+
+    def read(text: str) -> list[dict]:
+        if text in known:
+            return known[text]
+        if len(known) > 50_000:  # dates repeat, and parsing them is slow
+            known.clear()
+        found: list = []
+        english = names.sub(lambda m: NAMES[m[0].lower()], text)
+        for day_first in (True, False) if swap or not iso.match(text) else (False,):
+            try:
+                value = parser.parse(english, dayfirst=day_first, default=default)
+                utc = (value.astimezone(dt.UTC) if value.tzinfo else value).replace(tzinfo=None)
+            except Exception:  # noqa: BLE001, S112  what isn't a date has no reading
+                continue
+            if all(f["instant"] != utc for f in found):
+                found.append({"instant": utc, "local": value.replace(tzinfo=None)})
+        known[text] = found
+        return found
+
+    return read
+
+
 def _other_udf(as_of: dt.datetime):  # noqa: ANN202
-    """Other formats by dateutil, after translate_names()'s rule, missing parts from as_of's day: the readings day first and month first."""
+    """Readings of texts that no expression reads."""
 
     @F.pandas_udf(f"array<{STRUCT}>")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from dateutil import parser
-
-        names = re.compile(r"(?<![a-zA-Z])(?:" + "|".join(sorted(NAMES, key=len, reverse=True)) + r")(?![a-zA-Z])", re.IGNORECASE)
-        default = as_of.replace(hour=0, minute=0, second=0, microsecond=0, tzinfo=None)
-        known: dict[str, list | None] = {}
-
-        def read(text: str) -> list | None:
-            found: list = []
-            english = names.sub(lambda m: NAMES[m[0].lower()], text)
-            for day_first in (True, False):
-                try:
-                    value = parser.parse(english, dayfirst=day_first, default=default)
-                except Exception:  # noqa: BLE001, S112  what isn't a date has no reading
-                    continue
-                utc = (value.astimezone(dt.UTC) if value.tzinfo else value).replace(tzinfo=None)
-                if all(f["instant"] != utc for f in found):
-                    found.append({"instant": utc, "local": value.replace(tzinfo=None)})
-            return found or None
-
+        read = _reader(as_of, True)
         for b in batches:
-            known = known if len(known) < 50_000 else {}  # dates repeat, and parsing them is slow
-            for text in b[b.notna()].unique():
-                if text not in known:
-                    known[text] = read(text)
-            yield pd.Series([known[t] if t is not None else None for t in b], dtype="object")
+            yield pd.Series([(read(t) or None) if t is not None else None for t in b], dtype="object")
 
     return parse
 
 
+def first_date(raws: Column, as_of: dt.datetime | str, *, policy: str = "reference") -> Column:
+    """The first of an array of texts that parse_date() reads, in one evaluation for arrays of any length; null if none is read."""
+    moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
+    swap = _swaps(policy)
+
+    @F.pandas_udf(f"array<{STRUCT}>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        read, latest = _reader(moment, swap), moment + dt.timedelta(days=1)
+        blank = re.compile(r"^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\Z")
+        for b in batches:
+            yield pd.Series([next(([f] for t in (x if x is not None else ()) if t and (s := blank.sub("", t)) for f in read(s) if f["instant"] <= latest), None) for x in b], dtype="object")
+
+    return F.get(find(F.when(F.size(raws) > 0, raws)), 0)
+
+
 def stripped(raw: Column) -> Column:
     """The text that parse_date() reads; as a column of its own, it is made once and not in each part of the expression."""
     return F.regexp_replace(raw, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
 
 
+def _swaps(policy: str) -> bool:
+    if policy not in ("reference", "iso_strict"):
+        raise ValueError(f"unknown policy {policy!r}")
+    return policy == "reference"
+
+
+def with_date(df: DataFrame, raw: Column, name: str, as_of: dt.datetime | str, *, policy: str = "reference") -> DataFrame:
+    """df with a column of parse_date(). What the steps make is a column each, so every text is read once."""
+    moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
+    text, first, second, other = (F.col(f"__date_{x}") for x in ("text", "first", "second", "other"))
+    one, two = _readings(text, _swaps(policy))
+    past = lambda c: ~is_future(c["instant"], instant(as_of))
+    read = df.withColumn("__date_text", stripped(raw)).withColumns({"__date_first": one, "__date_second": two})
+    read = read.withColumn("__date_first", F.coalesce(first, F.when(second.isNull(), _named(text))))
+    read = read.withColumn("__date_other", _other_udf(moment)(F.when(first.isNull() & second.isNull() & (text != ""), text)))
+    found = F.coalesce(F.when(past(first), first), F.when(past(second), second), F.get(F.filter(other, past), 0))
+    return read.withColumn(name, found).drop("__date_text", "__date_first", "__date_second", "__date_other")
+
+
 def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "reference", strip: bool = True) -> Column:
     """A struct of instant and local, or null: the first reading of a text that isn't in the future, day first.
 
-    policy "reference" also reads ISO dates day first, so 2025-03-12 is 3 December if that is past; "iso_strict" reads them as they stand. The
-    numeric formats are Spark expressions; only other texts go to Python.
+    policy "reference" also reads ISO dates day first, so 2025-03-12 is 3 December if that is past; "iso_strict" reads them as they stand. Numeric
+    formats and those with a month's name are Spark expressions; only other texts go to Python. In a table, with_date() does the same with less work.
     """
-    if policy not in ("reference", "iso_strict"):
-        raise ValueError(f"unknown policy {policy!r}")
     moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     text = stripped(raw) if strip else raw
-    first, second = _readings(text, policy == "reference")
-    other = _other_udf(moment.replace(tzinfo=None))(F.when(first.isNull() & second.isNull() & (text != ""), text))
+    first, second = _readings(text, _swaps(policy))
+    named = _named(text)
+    other = _other_udf(moment.replace(tzinfo=None))(F.when(first.isNull() & second.isNull() & named.isNull() & (text != ""), text))
     past = lambda c: ~is_future(c["instant"], instant(as_of))
-    return F.coalesce(F.when(past(first), first), F.when(past(second), second), F.get(F.filter(other, past), 0))
+    return F.coalesce(F.when(past(first), first), F.when(past(second), second), F.when(past(named), named), F.get(F.filter(other, past), 0))
 
 
 def date_from_url(url: Column, as_of: Column) -> Column:

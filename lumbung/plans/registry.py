@@ -272,8 +272,8 @@ def parse_date_formats(spark, sf_dir):  # noqa: ANN001, ANN201
     names = F.element_at(F.array(*[F.lit(n.strip(" '")) for n in _MONTHS.strip("[]").split(",")]), F.month("o_orderdate"))
     named = F.concat_ws(" ", F.dayofmonth("o_orderdate"), names, F.year("o_orderdate"))
     raw = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(named)
-    written = _read(spark, sf_dir, "orders").select("o_orderkey", dates.stripped(raw).alias("raw"))
-    return written.select("o_orderkey", dates.parse_date(F.col("raw"), AS_OF, strip=False)["local"].cast("date").alias("day"))
+    written = _read(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
+    return dates.with_date(written, F.col("raw"), "date", AS_OF).select("o_orderkey", F.col("date.local").cast("date").alias("day"))
 
 
 def _escaped(x: str):  # noqa: ANN202

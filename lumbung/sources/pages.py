@@ -80,9 +80,8 @@ def extract(pages: DataFrame, site: Site, keep: tuple[str, ...] = ("url",)) -> D
     return pages.select(*keep, "html").mapInPandas(run, schema)
 
 
-def published(known: Column, raw_dates: Column, url: Column, as_of: str, slots: int = 6, policy: str = "reference") -> Column:
+def published(known: Column, raw_dates: Column, url: Column, as_of: str, policy: str = "reference") -> Column:
     """The known date unless it is in the future, else the first raw date that can be read, else the URL's."""
     moment = dates.instant(as_of)
     sure = F.when(known.isNotNull() & ~dates.is_future(known["instant"], moment), known)
-    tries = [dates.parse_date(F.get(raw_dates, i), as_of, policy=policy) for i in range(slots)]
-    return F.coalesce(sure, *tries, dates.date_from_url(url, moment))
+    return F.coalesce(sure, dates.first_date(F.when(sure.isNull(), raw_dates), as_of, policy=policy), dates.date_from_url(url, moment))

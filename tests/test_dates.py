@@ -58,3 +58,26 @@ def test_week_window_and_months(spark):
 def test_names_are_translated_once(spark):
     row = spark.createDataFrame([("Minggu, 5 mei 2025 x Marett desember",)], "x string").select(dates.translate_names(F.col("x"))).first()
     assert row[0] == "Sunday, 5 May 2025 x Marett December"
+
+
+RAW = [
+    "12 Maret 2026", "Kamis, 12 Mar 2026 10:00", "Thu, 12 Mar 2026 10:00:00 +0700", "Thu, 12 Mar 2026 23:30:00 -0500", "12 mei 2025, 9:05 WIB", "31 Februari 2026", "1 Des 2027", "5 sept 2025 7:00 GMT", "12 Marett 2026",
+    "Jum'at 3 Okt 2025 14:00:59 WITA", "3 Agu 2025 25:00", "2025-03-12", "12/03/2026", "July 4, 2025", "4 July 2025 UTC", "foo", "", None, "  7 Juni 2025\n", "20250312", "00 Mei 2025", "32 Mei 2025",
+]
+
+
+def test_expressions_read_as_dateutil_does(spark):
+    rows = spark.createDataFrame([(i, r, [r]) for i, r in enumerate(RAW)], "i int, x string, xs array<string>")
+    found = dates.with_date(rows, F.col("x"), "d", AS_OF).withColumn("e", dates.parse_date(F.col("x"), AS_OF)).withColumn("f", dates.first_date(F.col("xs"), AS_OF))
+    for r in found.collect():
+        assert r["d"] == r["e"] == r["f"], r["x"]
+    local = {r["x"]: r["d"] and str(r["d"]["local"]) for r in found.collect()}
+    assert local["Thu, 12 Mar 2026 10:00:00 +0700"] == "2026-03-12 10:00:00" and local["31 Februari 2026"] is None and local["1 Des 2027"] is None
+    read = rows.select(dates._named(F.col("x")).alias("n"), "x").filter("n is not null").count()
+    assert read >= 8  # by expressions alone
+
+
+def test_first_date_goes_on_to_the_next(spark):
+    rows = spark.createDataFrame([(["foo", "1 Jan 2030", " 2 Maret 2026 ", "3 Maret 2026"],), ([],), (None,), ([None, ""],), (["x"] * 40 + ["2026-01-31"],)], "xs array<string>")
+    found = [r[0] and str(r[0]["local"].date()) for r in rows.select(dates.first_date(F.col("xs"), AS_OF)).collect()]
+    assert found == ["2026-03-02", None, None, None, "2026-01-31"]

@@ -24,8 +24,13 @@ NAMES = {
 #: A date counts as future from this long after now on.
 GRACE = "INTERVAL 1 DAY"
 STRUCT = "struct<instant: timestamp, local: timestamp_ntz>"
-_ISO = r"^(\d{4})[-/](\d{2})[-/](\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2}))?(?:\.\d+)?)?\s?(Z|[+-]\d{2}:?\d{2})?$"
-_NUMERIC = r"^(\d{1,2})[/.](\d{1,2})[/.](\d{4})$"
+_ISO = r"^\d{4}[-/]\d{2}[-/]\d{2}(?:[T ]|$)"
+_DAY, _MONTH = r"0[1-9]|[12]\d|3[01]", r"0[1-9]|1[0-2]"
+_TIME = r"(?:([T ]\d{2}:\d{2}(?::\d{2})?)(?:\.\d+)?\s?(Z|[+-]\d{2}:?\d{2})?)?"
+#: Texts that can be read with the day, and with the month, first, ISO or in numbers with strokes or full stops; how to write them as "local|zone"; ISO texts alone, month first.
+_DAY_FIRST = rf"^(?:(\d{{4}})[-/]({_DAY})[-/]({_MONTH}){_TIME}|({_DAY}|[1-9])[/.]({_MONTH}|[1-9])[/.](\d{{4}}))$", "$1$8-$3$7-$2$6$4|$5"
+_MONTH_FIRST = rf"^(?:(\d{{4}})[-/]({_MONTH})[-/]({_DAY}){_TIME}|({_MONTH}|[1-9])[/.]({_DAY}|[1-9])[/.](\d{{4}}))$", "$1$8-$2$6-$3$7$4|$5"
+_NUMERIC_DAY_FIRST = rf"^({_DAY}|[1-9])[/.]({_MONTH}|[1-9])[/.](\d{{4}})$", "$3-$2-$1|"
 
 
 def instant(as_of: dt.datetime | str) -> Column:
@@ -48,27 +53,34 @@ def translate_names(x: Column) -> Column:
     return x
 
 
-def _readings(x: Column, swap: bool) -> tuple[Column, Column]:
-    """The day-first and the month-first reading of the two common numeric formats; null for other texts and for days that there aren't.
+def _written(x: Column, pattern: tuple[str, str]) -> Column:
+    """A text as "local|zone", null if it isn't of the pattern. Patterns let no month and no day of the month through that there can't be, so casts rarely fail."""
+    return F.when(x.rlike(pattern[0]), F.regexp_replace(x, *pattern))
+
+
+def _split(written: Column) -> Column:
+    return F.split(written, r"\|")
+
+
+def _wall(parts: Column) -> Column:
+    """The local time of what _written() gives, split; null for days that there aren't."""
+    return F.get(parts, 0).try_cast("timestamp_ntz")
 
-    ISO texts have their parts at fixed places. Without swap they have the second reading only. Local times are read as UTC, then moved by the zone's offset.
-    """
-    iso, numeric = x.rlike(_ISO), x.rlike(_NUMERIC)
-    number = lambda c: c.try_cast("int")
-    part = lambda i, at, n: number(F.when(iso, F.substring(x, at, n)).when(numeric, F.regexp_extract(x, _NUMERIC, i)))
-    year, one, two = part(3, 1, 4), part(1, 6, 2), part(2, 9, 2)
-    timed = iso & F.substring(x, 14, 1).eqNullSafe(":")
-    clock = [F.when(timed, number(F.substring(x, 12, 2))).otherwise(0), F.when(timed, number(F.substring(x, 15, 2))).otherwise(0)]
-    second = F.when(timed & (F.substring(x, 17, 1) == ":"), number(F.substring(x, 18, 2))).otherwise(0).cast("decimal(16,6)")
-    zone = F.replace(F.when(timed, F.regexp_extract(x, r"[+-]\d{2}:?\d{2}$", 0)).otherwise(F.lit("")), F.lit(":"), F.lit(""))
-    shift = F.when(zone == "", F.lit(0)).otherwise((number(F.substring(zone, 2, 2)) * 60 + number(F.substring(zone, 4, 2))) * F.when(zone.startswith("-"), -1).otherwise(1))
 
-    def read(month: Column, day: Column, known: Column) -> Column:
-        local = F.when(known, F.try_make_timestamp(year, month, day, *clock, second))
-        moved = F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 60_000_000)
-        return F.when(local.isNotNull(), F.struct(moved.alias("instant"), local.cast("timestamp_ntz").alias("local")))
+def _minutes(parts: Column) -> Column:
+    """What to add to a local time for UTC."""
+    zone = F.replace(F.get(parts, 1), F.lit(":"))
+    size = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int")
+    return F.when(F.length(zone) > 1, F.when(F.startswith(zone, F.lit("-")), size).otherwise(-size)).otherwise(0)
 
-    return read(two, one, numeric | (iso & swap)), read(one, two, numeric | iso)
+
+def _moment(wall: Column, minutes: Column) -> Column:
+    """The struct of a local time; without a zone, it is read as UTC."""
+    return F.when(wall.isNotNull(), F.struct(F.timestamp_add("MINUTE", minutes, wall).cast("timestamp").alias("instant"), wall.alias("local")))
+
+
+def _patterns(swap: bool) -> tuple[tuple[str, str], tuple[str, str]]:
+    return _DAY_FIRST if swap else _NUMERIC_DAY_FIRST, _MONTH_FIRST
 
 
 #: Names of months and days in both languages, in lower case: months by number, days for any.
@@ -83,20 +95,17 @@ def _month_numbers() -> dict[str, int]:
 
 _MONTHS = _month_numbers()
 _DAYS = sorted({d for m in _ENGLISH_DAYS for d in (m, m[:3])} | {k for k, v in NAMES.items() if v.lower() in _ENGLISH_DAYS}, key=len, reverse=True)
-_NAMED = rf"(?i)^(?:(?:{'|'.join(_DAYS)}),?\s+)?(\d{{1,2}})\s+({'|'.join(sorted(_MONTHS, key=len, reverse=True))}),?\s+(\d{{4}})(?:,?\s+(\d{{1,2}}):(\d{{2}})(?::(\d{{2}}))?(?:\s*(WIB|WITA|WIT|GMT|UTC|[+-]\d{{4}}))?)?$"
+_NAMED = (
+    rf"(?i)^(?:(?:{'|'.join(_DAYS)}),?\s+)?(\d{{1,2}})\s+({'|'.join(sorted(_MONTHS, key=len, reverse=True))}),?\s+(\d{{4}})(?:,?\s+(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)(?:\s*(?:WIB|WITA|WIT|GMT|UTC|([+-]\d{{4}})))?)?$",
+    "$1|$2|$3|$4|$5",
+)
 
 
-def _named(x: Column) -> Column:
-    """The one reading of texts such as "Kamis, 12 Maret 2026 10:00 WIB" or "Thu, 12 Mar 2026 10:00:00 +0700"; null for others. Names of zones count as none, as UTC does."""
-    part = lambda i: F.regexp_extract(x, _NAMED, i)
-    month = F.try_element_at(F.create_map(*[F.lit(v) for pair in _MONTHS.items() for v in pair]), F.lower(part(2)))
-    number = lambda i: F.coalesce(part(i).try_cast("int"), F.lit(0))
-    local = F.when(x.rlike(_NAMED), F.try_make_timestamp(number(3), month, number(1), number(4), number(5), number(6).cast("decimal(16,6)")))
-    zone = part(7)
-    minutes = F.coalesce(F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, 4, 2).try_cast("int"), F.lit(0))
-    shift = F.when(zone.startswith("-"), -minutes).when(zone.startswith("+"), minutes).otherwise(F.lit(0))
-    moved = F.timestamp_micros(F.unix_micros(local) - shift.cast("long") * 60_000_000)
-    return F.when(local.isNotNull(), F.struct(moved.alias("instant"), local.cast("timestamp_ntz").alias("local")))
+def _named(names: Column) -> Column:
+    """Texts such as "Kamis, 12 Maret 2026 10:00 WIB" or "Thu, 12 Mar 2026 10:00:00 +0700", as split by _NAMED, as _written() gives them. Names of zones count as none, as UTC does."""
+    month = F.try_element_at(F.create_map(*[F.lit(v) for name, n in _MONTHS.items() for v in (name, str(n))]), F.lower(F.get(names, 1)))
+    time = F.when(F.get(names, 3) != "", F.concat(F.lit("T"), F.get(names, 3))).otherwise(F.lit(""))
+    return F.concat(F.concat_ws("-", F.get(names, 2), month, F.get(names, 0)), time, F.lit("|"), F.get(names, 4))
 
 
 def _reader(as_of: dt.datetime, swap: bool):  # noqa: ANN202
@@ -169,14 +178,27 @@ def _swaps(policy: str) -> bool:
 def with_date(df: DataFrame, raw: Column, name: str, as_of: dt.datetime | str, *, policy: str = "reference") -> DataFrame:
     """df with a column of parse_date(). What the steps make is a column each, so every text is read once."""
     moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
-    text, first, second, other = (F.col(f"__date_{x}") for x in ("text", "first", "second", "other"))
-    one, two = _readings(text, _swaps(policy))
-    past = lambda c: ~is_future(c["instant"], instant(as_of))
-    read = df.withColumn("__date_text", stripped(raw)).withColumns({"__date_first": one, "__date_second": two})
-    read = read.withColumn("__date_first", F.coalesce(first, F.when(second.isNull(), _named(text))))
-    read = read.withColumn("__date_other", _other_udf(moment)(F.when(first.isNull() & second.isNull() & (text != ""), text)))
-    found = F.coalesce(F.when(past(first), first), F.when(past(second), second), F.get(F.filter(other, past), 0))
-    return read.withColumn(name, found).drop("__date_text", "__date_first", "__date_second", "__date_other")
+    one, two = _patterns(_swaps(policy))
+    column = lambda x: F.col(f"__date_{x}")
+    past = lambda c: F.when(~is_future(c["instant"], instant(as_of)), c)
+    # each step is small enough to be compiled well
+    steps = [
+        {"text": stripped(raw)},
+        {"one": _written(column("text"), one), "two": _written(column("text"), two)},
+        {"names": F.when(F.coalesce("__date_one", "__date_two").isNull(), _split(_written(column("text"), _NAMED)))},
+        {"named": F.when(column("names").isNotNull(), _named(column("names")))},
+        {"parts": _split(F.coalesce("__date_one", "__date_named")), "others": _split(column("two"))},
+        {"wall": _wall(column("parts")), "minutes": _minutes(column("parts"))},
+        {"wall_two": _wall(column("others")), "minutes_two": _minutes(column("others"))},
+        {"first": _moment(column("wall"), column("minutes"))},
+        {"second": _moment(column("wall_two"), column("minutes_two"))},
+        {"other": _other_udf(moment)(F.when(column("first").isNull() & column("second").isNull() & (column("text") != ""), column("text")))},
+    ]
+    read = df
+    for step in steps:
+        read = read.withColumns({f"__date_{c}": x for c, x in step.items()})
+    found = F.coalesce(past(column("first")), past(column("second")), F.get(F.filter(column("other"), lambda c: ~is_future(c["instant"], instant(as_of))), 0))
+    return read.withColumn(name, found).drop(*[f"__date_{c}" for step in steps for c in step])
 
 
 def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "reference", strip: bool = True) -> Column:
@@ -187,11 +209,12 @@ def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "referenc
     """
     moment = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     text = stripped(raw) if strip else raw
-    first, second = _readings(text, _swaps(policy))
-    named = _named(text)
-    other = _other_udf(moment.replace(tzinfo=None))(F.when(first.isNull() & second.isNull() & named.isNull() & (text != ""), text))
+    one, two = (_written(text, p) for p in _patterns(_swaps(policy)))
+    parts = [_split(F.coalesce(one, _named(_split(_written(text, _NAMED))))), _split(two)]
+    first, second = (_moment(_wall(p), _minutes(p)) for p in parts)
+    other = _other_udf(moment.replace(tzinfo=None))(F.when(first.isNull() & second.isNull() & (text != ""), text))
     past = lambda c: ~is_future(c["instant"], instant(as_of))
-    return F.coalesce(F.when(past(first), first), F.when(past(second), second), F.when(past(named), named), F.get(F.filter(other, past), 0))
+    return F.coalesce(F.when(past(first), first), F.when(past(second), second), F.get(F.filter(other, past), 0))
 
 
 def date_from_url(url: Column, as_of: Column) -> Column:

@@ -4,10 +4,14 @@ Plain identifiers are found by patterns in the text as it is. Then transducers r
 changed, where it came from:
 
 1. homoglyphs: full-width, mathematical, Cyrillic and Greek look-alikes and digits of other scripts to ASCII; invisible characters go;
-2. spelled digits: runs of three or more digits, at least two of them words ("five five five", "double two", "plus one"), to digits;
-3. disguised signs: "[at]", "(dot)", "name at host dot org" to @ and full stops.
+2. spelled digits: runs of three or more digits, at least two of them words of English, German, French or Spanish ("five five five", "double two",
+   "plus eins"), to digits;
+3. disguised signs: "[at]", "(dot)", "name at host dot org", "name arroba host punto es" to @ and full stops.
 
-The same patterns run over what the transducers give; their spans are mapped back through all of them to the source.
+The same patterns run over what the transducers give; their spans are mapped back through all of them to the source. Names and hosts may have any length.
+
+What words alone can't tell from prose stays: a bare "at" counts only before a host with a spelled dot and one of ENDINGS or any ending of two letters, and no
+article before that dot ("at the dot in"); before a host with plain dots, only if the name has a digit or sign in it, or a word like "mail" is before it.
 """
 
 from __future__ import annotations
@@ -37,7 +41,12 @@ CARD_DIGITS, PHONE_DIGITS, IP_MOST = (13, 19), (9, 15), 255
 # Spelled digits, look-alike letters and invisible characters.
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
+    "null": "0", "eins": "1", "zwei": "2", "zwo": "2", "drei": "3", "vier": "4", "fünf": "5", "fuenf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
+    "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
+    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
+TIMES = {"double": 2, "triple": 3, "doppel": 2, "dreifach": 3, "doble": 2}
+DOTS, ATS, PLUS = ("dot", "point", "punkt", "punto"), ("arroba", "arobase"), ("plus", "más")
 LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x", "у": "y", "і": "i", "ј": "j", "ѕ": "s", "ԁ": "d", "һ": "h", "ԛ": "q", "ԝ": "w",
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S",
@@ -45,27 +54,25 @@ LOOKALIKES = {
     "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "Ζ": "Z", "ı": "i", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "。": ".", "﹒": ".",
     "﹫": "@", " ": " ", " ": " ", " ": " ",
 }
-# Endings of a host whose dots are all spelled without brackets; other words after " dot " are prose.
-ENDINGS = "com org net edu gov mil int info biz io ai app dev example test de fr es uk us eu nl ch se ca au jp cn br ru pl id".split()
+# Endings of three letters or more of a host whose dots are spelled without brackets, articles that are no host there, and words that an address follows.
+ENDINGS = frozenset("com org net edu gov mil int info biz app dev example test online site shop store xyz club blog news cloud tech email live world pro name mobi travel jobs asia top web page".split())
+ARTICLES = frozenset("the a an this that each every one any der die das den dem ein eine le la les un une el los las una".split())
+_CUE = re.compile(r"(?:e-?mail|mail|mailto|contact|reach|write|kontakt|courriel|correo)\W+(?:(?:me|us|to|is|an|à|a)\W+)*\Z", re.I)
 INVISIBLE = "­​‌‍⁠﻿"
 
 _ODD = re.compile("[" + re.escape("".join(LOOKALIKES) + INVISIBLE) + r"٠-٩۰-۹०-९！-～\U0001d400-\U0001d7ff]")
-_NUMBER = r"(?:(?:double|triple)[\s-]+)?(?:" + "|".join(DIGIT_WORDS) + r")|[0-9]"
-_RUN = re.compile(rf"(?<!\w)(?:plus[\s-]*)?(?:{_NUMBER})(?!\w)(?:(?:[\s,.-]{{1,3}}|\s*\(|\)\s*|[\s,-]+(?:dot|point)[\s,-]+)(?:{_NUMBER})(?!\w))+", re.I)
+_WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
+_NUMBER = rf"(?:(?:{'|'.join(TIMES)})[\s-]+)?(?:{_WORDS})|[0-9]"
+_RUN = re.compile(rf"(?<!\w)(?:(?:{'|'.join(PLUS)})[\s-]*)?(?:{_NUMBER})(?!\w)(?:(?:[\s,.-]{{1,3}}|\s*\(|\)\s*|[\s,-]+(?:{'|'.join(DOTS)})[\s,-]+)(?:{_NUMBER})(?!\w))+", re.I)
 _TOKEN = re.compile(r"\w+|\W+")
-_WORD_HINT = re.compile(rf"(?<!\w)(?:{'|'.join(DIGIT_WORDS)})(?!\w)")
-_LABEL, _NAME = r"[A-Za-z0-9-]+", r"[A-Za-z0-9_%+-]+"
-_OPEN, _CLOSE = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
-_BRACKET_AT, _BRACKET_DOT = rf"{_OPEN}(?:at|@){_CLOSE}", rf"{_OPEN}(?:dot|\.){_CLOSE}"
-_ANY_DOT = rf"(?:{_BRACKET_DOT}|[ \t]+dot[ \t]+|\.)"
-#: A bracketed at, with any dots; or a bare one, if a dot after it is disguised too; or a plain sign, likewise.
-_MAIL = re.compile(
-    rf"{_NAME}(?:{_ANY_DOT}{_NAME}){{0,8}}(?:{_BRACKET_AT}{_LABEL}(?:{_ANY_DOT}{_LABEL}){{1,8}}"
-    rf"|(?:[ \t]+at[ \t]+|[ \t]*@[ \t]*){_LABEL}(?:{_ANY_DOT}{_LABEL}){{0,6}}(?:{_BRACKET_DOT}{_LABEL}|[ \t]+dot[ \t]+(?:{'|'.join(ENDINGS)})(?![\w-])))",
-    re.I,
-)
-_SIGN = re.compile(rf"{_BRACKET_AT}|[ \t]+at[ \t]+|[ \t]*@[ \t]*|{_BRACKET_DOT}|[ \t]+dot[ \t]+", re.I)
-_AROUND = re.compile(r"[\[({<]\s*(?:at|dot|@|\.)\s*[\])}>]|\s+dot\s+", re.I)
+_WORD_HINT = re.compile(rf"(?<!\w)(?:{_WORDS})(?!\w)")
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+# blanks before a sign are looked at from where they begin, so that long ones are read once
+_OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
+_AT = re.compile(rf"(?P<sure>{_OPEN}(?:at|@|{'|'.join(ATS)}){_CLOSE}|(?<![ \t])[ \t]++(?:{'|'.join(ATS)})[ \t]++)|(?<![ \t])(?:[ \t]++at[ \t]++|[ \t]*+@[ \t]*+)", re.I)
+_DOT = re.compile(rf"(?P<sure>{_OPEN}(?:{'|'.join(DOTS)}|\.){_CLOSE})|(?<![ \t])[ \t]++(?P<word>{'|'.join(DOTS)})[ \t]++|\.", re.I)
+_SIGN_HINT = re.compile(rf"[\[({{<]\s*+(?:at|@|{'|'.join(ATS + DOTS)}|\.)\s*+[\])}}>]|[ \t](?:{'|'.join(ATS + DOTS)})[ \t]|[ \t]at[ \t]++[A-Za-z0-9-]++\.", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -172,11 +179,11 @@ def _spelled(run: str) -> str | None:
     out, words, digits, times = "", 0, 0, 1
     for token in _TOKEN.findall(run):
         low = token.lower()
-        if low in ("double", "triple"):
-            times = 2 if low == "double" else 3
-        elif low == "plus":
+        if low in TIMES:
+            times = TIMES[low]
+        elif low in PLUS:
             out += "+"
-        elif low in ("dot", "point"):
+        elif low in DOTS:
             out = out.rstrip(" -") + "."
         elif low in DIGIT_WORDS or low.isdigit():
             words += low in DIGIT_WORDS
@@ -196,20 +203,72 @@ def _digits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _signs(text: str) -> list[tuple[int, int, str]]:
-    """Edits of the disguised signs in addresses. Looked for around bracketed signs and bare dots only, so a text is read once."""
-    edits, free = [], 0
-    if not any(x in text for x in ("[", "(", "{", "<")) and "dot" not in text.lower():
+    """Edits of the disguised signs in addresses: around every sign that may stand for @, the name before and the host after it are read as far as they go."""
+    edits: list[tuple[int, int, str]] = []
+    if not _SIGN_HINT.search(text):
         return edits
-    for hint in _AROUND.finditer(text):
-        begin, end = max(free, hint.start() - 320), min(len(text), hint.end() + 320)
-        if hint.start() < free:
+    before = {m.end(): m for m in _DOT.finditer(text)}
+    free = 0
+    for at in _AT.finditer(text):
+        if at.start() < free:
             continue
-        for m in _MAIL.finditer(text, begin, end):
-            if m.start() < free or (m.start() == begin > free and text[begin - 1] in _LOCAL):
-                continue
-            edits += [(s.start(), s.end(), "@" if "@" in s[0] or "at" in s[0].lower() else ".") for s in _SIGN.finditer(text, m.start(), m.end())]
-            free = m.end()
-    return edits
+        name = _name(text, at.start(), free, before)
+        host = _host(text, at.end()) if name else []
+        if not host:
+            continue
+        start = name[0]
+        if at["sure"]:
+            # a spelled dot after the host may be prose, unless an ending follows or nothing else is there
+            good = [i for i, (dot, label) in enumerate(host) if not dot["word"] or _ends(label)] or [0]
+        else:
+            disguised = [i for i, (dot, label) in enumerate(host) if dot["sure"] or dot["word"]]
+            good = [i for i in disguised if host[i][0]["sure"] or (_ends(host[i][1]) and _before(text, host[i][0]).lower() not in ARTICLES)]
+            if not disguised and "@" not in at[0] and _ends(host[-1][1]) and (any(not c.isalpha() for c in text[start : at.start()]) or _CUE.search(text, max(0, start - 40), start)):
+                good = [len(host) - 1]
+        if good:
+            host = host[: good[-1] + 1]
+            edits += [(d.start(), d.end(), ".") for d in [*name[1], *(dot for dot, _ in host)] if d[0] != "."] + [(at.start(), at.end(), "@")]
+            free = host[-1][0].end() + len(host[-1][1])
+    return sorted(edits)
+
+
+def _ends(label: str) -> bool:
+    return label.isalpha() and (len(label) == 2 or label.lower() in ENDINGS)
+
+
+def _before(text: str, dot: re.Match) -> str:
+    """The label before a dot."""
+    at = dot.start()
+    while at and text[at - 1] in _NAME:
+        at -= 1
+    return text[at : dot.start()]
+
+
+def _name(text: str, end: int, least: int, before: dict[int, re.Match]) -> tuple[int, list[re.Match]] | None:
+    """Where the name before a sign begins, and its dots; None without a name. before: dots by their end."""
+    start, dots, at, pending = None, [], end, None
+    while True:
+        begin = at
+        while begin > least and text[begin - 1] in _NAME:
+            begin -= 1
+        if begin == at:
+            break
+        if pending is not None:
+            dots.append(pending)
+        start, pending = begin, before.get(begin)
+        if pending is None or pending.start() < least:
+            break
+        at = pending.start()
+    return None if start is None else (start, dots[::-1])
+
+
+def _host(text: str, at: int) -> list[tuple[re.Match, str]]:
+    """The dots of the host that begins at a place, each with the label after it; none if there is no dot."""
+    found: list[tuple[re.Match, str]] = []
+    label = _LABEL.match(text, at)
+    while label and (dot := _DOT.match(text, label.end())) and (label := _LABEL.match(text, dot.end())):
+        found.append((dot, label[0]))
+    return found
 
 
 def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -244,7 +303,7 @@ SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_
 def scan(docs: DataFrame) -> DataFrame:
     """A row for each row of docs (doc_id, text): counts of base spans by kind, their digest, all spans, and how many.
 
-    Null and empty texts have no spans: counts 0, the digest of nothing. Each row is on its own, repeated ones give equal values; an empty table
+    Texts of any length are read whole, in time that grows with it. Null and empty texts have no spans: counts 0, the digest of nothing. Each row is on its own, repeated ones give equal values; an empty table
     gives no rows; other columns do not matter.
     """
 

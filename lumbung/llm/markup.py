@@ -1,11 +1,14 @@
 """Layout-aware rendering of HTML to text: everything that a reader would see, with the page's blocks, lists and tables.
 
 A tree is built with the tags that HTML implies (a block ends a paragraph, a list item the one before, a cell the cell before, a stray end tag ends
-nothing). Elements that are not shown are left out: heads, scripts, templates, closed details and dialogs, and what inline styles, the hidden attribute or simple
-selectors of the page's style sheets hide. The rest is laid out: white space collapses within a block, blocks begin on new lines with blank lines where
+nothing). Elements that are not shown are left out: heads, scripts, templates, closed details and dialogs, options that aren't chosen, and what the hidden attribute, inline styles
+and the page's style sheets hide (styles.py: display and visibility by selector, specificity and order, media rules). What is visible within something invisible is shown.
+Text of pictures (svg) and formulas (math) is shown; what stands in for an object, a film or a script that doesn't run is not.
+The rest is laid out: white space collapses within a block, blocks begin on new lines with blank lines where
 browsers leave a margin, list items get bullets or numbers and are indented, and the cells of a table are padded to columns.
 
-Everything runs on stacks of its own, so nesting of any depth is safe.
+Everything runs on stacks of its own, and what is open is found by tag, so nesting of any depth and attributes of any length are read in time that grows
+with the page. Lists, quotations and tables that are nested more than DEEPEST deep are plain blocks: their text is shown, without more indentation.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .styles import Sheets
+
 # Elements by how HTML treats them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes title meta link base object audio video canvas svg math datalist select".split())
+UNSEEN = frozenset("head script style template noscript iframe noembed noframes title meta link base object audio video canvas datalist annotation annotation-xml".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure hr fieldset".split())
 BLOCK = MARGIN | frozenset("html body div section article aside nav header footer main address li dt dd form details summary figcaption caption tr td th thead tbody tfoot legend center dialog menu dir hgroup search option optgroup".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -36,18 +41,16 @@ IMPLIED_ENDS = {
 #: End tags don't reach past these.
 SCOPE = frozenset("table td th caption html template".split())
 
-#: Elements that are open at once; what is nested deeper becomes a sibling, as in browsers.
-DEEPEST = 256
+#: Lists, quotations, cells and tables within each other that are laid out as such.
+DEEPEST = 100
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,8192}\"|'[^']{0,8192}')*+)>|</?([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)",
-    re.S,
-)
+_TAG = re.compile(r"<!--|<!\[CDATA\[|<[!?]|</?([a-zA-Z][^\s/>]*+)")
+_STEP = re.compile(r"[^>=]*+(?:>|=\s*+([\"'])?|\Z)")
+_COMMENT_END = re.compile(r"--!?>")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]{1,2000})\{([^{}]*)\}")
-_HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_SIMPLE = re.compile(r"([a-z][a-z0-9]*)?([.#][\w-]+)?\Z", re.I)
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_LAID_OUT = ("li", "dd", "blockquote", "td", "th", "table", "caption")
 
 
 class Node:
@@ -66,73 +69,112 @@ class Node:
         return None
 
 
+class Open:
+    """The elements that are open, and where those of each tag are."""
+
+    def __init__(self, root: Node) -> None:
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def cut(self, at: int) -> None:
+        """Ends all elements from a place on."""
+        while len(self.stack) > at:
+            self.places[self.stack.pop().tag].pop()
+
+    def last(self, tags) -> int:  # noqa: ANN001
+        """The place of the innermost element of some tags; 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def close(self, tags: set[str], until: set[str]) -> None:
+        """Ends the innermost element of some tags, and the ones of these tags around it, unless one of until is further in."""
+        while (at := self.last(tags)) and at > self.last(until):
+            self.cut(at)
+            if self.stack[-1].tag not in tags:
+                break
+
+
+def _tag_end(source: str, at: int, closing: dict[str, int]) -> int:
+    """Where a start tag ends, after its ">"; quoted values may hold any. closing: for each quote, a place from which it is known not to come again."""
+    while True:
+        m = _STEP.match(source, at)
+        at = m.end()
+        if m[0].endswith(">") or at >= len(source):
+            return at
+        if m[1]:
+            end = -1 if at >= closing[m[1]] else source.find(m[1], at)
+            if end < 0:
+                closing[m[1]] = min(closing[m[1]], at)
+            else:
+                at = end + 1
+
+
 def parse(source: str) -> tuple[Node, list[str]]:
     """The tree of a page, and its style sheets."""
     root, styles = Node("html"), []
-    stack = [root]
+    open_ = Open(root)
+    stack = open_.stack
+    closing = {"'": len(source) + 1, '"': len(source) + 1}
     at, end = 0, len(source)
 
-    def close(tags: set[str], until: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in until:
-                return
-            if stack[i].tag in tags:
-                del stack[i:]
-                if stack[-1].tag in tags:
-                    close(tags, until)
-                return
-
     def text(value: str) -> None:
         if value and not (stack[-1].tag in ("head", "table", "tr", "tbody", "thead", "tfoot", "colgroup") and not value.strip()):
             if stack[-1].tag == "head":
-                stack.pop()
+                open_.cut(len(stack) - 1)
             stack[-1].children.append(html.unescape(value) if "&" in value else value)
 
     while at < end:
-        m = _TOKEN.search(source, at)
+        m = _TAG.search(source, at)
         if m is None:
             text(source[at:])
             break
         text(source[at : m.start()])
         at = m.end()
-        tag = (m[1] or m[3] or "").lower()
+        tag = (m[1] or "").lower()
         if not tag:
-            if m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>"))
+            if m[0] == "<!--":
+                stop = _COMMENT_END.search(source, at)
+                at = at + 1 if source.startswith(">", at) else at + 2 if source.startswith("->", at) else stop.end() if stop else end
+            elif m[0] == "<![CDATA[":
+                stop = source.find("]]>", at)
+                text(source[at : stop if stop >= 0 else end])
+                at = stop + 3 if stop >= 0 else end
+            else:
+                at = source.find(">", at) + 1 or end
             continue
+        begin, at = at, _tag_end(source, at, closing)
+        attributes = source[begin : at - 1] if source[at - 1] == ">" else source[begin:at]
         if m[0][1] == "/":
+            if tag == "br":
+                stack[-1].children.append(Node("br"))
             if tag in ("html", "body", "br"):
-                if tag == "br":
-                    stack[-1].children.append(Node("br"))
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag or (tag[0] == "h" and len(tag) == 2 and stack[i].tag in ("h1", "h2", "h3", "h4", "h5", "h6")):
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE and tag not in ("table", "tr", "td", "th", "tbody", "thead", "tfoot"):
-                    break
-            else:
-                if tag == "p":
-                    stack[-1].children.append(Node("p"))
+            where = open_.last(_HEADINGS if tag in _HEADINGS else (tag,))
+            if where and (tag in ("table", "tr", "td", "th", "tbody", "thead", "tfoot") or stack[where].tag in SCOPE or where > open_.last(SCOPE)):
+                open_.cut(where)
+            elif not where and tag == "p":
+                stack[-1].children.append(Node("p"))
             continue
-        attributes = m[2] or m[4] or ""
         if tag in ("html", "body"):
             if tag == "body" and stack[-1].tag == "head":
-                stack.pop()
+                open_.cut(len(stack) - 1)
             if attributes:
                 root.attributes += " " + attributes
             continue
         if stack[-1].tag == "head" and tag not in HEAD:
-            stack.pop()
+            open_.cut(len(stack) - 1)
         if tag in ENDS_P:
-            close({"p"}, SCOPE | {"button"})
-            if tag[0] == "h" and len(tag) == 2 and tag != "hr" and stack[-1].tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-                stack.pop()
+            open_.close({"p"}, SCOPE | {"button"})
+            if tag in _HEADINGS and stack[-1].tag in _HEADINGS:
+                open_.cut(len(stack) - 1)
         if tag in IMPLIED_ENDS:
-            close(*IMPLIED_ENDS[tag])
+            open_.close(*IMPLIED_ENDS[tag])
             if tag in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
-                stack[-1].children.append(Node("tr"))
-                stack.append(stack[-1].children[-1])
+                row = Node("tr")
+                stack[-1].children.append(row)
+                open_.push(row)
         node = Node(tag, attributes)
         stack[-1].children.append(node)
         if tag in RAW:
@@ -144,39 +186,36 @@ def parse(source: str) -> tuple[Node, list[str]]:
             node.children.append(html.unescape(content) if tag in ("textarea", "title") else content)
             at = source.find(">", stop) + 1 if close_tag else end
             at = at or end
-        elif len(stack) < DEEPEST and tag not in VOID and (tag in BLOCK or not attributes.endswith("/")):
-            stack.append(node)
+        elif tag not in VOID and (tag in BLOCK or not attributes.endswith("/")):
+            open_.push(node)
     return root, styles
 
 
-def _hidden_by(styles: list[str]) -> set[tuple[str, str]]:
-    """Selectors (tag, ".class" or "#id", either may be "") that style sheets hide."""
-    found = set()
-    for sheet in styles:
-        for m in _RULE.finditer(re.sub(r"/\*.*?\*/", "", sheet, flags=re.S)):
-            if _HIDES.search(m[2]):
-                for selector in m[1].split(","):
-                    if (s := _SIMPLE.match(selector.strip())) and s[0]:
-                        found.add(((s[1] or "").lower(), s[2] or ""))
-    return found
-
-
-def _shown(node: Node, hidden: set[tuple[str, str]]) -> bool:
+def _shown(node: Node, path: list[Node], sheets: Sheets, seen: bool) -> tuple[bool, bool]:
+    """Whether an element has a place on the page, and whether its text is visible. seen: whether its parent's is."""
     if node.tag in UNSEEN:
-        return False
-    if hidden and ((node.tag, "") in hidden):
-        return False
-    if not node.attributes:
-        return node.tag not in ("dialog",)
-    if node.get("hidden") is not None or (node.tag == "dialog" and node.get("open") is None):
-        return False
-    if _HIDES.search(node.get("style") or ""):
-        return False
-    if hidden:
-        names = ["." + c for c in (node.get("class") or "").split()] + ([f"#{i}"] if (i := node.get("id")) else [])
-        if any((t, n) in hidden for n in names for t in ("", node.tag)):
-            return False
-    return True
+        return False, False
+    values = sheets.values(node, path) if sheets.by or node.attributes else {}
+    away = bool(node.attributes and node.get("hidden") is not None) or (node.tag == "dialog" and node.get("open") is None)
+    if values.get("display", "none" if away else "") == "none":
+        return False, False
+    visibility = values.get("visibility")
+    return True, seen if visibility in (None, "inherit", "unset") else visibility not in ("hidden", "collapse")
+
+
+def _chosen(node: Node) -> list[Node]:
+    """The options of a select that are seen: all of a list box, else the chosen one, which is the first if none is."""
+    options, stack = [], list(reversed(node.children))
+    while stack:
+        c = stack.pop()
+        if isinstance(c, Node):
+            if c.tag == "option":
+                options.append(c)
+            elif c.tag == "optgroup":
+                stack.extend(reversed(c.children))
+    if node.get("multiple") is not None or _number(node.get("size"), 0, 10**6, 0) > 1:
+        return options
+    return [o for o in options if o.get("selected") is not None][-1:] or options[:1]
 
 
 class Lines:
@@ -259,15 +298,18 @@ def render(source: str | None) -> str:
     if not source:
         return ""
     root, styles = parse(source)
-    hidden = _hidden_by(styles)
+    sheets = Sheets(styles)
     out = [Lines()]
     lists: list[list] = []  # open lists: number of the next item, or None
     tables: list[list] = []  # open tables: rows of cells, and captions
-    pre = 0
-    stack: list[tuple] = [(root, None)]
+    path: list[Node] = []  # open elements
+    pre = drawn = 0  # open pre elements; open svg elements, less the parts of them that hold text
+    stack: list[tuple] = [(root, None, True)]
     while stack:
-        node, leave = stack.pop()
-        if leave is None and isinstance(node, str):
+        node, leave, seen = stack.pop()
+        if isinstance(node, str):
+            if not seen or drawn:
+                continue
             if pre:
                 for i, line in enumerate(node.split("\n")):
                     if i:
@@ -284,49 +326,61 @@ def render(source: str | None) -> str:
                 now.put(["".join(now.inline)])
                 now.inline, now.space = [], False
                 continue
-            if not _shown(node, hidden):
+            there, seen = _shown(node, path, sheets, seen)
+            if not there:
                 continue
             if tag == "hr":
                 now.block(1)
-                now.put(["---"])
+                now.put(["---"] if seen else [])
                 now.block(1)
                 continue
             if tag == "img":
-                if alt := node.get("alt"):
+                if seen and (alt := node.get("alt")):
                     now.text(alt)
                 continue
             if tag == "input":
-                if (node.get("type") or "text").lower() not in ("hidden", "checkbox", "radio", "file", "image", "password") and (value := node.get("value")):
+                if seen and (node.get("type") or "text").lower() not in ("hidden", "checkbox", "radio", "file", "image", "password") and (value := node.get("value")):
                     now.text(value)
                 continue
             if tag in VOID:
                 continue
             if tag in BLOCK:
                 now.block(0 if tag in ("ul", "ol") and lists else int(tag in MARGIN))
-            stack.append((node, True))
+            laid = tag in _LAID_OUT and len(out) <= DEEPEST
+            kept = drawn
+            if tag == "svg" or tag in ("text", "foreignobject"):
+                drawn = int(tag == "svg")
+            stack.append((node, (laid, kept), seen))
+            path.append(node)
             if tag in ("ul", "menu", "dir"):
                 lists.append([None])
             elif tag == "ol":
                 lists.append([_number(node.get("start"), -(10**6), 10**6, 1)])
-            elif tag == "table":
+            elif tag == "table" and laid:
                 tables.append([[], []])
             elif tag == "tr" and tables:
                 tables[-1][0].append([])
             if tag == "pre":
                 pre += 1
-            if tag in ("li", "dd", "blockquote", "td", "th", "table", "caption"):
+            if laid:
                 out.append(Lines())
             children = node.children
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+            elif tag == "select":
+                children = _chosen(node)
             if tag == "pre" and children and isinstance(children[0], str):
                 children = [children[0].removeprefix("\n"), *children[1:]]
-            stack.extend((c, None) for c in reversed(children))
+            stack.extend((c, None, seen) for c in reversed(children))
             continue
+        path.pop()
+        laid, drawn = leave
         if tag in BLOCK:
             now.end()
-        if tag in ("li", "dd", "blockquote", "td", "th", "table", "caption"):
-            lines, outer = out.pop().lines, out[-1]
+        if laid:
+            lines, outer = out.pop(), out[-1]
+            lines.end()
+            lines = lines.lines
             if tag == "li":
                 mark = "- "
                 if lists and lists[-1][0] is not None:
@@ -358,7 +412,7 @@ def render(source: str | None) -> str:
 def extract(pages: DataFrame, key: str = "page_id", source: str = "html") -> DataFrame:
     """key, text and n_lines for each row of pages; other columns are not read.
 
-    Null and empty pages have an empty text and no lines. Rows are on their own: repeated and null keys do not matter, equal pages give equal texts; an
+    Pages of any length are read whole. Null and empty pages have an empty text and no lines. Rows are on their own: repeated and null keys do not matter, equal pages give equal texts; an
     empty table gives no rows. Broken markup gives what can be read of it.
     """
 

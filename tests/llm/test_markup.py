@@ -22,6 +22,15 @@ from lumbung.llm import markup
         ("<style>.ad, p.x{color:red;display:none}</style><div class='b ad'>no</div><p class=x>no</p><div class=x>yes</div>", "yes"),
         ("<head><title>T</title><meta charset=x></head><body>b", "b"), ("</p>x</div></b>", "x"), ("x <img alt='pic'> y", "x pic y"),
         ("a < b and c > d", "a < b and c > d"), ("<td>cell</td>", "cell"), ("<a href='x>y'>l</a>", "l"), ("x<![CDATA[ y ]]>z", "x y z"), ("x <b", "x"),
+        ("<style>@media print {.nav{display:none}} @media screen and (max-width: 600px) {.a{display:none}} @media (min-width:10px){.z{display:none}}</style><p class=nav>menu<p class=a>a<p class=z>no", "menu\n\na"),
+        ("<style>.a{display:none} .a{display:block}</style><p class=a>x", "x"), ("<style>#i{display:block} .a{display:none}</style><p class=a id=i>x", "x"),
+        ("<style>.a{display:none!important} #i{display:block}</style><p class=a id=i>x</p>y", "y"), ("<style>.a{display:none}</style><p class=a style='display:block'>x", "x"),
+        ("<div style='visibility:hidden'>no <b style='visibility:visible'>yes</b> no</div>", "yes"), ("<style>.a .b{display:none} .c > .b{display:none}</style><i class=b>1</i><div class=a><p><i class=b>2</i></div><div class=c><i class=b>3</i><p><i class=b>4</i></div>", "1\n\n4"),
+        ("<style>x,"+"y"*3000+",.q{display:none}</style><p class=q>no</p>yes", "yes"), ("<style>[data-x]{display:none} p:hover{display:none} .k+p{display:none}</style><p data-x>no</p><p>a", "a"),
+        ("<svg><title>t</title><desc>d</desc><text x=1>drawn <tspan>text</tspan></text></svg> after", "drawn text after"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math>", "x=2"),
+        ("<select><option>a<option selected>b<option>c</select>", "b"), ("<select><option>a<option>b</select>", "a"), ("<select multiple><option>a<option>b</select>", "a\nb"),
+        ("<p hidden style='display:block'>x", "x"), ("<p title='" + "z" * 9000 + " > w'>x", "x"), ("<p title=\"a'b>c\">x<p title='d\"e>f'>y", "x\n\ny"),
+        ("<div>" * 1000 + "<p style='display:none'>no</p>" + "</div>" * 1000 + "yes", "yes"), ("<i>" * 5000 + "<b hidden>no</b>" + "</i>" * 5000 + "yes", "yes"),
     ],
 )
 def test_layout(source, text):
@@ -42,11 +51,50 @@ def test_all_visible_words_are_there_in_order():
         assert found == words if k % 2 else sorted(found) == sorted(words), "".join(out)
 
 
-@pytest.mark.parametrize("source", ["<div>" * 100_000 + "x", '<a "' * 20_000, "<ul><li>" * 1500, "<" * 100_000, "<table><tr><td>" * 500, "<!--" * 50_000, "&" * 100_000, "<p>" * 50_000])
+@pytest.mark.parametrize("source", ["<div>" * 100_000 + "x", '<a "' * 20_000, "<ul><li>" * 1500, "<" * 100_000, "<table><tr><td>" * 500, "<!--" * 50_000, "&" * 100_000, "<p>" * 50_000, "<ul><li>x" * 20_000, "<p><table>" + "<b>" * 30_000 + "<div>" * 30_000, "<blockquote>a" * 20_000, "<a b=\"" * 30_000, "<a b='x' " * 30_000, "<style>" + "a{" * 50_000, "</b>" * 50_000 + "<b>" * 50_000 + "</i>" * 50_000])
 def test_odd_pages_end(source):
     markup.render(source)
 
 
+def seen(source):
+    """The visible letters of a page of nested div elements, by a plain recursive reading of the same rules."""
+    out = []
+    rules = [((m[1], m[3]) if m[3] else (None, m[1]), 2 if m[3] else 1, m[4], m[5]) for m in re.finditer(r"\.(\w)( \.(\w))? \{(display|visibility):(\w+)\}", source.partition("</style>")[0])]
+    path, shown, visible = [], [True], [True]
+    for m in re.finditer(r"<div class=(\w)>|(</div>)|(w\d+)", source.partition("</style>")[2]):
+        if m[1]:
+            value = {}
+            for (outer, own), weight, name, x in rules:
+                if own == m[1] and (outer is None or outer in path) and value.get(name, (0,))[0] <= weight:
+                    value[name] = (weight, x)
+            path.append(m[1])
+            shown.append(shown[-1] and value.get("display", (0, ""))[1] != "none")
+            visible.append({"hidden": False, "visible": True}.get(value.get("visibility", (0, ""))[1], visible[-1]))
+        elif m[2]:
+            if path:
+                path.pop(), shown.pop(), visible.pop()
+        elif shown[-1] and visible[-1]:
+            out.append(m[3])
+    return out
+
+
+def test_against_a_plain_reading():
+    r = random.Random(11)
+    for _ in range(300):
+        rules = [f".{r.choice('abc')}{r.choice(['', ' .' + r.choice('abc')])} {{{r.choice(['display:none', 'display:block', 'visibility:hidden', 'visibility:visible'])}}}" for _ in range(r.randint(1, 6))]
+        body, depth = [], 0
+        for i in range(r.randint(1, 40)):
+            if depth and r.random() < 0.4:
+                body.append("</div>")
+                depth -= 1
+            elif r.random() < 0.6:
+                body.append(f"<div class={r.choice('abcd')}>")
+                depth += 1
+            body.append(f"w{i} ")
+        source = "<style>" + " ".join(rules) + "</style>" + "".join(body)
+        assert re.findall(r"w\d+", markup.render(source)) == seen(source), source
+
+
 def test_edges(spark):
     rows = [(1, "u", "<p>x", "a"), (1, "u", "<p>x", "a"), (2, None, None, "b"), (None, "u", "", "c"), (3, "u", "<p>" + "y " * 100_000, "d")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

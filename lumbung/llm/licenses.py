@@ -112,7 +112,6 @@ class Index:
         self.hashes = np.array([r[0] for r in rows], np.uint64)
         self.places = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)
         self.brief = np.array([h for h, i, _ in rows if self.short[i]], np.uint64)
-        self.counts = np.bincount(self.places[:, 0], minlength=len(templates)) if len(rows) else np.zeros(len(templates), np.int64)
 
     def scan(self, texts: list[str | None]) -> Iterator[tuple[int, Match, int, int]]:
         """Of some texts: (number of the text, match, start, end in code points)."""
@@ -153,14 +152,12 @@ class Index:
                 groups[-1].append((x, p))
             else:
                 groups.append([(x, p)])
-        least = max(1, int(self.counts[template]) // 6)
         for group in groups:
             for near in _near(sorted(group), len(words)):
-                if len({p for _, p in near}) >= least:
-                    diagonals = sorted(x - p for x, p in near)
-                    found = align(words, text, diagonals[len(diagonals) // 2], band, template)
-                    if found and found.coverage >= COVERAGE:
-                        yield found
+                diagonals = sorted(x - p for x, p in near)
+                found = align(words, text, diagonals[len(diagonals) // 2], band, template)
+                if found and found.coverage >= COVERAGE:
+                    yield found
 
 
 def _near(group: list[tuple[int, int]], length: int) -> list[list[tuple[int, int]]]:
@@ -177,35 +174,36 @@ def _near(group: list[tuple[int, int]], length: int) -> list[list[tuple[int, int
 def align(words: np.ndarray, text: np.ndarray, diagonal: int, band: int, template: int = 0) -> Match | None:
     """The template's words in the text, place i near place i + diagonal: the most matches, with as few gaps as can be, within the band."""
     n, width = len(words), 2 * band + 1
-    score = np.zeros((n + 1, width), np.int64)
+    columns = np.arange(width)
+    score = np.full((n + 1, width), -(10**6), np.int64)
     step = np.zeros((n + 1, width), np.int8)
-    pattern, source = words.tolist(), text.tolist()
     # row i: the first i words are done; column c: the text is at place i + diagonal + c - band
-    for i in range(n + 1):
-        for c in range(width):
-            x = i + diagonal + c - band
-            if x < 0 or x > len(source):
-                score[i, c] = -(10**6)
-                continue
-            best, how = (0, 0) if i == 0 else (-(10**6), 0)
-            if i and x and score[i - 1, c] > -(10**5):
-                same = pattern[i - 1] == source[x - 1]
-                value = score[i - 1, c] + (3 if same else -1)
-                if value > best:
-                    best, how = value, 1
-            if i and c + 1 < width and score[i - 1, c + 1] - 1 > best:
-                best, how = score[i - 1, c + 1] - 1, 2
-            if c and i and i < n and score[i, c - 1] - 1 > best:
-                best, how = score[i, c - 1] - 1, 3
-            score[i, c], step[i, c] = best, how
-    i, c = n, max(range(width), key=lambda k: (score[n, k], -abs(k - band)))  # of equal ones the nearest to the diagonal
+    place = diagonal + columns - band
+    score[0, (place >= 0) & (place <= len(text))] = 0
+    for i in range(1, n + 1):
+        x = place + i
+        there = (x >= 0) & (x <= len(text))
+        same = there & (x >= 1)
+        same[same] = text[x[same] - 1] == words[i - 1]
+        open_ = (x >= 1) & (score[i - 1] > -(10**5))
+        best = np.where(open_, score[i - 1] + np.where(same, 3, -1), -(10**6))
+        how = np.where(open_, 1, 0)
+        skip = np.append(score[i - 1, 1:], -(10**6)) - 1  # a word of the template that the text lacks
+        how = np.where(skip > best, 2, how)
+        best = np.where(there, np.maximum(best, skip), -(10**6))
+        if i < n:  # words of the text that the template lacks
+            run = np.maximum.accumulate(np.where(there, best + columns, -(10**7))) - columns
+            how = np.where(there & (run > best), 3, how)
+            best = np.where(there, np.maximum(best, run), -(10**6))
+        score[i], step[i] = best, how
+    i, c = n, int(np.lexsort((np.abs(columns - band), -score[n]))[0])  # of equal ones the nearest to the diagonal
     if score[n, c] <= -(10**5):
         return None
     matched, first, last = 0, -1, -1
     while i > 0:
         x, how = i + diagonal + c - band, step[i, c]
         if how == 1:
-            if pattern[i - 1] == source[x - 1]:
+            if words[i - 1] == text[x - 1]:
                 matched, first, last = matched + 1, x - 1, x - 1 if last < 0 else last
             i -= 1
         elif how == 2:
@@ -218,10 +216,10 @@ def align(words: np.ndarray, text: np.ndarray, diagonal: int, band: int, templat
 
 
 def outer(matches: list[Match]) -> list[Match]:
-    """Without matches that lie within those with more words: a short notice is part of a longer header; of equal spans the best covered stays."""
+    """Without matches of which half the words or more lie within one with more words: a short notice is part of a longer header; of equal spans the best covered stays."""
     kept: list[Match] = []
     for m in sorted(matches, key=lambda m: (-m.matched, -m.coverage, m.first, m.template)):
-        if not any(k.first <= m.first and m.last <= k.last or (k.first <= m.last and m.first <= k.last and k.matched > m.matched) for k in kept):
+        if not any(2 * (min(k.last, m.last) - max(k.first, m.first) + 1) >= m.last - m.first + 1 for k in kept):
             kept.append(m)
     return sorted(kept, key=lambda m: (m.first, m.template))
 

@@ -58,3 +58,35 @@ def test_edges(spark):
     rows = licenses.scan(documents(spark, [(1, text, "en", "s"), (1, text, "en", "s"), (None, "Licensed under CC BY 4.0.", None, None)])).collect()
     assert len(rows) == 3 and all(r["coverage"] == 1.0 for r in rows)
     assert [text[r["start"] : r["end"]] for r in rows if r["doc_id"] == 1] == ["Released under the MIT License"] * 2
+
+
+def changed(text, r, share):
+    """A template with some words replaced, left out or put in."""
+    out = []
+    for w in text.split():
+        x = r.random()
+        out += [] if x < share / 3 else [f"q{r.randrange(99)}"] if x < 2 * share / 3 else [w, f"q{r.randrange(99)}"] if x < share else [w]
+    return " ".join(out)
+
+
+def test_recall_against_full_alignment():
+    """Every template aligned with the whole text, without index and band."""
+    r, index = random.Random(4), licenses.Index()
+    expected = found = 0
+    for k in range(60):
+        name, template = licenses.TEMPLATES[k % len(licenses.TEMPLATES)]
+        text = words(r.randint(0, 40), k) + " " + changed(template, r, r.choice([0, 0.1, 0.2])) + " " + words(r.randint(0, 40), 900 + k)
+        h = hashing.words([text], hashing.PLAIN).hashes
+        every = [m for t, w in enumerate(index.words) if (m := licenses.align(w, h, 0, len(h) + len(w), t)) and m.coverage >= licenses.COVERAGE]
+        want = {(m.template, m.matched) for m in licenses.outer(every)}
+        got = {(m.template, m.matched) for _, m, _, _ in index.scan([text])}
+        expected += len(want)
+        found += len(want & got)
+        assert {t for t, _ in got} <= {m.template for m in every}
+    assert expected > 40 and found / expected >= 0.9, (found, expected)
+
+
+def test_touching_notices_are_both_reported():
+    text = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0. All rights reserved."
+    found = [licenses.Index().names[m.template] for _, m, _, _ in licenses.Index().scan([text])]
+    assert found == ["MIT", "Apache-2.0", "all-rights-reserved"]

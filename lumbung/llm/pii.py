@@ -65,14 +65,17 @@ _WORDS = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
 _NUMBER = rf"(?:(?:{'|'.join(TIMES)})[\s-]+)?(?:{_WORDS})|[0-9]"
 _RUN = re.compile(rf"(?<!\w)(?:(?:{'|'.join(PLUS)})[\s-]*)?(?:{_NUMBER})(?!\w)(?:(?:[\s,.-]{{1,3}}|\s*\(|\)\s*|[\s,-]+(?:{'|'.join(DOTS)})[\s,-]+)(?:{_NUMBER})(?!\w))+", re.I)
 _TOKEN = re.compile(r"\w+|\W+")
-_WORD_HINT = re.compile(rf"(?<!\w)(?:{_WORDS})(?!\w)")
 _NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
 # blanks before a sign are looked at from where they begin, so that long ones are read once
 _OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
 _AT = re.compile(rf"(?P<sure>{_OPEN}(?:at|@|{'|'.join(ATS)}){_CLOSE}|(?<![ \t])[ \t]++(?:{'|'.join(ATS)})[ \t]++)|(?<![ \t])(?:[ \t]++at[ \t]++|[ \t]*+@[ \t]*+)", re.I)
 _DOT = re.compile(rf"(?P<sure>{_OPEN}(?:{'|'.join(DOTS)}|\.){_CLOSE})|(?<![ \t])[ \t]++(?P<word>{'|'.join(DOTS)})[ \t]++|\.", re.I)
-_SIGN_HINT = re.compile(rf"[\[({{<]\s*+(?:at|@|{'|'.join(ATS + DOTS)}|\.)\s*+[\])}}>]|[ \t](?:{'|'.join(ATS + DOTS)})[ \t]|[ \t]at[ \t]++[A-Za-z0-9-]++\.", re.I)
+_BRACKETED = re.compile(rf"[\[({{<]\s*+(?:at|@|{'|'.join(ATS + DOTS)}|\.)\s*+[\])}}>]", re.I)
+_BARE_WORDS = re.compile(rf"[ \t](?:{'|'.join(ATS + DOTS)})[ \t]", re.I)
+_AT_HOST = re.compile(r"[ \t]at[ \t]++[A-Za-z0-9-]++\.", re.I)
+_ALL_WORDS = re.compile(r"\w+")
+_IN_RUNS = frozenset(DIGIT_WORDS) | frozenset(TIMES) | frozenset(DOTS) | frozenset(PLUS) | frozenset("0123456789")
 
 
 def luhn(digits: str) -> bool:
@@ -196,16 +199,28 @@ def _spelled(run: str) -> str | None:
 
 
 def _digits(text: str) -> list[tuple[int, int, str]]:
-    low = text.lower()
-    if sum(map(low.count, DIGIT_WORDS)) < 2 or sum(1 for _ in zip(range(2), _WORD_HINT.finditer(low), strict=False)) < 2:
-        return []  # with one word, a run is a digit and a word beside plain digits, and that is prose
+    last, streak, longest = -2, 0, 0  # digit words in a row, with nothing but what runs have between
+    words = _ALL_WORDS.findall(text.lower())
+    for i in [i for i, w in enumerate(words) if w in _IN_RUNS]:
+        streak = (streak if i == last + 1 else 0) + (words[i] in DIGIT_WORDS)
+        last, longest = i, max(longest, streak)
+    if longest < 2:
+        return []
     return [(m.start(), m.end(), new) for m in _RUN.finditer(text) if (new := _spelled(m[0])) is not None]
 
 
+def _disguised(text: str) -> bool:
+    """Whether a text has any sign that _signs() could take for another."""
+    if any(x in text for x in "[({<") and _BRACKETED.search(text):
+        return True
+    low = text.lower()
+    return any(w in low for w in ATS + DOTS) and bool(_BARE_WORDS.search(text)) or " at " in low.replace("\t", " ") and bool(_AT_HOST.search(text))
+
+
 def _signs(text: str) -> list[tuple[int, int, str]]:
     """Edits of the disguised signs in addresses: around every sign that may stand for @, the name before and the host after it are read as far as they go."""
     edits: list[tuple[int, int, str]] = []
-    if not _SIGN_HINT.search(text):
+    if not _disguised(text):
         return edits
     before = {m.end(): m for m in _DOT.finditer(text)}
     free = 0

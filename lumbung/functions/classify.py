@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .lexicon import DEFAULT_PLACE, DEFAULT_TOPIC, PROVINCES, Lexicon
-from .text import any_keyword, keyword_count, keyword_position
-
-#: Keywords from which label_topic() runs as an Arrow function: the plan of a larger expression takes longer to compile than to run.
-NATIVE_KEYWORDS = 60
+from .text import any_keyword, every_match_pattern
 
 
 def label_place(text: Column, lexicon: Lexicon = PROVINCES, default: str = DEFAULT_PLACE) -> Column:
@@ -21,27 +16,46 @@ def label_place(text: Column, lexicon: Lexicon = PROVINCES, default: str = DEFAU
     return F.coalesce(*[F.when(any_keyword(text, words), F.lit(name)) for name, words in lexicon.items()], F.lit(default))
 
 
+def _categories(lexicon: Lexicon) -> dict[str, list[int]]:
+    """Of each keyword in small letters the categories, by place, that have it or a keyword which it begins with: wherever it is found, those are found too."""
+    words = {w.lower() for ws in lexicon.values() for w in ws}
+    begins = {w: [v for v in words if w == v or (w.startswith(v) and not re.match(r"\w", w[len(v)]))] for w in words}
+    return {w: [i for v in begins[w] for i, ws in enumerate(lexicon.values()) for x in ws if x.lower() == v] for w in sorted(words)}
+
+
 def label_topic(title: Column, content: Column, lexicon: Lexicon, default: str = DEFAULT_TOPIC) -> Column:
     """The category of a title.
 
     Categories with a keyword in the title compete: most matches in the content win (each keyword counted on its own), then the first
-    place in the title, then the lexicon's order. Counting is left out if only one competes.
+    place in the title, then the lexicon's order. Counting is left out if only one competes. Lexicons of all sizes take one pass with one pattern over each text.
     """
-    if sum(map(len, lexicon.values())) > NATIVE_KEYWORDS:
-        return topic_udf(lexicon, default)(title, content)
-    body = F.coalesce(content, F.lit(""))
-    places = {name: keyword_position(title, words) for name, words in lexicon.items()}
-    hits = sum((p.isNotNull().cast("int") for p in places.values()), F.lit(0))
-    rows = [
-        F.when(places[name].isNotNull(), F.struct(F.when(hits > 1, -keyword_count(body, words)).otherwise(F.lit(0)).alias("f"), places[name].alias("p"), F.lit(i).alias("i"), F.lit(name).alias("name")))
-        for i, (name, words) in enumerate(lexicon.items())
-    ]
-    best = F.least(*rows) if len(rows) > 1 else rows[0]
-    return F.coalesce(best["name"], F.lit(default))
+    if not lexicon:
+        return F.lit(default)
+    known = _categories(lexicon)
+    owners = F.create_map(*[x for word, places in known.items() for x in (F.lit(word), F.array(*map(F.lit, places)))])
+    pattern, names = F.lit(every_match_pattern(list(known))), F.array(*map(F.lit, lexicon))
+
+    def found(text: Column) -> Column:
+        """An array for each match, in order: the categories that it speaks for."""
+        return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), pattern, F.lit(1)), lambda w: F.try_element_at(owners, F.lower(w)))
+
+    def best(matches: Column) -> Column:
+        competing = F.array_distinct(F.flatten(matches))
+
+        def pick(counts: Column) -> Column:
+            place = lambda c: F.array_position(F.transform(matches, lambda m: F.array_contains(m, c)), F.lit(True))
+            rows = F.transform(competing, lambda c: F.struct((-F.size(F.filter(counts, lambda x: x == c))).alias("f"), place(c).alias("p"), c.alias("i")))
+            return F.array_min(rows)["i"]
+
+        none = F.array().cast("array<int>")
+        several = F.transform(F.array(F.when(F.size(competing) > 1, F.flatten(found(content))).otherwise(none)), pick)
+        return F.when(F.size(competing) > 0, F.get(names, F.get(several, 0)))
+
+    return F.coalesce(F.get(F.transform(F.array(found(title)), best), 0), F.lit(default))
 
 
 def topic_of(title: str, content: str | None, compiled: list[tuple[str, list[re.Pattern]]], default: str = DEFAULT_TOPIC) -> str:
-    """The rule for one row, in Python."""
+    """The same rule for one row, said plainly in Python; the tests hold label_topic() against it."""
     places = {}
     for i, (name, patterns) in enumerate(compiled):
         found = [m.start() for p in patterns if (m := p.search(title))]
@@ -57,17 +71,3 @@ def topic_of(title: str, content: str | None, compiled: list[tuple[str, list[re.
 
 def compiled(lexicon: Lexicon) -> list[tuple[str, list[re.Pattern]]]:
     return [(name, [re.compile(rf"\b{re.escape(w)}\b", re.IGNORECASE) for w in words]) for name, words in lexicon.items()]
-
-
-def topic_udf(lexicon: Lexicon, default: str = DEFAULT_TOPIC):  # noqa: ANN201
-    """label_topic() as an Arrow function, for large lexicons. One pass with all keywords of the lexicon finds the titles that have any."""
-    words = sorted({w for ws in lexicon.values() for w in ws}, key=len, reverse=True)
-    source, first = dict(lexicon), r"\b(?:" + "|".join(map(re.escape, words)) + r")\b"
-
-    @F.pandas_udf("string")
-    def label(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        patterns, any_ = compiled(source), re.compile(first, re.IGNORECASE)
-        for titles, contents in batches:
-            yield pd.Series([default if t is None or not any_.search(t) else topic_of(t, c, patterns, default) for t, c in zip(titles, contents, strict=True)], dtype="object")
-
-    return label

@@ -25,6 +25,12 @@ def word_pattern(keywords: str | Sequence[str]) -> str:
     return rf"(?iu)(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(map(_quoted, words))})(?![\p{{L}}\p{{N}}_])"
 
 
+def every_match_pattern(keywords: Sequence[str]) -> str:
+    """A pattern whose matches are empty, one wherever a keyword begins, also within others; group 1 is the longest that begins there."""
+    words = "|".join(map(_quoted, sorted(keywords, key=lambda w: (-len(w), w))))
+    return rf"(?iu)(?<![\p{{L}}\p{{N}}_])(?=({words})(?![\p{{L}}\p{{N}}_]))"
+
+
 def any_keyword(text: Column, keywords: Sequence[str]) -> Column:
     return text.rlike(word_pattern(keywords))
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import settled
+
 PUBLIC = ["No", "Source", "Title", "Content", "Year", "Month", "Week", "Minggu_ke", "Minggu_Mulai", "Week_Label", "Penyakit", "Lokasi", "url"]
 
 
@@ -62,7 +64,7 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "No", partitions
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # the place in a partition is the low half of the id, its number the high half
-    marked = ranged.withColumn("__mark", F.monotonically_increasing_id()).persist()
+    marked = settled(ranged.withColumn("__mark", F.monotonically_increasing_id()))
     part, place = F.shiftright("__mark", 33), F.col("__mark").bitwiseAND(F.lit((1 << 33) - 1))
     counts = marked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
     before = F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -92,6 +94,15 @@ def merge_by_url(existing: DataFrame, new: DataFrame, order: str = "seq", key: s
     return keep_last(both, key, ["__source", order])
 
 
+def merge_totals(existing: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
+    """One row: rows that there were, new rows, rows of both with keys of their own, and how many rows the merge takes out."""
+    both = existing.select(key, F.lit(0).alias("__new")).union(new.select(key, F.lit(1)))
+    each = both.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), F.sum("__new").alias("__new"))
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    rows = each.agg(total(F.col("__rows") - F.col("__new")).alias("existing"), total("__new").alias("new"), F.count(F.lit(1)).alias("unique"), total(F.col("__rows") - 1).alias("removed"))
+    return rows
+
+
 def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """The first n rows in an order."""
     return df.orderBy(*_order(order)).limit(n)
@@ -121,6 +132,13 @@ def top_sources(df: DataFrame, n: int = 10) -> DataFrame:
     return df.groupBy("Source").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "Source").limit(n)
 
 
+#: Rows of configuration of either side of requests().
+CONFIGURED = 10_000
+
+
 def requests(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every query with every month or page: both are configuration of a few rows."""
+    """Every query with every month or page: both are configuration, of at most CONFIGURED rows, which is checked."""
+    for side in (left, right):
+        if side.limit(CONFIGURED + 1).count() > CONFIGURED:
+            raise ValueError(f"requests() is for configuration of at most {CONFIGURED} rows on either side")
     return left.crossJoin(right)

@@ -107,8 +107,8 @@ def known_week(existing: DataFrame, context: Context) -> int:
 def news_requests(queries: DataFrame, context: Context, months: int = 3) -> DataFrame:
     """A row for each query and month to ask for, with the text of the request."""
     spans = dates.last_months(queries.sparkSession, context.as_of, months)
-    asked = rel.requests(queries, spans)
-    return asked.withColumn("request", F.format_string("%s after:%s before:%s", "query", "month_start", "month_end")).withColumn("encoded", text.quote_query(F.col("request")))
+    asked = rel.requests(queries, spans)  # dates as texts: format_string() would give numbers of days
+    return asked.withColumn("request", F.concat_ws("", "query", F.lit(" after:"), F.col("month_start").cast("string"), F.lit(" before:"), F.col("month_end").cast("string"))).withColumn("encoded", text.quote_query(F.col("request")))
 
 
 def publish(df: DataFrame, send: Callable[[DataFrame, str], None], token: str | None, target: str, as_of: dt.datetime | str) -> bool:

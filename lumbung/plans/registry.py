@@ -6,6 +6,7 @@ The engine's own lexicons name topics that test tables don't speak of, so classi
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, dates, text
 from ..operators import relational as rel
-from ..sources import feeds, pages
-from . import articles
+from ..operators.store import settled
+from ..sources import feeds, files, pages
+from ..streaming import upsert
+from . import articles, phases
 
 CORPUS = {"alpha": ["the", "of the", "of"], "beta": ["and", "in"], "gamma": ["de", "la", "que"], "delta": ["of", "to", "is"]}
 PRIORITIES = {"pressing": ["urgent", "high"], "usual": ["medium", "low"]}
@@ -48,7 +51,7 @@ def _titled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"), rest.alias("content"))
 
 
-_TITLED = "select doc_id, substr(text, 1, 60) as title, substr(text, 61, 2000) as content from documents"
+_TITLED = "select doc_id, split_part(text, chr(10), 1) as title, case when strpos(text, chr(10)) > 0 then substr(text, strpos(text, chr(10)) + 1) when text is not null then '' end as content from documents"
 _EDGE = r"[^\p{L}\p{N}_]"
 
 
@@ -97,17 +100,17 @@ def clean_text(spark, sf_dir):  # noqa: ANN001, ANN201
     return _read(spark, sf_dir, "documents").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query(f"select doc_id, {_any_sql('title', CORPUS['gamma'])} as hit from ({_TITLED})")
+@query(f"select doc_id, {_any_sql('text', CORPUS['gamma'])} as hit from documents")
 def keyword_any(spark, sf_dir):  # noqa: ANN001, ANN201
     return _read(spark, sf_dir, "documents").select("doc_id", text.any_keyword(F.col("text"), CORPUS["gamma"]).alias("hit"))
 
 
-@query(f"select doc_id, ({_count_sql('content', CORPUS['alpha'])})::integer as n from ({_TITLED})")
+@query(f"select doc_id, ({_count_sql('text', CORPUS['alpha'])})::integer as n from documents")
 def keyword_count_sum(spark, sf_dir):  # noqa: ANN001, ANN201
     return _read(spark, sf_dir, "documents").select("doc_id", text.keyword_count(F.col("text"), CORPUS["alpha"]).alias("n"))
 
 
-@query(f"select doc_id, ({_place_sql('title', CORPUS['alpha'])})::integer as pos from ({_TITLED})")
+@query(f"select doc_id, ({_place_sql('text', CORPUS['alpha'])})::integer as pos from documents")
 def keyword_first_pos(spark, sf_dir):  # noqa: ANN001, ANN201
     return _read(spark, sf_dir, "documents").select("doc_id", text.keyword_position(F.col("text"), CORPUS["alpha"]).cast("int").alias("pos"))
 
@@ -231,10 +234,10 @@ def count_by_year(spark, sf_dir):  # noqa: ANN001, ANN201
 def _pages_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages to article rows: the path that every page takes."""
     found = pages.extract(pages.usable(_read(spark, sf_dir, "pages")), pages.Site("any"), keep=("page_id", "url"))
-    items = found.select(
-        F.col("page_id").alias("seq"), text.domain_source(F.col("url")).alias("source"), "title", F.col("body").alias("content"), "url", F.lit(None).cast(dates.STRUCT).alias("pub")
-    )
-    context = articles.Context("2026-11-26T12:00:00", topics=CORPUS, places=CORPUS, default_topic="none", default_place="none")
+    now = "2026-11-26T12:00:00"
+    pub = pages.published(F.lit(None).cast(dates.STRUCT), F.col("raw_dates"), F.col("url"), now)
+    items = found.select(F.col("page_id").alias("seq"), text.domain_source(F.col("url")).alias("source"), "title", F.col("body").alias("content"), "url", pub.alias("pub"))
+    context = articles.Context(now, topics=CORPUS, places=CORPUS, default_topic="none", default_place="none")
     return rel.keep_first(articles.make_rows(items, context), "id", ["seq"])
 
 
@@ -244,8 +247,19 @@ def top_sources(spark, sf_dir):  # noqa: ANN001, ANN201
     return rel.top_sources(_pages_as_articles(spark, sf_dir))
 
 
-@query()
+_H1 = r"""trim(replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'))"""
+_HAS_H1 = r"regexp_matches(html, '(?s)<h1[^>]*>\s*[^<\s]')"
+_BODY = r"""substr(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g')), 1, 2000)"""
+_PAGE = f"select page_id as doc_id, url, {_H1} as title, {_BODY} as content from (select *, row_number() over (partition by url order by page_id) as r from pages where length(html) > 200 and {_HAS_H1}) where r = 1"
+_PLACE_CASE = " ".join(f"when {_any_sql('x', w)} then '{n}'" for n, w in CORPUS.items())
+
+
+@query(f"""with p as ({_PAGE}), l as ({_topic_sql("select doc_id, title, content from p", CORPUS, "none")})
+  select doc_id as seq, substr(md5(url), 1, 12) as id, {_SOURCE} as "Source", title as "Title", trim(content) as "Content", url, null::integer as "Year", null::integer as "Month", null::integer as "Week", null::integer as "Minggu_ke",
+    null::varchar as "Minggu_Mulai", null::varchar as "Week_Label", l.label as "Penyakit", case {_PLACE_CASE} else 'none' end as "Lokasi"
+  from (select *, title || ' ' || content as x from p) join l using (doc_id)""")
 def page_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Article rows of all pages, which show no date."""
     return _pages_as_articles(spark, sf_dir)
 
 
@@ -255,7 +269,7 @@ def html_title(spark, sf_dir):  # noqa: ANN001, ANN201
     return pages.extract(_read(spark, sf_dir, "pages"), pages.Site("any"), keep=("page_id",)).select("page_id", "title")
 
 
-@query()
+@query(f"select page_id, {_BODY} as body from pages where {_HAS_H1}")
 def html_body(spark, sf_dir):  # noqa: ANN001, ANN201
     return pages.extract(_read(spark, sf_dir, "pages"), pages.Site("any"), keep=("page_id",)).select("page_id", "body")
 
@@ -291,7 +305,7 @@ def sitemap_urls(spark, sf_dir):  # noqa: ANN001, ANN201
     return feeds.sitemap_urls(maps).select(F.col("sitemap_url").cast("long").alias("page_id"), "loc", "lastmod")
 
 
-@query("select page_id::varchar as source, 0 as entry_idx, url as link, 'Page ' || page_id::varchar as title, substr(html, 1, 40) as body, '12 Mar 1995' as raw_date from pages where url <> ''")
+@query("select page_id::varchar as source, 0 as entry_idx, url as link, 'Page ' || page_id::varchar as title, html as body, '12 Mar 1995' as raw_date from pages where url <> ''")
 def feed_entries(spark, sf_dir):  # noqa: ANN001, ANN201
     """Two feeds of each page, the first of them empty."""
     rows = _read(spark, sf_dir, "pages")
@@ -346,5 +360,294 @@ def weekly_merge(spark, sf_dir):  # noqa: ANN001, ANN201
     return articles.weekly_update(rel.public_columns(existing), rows, CONTEXT)
 
 
+# Landed tables of pages: each page has its own sitemap, feed or result page, written from its columns.
+
+_SHOP = pages.Site("Shop", ("root",), r"\.example\.(com|org)/", ("h1.none", "h1"), ("article", "main"), ("time", "[class*='date']"))
+_YEARS = articles.Context(AS_OF, years=(1994, 1995), topics=CORPUS, places=CORPUS, default_topic="none", default_place="none")
+_DAY_TEXT = "(1 + length(html) % 28)"
+
+
+def _month_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a day of May or June 1995, as a sitemap and as a feed write it; every third has none."""
+    rows = _read(spark, sf_dir, "pages")
+    day = (1 + F.length("html") % 28).cast("string")
+    month = F.when(F.length("html") % 2 == 0, F.lit("05")).otherwise(F.lit("06"))
+    rows = rows.withColumn("iso", F.concat(F.lit("1995-"), month, F.lit("-"), F.lpad(day, 2, "0")))
+    named = F.concat(day, F.when(month == "05", F.lit(" Mei ")).otherwise(F.lit(" Juni ")), F.lit("1995 10:00"))
+    return rows.withColumn("lastmod", F.when(F.col("page_id") % 3 > 0, F.col("iso")).otherwise(F.lit(""))).withColumn("named", F.when(F.col("page_id") % 3 > 0, named).otherwise(F.lit("")))
+
+
+_DATED = f"""select *, make_date(1995, case when length(html) % 2 = 0 then 5 else 6 end, {_DAY_TEXT}::integer) as day, page_id % 3 > 0 as dated from pages"""
+#: The reading of an ISO date, day first where that is past.
+_ISO_READ = "case when day(day) <= 12 and make_date(1995, day(day), month(day)) <= date '1995-06-18' then make_date(1995, day(day), month(day)) when day <= date '1995-06-18' then day end"
+
+
+def _landed_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entry = F.concat(F.lit("<sitemap><loc>m"), F.col("page_id").cast("string"), F.lit("</loc></sitemap>"))
+    rows = _month_text(spark, sf_dir)
+    index = rows.groupBy((F.col("page_id") % 7).alias("k")).agg(F.concat_ws("", F.collect_list(entry)).alias("x"))
+    middle = index.select(F.concat(F.lit("i"), F.col("k").cast("string")).alias("sitemap_url"), F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>")).alias("xml"))
+    top = middle.agg(F.concat_ws("", F.collect_list(F.concat(F.lit("<sitemap><loc>"), F.col("sitemap_url"), F.lit("</loc></sitemap>")))).alias("x"))
+    leaf = rows.select(F.concat(F.lit("m"), F.col("page_id").cast("string")).alias("sitemap_url"), F.concat(F.lit("<urlset><url><loc>"), _escaped("url"), F.lit("</loc><lastmod>"), F.col("lastmod"), F.lit("</lastmod></url></urlset>")).alias("xml"))
+    return top.select(F.lit("root").alias("sitemap_url"), F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>")).alias("xml")).union(middle).union(leaf)
+
+
+_CANDIDATES = rf"""select url, min(known) as known from (select url, case when dated then {_ISO_READ} end as known from ({_DATED}) where regexp_matches(url, '(?i)\.example\.(com|org)/'))
+  where known is null or year(known) in (1994, 1995) group by url"""
+
+
+@query(f"select url, known from ({_CANDIDATES})")
+def sitemap_candidates(spark, sf_dir):  # noqa: ANN001, ANN201
+    """URLs of all sitemaps under one root, two levels of indexes down, by the site's filter and years; unknown dates stay."""
+    found = phases.candidates(_landed_sitemaps(spark, sf_dir), _YEARS, [_SHOP])
+    return found.select("url", F.col("known.local").cast("date").alias("known"))
+
+
+@query(f"select url, known from ({_CANDIDATES}) where known is null or known between date '1995-06-12' and date '1995-06-18'")
+def week_candidates(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The same for as_of's week."""
+    found = phases.candidates(_landed_sitemaps(spark, sf_dir), _YEARS, [_SHOP], week=True)
+    return found.select("url", F.col("known.local").cast("date").alias("known"))
+
+
+@query(rf"""select url from (select distinct url from ({_DATED}) where (not dated or ({_ISO_READ}) is null or year({_ISO_READ}) in (1994, 1995)) and regexp_matches(url, '(?i)(la[-_.]tour|page|seite|news)'))""")
+def topic_url_candidates(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The top-up: URLs that name a topic, whatever the site's filter."""
+    context = articles.Context(AS_OF, years=(1994, 1995), topics={"a": ["la tour", "page", "abc"], "b": ["seite", "news"]}, places=CORPUS)
+    return phases.candidates(_landed_sitemaps(spark, sf_dir), context, [_SHOP], wide=True).select("url")
+
+
+@query(f"""with c as ({_CANDIDATES}), p as (select url, min({_H1}) as title from pages where length(html) > 200 and {_HAS_H1} group by url)
+  select distinct 'Shop' as "Source", p.title as "Title", p.url, year(c.known)::integer as "Year", strftime(date_trunc('week', c.known)::date, '%Y-%m-%d') as "Minggu_Mulai" from c join p on c.url = p.url where c.known is not null""")
+def sitemap_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The sitemap phase from landed sitemaps and pages; of pages that share a URL the first title counts."""
+    landed = phases.Landed(sitemaps=_landed_sitemaps(spark, sf_dir), pages=_read(spark, sf_dir, "pages"))
+    found = rel.keep_first(phases.sitemap_phase(landed, _YEARS, [_SHOP]).filter("Year is not null"), "url", ["Title"])
+    return found.select("Source", "Title", "url", "Year", "Minggu_Mulai")
+
+
+def _landed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed of each page, after an empty one for those of an even number; every fifth was not found."""
+    rows = _month_text(spark, sf_dir).withColumn("feed_idx", F.explode(F.array(F.lit(0), F.lit(1))))
+    item = F.concat(F.lit("<item><title>Page "), F.col("page_id").cast("string"), F.lit(" of the</title><link>"), _escaped("url"), F.lit("</link><description>a  b\n c</description><pubDate>"), F.col("named"), F.lit("</pubDate></item>"))
+    xml = F.concat(F.lit("<rss><channel>"), F.when((F.col("feed_idx") == 1) | (F.col("page_id") % 2 == 1), item).otherwise(F.lit("")), F.lit("</channel></rss>"))
+    return rows.select(F.col("page_id").cast("string").alias("source"), "feed_idx", F.when(F.col("page_id") % 5 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"), xml.alias("xml"))
+
+
+_FEED_ROW = "page_id::varchar as \"Source\", 'Page ' || page_id || ' of the' as \"Title\", 'a b c' as \"Content\", url, year(day)::integer as \"Year\", week(day)::integer as \"Week\", 'alpha' as \"Penyakit\", 'alpha' as \"Lokasi\""
+
+
+@query(f"select {_FEED_ROW} from ({_DATED}) where page_id % 5 > 0 and dated and url <> '' and day <= date '1995-06-18'")
+def feed_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The feed phase: the first feed that has entries, with named dates."""
+    return phases.feed_phase(_landed_feeds(spark, sf_dir), _YEARS).select("Source", "Title", "Content", "url", "Year", "Week", "Penyakit", "Lokasi")
+
+
+@query(f"select {_FEED_ROW} from ({_DATED}) where page_id % 5 > 0 and page_id % 2 = 1 and dated and url <> '' and day between date '1995-06-12' and date '1995-06-18'")
+def feed_week_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The same for as_of's week, where an empty first feed is taken as it is."""
+    return phases.feed_phase(_landed_feeds(spark, sf_dir), _YEARS, week=True).select("Source", "Title", "Content", "url", "Year", "Week", "Penyakit", "Lokasi")
+
+
+@query(f"select {_SOURCE} as \"Source\", 'Page ' || page_id || ' of the' as \"Title\", url, month(day)::integer as \"Month\" from ({_DATED}) where dated and url <> '' and day <= date '1995-06-18'")
+def news_articles(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The news phase: each page is the one entry of a request, its source the host."""
+    news = _landed_feeds(spark, sf_dir).filter("feed_idx = 1").select(F.col("source").alias("query"), F.lit("1995-06-01").alias("month_start"), "xml")
+    return phases.news_phase(news, _YEARS).select("Source", "Title", "url", "Month")
+
+
+@query("""select q.query, m.month_start::date as month_start, q.query || ' after:' || strftime(m.month_start, '%Y-%m-%d') || ' before:' || strftime(m.month_start + interval 1 month, '%Y-%m-%d') as request,
+  replace(replace(q.query, ' ', '%20'), '&', '%26') || '%20after%3A' || strftime(m.month_start, '%Y-%m-%d') || '%20before%3A' || strftime(m.month_start + interval 1 month, '%Y-%m-%d') as encoded
+  from (select n_name || ' & region ' || n_regionkey as query from nation) q, (select unnest(generate_series(timestamp '1995-04-01', timestamp '1995-06-01', interval 1 month)) as month_start) m""")
+def news_requests(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A request for each nation and each of the last three months."""
+    queries = _read(spark, sf_dir, "nation").select(F.concat(F.col("n_name"), F.lit(" & region "), F.col("n_regionkey").cast("string")).alias("query"))
+    return articles.news_requests(queries, CONTEXT).select("query", "month_start", "request", "encoded")
+
+
+def _result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages of an archive search, one for each page: queries by its number's last digits, pages in order; one in 9 is empty, one in 11 was not found."""
+    item = F.concat(
+        F.lit('<article class="list-content__item x"><a class="media__link" href=" '), _escaped("url"), F.lit('" '), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit('dtr-ttl="Named '), F.col("page_id").cast("string"), F.lit('"'))).otherwise(F.lit("")),
+        F.lit("> Text <b>"), F.col("page_id").cast("string"), F.lit('</b> </a><span title="'), F.col("named"), F.lit('">x</span></article><article class="list-content__item"><p>no link</article>'),
+    )
+    body = F.when(F.col("page_id") % 9 == 0, F.lit("<p>nothing")).otherwise(F.concat(F.lit('<div class="list-content">'), item, F.lit("</div>")))
+    status = F.when(F.col("page_id") % 11 == 0, F.lit(500)).otherwise(F.lit(200))
+    return _month_text(spark, sf_dir).select((F.col("page_id") % 13).cast("string").alias("query"), F.floor(F.col("page_id") / 13).cast("int").alias("page"), status.alias("status"), body.alias("html"))
+
+
+@query(f"""with s as (select page_id % 13 as q, min(page_id // 13) as stop from pages where page_id % 9 = 0 or page_id % 11 = 0 group by 1)
+  select (page_id % 13)::varchar as query, (page_id // 13)::integer as page, 0 as idx, url, case when page_id % 2 = 0 then 'Named ' || page_id else 'Text' || page_id end as title,
+    case when dated then day(day) || case when month(day) = 5 then ' Mei ' else ' Juni ' end || '1995 10:00' else '' end as raw_date
+  from ({_DATED}) left join s on page_id % 13 = q where (stop is null or page_id // 13 < stop) and trim(url) <> ''""")
+def archive_items(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Items of result pages up to each query's first page without any, by their title attribute or their text."""
+    found = feeds.archive_items(pages.archive_lists(_result_pages(spark, sf_dir)))
+    return found.select("query", "page", "idx", "url", "title", "raw_date")
+
+
+@query(f"select page_id, case page_id % 4 when 0 then case when day <= date '1995-06-18' then day end when 1 then {_ISO_READ} when 2 then date '1995-03-02' else null end as day from ({_DATED})")
+def page_dates(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The cascade of dates: a known one that isn't in the future, else the first of the page's texts that can be read, else the URL's."""
+    rows = _month_text(spark, sf_dir)
+    kind = F.col("page_id") % 4
+    moment = F.to_timestamp("iso")
+    early = F.struct(moment.alias("instant"), moment.cast("timestamp_ntz").alias("local"))
+    late = F.struct(F.timestamp_seconds(F.lit(4_000_000_000)).alias("instant"), F.timestamp_seconds(F.lit(4_000_000_000)).cast("timestamp_ntz").alias("local"))
+    # those of kind 0 are known; the sitemap's dates go beyond as_of, so only what isn't is known
+    known = F.when((kind == 0) & (F.col("iso") <= "1995-06-18"), early).when(kind > 0, late)
+    texts = F.when(kind == 0, F.array(F.lit("31 Juni 1995"), F.concat(F.col("iso"), F.lit(" at noon")))).when(kind == 1, F.array(F.lit("soon"), F.col("iso"))).otherwise(F.array(F.lit("2 Maret 2094")))
+    url = F.when(kind == 2, F.lit("https://x.example/1995/03/02/a")).otherwise(F.lit("https://x.example/a"))
+    return rows.select("page_id", pages.published(known, texts, url, AS_OF)["local"].cast("date").alias("day"))
+
+
+@query(f"""select page_id, case when status = 200 and length(html) > 200 then 1 else 0 end as usable from (select *, case when page_id % 6 = 0 then 404 else 200 end as status from pages)""")
+def page_gate(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Which pages are worth reading: found, and longer than 200 characters."""
+    rows = _read(spark, sf_dir, "pages").withColumn("status", F.when(F.col("page_id") % 6 == 0, F.lit(404)).otherwise(F.lit(200)))
+    return rows.select("page_id").join(pages.usable(rows).select("page_id", F.lit(1).alias("usable")), "page_id", "left").select("page_id", F.coalesce("usable", F.lit(0)).alias("usable"))
+
+
+@query("select page_id::varchar as sitemap_url, u.i::integer as idx, u.loc, u.lastmod from (select page_id, unnest([{i: 0, loc: trim(url), lastmod: '1995-05-01'}, {i: 1, loc: 'second', lastmod: ''}]) as u from pages where url <> '')")
+def sitemap_fallback(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Sitemaps that aren't well formed: their loc and lastmod texts are paired by place."""
+    xml = F.concat(F.lit("<urlset><url><loc> "), F.col("url"), F.lit(" </loc><lastmod> 1995-05-01 </lastmod><loc>second</loc> & broken <url"))
+    maps = _read(spark, sf_dir, "pages").filter("url <> ''").select(F.col("page_id").cast("string").alias("sitemap_url"), xml.alias("xml"))
+    return feeds.sitemap_urls(maps).select("sitemap_url", "idx", "loc", "lastmod")
+
+
+@query("""select page_id, 'Heading ' || page_id as title, 'Body ' || page_id || ' text' as body, ['3 Mei 1995', 'meta ' || page_id] as raw_dates from pages""")
+def page_selectors(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Titles, bodies and dates by a site's selectors: short titles are passed over, removed elements aren't seen, meta elements come last."""
+    n = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit('<html><head><meta property="article:published_time" content="meta '), n, F.lit('"></head><body><h1 class="t">x</h1><div id="h" class="a title">Heading '), n,
+        F.lit('</div><div class="detail"><aside><time datetime="no">no</time>gone</aside><p>Body <b>'), n, F.lit('</b> text<script>no</script></p></div><span class="my-date" datetime="3 Mei 1995">x</span>'),
+    )
+    site = pages.Site("s", title=("h1.t", "div.title"), body=(".none", "div.detail"), date=("time", "[class*='date']"), date_attribute="datetime")
+    return pages.extract(_read(spark, sf_dir, "pages").select("page_id", html.alias("html")), site, keep=("page_id",))
+
+
+@query("select doc_id, text[:2000] as cut, replace(replace(replace(replace(replace(replace(x, '%', '%25'), ' ', '%20'), '&', '%26'), ':', '%3A'), '/', '%2F'), '?', '%3F') as quoted, string_split('https://a/b/' || doc_id, '/')[-1] as tail from (select *, 'q ' || doc_id || ' & 50% a/b:c?' as x from documents)")
+def text_pieces(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Truncation, percent-encoding and the last part of a URL."""
+    n = F.col("doc_id").cast("string")
+    return _read(spark, sf_dir, "documents").select("doc_id", text.truncate(F.col("text")).alias("cut"), text.quote_query(F.concat(F.lit("q "), n, F.lit(" & 50% a/b:c?"))).alias("quoted"), text.last_segment(F.concat(F.lit("https://a/b/"), n)).alias("tail"))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%A, %-d %B %Y') as english from orders")
+def translate_names(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Indonesian names of days and months in English."""
+    english = {v: k for k, v in dates.NAMES.items() if len(v) > 3 or v == "May"}
+    days = F.array(*[F.lit(english[d]) for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")])
+    names = F.array(*[F.lit(n.strip(" '")) for n in _MONTHS.strip("[]").split(",")])
+    raw = F.concat(F.initcap(F.get(days, F.weekday("o_orderdate"))), F.lit(", "), F.dayofmonth("o_orderdate").cast("string"), F.lit(" "), F.get(names, F.month("o_orderdate") - 1), F.lit(" "), F.year("o_orderdate").cast("string"))
+    return _read(spark, sf_dir, "orders").select("o_orderkey", dates.translate_names(raw).alias("english"))
+
+
+@query("select o_orderkey, printf('W%02d-%d', ((dayofyear(o_orderdate) + 6 - (isodow(o_orderdate) - 1)) // 7)::integer, year(o_orderdate)::integer) as label, printf('%d-W%02d', isoyear(o_orderdate), week(o_orderdate)) as week from orders")
+def week_labels(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Labels of weeks, ISO's and those of commit messages."""
+    day = F.col("o_orderdate").cast("timestamp")
+    return _read(spark, sf_dir, "orders").select("o_orderkey", dates.commit_label(day).alias("label"), dates.week_label(day).alias("week"))
+
+
+@query("select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(timestamp '1994-01-01', timestamp '1995-06-01', interval 1 month)) as m)")
+def months_of_years(spark, sf_dir):  # noqa: ANN001, ANN201
+    return dates.months_of(spark, [1994, 1995, 1996], AS_OF)
+
+
+@query(f"select count(*) as n from orders where printf('%d-W%02d', isoyear(o_orderdate), week(o_orderdate)) = '1995-W24'")
+def known_week(spark, sf_dir):  # noqa: ANN001, ANN201
+    """How many rows there are of as_of's week."""
+    n = articles.known_week(_weeks(spark, sf_dir), CONTEXT)
+    return spark.createDataFrame([(n,)], "n long")
+
+
+@query("""with o as (select md5(text) as url, 'old' as label from documents where source <> 'src1'), n as (select md5(text) as url from documents where source = 'src1')
+  select (select count(*) from o) as existing, (select count(*) from n) as new, (select count(distinct url) from (select url from o union all select url from n)) as "unique",
+  (select count(*) from o) + (select count(*) from n) - (select count(distinct url) from (select url from o union all select url from n)) as removed""")
+def merge_totals(spark, sf_dir):  # noqa: ANN001, ANN201
+    """What a merge keeps and takes out."""
+    docs = _read(spark, sf_dir, "documents").select(F.md5("text").alias("url"), "source")
+    return rel.merge_totals(docs.filter("source <> 'src1'"), docs.filter("source = 'src1'"))
+
+
+@query(f"""with a as ({_ARTICLES}), o as (select * from (select *, row_number() over (partition by url order by seq) as r from a where "Year" = 1995) where r = 1) select seq as "No", {_PUBLIC.partition(", ")[2]} from o""")
+def weekly_nothing_new(spark, sf_dir):  # noqa: ANN001, ANN201
+    """An update without a row of the week leaves the table as it is."""
+    rows = _order_articles(spark, sf_dir)
+    existing = rel.public_columns(rel.keep_first(rows.filter("Year = 1995"), "url", ["seq"]).withColumn("No", F.col("seq")))
+    return articles.weekly_update(existing, rows.filter("Minggu_Mulai <> '1995-06-12'"), CONTEXT)
+
+
+_UNIQUE_BY_PHASE = """select url, phase, seq from (select *, row_number() over (partition by url order by phase, seq) as r from (
+  select 'https://shop.example/' || o_custkey as url, case o_orderstatus when 'P' then 0 when 'O' then 1 else 2 end as phase, o_orderkey as seq from orders where year(o_orderdate) in (1993, 1994, 1995) and o_orderdate <= timestamp '1995-06-18 12:00:00')) where r = 1"""
+
+
+@query(f"select url, phase, seq from ({_UNIQUE_BY_PHASE})")
+def candidate_dedup(spark, sf_dir):  # noqa: ANN001, ANN201
+    """One row of each url, by phase and order within it."""
+    rows = rel.year_filter(_order_articles(spark, sf_dir), CONTEXT.years)
+    phase = F.when(F.col("Lokasi") == "open", 1).when(F.col("Lokasi") == "filled", 2).otherwise(0)
+    return rel.keep_first(rows.withColumn("phase", phase), "id", ["phase", "seq"]).select("url", "phase", "seq")
+
+
+@query(f"""select count(*) as n, count(distinct "No") as numbers, max("No") as last from (
+  with a as ({_ARTICLES}), y as (select * from a where "Year" in (1993, 1994, 1995)), f as (select * from (select *, row_number() over (partition by url order by case when "Lokasi" = 'none' then 0 else 1 end, seq) as r from y) where r = 1),
+  n as (select *, row_number() over (order by "Year" desc nulls last, "Month" desc nulls last, "Week" desc nulls last, seq) as "No" from f) select * from n where not {_FUTURE})""")
+def topped_up(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A run whose first phase has too few rows, so that the top-up is asked for: its size and its numbers."""
+    rows = _order_articles(spark, sf_dir)
+    clean = articles.full_run([rows.filter("Lokasi = 'none'")], CONTEXT, lambda: rows.filter("Lokasi <> 'none'"))[0]
+    return clean.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("No").alias("numbers"), F.max("No").cast("long").alias("last"))
+
+
+@query(f"""select "Year", count(*) as n from ({_ARTICLES}) where "Year" is not null group by 1""")
+def csv_round_trip(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Articles published as CSV and read back."""
+    folder = _scratch(spark, "csv")
+    rows = rel.number_rows(_order_articles(spark, sf_dir), [F.col("seq")])
+    files.write_dataset(rel.public_columns(rows), folder)
+    return rel.count_by_year(files.read_dataset(spark, folder))
+
+
+@query("select o_orderstatus as phase, count(*) as n from orders group by 1")
+def resumed_phases(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Phases that are written one by one; a run that broke off after the second makes the third only."""
+    folder = _scratch(spark, "phases")
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("phase_name"))
+    parts = [lambda s=s: orders.filter(F.col("phase_name") == s) for s in ("F", "O", "P")]
+    for number in (0, 1):
+        files.save_phase(parts[number](), folder, number)
+
+    def never() -> DataFrame:
+        raise AssertionError("this phase was done")
+
+    tables = files.resumed(spark, folder, [never, never, parts[2]])
+    both = tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return both.groupBy(F.col("phase_name").alias("phase")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select o_custkey as url, max(o_orderkey) as seq from orders group by 1")
+def stream_upsert(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Orders as a stream of files: the newest row of each customer stays."""
+    folder = _scratch(spark, "stream")
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("url"), F.col("o_orderkey").alias("seq"))
+    low, high = orders.agg(F.min("seq"), F.max("seq")).first()
+    for k in range(3):  # what comes later is newer
+        part = orders.filter((F.col("seq") >= low + k * (high - low + 1) // 3) & (F.col("seq") < low + (k + 1) * (high - low + 1) // 3))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    upsert.upsert_stream(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+    return upsert.latest(spark, f"{folder}/out").select("url", "seq")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared checkpoint folder."""
+    settled(spark.range(1))
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def as_of() -> dt.datetime:
     return dt.datetime.fromisoformat(AS_OF)

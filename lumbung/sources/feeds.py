@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_text
+from ..operators.store import settled
 
 _ITEM = "struct<title: string, link: string, description: string, summary: string, pubDate: string, published: string, updated: string>"
 _FEED = f"channel struct<item: array<{_ITEM}>>"
@@ -21,11 +24,11 @@ def _xml(text: Column, schema: str) -> Column:
     return F.from_xml(plain, schema, {"mode": "PERMISSIVE"})
 
 
-def feed_entries(feeds: DataFrame, *, skip_empty: bool = True) -> DataFrame:
+def feed_entries(feeds: DataFrame, *, skip_empty: bool = True, updated: bool = True) -> DataFrame:
     """source, entry_idx, link, title, body and raw_date of the first usable feed of each source.
 
     feeds: source, feed_idx, status, xml. A usable feed has status 200 and, if skip_empty, an entry. body is the summary, else the description; raw_date when it was
-    published, else updated.
+    published, else, if asked for, updated.
     """
     items = F.coalesce(_xml(F.col("xml"), _FEED)["channel"]["item"], F.expr(f"cast(array() as array<{_ITEM}>)"))
     parsed = feeds.filter("status = 200").select("source", "feed_idx", items.alias("items"))
@@ -35,7 +38,7 @@ def feed_entries(feeds: DataFrame, *, skip_empty: bool = True) -> DataFrame:
     rows = chosen.select("source", F.posexplode("items").alias("entry_idx", "e"))
     some = lambda *names: F.coalesce(*[F.when(F.col(f"e.{n}") != "", F.col(f"e.{n}")) for n in names], F.lit(""))
     return rows.select(
-        "source", "entry_idx", strip_text(some("link")).alias("link"), strip_text(some("title")).alias("title"), some("summary", "description").alias("body"), some("published", "pubDate", "updated").alias("raw_date")
+        "source", "entry_idx", strip_text(some("link")).alias("link"), strip_text(some("title")).alias("title"), some("summary", "description").alias("body"), some("published", "pubDate", *(["updated"] if updated else [])).alias("raw_date")
     ).filter("link <> ''")
 
 
@@ -53,21 +56,38 @@ def sitemap_urls(sitemaps: DataFrame) -> DataFrame:
     return rows.select("sitemap_url", "idx", "u.loc", "u.lastmod").filter("loc <> ''")
 
 
-def sitemap_tree(sitemaps: DataFrame, roots: list[str], depth: int = 5) -> DataFrame:
-    """sitemap_url and level of all landed sitemaps that are reached from roots through indexes, each once, at its least level.
+def _children(xml: Column) -> Column:
+    return F.transform(_xml(xml, _INDEX)["sitemap"], lambda s: strip_text(s["loc"]))
+
+
+def is_index(xml: Column) -> Column:
+    """Whether a sitemap lists other sitemaps; what else it has does not count then."""
+    return F.coalesce(F.size(_children(xml)) > 0, F.lit(False))
+
+
+def sitemap_trees(sitemaps: DataFrame, roots: DataFrame) -> DataFrame:
+    """source, sitemap_url and level of all landed sitemaps that are reached from each source's roots (source, sitemap_url), each once, at its least level.
 
-    Levels are joined one by one, to `depth` at most, so a cycle ends. Sitemaps of pictures and films are not followed.
+    Levels are joined one by one, each with what is new to its source, until there is nothing new: any depth is reached, and a cycle ends. Sitemaps of pictures and films
+    are not followed. A level is settled before the next, so plans stay small.
     """
-    spark = sitemaps.sparkSession
-    children = F.transform(_xml(F.col("xml"), _INDEX)["sitemap"], lambda s: strip_text(s["loc"]))
-    edges = sitemaps.select(F.col("sitemap_url").alias("parent"), F.explode(children).alias("child")).filter(~F.col("child").rlike(SKIPPED))
-    level = spark.createDataFrame([(r, 0) for r in roots], "sitemap_url string, level int")
+    edges = sitemaps.select(F.col("sitemap_url").alias("parent"), F.explode(_children(F.col("xml"))).alias("child")).filter(~F.col("child").rlike(SKIPPED))
+    edges = settled(edges.distinct())
+    level = settled(roots.select("source", "sitemap_url").distinct().withColumn("level", F.lit(0)))
     found = level
-    for n in range(1, depth + 1):
-        level = level.join(edges, F.col("sitemap_url") == F.col("parent")).select(F.col("child").alias("sitemap_url"), F.lit(n).alias("level")).distinct()
-        found = found.union(level)
-    reached = found.groupBy("sitemap_url").agg(F.min("level").alias("level"))
-    return reached.join(sitemaps.select("sitemap_url"), "sitemap_url", "left_semi")
+    for n in itertools.count(1):
+        further = level.join(edges, F.col("sitemap_url") == F.col("parent")).select("source", F.col("child").alias("sitemap_url")).distinct()
+        level = settled(further.join(found.select("source", "sitemap_url"), ["source", "sitemap_url"], "left_anti").withColumn("level", F.lit(n)))
+        if level.isEmpty():
+            break
+        found = settled(found.union(level))
+    return found.join(sitemaps.select("sitemap_url").distinct(), "sitemap_url", "left_semi").select("source", "sitemap_url", "level")
+
+
+def sitemap_tree(sitemaps: DataFrame, roots: list[str]) -> DataFrame:
+    """sitemap_url and level of all landed sitemaps that are reached from roots through indexes."""
+    start = sitemaps.sparkSession.createDataFrame([("", r) for r in roots], "source string, sitemap_url string")
+    return sitemap_trees(sitemaps, start).drop("source")
 
 
 def archive_items(items: DataFrame) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _INTS = ("No", "Year", "Month", "Week", "Minggu_ke")
 _TEXTS = ("Source", "Title", "Content", "Minggu_Mulai", "Week_Label", "Penyakit", "Lokasi", "url")
 DATASET = "No bigint, Source string, Title string, Content string, Year int, Month int, Week int, Minggu_ke int, Minggu_Mulai string, Week_Label string, Penyakit string, Lokasi string, url string"
-_NULLS = ("", "NA", "N/A", "null", "NULL", "None", "nan", "NaN")
+# Texts that stand for a missing value in CSV files.
+_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _known(x: Column) -> Column:
@@ -36,9 +39,9 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     return found.select(names)
 
 
-def write_dataset(df: DataFrame, path: str, *, files: int = 1) -> None:
-    """CSV with a header, quotes doubled."""
-    df.coalesce(files).write.mode("overwrite").option("header", True).option("quoteAll", False).option("escape", '"').csv(path)
+def write_dataset(df: DataFrame, path: str, *, files: int | None = None) -> None:
+    """CSV with a header in each file, quotes doubled. files: how many, for readers that take one; each is then written by one task."""
+    (df.coalesce(files) if files else df).write.mode("overwrite").option("header", True).option("quoteAll", False).option("escape", '"').csv(path)
 
 
 def write_backup(df: DataFrame, path: str, years: list[int], scraped_at: str) -> None:
@@ -53,10 +56,32 @@ def save_phase(df: DataFrame, folder: str, phase: int) -> None:
     df.write.mode("overwrite").parquet(f"{folder}/phase={phase}")
 
 
+def done_phases(spark: SparkSession, folder: str, phases: list[int]) -> list[int]:
+    """The phases that were written whole and can be read; others count as not done."""
+    return [p for p in phases if _exists(spark, f"{folder}/phase={p}/_SUCCESS") and _readable(spark, f"{folder}/phase={p}")]
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).limit(1).collect()
+    except Exception:  # noqa: BLE001  what is damaged is made again
+        return False
+    return True
+
+
+def load_phase(spark: SparkSession, folder: str, phase: int) -> DataFrame:
+    return spark.read.parquet(f"{folder}/phase={phase}")
+
+
 def load_phases(spark: SparkSession, folder: str) -> DataFrame | None:
     """Rows of the phases that are done, with their phase; None if none is."""
     return spark.read.parquet(folder) if _exists(spark, folder) else None
 
 
-def done_phases(spark: SparkSession, folder: str, phases: list[int]) -> list[int]:
-    return [p for p in phases if _exists(spark, f"{folder}/phase={p}/_SUCCESS")]
+def resumed(spark: SparkSession, folder: str, phases: Sequence[Callable[[], DataFrame]]) -> list[DataFrame]:
+    """The tables of all phases: those that are done are read, the others are made and written, in order, so a run that broke off goes on where it was."""
+    done = set(done_phases(spark, folder, list(range(len(phases)))))
+    for number, make in enumerate(phases):
+        if number not in done:
+            save_phase(make(), folder, number)
+    return [load_phase(spark, folder, number) for number in range(len(phases))]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import asdict, dataclass, field
 
 import pandas as pd
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
+from ..operators import relational as rel
 from . import dom
 
 #: Pages of more characters and status 200 are worth parsing; body text is cut at text.CONTENT.
@@ -64,20 +65,60 @@ def read_page(html: str, site: Site) -> tuple[str, str, list[str], list[str]] |
     return title, body, raw, [m.attributes.get("content", "") for name in _META if (m := dom.find_meta(root, name)) is not None]
 
 
-def extract(pages: DataFrame, site: Site, keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """keep, title, body and raw_dates (selectors, then meta) of each page that has a title. Filter pages before: nothing can be pushed below this."""
+def extract(pages: DataFrame, site: Site | Mapping[str, Site], keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    """keep, title, body and raw_dates (selectors, then meta) of each page that has a title. Filter pages before: nothing can be pushed below this.
+
+    site: of all pages, or by the source of each (column source); pages of other sources are left out.
+    """
     schema = ", ".join(f"{c} {t}" for c, t in pages.dtypes if c in keep) + ", title string, body string, raw_dates array<string>"
-    config = asdict(site)
+    one = isinstance(site, Site)
+    config = [asdict(s) | {"key": k} for k, s in ({"": site} if one else site).items()]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Site(**{k: tuple(v) if isinstance(v, list) else v for k, v in config.items()})
+        own = {c["key"]: Site(**{k: tuple(v) if isinstance(v, list) else v for k, v in c.items() if k != "key"}) for c in config}
         for b in batches:
-            found = [read_page(h, own) if h is not None else None for h in b["html"]]
+            sites = [own[""]] * len(b) if one else [own.get(s) for s in b["source"]]
+            found = [read_page(h, s) if h is not None and s is not None else None for h, s in zip(b["html"], sites, strict=True)]
             rows = b.loc[[f is not None for f in found], list(keep)].reset_index(drop=True)
             kept = [f for f in found if f is not None]
             yield rows.assign(title=[f[0] for f in kept], body=[f[1] for f in kept], raw_dates=[f[2] + f[3] for f in kept])
 
-    return pages.select(*keep, "html").mapInPandas(run, schema)
+    columns = [*keep, "html"] + ([] if one or "source" in keep else ["source"])
+    return pages.select(*columns).mapInPandas(run, schema)
+
+
+def archive_lists(pages: DataFrame) -> DataFrame:
+    """query, page, idx, href, dtr_ttl, link_text and date_title of each item of the result pages (query, page, status, html) of an archive search.
+
+    Of each query the pages count up to the first that was not found, has no list, or has an empty one.
+    """
+    schema = "query string, page int, items array<struct<href: string, dtr_ttl: string, link_text: string, date_title: string>>"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"query": b["query"], "page": b["page"], "items": [read_list(h) if s == 200 and h is not None else [] for s, h in zip(b["status"], b["html"], strict=True)]})
+
+    read = pages.select("query", F.col("page").cast("int").alias("page"), "status", "html").mapInPandas(run, schema)
+    read = rel.until_first_empty(read.withColumn("is_empty", F.size("items") == 0))
+    return read.select("query", "page", F.posexplode("items").alias("idx", "item")).select("query", "page", "idx", "item.*")
+
+
+def read_list(html: str) -> list[dict]:
+    """The items of a result page, links or not."""
+    root = dom.parse(html)
+    block = dom.select_one(root, "div.list-content")
+    found = []
+    for article in dom.find_all(block, "article") if block else []:
+        if "list-content__item" not in article.attributes.get("class", "").split():
+            continue
+        link = dom.select_one(article, "a.media__link")
+        span = next((s for s in dom.find_all(article, "span") if "title" in s.attributes), None)
+        texts = [x.strip() for x in link.walk() if isinstance(x, str)] if link else []
+        found.append({
+            "href": link.attributes.get("href", "") if link else None, "dtr_ttl": link.attributes.get("dtr-ttl") if link else None,
+            "link_text": "".join(texts), "date_title": span.attributes["title"] if span else None,
+        })
+    return found
 
 
 def published(known: Column, raw_dates: Column, url: Column, as_of: str, policy: str = "reference") -> Column:

@@ -23,3 +23,6 @@ FEEDS = {
     "Antara Kesehatan": ("https://www.antaranews.com/rss/kesehatan",),
     "Medcom Kesehatan": ("https://www.medcom.id/rss/kesehatan",),
 }
+
+# The archive search's name as a source, with the selectors of its pages.
+ARCHIVE = Site("Detik (archive search)", (), None, ("h1.detail__title", "h1.title", "h1"), (".detail__body-text", ".detail__body", "article"), (".detail__date", "time", "[class*='date']"))

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lumbung.functions import classify, lexicon, text
+from lumbung.functions import classify, lexicon, text, topics
 
 
 def values(spark, rows, make):
@@ -50,19 +50,43 @@ def test_whole_words(spark):
 )
 def test_topics(spark, title, content, label):
     df = spark.createDataFrame([(title, content)], "t string, c string")
-    assert df.select(classify.label_topic(F.col("t"), F.col("c"), lexicon.STARTER_TOPICS)).first()[0] == label
+    assert df.select(classify.label_topic(F.col("t"), F.col("c"), topics.TOPICS)).first()[0] == label
 
 
-def test_topic_expressions_agree(spark):
+@pytest.mark.parametrize("which", ["few", "all"])
+def test_topic_expressions_agree(spark, which):
     r = random.Random(1)
-    words = ["flu", "burung", "flu burung", "demam", "tinggi", "tikus", "covid-19", "x", "stroke"]
-    small = {k: lexicon.STARTER_TOPICS[k] for k in ("COVID-19", "Flu / Influenza", "Flu Burung", "Demam")}
-    rows = [(i, " ".join(r.choices(words, k=4)), " ".join(r.choices(words, k=12))) for i in range(200)]
+    lex = topics.TOPICS if which == "all" else {k: topics.TOPICS[k] for k in ("COVID-19", "Flu / Influenza", "Flu Burung", "Demam")}
+    keywords = [w for ws in lex.values() for w in ws]
+    words = ["flu", "burung", "Flu Burung", "demam", "tinggi", "tikus", "covid-19", "x", "stroke", "flu_burung", "berdarah", ",", "É", "gula darah"]
+    rows = [(i, " ".join(r.choices(words + r.choices(keywords, k=4), k=5)), " ".join(r.choices(words + r.choices(keywords, k=8), k=14))) for i in range(300)]
+    rows += [(900, "", "x"), (901, None, "flu"), (902, "flu demam", None)]
     df = spark.createDataFrame(rows, "i int, t string, c string")
-    found = df.select("i", classify.label_topic(F.col("t"), F.col("c"), small).alias("a"), classify.topic_udf(small)("t", "c").alias("b")).collect()
-    patterns = classify.compiled(small)
-    assert all(f["a"] == f["b"] == classify.topic_of(rows[f["i"]][1], rows[f["i"]][2], patterns) for f in found)
-    assert len({f["a"] for f in found}) >= 3
+    compiled = classify.compiled(lex)
+    for x in df.withColumn("a", classify.label_topic(F.col("t"), F.col("c"), lex)).collect():
+        assert x["a"] == (classify.topic_of(x["t"], x["c"], compiled) if x["t"] is not None else lexicon.DEFAULT_TOPIC), x
+
+
+# Golden cases of FIXTURES.md, with the whole lexicon.
+GOLDEN = [
+    ("Warga miskin butuh bantuan", "isk", "Umum / Lainnya"), ("Tips hidup sehat", "diabetes kanker", "Umum / Lainnya"), ("Kasus flu burung meningkat", "", "Flu / Influenza"),
+    ("Kasus flu burung meningkat", "Virus H5N1 dan H5N6 pada unggas terinfeksi", "Flu Burung"), ("Demam berdarah naik", "", "DBD / Dengue"), ("Demam berdarah naik", "demam tinggi, demam", "Demam"),
+    ("Herpes zoster pada lansia", "", "Cacar Ular"), ("Penyakit tikus", "", "HANTA VIRUS"), ("Covid-19 dan flu", "flu flu covid-19", "COVID-19"), ("Stroke dan diabetes", "insulin gula darah", "Diabetes"),
+    ("Influenza dan TBC", "", "Flu / Influenza"), ("Flu_burung", "", "Umum / Lainnya"), ("Radang usus buntu", "", "Usus Buntu (Apendisitis)"),
+]
+
+
+def test_golden_topics(spark):
+    df = spark.createDataFrame(GOLDEN, "t string, c string, label string")
+    for x in df.withColumn("a", classify.label_topic(F.col("t"), F.col("c"), topics.TOPICS)).collect():
+        assert x["a"] == x["label"], x
+
+
+def test_golden_places(spark):
+    rows = [("Banjir di Papua Barat", "Papua"), ("Wabah di Manokwari", "Papua Barat"), ("Kasus di Kepulauan Riau", "Riau"), ("Batam siaga", "Kepulauan Riau"), ("Maluku Utara", "Maluku"), ("Jakarta dan Banda Aceh", "Aceh"), ("Virus menyerang warga", "Tidak Terdeteksi"), ("Anjing serang warga", "Banten")]
+    df = spark.createDataFrame(rows, "t string, label string")
+    for x in df.withColumn("a", classify.label_place(F.col("t"))).collect():
+        assert x["a"] == x["label"], x
 
 
 def test_places(spark):

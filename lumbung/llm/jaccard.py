@@ -458,3 +458,25 @@ def drop_near_copies(docs: DataFrame, rule: Join) -> DataFrame:
     """docs with one document of each component: that of the smallest id. Rows that share its id stay together; rows without words and rows of null id stay as they are."""
     gone = join_components(docs, rule).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(within_bounds(cut(gone)), F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+#: The components of op8's rule: 3 words, 0.9. Documents are numbered, sets are met by their shingles, links are followed to their ends.
+ORACLE_SQL = r"""
+with recursive docs as (
+  select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as (
+  select rid, doc_id, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end)) as s from docs),
+sized as (select rid, doc_id, len(s) as n, md5(array_to_string(s, chr(10))) as h, s from sets),
+shingles as (select rid, n, unnest(s) as x from sized),
+pairs as (
+  select a.rid as a, b.rid as b, a.n as na, b.n as nb, count(*) as common from shingles a join shingles b on a.x = b.x and a.rid < b.rid
+  where 90 * greatest(a.n, b.n) <= 100 * least(a.n, b.n) group by all),
+links as (select a, b from pairs where 100 * common >= 90 * (na + nb - common)),
+ways as (select a, b from links union select b, a from links),
+reach as (select rid as a, rid as b from sized union select r.a, w.b from reach r join ways w on r.b = w.a),
+least as (select a, min(d.doc_id) as id from reach join sized d on d.rid = reach.b group by a),
+copies as (select h, count(*) as copies from sized where n > 0 group by h)
+select s.doc_id, s.n::bigint as n_shingles, case when s.n = 0 then s.doc_id else l.id end as component_id, coalesce(c.copies, 1)::bigint as copies
+from sized s join least l on l.a = s.rid left join copies c on s.n > 0 and c.h = s.h
+"""

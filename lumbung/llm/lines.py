@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
-#: A line is dropped if it is on more than RATIO of its host's pages, and on PAGES of them at least: below that, a share says nothing.
-RATIO, PAGES = 0.1, 10
-#: The floor that a share needs, for hosts of every size: on two pages a line is as likely from two copies of a text.
-SHARE_PAGES = 3
+#: A line is dropped if it is on more than RATIO of its host's pages, and on SHARE_PAGES of them at least, for hosts of every size: below that a share
+#: says nothing, for on a host of nine pages every line is on a ninth, and on two pages a line is as likely from two copies of a text.
+RATIO, SHARE_PAGES = 0.1, 3
 #: Boilerplate lines of all hosts together up to which they are broadcast; beyond, the join is shuffled by host.
 BROADCAST_LINES = 200_000
 _BLANKS = " \t\r"
@@ -24,7 +23,7 @@ def _filled(line: Column) -> Column:
     return F.btrim(line, F.lit(_BLANKS)) != ""
 
 
-def boilerplate(pages: DataFrame, *, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, *, ratio: float = RATIO, least: int = SHARE_PAGES) -> DataFrame:
     """Columns __host and __lines, the digests of the host's boilerplate lines. pages: __host, __text.
 
     What a host may have is bounded: each line that is kept takes more than `ratio` of its pages, so there are at most
@@ -37,10 +36,10 @@ def boilerplate(pages: DataFrame, *, ratio: float = RATIO, least: int = PAGES) -
     return often.groupBy("__host").agg(F.collect_list("__line").alias("__lines"))
 
 
-def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", *, ratio: float = RATIO, least: int = PAGES) -> DataFrame:
+def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", *, ratio: float = RATIO, least: int = SHARE_PAGES) -> DataFrame:
     """docs with its boilerplate lines taken out of the text, and n_lines, n_dropped: lines before, lines dropped.
 
-    With the default floor, hosts under PAGES pages lose nothing; with least=SHARE_PAGES, as the queries use it, those under 3 pages.
+    Hosts of fewer than `least` pages lose nothing.
 
     A page is a row of docs; lines are compared without blanks, tabs and carriage returns at their ends; each counts once a page. Empty lines
     are never dropped. Rows of null host are a host of their own. Null texts stay null and have no lines; empty
@@ -68,7 +67,7 @@ totals as (select source, count(*) as total from pages group by source),
 counts as (select source, line, count(*) as n from bare where line <> '' group by source, line),
 often as (
   select c.source, list(c.line) as lines from counts c join totals t on c.source is not distinct from t.source
-  where c.n >= {PAGES} and c.n > {RATIO}::double * t.total group by c.source),
+  where c.n >= {SHARE_PAGES} and c.n > {RATIO}::double * t.total group by c.source),
 kept as (
   select p.*, string_split(p.text, chr(10)) as before, o.lines from pages p left join often o on p.source is not distinct from o.source),
 done as (

@@ -221,6 +221,14 @@ def digests(docs: DataFrame) -> DataFrame:
     return map_texts(docs, run, DIGEST_SCHEMA)
 
 
+#: Sizes and digests of payloads in SQL.
+PAYLOAD_SQL = r"""
+with raw as (select doc_id, encode(coalesce(text, '')) as b from documents),
+padded as (select doc_id, octet_length(b) as n, b, greatest(1, (octet_length(b) + 575) // 576) * 576 as size from raw)
+select doc_id, n::bigint as n_bytes, size::bigint as payload_bytes, sha256(b || repeat('\xFF'::blob, size - n)) as payload_sha256 from padded
+"""
+
+
 def store(docs: DataFrame) -> DataFrame:
     """doc_id and media, the stored form of each text as a file's bytes."""
 

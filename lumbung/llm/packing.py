@@ -262,3 +262,19 @@ def pack_documents(docs: DataFrame, length: int = 2048, tokenizer: str | None =
     Null and empty texts are a piece of one token. Repeated rows are packed each; long texts give as many pieces as they need; an empty table gives no rows.
     """
     return pack(cut_pieces(docs, length, tokenizer), length)
+
+
+def audit(packed: DataFrame, length: int = 2048) -> DataFrame:
+    """One row about the result of pack_documents(): documents, those whose pieces don't follow each other, sequences that are too long, and those with gaps or overlaps."""
+    at = F.col("offset") + F.col("length")
+    sequences = packed.groupBy("sequence_id").agg(F.max(at).alias("end"), F.sum("length").alias("tokens"), F.min("offset").alias("begin"))
+    pieces = packed.groupBy("doc_id").agg(F.max(F.col("start") + F.col("length")).alias("end"), F.sum("length").alias("tokens"), F.min("start").alias("begin"), F.sum((F.col("start") != F.col("piece") * length).cast("int")).alias("off"))
+    count = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0)).cast("long")
+    bad = count((F.col("end") != F.col("tokens")) | (F.col("begin") != 0))
+    one = pieces.agg(F.count(F.lit(1)).alias("documents"), count((F.col("end") != F.col("tokens")) | (F.col("begin") != 0) | (F.col("off") > 0)).alias("broken"))
+    two = sequences.agg(count(F.col("tokens") > length).alias("too_long"), bad.alias("with_gaps"))
+    return one.join(F.broadcast(two))  # one row each
+
+
+#: What a right result says of itself.
+AUDIT_SQL = "select count(distinct doc_id) as documents, 0::bigint as broken, 0::bigint as too_long, 0::bigint as with_gaps from documents"

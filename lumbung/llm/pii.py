@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import map_texts
 
@@ -336,6 +337,36 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_texts(docs, run, SCHEMA)
 
 
+def base_values(docs: DataFrame) -> DataFrame:
+    """doc_id, kind, value and n, how often the document has it, of all base spans."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(i, KINDS[k], t[s:e]) for i, t in zip(b["doc_id"], b["text"], strict=True) if t for k, s, e in find(t)[0]]
+            yield pd.DataFrame(rows, columns=["doc_id", "kind", "value"])
+
+    return map_texts(docs, run, "doc_id long, kind string, value string").groupBy("doc_id", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: The base patterns and bounds in SQL; a card's digits are checked by Luhn's rule from the right.
+BASE_SQL = r"""
+with found as (
+  select doc_id, 'email' as kind, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) as value from documents
+  union all select doc_id, 'ip', unnest(regexp_extract_all(text, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)')) from documents
+  union all select doc_id, 'card', unnest(regexp_extract_all(text, '[0-9]([\x20-]?[0-9])+')) from documents
+  union all select doc_id, 'phone', unnest(regexp_extract_all(text, '\+[0-9][\x20().0-9-]+[0-9]')) from documents),
+digits as (select *, regexp_replace(value, '[^0-9]', '', 'g') as d from found),
+checked as (
+  select doc_id, kind, value from digits where case kind
+    when 'email' then true
+    when 'ip' then len(list_filter(string_split(value, '.'), lambda p: try_cast(p as hugeint) is null or p::hugeint > 255)) = 0
+    when 'phone' then length(d) between 9 and 15
+    else length(d) between 13 and 19 and list_sum(list_transform(range(1, length(d) + 1),
+      lambda i: case when i % 2 = 1 then d[length(d) + 1 - i]::integer else (2 * d[length(d) + 1 - i]::integer) // 10 + (2 * d[length(d) + 1 - i]::integer) % 10 end)) % 10 = 0 end)
+select doc_id, kind, value, count(*) as n from checked group by all
+"""
+
+
 def redact(text: str | None, mask: str = "[{}]") -> str | None:
     """The text with each span replaced by mask, in which {} is the kind; of spans that overlap the first counts."""
     if text is None:

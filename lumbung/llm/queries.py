@@ -15,8 +15,8 @@ def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the boilerplate lines of their source, which stands for the host. The SQL has the floor of PAGES, so it keeps lines that go here."""
-    return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), least=lines.SHARE_PAGES)
+    """All documents without the boilerplate lines of their source, which stands for the host."""
+    return lines.drop_lines(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,21 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
 
 
+def pii_base_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op4's base spans hold, by document and kind: those of its spans that plain patterns find."""
+    return pii.base_values(read(spark, sf_dir, "documents"))
+
+
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op6 that SQL can tell without a file: sizes and the payload's digest."""
+    return media.digests(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+def packing_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9's sequences hold: whether they are gapless and within bounds, and whether their pieces are whole documents. One row."""
+    return packing.audit(packing.pack_documents(read(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_line_dedup": op2_line_dedup,
@@ -71,10 +86,17 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,
+    "pii_base_values": pii_base_values,
+    "media_payloads": media_payloads,
+    "packing_pieces": packing_pieces,
 }
 
 ORACLE_SQL = {
     "op1_exact_topk": topk.ORACLE_SQL,
     "op2_line_dedup": lines.ORACLE_SQL,
+    "op8_jaccard_join": jaccard.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
+    "pii_base_values": pii.BASE_SQL,
+    "media_payloads": media.PAYLOAD_SQL,
+    "packing_pieces": packing.AUDIT_SQL,
 }

@@ -5,7 +5,7 @@ from lumbung.llm import lines
 from .fixtures import documents, words
 
 
-def brute(rows, ratio=lines.RATIO, least=lines.PAGES):
+def brute(rows, ratio=lines.RATIO, least=lines.SHARE_PAGES):
     total, seen = Counter(r[3] for r in rows), Counter()
     for _, text, _, source in rows:
         for line in {x.strip(" \t\r") for x in (text or "").split("\n")} - {""} if text is not None else ():
@@ -20,9 +20,11 @@ def test_against_brute_force(spark):
         text = [words(8, i), "cookie notice" if i % 3 else " cookie notice\t", words(5, i % 40), "" if i % 4 else "rare on b"]
         rows.append((i, "\n".join(text) if i % 17 else None, "en", ["a", "b", None][i % 3]))
     rows += [(900 + i, "cookie notice", "en", "few") for i in range(5)]
-    found = {r["doc_id"]: r["text"] for r in lines.drop_lines(documents(spark, rows)).collect()}
-    assert [found[r[0]] for r in rows] == brute(rows)
+    found = {r["doc_id"]: r["text"] for r in lines.drop_lines(documents(spark, rows), least=10).collect()}
+    assert [found[r[0]] for r in rows] == brute(rows, least=10)
     assert sum("cookie notice" in (t or "") for t in found.values()) == 5
+    found = {r["doc_id"]: r["text"] for r in lines.drop_lines(documents(spark, rows)).collect()}
+    assert [found[r[0]] for r in rows] == brute(rows) and not any("cookie notice" in (t or "") for t in found.values())
 
 
 def test_edges(spark):

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from .common import cut
 
+#: Links up to which the least neighbours, at most two rows for each, are broadcast: then a star's centre, which many links share, is no hot key.
+BROADCAST_LINKS = 100_000
 
-def _stars(both: DataFrame, large: bool) -> DataFrame:
+
+def _stars(both: DataFrame, large: bool, few: bool) -> DataFrame:
     """Links each larger (smaller) neighbour of u, and u itself, with the least of u and its (smaller) neighbours.
 
-    both: links as rows (u, v); for a large star in both directions, for a small star with v < u.
+    both: links as rows (u, v); for a large star in both directions, for a small star with v < u. few: they are at most BROADCAST_LINKS.
     """
     least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
+    least = F.broadcast(least) if few else least
     joined = both.join(least, "u")
     if large:
         return joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -34,6 +38,7 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = tuple(state)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _stars(both, large=True).filter("u <> v").distinct()
-        edges = cut(_stars(large, large=False).filter("u <> v").distinct())
+        few = state[0] <= BROADCAST_LINKS
+        large = _stars(both, True, few).filter("u <> v").distinct()
+        edges = cut(_stars(large, False, few).filter("u <> v").distinct())
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())

@@ -53,7 +53,7 @@ class Join:
     den: int = 100
     word_counters: int = 1 << 18
     token_counters: int = 1 << 20
-    block_sets: int = 256
+    block_sets: int = 96
     block_tokens: int = 1 << 20
     salt_rows: int = 1000
     group_sets: int = 512
@@ -443,9 +443,9 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
     inside = cut(classes.filter("rep is not null").join(clusters, F.col("d1") == F.col("node")).select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "cluster"))
     sizes = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).filter("sets > 1")
     # blocks of at least block_sets, and of more in large groups, so that a set isn't sent too often
-    by_sets = F.ceil(F.col("sets") / F.greatest(F.lit(rule.block_sets), F.least(F.lit(16 * rule.block_sets), F.col("sets") / 8)))
+    by_sets = F.ceil(F.col("sets") / F.greatest(F.lit(rule.block_sets), F.least(F.lit(40 * rule.block_sets), F.col("sets") / 24)))
     by_tokens = F.ceil(F.col("tokens") / rule.block_tokens)
-    sizes = sizes.select("cluster", F.when(F.col("sets") <= 2 * rule.block_sets, by_tokens).otherwise(F.greatest(by_sets, by_tokens)).cast("int").alias("blocks"))
+    sizes = sizes.select("cluster", F.when(F.col("sets") <= 4 * rule.block_sets, by_tokens).otherwise(F.greatest(by_sets, by_tokens)).cast("int").alias("blocks"))
     links = _links(docs, cut(inside.drop("n").join(sizes, "cluster")), rule)
     joined = components(links).select(F.col("node").alias("rep"), "component")
     classes = classes.join(joined, "rep", "left").select("d1", "d2", "copies", F.coalesce("component", "rep").alias("least"))

@@ -99,7 +99,9 @@ def test_drop_near_copies(spark):
     assert kept.filter("doc_id is null").count() == 1
 
 
-def test_components(spark):
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_components(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(graph, "BROADCAST_LINKS", broadcast)
     r = random.Random(2)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [(None, 4), (7, 7)]
     root = {}

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, within_bounds
 
 #: A line is dropped if it is on more than RATIO of its host's pages, and on SHARE_PAGES of them at least, for hosts of every size: below that a share
 #: says nothing, for on a host of nine pages every line is on a ninth, and on two pages a line is as likely from two copies of a text.
 RATIO, SHARE_PAGES = 0.1, 3
 #: Boilerplate lines of all hosts together up to which they are broadcast; beyond, the join is shuffled by host.
 BROADCAST_LINES = 200_000
+#: Pages of a host that are shuffled as one part.
+PART_PAGES = 20_000
 _BLANKS = " \t\r"
 
 
@@ -36,6 +38,15 @@ def boilerplate(pages: DataFrame, *, ratio: float = RATIO, least: int = SHARE_PA
     return often.groupBy("__host").agg(F.collect_list("__line").alias("__lines"))
 
 
+def _salted(keyed: DataFrame, found: DataFrame, text: str) -> DataFrame:
+    """keyed with each host's lines, shuffled; pages of a large host are dealt to parts of about PART_PAGES, and its lines are sent to each."""
+    parts = keyed.groupBy("__host").agg(F.ceil(F.count(F.lit(1)) / PART_PAGES).cast("int").alias("__parts")).filter("__parts > 1")
+    parts = within_bounds(cut(parts))
+    rows = keyed.join(parts, "__host", "left").withColumn("__part", F.expr(f"pmod(xxhash64(`{text}`), coalesce(__parts, 1))"))
+    lines = found.join(parts, "__host", "left").withColumn("__part", F.explode(F.expr("sequence(0L, coalesce(__parts, 1) - 1L)")))
+    return rows.join(lines.select("__host", "__part", "__lines"), ["__host", "__part"], "left")
+
+
 def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", *, ratio: float = RATIO, least: int = SHARE_PAGES) -> DataFrame:
     """docs with its boilerplate lines taken out of the text, and n_lines, n_dropped: lines before, lines dropped.
 
@@ -49,10 +60,16 @@ def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", *, rat
     keyed = docs.drop("n_lines", "n_dropped").withColumn("__host", F.when(F.col(host).isNull(), "").otherwise(F.concat(F.lit("="), F.col(host).cast("string"))))
     found = cut(boilerplate(keyed.select("__host", F.col(text).alias("__text")), ratio=ratio, least=least))
     size = found.agg(F.sum(F.size("__lines"))).first()[0] or 0
-    joined = keyed.join(F.broadcast(found) if size <= BROADCAST_LINES else found, "__host", "left")
+    if size <= BROADCAST_LINES:
+        joined = keyed.join(F.broadcast(found), "__host", "left")
+    else:
+        joined = _salted(keyed, found, text)
     split = F.split(F.col(text), "\n")
+    # the page's own boilerplate is found by hashing, so a long list of the host's is not gone through for each line
+    own = F.array_intersect(F.transform(F.filter(split, _filled), _digest), "__lines")
+    joined = joined.withColumn("__lines", F.when(F.col("__lines").isNotNull() & F.col(text).isNotNull(), own))
     kept = F.filter(split, lambda x: ~(_filled(x) & F.array_contains("__lines", _digest(x))))
-    joined = joined.withColumn("__kept", F.when(F.col("__lines").isNull() | F.col(text).isNull(), split).otherwise(kept))
+    joined = joined.withColumn("__kept", F.when(F.size("__lines") > 0, kept).otherwise(split))
     counted = joined.withColumn("n_lines", F.coalesce(F.size(F.split(F.col(text), "\n")).cast("long"), F.lit(0).cast("long")) * F.col(text).isNotNull().cast("long"))
     counted = counted.withColumn("n_dropped", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.col("n_lines") - F.size("__kept")).cast("long"))
     counted = counted.withColumn(text, F.when(F.col("n_dropped") > 0, F.array_join("__kept", "\n")).otherwise(F.col(text)))

@@ -210,7 +210,13 @@ class Model:
     def logits(self, texts: Texts) -> np.ndarray:
         return pool(texts, self.table().astype(np.float32), self.p["bias"])[0] @ self.p["out"] + self.p["b"][0]
 
-    def _step(self, texts: Texts, labels: np.ndarray, moments: dict, step: int) -> None:
+    def loss(self, texts: Texts, labels: np.ndarray) -> float:
+        """Mean logistic loss, with the decay of the embeddings that are learned."""
+        logits = pool(texts, self.table(), self.p["bias"])[0] @ self.p["out"] + self.p["b"][0]
+        return float(np.mean(np.logaddexp(0, logits) - labels * logits)) + DECAY / 2 * float(((self.p["e"] * self.mask) ** 2).sum())
+
+    def gradients(self, texts: Texts, labels: np.ndarray) -> dict[str, np.ndarray]:
+        """Those of loss(); a filter's goes to its best position only."""
         features, best = pool(texts, self.table(), self.p["bias"])
         n = len(labels)
         error = (1 / (1 + np.exp(-np.clip(features @ self.p["out"] + self.p["b"][0], -30, 30))) - labels) / n
@@ -229,7 +235,11 @@ class Model:
                     grads[f"w{span}"][j, :, f] += (self.p["e"][rows].sum(1) * back[d, c, None]).sum(0)
                     np.add.at(grads["e"], rows.ravel(), np.repeat(back[d, c, None] * self.p[f"w{span}"][j, :, f], rows.shape[1], axis=0))
         grads["e"] = (grads["e"] + DECAY * self.p["e"]) * self.mask
-        for k, g in grads.items():
+        return grads
+
+    def _step(self, texts: Texts, labels: np.ndarray, moments: dict, step: int) -> None:
+        """One step of Adam."""
+        for k, g in self.gradients(texts, labels).items():
             m, v = moments[k]
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
@@ -255,6 +265,7 @@ def threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     order = np.argsort(-logits, kind="stable")
     right = np.cumsum(labels[order])
     f1 = 2 * right / (np.arange(1, len(order) + 1) + labels.sum())
+    f1[:-1][logits[order[1:]] == logits[order[:-1]]] = -1  # equal logits are called alike
     at = int(np.argmax(f1))
     below = logits[order[at + 1]] if at + 1 < len(order) else logits[order[at]] - 1
     return float((logits[order[at]] + below) / 2)

@@ -40,3 +40,13 @@ def test_a_page_may_lose_all(spark):
     rows = [(i, "menu\nfooter", "en", "a") for i in range(20)]
     found = lines.drop_lines(documents(spark, rows)).collect()
     assert len(found) == 20 and all(r["text"] == "" and r["n_dropped"] == 2 for r in found)
+
+
+def test_shuffled_in_parts(spark, monkeypatch):
+    rows = [(i, "\n".join([words(4, i), "footer", f"menu {i % 7}"]), "en", ["hot", "hot", None, "b"][i % 4]) for i in range(200)]
+    docs = documents(spark, rows)
+    expected = {r["doc_id"]: r["text"] for r in lines.drop_lines(docs).collect()}
+    monkeypatch.setattr(lines, "BROADCAST_LINES", 0)
+    monkeypatch.setattr(lines, "PART_PAGES", 9)
+    found = lines.drop_lines(docs).collect()
+    assert {r["doc_id"]: r["text"] for r in found} == expected and len(found) == 200 and [expected[r[0]] for r in rows] == brute(rows)

@@ -79,3 +79,54 @@ def test_pooling_is_the_convolution():
             padded = np.concatenate([own, np.zeros((n, toxicity.WIDTH))])
             full = np.stack([sum(padded[i + j] @ model.p[f"w{n}"][j] for j in range(n)) for i in range(len(own))]).max(0)
             assert np.allclose(got[t, s * toxicity.FILTERS : (s + 1) * toxicity.FILTERS], np.maximum(full, 0))
+
+
+def test_gradients_are_those_of_the_loss():
+    rows, labels = corpus(40, 3)
+    truth = np.array([y for _, y in labels], float)
+    model, texts = toxicity.Model(), toxicity.read_texts([r[1] for r in rows])
+    model._begin([texts], truth)
+    model.mask[:] = True
+    model.p["e"] += np.random.default_rng(1).normal(0, 0.1, model.p["e"].shape)
+    grads, r = model.gradients(texts, truth), random.Random(2)
+    for name, value in model.p.items():
+        flat, g = value.reshape(-1), grads[name].reshape(-1)
+        places = np.flatnonzero(np.abs(g) > 1e-4) if name == "e" else np.arange(len(flat))
+        for i in r.sample(list(places), min(6, len(places))):
+            kept, loss = flat[i], []
+            for step in (1e-6, -1e-6):
+                flat[i] = kept + step
+                loss.append(model.loss(texts, truth))
+            flat[i] = kept
+            assert abs((loss[0] - loss[1]) / 2e-6 - g[i]) < 1e-3 + 0.05 * abs(g[i]), (name, i)
+
+
+def test_threshold_has_the_best_f1():
+    r = np.random.default_rng(4)
+    for _ in range(50):
+        labels = (r.random(30) < 0.4).astype(float)
+        if labels.min() == labels.max():
+            continue
+        logits = np.round(r.normal(labels, 1), 1)
+
+        def f1(cut):
+            called = logits >= cut
+            return 2 * (called & (labels > 0)).sum() / (called.sum() + labels.sum())
+
+        assert f1(toxicity.threshold(logits, labels)) == max(f1(c) for c in logits)
+
+
+def test_thresholds_by_language():
+    model = toxicity.Model()
+    logits = np.concatenate([np.linspace(-1, 1, 40), np.linspace(3, 5, 40)])
+    labels = np.concatenate([np.arange(40) >= 20, np.arange(40) >= 20]).astype(float)
+    model._calibrate(logits, np.repeat([1, 2], 40), labels)
+    assert abs(model.thresholds[1]) < 0.1 and abs(model.thresholds[2] - 4) < 0.1 and model.thresholds[3] == model.thresholds[0]
+
+
+def test_samples_are_bounded_in_characters(spark):
+    rows, labels = corpus(200)
+    docs, known = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    small = toxicity.train(docs, known, chars=2000)
+    assert toxicity.score(docs, small).count() == 200
+    assert small.dump() != toxicity.train(docs, known).dump()

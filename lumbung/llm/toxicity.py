@@ -185,9 +185,9 @@ class Model:
             for i in r.permutation(len(known)):
                 step += 1
                 self._step(known[i], labels[kept][parts[i] : parts[i + 1]], moments, step)
-        logits = np.concatenate([self.logits(read_texts([texts[i] for i in tried[a:b]])) for a, b in hashing.chunks([texts[i] for i in tried])])
-        languages = np.concatenate([read_texts([texts[i] for i in tried[a:b]]).language for a, b in hashing.chunks([texts[i] for i in tried])])
-        self._calibrate(logits, languages, labels[tried])
+        read = (read_texts([texts[i] for i in tried[a:b]]) for a, b in hashing.chunks([texts[i] for i in tried]))
+        found = [(self.logits(t), t.language) for t in read]
+        self._calibrate(*(np.concatenate(x) for x in zip(*found, strict=True)), labels[tried])
 
     def _begin(self, known: list[Texts], labels: np.ndarray) -> None:
         """Buckets that few documents have stay at 0; the first coordinate of the others begins with how much likelier they make label 1."""

@@ -50,3 +50,9 @@ def test_shuffled_in_parts(spark, monkeypatch):
     monkeypatch.setattr(lines, "PART_PAGES", 9)
     found = lines.drop_lines(docs).collect()
     assert {r["doc_id"]: r["text"] for r in found} == expected and len(found) == 200 and [expected[r[0]] for r in rows] == brute(rows)
+
+
+def test_clashing_names(spark):
+    docs = documents(spark, [(i, f"{words(4, i)}\nfooter", "en", "a") for i in range(5)]).withColumnRenamed("key", "n_lines").withColumnRenamed("bucket", "__host2")
+    found = lines.drop_lines(docs)
+    assert sorted(found.columns) == sorted({*docs.columns, "n_lines", "n_dropped"}) and {r["n_lines"] for r in found.collect()} == {2}

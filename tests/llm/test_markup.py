@@ -101,3 +101,9 @@ def test_edges(spark):
     found = markup.extract(df).collect()
     assert len(found) == 5 and sorted(r["n_lines"] for r in found) == [0, 0, 1, 1, 1]
     assert markup.extract(df.limit(0)).collect() == []
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "<p>x", "t", 5, "s", "v")]
+    found = markup.extract(spark.createDataFrame(rows, "page_id long, html string, text string, n_lines int, source string, visibility string"))
+    assert found.columns == ["page_id", "text", "n_lines"] and tuple(found.first()) == (1, "x", 1)

@@ -516,7 +516,7 @@ def sitemap_fallback(spark, sf_dir):  # noqa: ANN001, ANN201
     return feeds.sitemap_urls(maps).select("sitemap_url", "idx", "loc", "lastmod")
 
 
-@query("""select page_id, 'Heading ' || page_id as title, 'Body ' || page_id || ' text' as body, ['3 Mei 1995', 'meta ' || page_id] as raw_dates from pages""")
+@query("""select page_id, 'Heading ' || page_id as title, 'Body ' || page_id || ' text' as body, '3 Mei 1995|meta ' || page_id as raw_dates from pages""")
 def page_selectors(spark, sf_dir):  # noqa: ANN001, ANN201
     """Titles, bodies and dates by a site's selectors: short titles are passed over, removed elements aren't seen, meta elements come last."""
     n = F.col("page_id").cast("string")
@@ -525,7 +525,8 @@ def page_selectors(spark, sf_dir):  # noqa: ANN001, ANN201
         F.lit('</div><div class="detail"><aside><time datetime="no">no</time>gone</aside><p>Body <b>'), n, F.lit('</b> text<script>no</script></p></div><span class="my-date" datetime="3 Mei 1995">x</span>'),
     )
     site = pages.Site("s", title=("h1.t", "div.title"), body=(".none", "div.detail"), date=("time", "[class*='date']"), date_attribute="datetime")
-    return pages.extract(_read(spark, sf_dir, "pages").select("page_id", html.alias("html")), site, keep=("page_id",))
+    found = pages.extract(_read(spark, sf_dir, "pages").select("page_id", html.alias("html")), site, keep=("page_id",))
+    return found.withColumn("raw_dates", F.array_join("raw_dates", "|"))
 
 
 @query("select doc_id, text[:2000] as cut, replace(replace(replace(replace(replace(replace(x, '%', '%25'), ' ', '%20'), '&', '%26'), ':', '%3A'), '/', '%2F'), '?', '%3F') as quoted, string_split('https://a/b/' || doc_id, '/')[-1] as tail from (select *, 'q ' || doc_id || ' & 50% a/b:c?' as x from documents)")

@@ -109,3 +109,17 @@ def test_iso_strict_first_date(spark):
     rows = spark.createDataFrame([(["2025-03-12"],)], "raw array<string>")
     local = lambda p: rows.select(dates.first_date(F.col("raw"), CONTEXT.as_of, policy=p)["local"].cast("date").cast("string")).first()[0]
     assert (local("reference"), local("iso_strict")) == ("2025-12-03", "2025-03-12")
+
+
+def test_publish(spark):
+    sent = []
+    rows = spark.range(3)
+    assert not articles.publish(rows, lambda *a: sent.append(a), None, "team/set", CONTEXT.as_of) and not articles.publish(rows, lambda *a: sent.append(a), "t", "your-name/set", CONTEXT.as_of)
+    assert articles.publish(rows, lambda df, message: sent.append((df.count(), message)), "t", "team/set", CONTEXT.as_of)
+    assert sent == [(3, "Weekly update W47-2026: +3 total rows")]
+
+
+def test_archive_pages_end_at_the_first_empty(spark):
+    rows = [("q", 1, 200, "<div class='list-content'><article class='list-content__item'><a class='media__link' href='u'> a <b> b </b></a></article></div>"), ("q", 2, 404, None), ("q", 3, 200, "x"), ("r", 1, 200, "<p>")]
+    found = pages.archive_lists(spark.createDataFrame(rows, "query string, page int, status int, html string")).collect()
+    assert [(r["query"], r["page"], r["href"], r["dtr_ttl"], r["link_text"], r["date_title"]) for r in found] == [("q", 1, "u", None, "ab", None)]

@@ -161,7 +161,10 @@ class Model:
         """The filters' terms of each bucket; a loaded model has no more than these."""
         if self.fixed is not None:
             return self.fixed
-        return np.concatenate([self.p["e"] @ self.p[f"w{n}"][j] for n, j, _ in _TERMS], 1)
+        known = np.flatnonzero(self.p["e"].any(1))  # those that aren't learned stay at 0
+        out = np.zeros((BUCKETS, _TERMS[-1][2].stop))
+        out[known] = self.p["e"][known] @ np.concatenate([self.p[f"w{n}"][j] for n, j, _ in _TERMS], 1)
+        return out
 
     def fit(self, texts: list[str | None], labels: np.ndarray, seed: int = 7) -> None:
         """Learns from some rows and calibrates on one in CALIBRATION; without both labels all logits are the base rate's."""
@@ -195,8 +198,8 @@ class Model:
         for k in known:
             n = len(k.first) - 1
             doc = np.repeat(np.arange(n), k.sizes)
-            pairs = np.unique(np.stack([np.repeat(doc, k.buckets.shape[1]), k.buckets[k.row].ravel()], 1), axis=0)
-            np.add.at(counts, (pairs[:, 1], labels[at : at + n][pairs[:, 0]].astype(int)), 1)
+            pairs = np.unique(np.repeat(doc, k.buckets.shape[1]) * BUCKETS + k.buckets[k.row].ravel())
+            np.add.at(counts, (pairs % BUCKETS, labels[at : at + n][pairs // BUCKETS].astype(int)), 1)
             at += n
         total = counts.sum(0) + 1
         odds = np.log((counts[:, 1] + 0.3) / total[1]) - np.log((counts[:, 0] + 1.0) / total[0])

@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, dates, text
 from ..functions.lexicon import DEFAULT_PLACE, DEFAULT_TOPIC, PROVINCES, Lexicon
 from ..functions.topics import TOPICS
 from ..operators import relational as rel
+from ..sources.searches import ARCHIVE_PAGES, NEWS_QUERIES
 
 
 @dataclass(frozen=True)
@@ -104,11 +105,33 @@ def known_week(existing: DataFrame, context: Context) -> int:
     return existing.filter(F.col("Week_Label") == dates.week_label(context.now)).count()
 
 
+def search_queries(spark: SparkSession, queries: Sequence[str] = NEWS_QUERIES) -> DataFrame:
+    """A row for each query, with its place."""
+    return spark.createDataFrame(list(enumerate(queries)), "place int, query string")
+
+
+def _requested(asked: DataFrame) -> DataFrame:
+    # dates as texts: format_string() would give numbers of days
+    request = F.concat_ws("", "query", F.lit(" after:"), F.col("month_start").cast("string"), F.lit(" before:"), F.col("month_end").cast("string"))
+    return asked.withColumn("request", request).withColumn("encoded", text.quote_query(F.col("request")))
+
+
 def news_requests(queries: DataFrame, context: Context, months: int = 3) -> DataFrame:
     """A row for each query and month to ask for, with the text of the request."""
-    spans = dates.last_months(queries.sparkSession, context.as_of, months)
-    asked = rel.requests(queries, spans)  # dates as texts: format_string() would give numbers of days
-    return asked.withColumn("request", F.concat_ws("", "query", F.lit(" after:"), F.col("month_start").cast("string"), F.lit(" before:"), F.col("month_end").cast("string"))).withColumn("encoded", text.quote_query(F.col("request")))
+    return _requested(rel.requests(queries, dates.last_months(queries.sparkSession, context.as_of, months)))
+
+
+def week_news_requests(queries: DataFrame, context: Context) -> DataFrame:
+    """A row for each query, for as_of's week: from its Monday until before the next."""
+    monday = F.date_trunc("week", context.now).cast("date")
+    return _requested(queries.withColumn("month_start", monday).withColumn("month_end", F.date_add(monday, 7)))
+
+
+def archive_requests(queries: DataFrame, context: Context, pages: int = ARCHIVE_PAGES) -> DataFrame:
+    """A row for each query and result page, with the days between which to search: from the first year's first day to as_of's."""
+    numbers = queries.sparkSession.range(1, pages + 1).select(F.col("id").cast("int").alias("page"))
+    first = F.lit(f"01/01/{min(context.years)}")
+    return rel.requests(queries, numbers).withColumn("encoded", text.quote_query(F.col("query"))).withColumn("from", first).withColumn("to", F.date_format(context.now, "dd/MM/yyyy"))
 
 
 def publish(df: DataFrame, send: Callable[[DataFrame, str], None], token: str | None, target: str, as_of: dt.datetime | str) -> bool:

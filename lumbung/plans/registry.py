@@ -465,6 +465,18 @@ def news_requests(spark, sf_dir):  # noqa: ANN001, ANN201
     return articles.news_requests(queries, CONTEXT).select("query", "month_start", "request", "encoded")
 
 
+@query("""select n_name as query, p.page::integer as page, replace(n_name, ' ', '%20') as encoded, '01/01/1993' as "from", '17/06/1995' as "to" from nation, (select unnest(range(1, 16)) as page) p""")
+def archive_requests(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A request for each nation and each of 15 result pages."""
+    return articles.archive_requests(_read(spark, sf_dir, "nation").select(F.col("n_name").alias("query")), CONTEXT)
+
+
+@query("""select n_name as query, n_name || ' after:1995-06-12 before:1995-06-19' as request from nation""")
+def week_news_requests(spark, sf_dir):  # noqa: ANN001, ANN201
+    """A request for each nation, for as_of's week."""
+    return articles.week_news_requests(_read(spark, sf_dir, "nation").select(F.col("n_name").alias("query")), CONTEXT).select("query", "request")
+
+
 def _result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result pages of an archive search, one for each page: queries by its number's last digits, pages in order; one in 9 is empty, one in 11 was not found."""
     item = F.concat(

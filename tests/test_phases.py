@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from lumbung.functions import dates
 from lumbung.operators import relational as rel
 from lumbung.plans import articles, phases
-from lumbung.sources import feeds, files, pages
+from lumbung.sources import feeds, files, pages, searches
 
 CONTEXT = articles.Context("2026-11-26T12:00:00", most=3)
 SITE = pages.Site("Sehat", ("top",), r"x\.id/sehat/", ("h1",), ("article",), ("time",), "datetime")
@@ -123,3 +123,11 @@ def test_archive_pages_end_at_the_first_empty(spark):
     rows = [("q", 1, 200, "<div class='list-content'><article class='list-content__item'><a class='media__link' href='u'> a <b> b </b></a></article></div>"), ("q", 2, 404, None), ("q", 3, 200, "x"), ("r", 1, 200, "<p>")]
     found = pages.archive_lists(spark.createDataFrame(rows, "query string, page int, status int, html string")).collect()
     assert [(r["query"], r["page"], r["href"], r["dtr_ttl"], r["link_text"], r["date_title"]) for r in found] == [("q", 1, "u", None, "ab", None)]
+
+
+def test_searches(spark):
+    news = articles.search_queries(spark)
+    assert news.count() == 44 and articles.news_requests(news, CONTEXT).count() == 132
+    archive = articles.archive_requests(articles.search_queries(spark, searches.ARCHIVE_QUERIES), CONTEXT)
+    row = archive.filter("query = 'asam urat' and page = 15").first()
+    assert archive.count() == 600 and (row["encoded"], row["from"], row["to"]) == ("asam%20urat", "01/01/2025", "26/11/2026")

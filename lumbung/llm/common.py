@@ -6,6 +6,7 @@ import ctypes
 import os
 import re
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written as Parquet to the shared checkpoint folder and read again: like cut(), but columns can be read one by one and are compressed."""
+    spark = prepare(df.sparkSession)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def within_bounds(rows: DataFrame) -> DataFrame:
     """Rows of a few numbers, to be broadcast if a count shows that they are under BROADCAST_ROWS; more are shuffled."""
     return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, licenses, lines, markup, media, mixing, packing, pii, topk, toxicity
+from . import exact, jaccard, licenses, lines, markup, media, mixing, packing, pii, topk, toxicity
 from .common import read
 
 
@@ -60,6 +60,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the row of their text that stays."""
+    return exact.groups(read(spark, sf_dir, "documents"))
+
+
 def pii_base_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op4's base spans hold, by document and kind: those of its spans that plain patterns find."""
     return pii.base_values(read(spark, sf_dir, "documents"))
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,
+    "op13_exact_dedup": op13_exact_dedup,
     "pii_base_values": pii_base_values,
     "media_payloads": media_payloads,
     "packing_pieces": packing_pieces,
@@ -96,6 +102,7 @@ ORACLE_SQL = {
     "op2_line_dedup": lines.ORACLE_SQL,
     "op8_jaccard_join": jaccard.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
+    "op13_exact_dedup": exact.ORACLE_SQL,
     "pii_base_values": pii.BASE_SQL,
     "media_payloads": media.PAYLOAD_SQL,
     "packing_pieces": packing.AUDIT_SQL,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, jaccard, licenses, lines, markup, media, mixing, packing, pii, topk, toxicity
+from . import exact, jaccard, licenses, lines, markup, media, mixing, packing, pii, resample, topk, toxicity
 from .common import read
 
 
@@ -60,6 +60,11 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf_dir, "documents"), mixing.quality(read(spark, sf_dir, "labels")))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their score towards the benchmark's distribution of features, and the quarter that is drawn."""
+    return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the row of their text that stays."""
     return exact.groups(read(spark, sf_dir, "documents"))
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,
+    "op11_importance_resampling": op11_importance_resampling,
     "op13_exact_dedup": op13_exact_dedup,
     "pii_base_values": pii_base_values,
     "media_payloads": media_payloads,
@@ -102,6 +108,7 @@ ORACLE_SQL = {
     "op2_line_dedup": lines.ORACLE_SQL,
     "op8_jaccard_join": jaccard.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
+    "op11_importance_resampling": resample.ORACLE_SQL,
     "op13_exact_dedup": exact.ORACLE_SQL,
     "pii_base_values": pii.BASE_SQL,
     "media_payloads": media.PAYLOAD_SQL,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, jaccard, licenses, lines, markup, media, mixing, packing, pii, resample, topk, toxicity
+from . import exact, jaccard, licenses, lines, markup, media, mixing, packing, pii, resample, topk, toxicity, turns
 from .common import read
 
 
@@ -65,6 +65,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule, with their faults and their cheapest repair."""
+    return turns.damaged_report(read(spark, sf_dir, "conversations"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the row of their text that stays."""
     return exact.groups(read(spark, sf_dir, "documents"))
@@ -97,6 +102,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_source_mix": op10_source_mix,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_exact_dedup": op13_exact_dedup,
     "pii_base_values": pii_base_values,
     "media_payloads": media_payloads,
@@ -109,6 +115,7 @@ ORACLE_SQL = {
     "op8_jaccard_join": jaccard.ORACLE_SQL,
     "op10_source_mix": mixing.ORACLE_SQL,
     "op11_importance_resampling": resample.ORACLE_SQL,
+    "op12_conversation_repair": turns.ORACLE_SQL,
     "op13_exact_dedup": exact.ORACLE_SQL,
     "pii_base_values": pii.BASE_SQL,
     "media_payloads": media.PAYLOAD_SQL,

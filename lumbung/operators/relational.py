@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,6 +117,37 @@ def cap_batches(df: DataFrame, batch: str, most: int, before: int = 0, at_least_
     return df.join(kept.select(batch), batch, "left_semi")
 
 
+def in_order(rows: DataFrame, column: str, configured: Sequence[str] = ()) -> list[str]:
+    """The values of a column of configuration (queries, sources) that rows has: those configured in their order, then others by name. At most CONFIGURED, which is checked."""
+    found = [r[0] for r in rows.select(column).filter(F.col(column).isNotNull()).distinct().limit(CONFIGURED + 1).collect()]
+    if len(found) > CONFIGURED:
+        raise ValueError(f"{column} is configuration of at most {CONFIGURED} values")
+    places = {name: i for i, name in enumerate(configured)}
+    return sorted(found, key=lambda x: (places.get(x, len(places)), x))
+
+
+def accept_batches(make: Callable[[list[str]], DataFrame], batches: Sequence[str], most: int, *, seen: DataFrame | None = None, before: int = 0, at_least_one: bool = False, whole: bool = True) -> DataFrame | None:
+    """Rows of batches in their order until the rows that were accepted, with `before` from earlier, are `most` or more; None without a batch.
+
+    make: rows of some batches, with id, seq (their order) and batch (their place in batches). An id belongs to the first row that has it, and is not accepted if it is in seen. The
+    batch that reaches `most` is taken whole, or, if not whole, cut there. Batches are made in groups that double in number, so beyond the end at most as
+    many are made as before it, and each group's rows are settled, so nothing is made twice. at_least_one: the first batch is made although `most` is reached.
+    """
+    taken, at, width = None, 0, 1
+    while at < len(batches) and (before < most or (at_least_one and at == 0)):
+        fresh = keep_first(make(list(batches[at : at + width])), "id", ["seq"])
+        for earlier in (seen, taken):
+            fresh = anti_seen(fresh, earlier) if earlier is not None else fresh
+        fresh = settled(fresh)
+        fresh = settled(cap_batches(fresh, "batch", most, before, at_least_one and at == 0))
+        before += fresh.count()
+        taken = fresh if taken is None else taken.unionByName(fresh)
+        at, width = at + width, 2 * width
+    if taken is None or whole or before <= most:
+        return taken
+    return first_rows(taken, most - before + taken.count(), ["seq"])
+
+
 def until_first_empty(df: DataFrame, query: str = "query", page: str = "page", empty: str = "is_empty") -> DataFrame:
     """Of each query the pages before its first empty one."""
     stop = F.min(F.when(F.col(empty), F.col(page))).over(Window.partitionBy(query))

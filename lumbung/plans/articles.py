@@ -39,12 +39,12 @@ class Context:
 
 
 def make_rows(items: DataFrame, context: Context) -> DataFrame:
-    """Article rows of items: source, title, content, url and pub (instant and local, may be null); phase and seq stay.
+    """Article rows of items: source, title, content, url and pub (instant and local, may be null); phase, batch and seq stay.
 
     Labels are made of the texts before they are stripped; content is at most 2,000 characters before and after. Future dates count as none.
     """
     pub = F.when(~dates.is_future(F.col("pub.instant"), context.now), F.col("pub"))
-    kept = [c for c in ("phase", "seq") if c in items.columns]
+    kept = [c for c in ("phase", "batch", "seq") if c in items.columns]
     ready = items.withColumn("__pub", pub).withColumn("__content", text.truncate(F.coalesce("content", F.lit(""))))
     fields = dates.week_fields(F.col("__pub.local"))
     place = classify.label_place(F.concat_ws(" ", "title", "__content"), context.places, context.default_place)

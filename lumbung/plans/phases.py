@@ -1,7 +1,8 @@
 """The phases of a run, from landed feeds, result pages, sitemaps and pages to article rows.
 
-Requests are made outside the engine: what they gave is landed in tables, and each phase is a plan over them. A phase returns article rows with seq, its
-order; articles.full_run() and articles.weekly_update() put phases together. week: rows of as_of's week only.
+Requests are made outside the engine: what they gave is landed in tables, and each phase is a plan over them. A phase returns article rows with seq, its order: an array of
+places, as of the query in the configuration, the month, and the entry in its page. Queries and sources that aren't configured come last, by name.
+full() and weekly() put phases together, with the budgets that end them. week: rows of as_of's week only.
 """
 
 from __future__ import annotations
@@ -9,14 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import relational as rel
+from ..operators.store import settled
 from ..sources import feeds as read
-from ..sources import files, pages
-from ..sources.sites import ARCHIVE, SITES
+from ..sources import pages, runs
+from ..sources.searches import ARCHIVE_QUERIES, NEWS_QUERIES
+from ..sources.sites import ARCHIVE, FEED_ORDER, SITES
 from . import articles
 
 
@@ -40,103 +43,186 @@ def _wanted(pub: str, context: articles.Context, week: bool) -> Column:
 
 
 def _rows(items: DataFrame, context: articles.Context, order: Sequence[str], week: bool) -> DataFrame:
-    numbered = rel.number_rows(items, [F.col(c) for c in order], name="seq")
-    rows = articles.make_rows(numbered, context)
+    """Article rows of items, with an array of the order's places as seq."""
+    return _made(items.withColumn("seq", F.array(*[F.col(c).cast("long") for c in order])), context, week)
+
+
+def _made(items: DataFrame, context: articles.Context, week: bool) -> DataFrame:
+    """Article rows of the run's years or week. Items are settled before: dates are long expressions, and every field that is made of one would have it again."""
+    rows = articles.make_rows(settled(items), context)
     return rows.filter(dates.row_in_week(context.now)) if week else rel.year_filter(rows, context.years)
 
 
-def feed_phase(feeds: DataFrame, context: articles.Context, *, week: bool = False) -> DataFrame:
-    """Entries of each source's first usable feed; in a week's run an empty feed counts as usable."""
+def _placed(rows: DataFrame, column: str, order: Sequence[str], first: int = 0) -> DataFrame:
+    """rows of the values of a column that order has, with their place in it, from `first`, as batch."""
+    places = rows.sparkSession.createDataFrame([(name, first + i) for i, name in enumerate(order)], f"{column} string, batch long")
+    return rows.join(F.broadcast(places), column)
+
+
+def feed_phase(feeds: DataFrame, context: articles.Context, *, week: bool = False, sources: Sequence[str] = FEED_ORDER) -> DataFrame:
+    """Entries of each source's first usable feed, sources in their order; in a week's run an empty feed counts as usable."""
     entries = dates.with_date(read.feed_entries(feeds, skip_empty=not week), F.col("raw_date"), "pub", context.as_of, policy=context.policy)
     entries = entries.filter(_wanted("pub", context, week)).withColumn("content", text.truncate(text.clean_text(F.col("body"))))
-    return _rows(entries.select("source", "entry_idx", "title", "content", F.col("link").alias("url"), "pub"), context, ["source", "entry_idx", "url"], week)
+    place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, sources)).cast("array<string>"), F.col("source")), F.lit(0)), F.lit(len(sources) + 1))
+    numbered = rel.number_rows(entries.select("source", "entry_idx", "title", "content", F.col("link").alias("url"), "pub"), [place.asc(), F.col("source"), F.col("entry_idx"), F.col("url")], name="place")
+    return _rows(numbered, context, ["place"], week)
 
 
-def news_phase(news: DataFrame, context: articles.Context, *, week: bool = False) -> DataFrame:
-    """Entries of the news search, whose source is the host of their link. news: query, month_start and xml of each request."""
-    asked = news.select(F.concat_ws(" ", "query", F.col("month_start").cast("string")).alias("source"), F.lit(0).alias("feed_idx"), F.lit(200).alias("status"), "xml")
+def news_phase(news: DataFrame, context: articles.Context, *, week: bool = False, queries: Sequence[str] = NEWS_QUERIES, some: Sequence[str] | None = None) -> DataFrame:
+    """Entries of the news search, whose source is the host of their link. news: query, month_start and xml of each request.
+
+    Rows come by the query's place, month and entry; batch is the query's place. some: only these queries, the others' results are not read.
+    """
+    order = rel.in_order(news, "query", queries)
+    asked = _placed(news.filter(F.col("query").isin(list(some))) if some is not None else news, "query", order)
+    month = F.coalesce(F.datediff(F.col("month_start").cast("date"), F.lit("1970-01-01").cast("date")), F.lit(-1))
+    asked = asked.select(F.concat_ws(" ", F.col("batch").cast("string"), month.cast("string")).alias("source"), F.lit(0).alias("feed_idx"), F.lit(200).alias("status"), "xml")
     entries = dates.with_date(read.feed_entries(asked, updated=False), F.col("raw_date"), "pub", context.as_of, policy=context.policy).filter(_wanted("pub", context, week))
-    items = entries.select(F.col("source").alias("asked"), "entry_idx", text.domain_source(F.col("link")).alias("source"), "title", text.truncate(text.clean_text(F.col("body"))).alias("content"), F.col("link").alias("url"), "pub")
-    return _rows(items, context, ["asked", "entry_idx", "url"], week)
+    items = entries.select(
+        F.substring_index("source", " ", 1).cast("long").alias("batch"), F.substring_index("source", " ", -1).cast("long").alias("month"), "entry_idx", text.domain_source(F.col("link")).alias("source"), "title",
+        text.truncate(text.clean_text(F.col("body"))).alias("content"), F.col("link").alias("url"), "pub",
+    )
+    return _rows(items, context, ["batch", "month", "entry_idx"], week)
 
 
-def archive_phase(archive: DataFrame, landed_pages: DataFrame, context: articles.Context) -> DataFrame:
-    """Articles that the archive search lists with a date in the years, from their landed pages."""
-    items = dates.with_date(read.archive_items(pages.archive_lists(archive)), F.col("raw_date"), "known", context.as_of, policy=context.policy)
-    listed = rel.keep_first(items.filter(_wanted("known", context, False)), "url", ["query", "page", "idx"])
-    return _pages_of(listed.select(F.lit(ARCHIVE.name).alias("source"), "query", "page", "idx", "url", "known"), landed_pages, context, {ARCHIVE.name: ARCHIVE}, ["query", "page", "idx", "url"], False)
+def archive_phase(archive: DataFrame, landed_pages: DataFrame, context: articles.Context, *, queries: Sequence[str] = ARCHIVE_QUERIES, some: Sequence[str] | None = None) -> DataFrame:
+    """Articles that the archive search lists with a date in the years, from their landed pages, by the query's place, page and item. batch and some as in news_phase()."""
+    order = rel.in_order(archive, "query", queries)
+    asked = archive.filter(F.col("query").isin(list(some))) if some is not None else archive
+    items = dates.with_date(read.archive_items(pages.archive_lists(asked)), F.col("raw_date"), "known", context.as_of, policy=context.policy)
+    listed = rel.keep_first(_placed(items.filter(_wanted("known", context, False)), "query", order), "url", ["batch", "page", "idx"])
+    listed = listed.select(F.lit(ARCHIVE.name).alias("source"), "batch", F.array(*[F.col(c).cast("long") for c in ("batch", "page", "idx")]).alias("path"), "url", "known")
+    return _pages_of(listed, landed_pages, context, {ARCHIVE.name: ARCHIVE}, False)
 
 
-def candidates(sitemaps: DataFrame, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False) -> DataFrame:
-    """source, url, known (a struct, may be null) and place of the URLs that the sites' sitemaps list, each once a source.
+def candidates(sitemaps: DataFrame, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None) -> DataFrame:
+    """source, batch (the site's place), url, known (a struct, may be null) and path of the URLs that the sites' sitemaps list, each once a source, where it is met first.
 
     No pictures or films; only URLs that the site's filter lets through, or, if wide, that name a topic; dates that are known must be in the years, and in the week if
-    asked for. A URL's date is that of the sitemap, else the one in the URL.
+    asked for. A URL's date is that of the sitemap, else the one in the URL. some: only these sites.
     """
     spark = sitemaps.sparkSession
-    roots = spark.createDataFrame([(s.name, u) for s in sites for u in s.sitemaps], "source string, sitemap_url string")
+    chosen = [(i, s) for i, s in enumerate(sites) if some is None or s.name in some]
+    roots = spark.createDataFrame([(s.name, u, k) for _, s in chosen for k, u in enumerate(s.sitemaps)], "source string, sitemap_url string, place long")
     reached = read.sitemap_trees(sitemaps, roots)
     listed = read.sitemap_urls(sitemaps.filter(~read.is_index(F.col("xml")))).join(reached, "sitemap_url").withColumnRenamed("loc", "url")
     listed = listed.filter(text.not_media(F.col("url")))
     if wide:
         listed = listed.filter(text.url_keyword(F.col("url"), text.topic_url_pattern(context.topics)))
-    else:
-        filters = spark.createDataFrame([(s.name, s.keyword_filter) for s in sites], "source string, wanted string")
-        listed = listed.join(F.broadcast(filters), "source").filter(text.url_keyword(F.col("url"), F.col("wanted")))  # a row for each site
+    filters = spark.createDataFrame([(s.name, None if wide else s.keyword_filter, i) for i, s in chosen], "source string, wanted string, batch long")
+    listed = listed.join(F.broadcast(filters), "source").filter(F.lit(True) if wide else text.url_keyword(F.col("url"), F.col("wanted")))  # a row for each site
     dated = dates.with_date(listed, F.col("lastmod"), "known", context.as_of, policy=context.policy).withColumn("known", F.coalesce("known", dates.date_from_url(F.col("url"), context.now)))
     kept = dated.filter(F.col("known").isNull() | _wanted("known", context, False))
     if week:
         kept = articles.week_candidates(kept, context)
-    once = rel.keep_first(kept, ["source", "url"], ["level", "sitemap_url", "idx"])
-    return once.select("source", "url", "known", "level", "sitemap_url", "idx")
+    met = kept.withColumn("path", F.concat(F.array("batch"), "path", F.array(F.col("idx").cast("long"))))
+    return rel.keep_first(met, ["source", "url"], ["path"]).select("source", "batch", "url", "known", "path")
 
 
-def _pages_of(listed: DataFrame, landed_pages: DataFrame, context: articles.Context, sites: dict[str, pages.Site], order: Sequence[str], week: bool, suffix: str = "") -> DataFrame:
-    """Article rows of listed URLs (source, url, known) from their pages, by their site's selectors; dates that aren't known come from the page or the URL."""
-    columns = [c for c in listed.columns if c not in ("source", "url", "known")]
+def _pages_of(listed: DataFrame, landed_pages: DataFrame, context: articles.Context, sites: dict[str, pages.Site], week: bool, suffix: str = "") -> DataFrame:
+    """Article rows of listed URLs (source, batch, url, known, path) from their pages, by their site's selectors; dates that aren't known come from the page or the URL. seq is the path."""
     fetched = listed.join(pages.usable(landed_pages).select("url", "html"), "url")
-    found = pages.extract(fetched, sites, keep=("source", "url", "known", *columns))
+    found = pages.extract(fetched, sites, keep=("source", "url", "known", "batch", "path"))
     pub = pages.published(F.col("known"), F.col("raw_dates"), F.col("url"), context.as_of, policy=context.policy)
-    items = found.withColumn("pub", pub).select(F.concat("source", F.lit(suffix)).alias("source"), "url", "pub", "title", F.col("body").alias("content"), *columns)
-    return _rows(items, context, ["source", *[c for c in order if c != "source"]], week)
+    items = found.withColumn("pub", pub).select(F.concat("source", F.lit(suffix)).alias("source"), "batch", F.col("path").alias("seq"), "url", "pub", "title", F.col("body").alias("content"))
+    return _made(items, context, week)
+
 
+def sitemap_phase(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None) -> DataFrame:
+    """Articles that the sites' sitemaps list, from their landed pages, as one meets them. wide: the top-up, with URLs that name a topic. some: only these sites."""
+    listed = candidates(landed.sitemaps, context, sites, wide=wide, week=week, some=some)
+    return _pages_of(listed, landed.pages, context, {s.name: s for s in sites}, week, " (top-up)" if wide else "")
 
-def sitemap_phase(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False) -> DataFrame:
-    """Articles that the sites' sitemaps list, from their landed pages. wide: the top-up, with URLs that name a topic."""
-    listed = candidates(landed.sitemaps, context, sites, wide=wide, week=week)
-    return _pages_of(listed, landed.pages, context, {s.name: s for s in sites}, ["level", "sitemap_url", "idx", "url"], week, " (top-up)" if wide else "")
 
+@dataclass(frozen=True)
+class Asked:
+    """What a run asks for, in order: it decides what comes first, and with budgets what is taken at all."""
+
+    feeds: Sequence[str] = FEED_ORDER
+    news: Sequence[str] = NEWS_QUERIES
+    archive: Sequence[str] = ARCHIVE_QUERIES
+    sites: Sequence[pages.Site] = tuple(SITES)
+
+
+def accepted(landed: Landed, context: articles.Context, asked: Asked = Asked(), *, folder: str | None = None) -> DataFrame:  # noqa: B008  it is frozen
+    """The rows that a full run takes, each id once, with phase and seq.
 
-def full(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """A full run: feeds, news, archive and sitemaps in this order, topped up if there are too few rows. folder: phases are written there, and a run that broke off goes on."""
-    made = [
-        (landed.feeds, lambda: feed_phase(landed.feeds, context)), (landed.news, lambda: news_phase(landed.news, context)),
-        (landed.archive, lambda: archive_phase(landed.archive, landed.pages, context)), (landed.sitemaps, lambda: sitemap_phase(landed, context, sites)),
-    ]
-    there = [(table, make) for table, make in made if table is not None]
-    if not there:
+    Feeds, news, archive, sitemaps, in this order. The news search ends at context.news_cap rows, in the middle of a result if need be. The archive search ends after the query with which all
+    rows reach context.most, the first query is asked anyway. If there are fewer than that after the sitemaps, they are gone through again for URLs that name a topic,
+    source by source until there are. What budgets leave out is not read: results of queries and pages of sources beyond the end are parsed for at most as many as before it.
+    folder: phases are written there, and a run that broke off goes on; see runs.Run.
+    """
+    spark = next((t.sparkSession for t in (landed.feeds, landed.news, landed.archive, landed.sitemaps) if t is not None), None)
+    if spark is None:
         raise ValueError("nothing is landed")
-    spark = there[0][0].sparkSession
-    rows = files.resumed(spark, folder, [make for _, make in there]) if folder else [make() for _, make in there]
-    top_up = (lambda: sitemap_phase(landed, context, sites, wide=True)) if landed.sitemaps is not None else None
-    news = next((i for i, (table, _) in enumerate(there) if table is landed.news), -1)
-    return articles.full_run(rows, context, top_up, news_phase=news)
+    run = runs.Run(spark, folder, [context, asked]) if folder else None
+    rows, total = None, 0
+
+    def add(name: str, inputs: Sequence[DataFrame | None], make) -> None:  # noqa: ANN001
+        nonlocal rows, total
+        before = rows
+
+        def made() -> DataFrame:
+            found = make(before)
+            return found if found is not None else _nothing(spark)
 
+        fresh = run.phase(name, [t for t in inputs if t is not None], lambda: made().drop("batch")) if run else settled(made().drop("batch"))
+        fresh = fresh.withColumn("phase", F.lit(_PHASES.index(name)))
+        rows, total = fresh if rows is None else rows.unionByName(fresh), total + fresh.count()
 
-def weekly(existing: DataFrame, landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES)) -> DataFrame:
-    """existing with the articles of as_of's week from feeds, news and sitemaps; of a URL that several give the first counts."""
-    parts = []
+    def first_of(fresh: DataFrame, before: DataFrame | None) -> DataFrame:
+        fresh = rel.keep_first(fresh, "id", ["seq"])
+        return rel.anti_seen(fresh, before) if before is not None else fresh
+
+    if landed.feeds is not None:
+        add("feeds", [landed.feeds], lambda before: first_of(feed_phase(landed.feeds, context, sources=asked.feeds), before))
+    if landed.news is not None:
+        make = lambda some: news_phase(landed.news, context, queries=asked.news, some=some)
+        add("news", [landed.news], lambda before: rel.accept_batches(make, rel.in_order(landed.news, "query", asked.news), context.news_cap, seen=before, whole=False))
+    if landed.archive is not None:
+        search = lambda some: archive_phase(landed.archive, landed.pages, context, queries=asked.archive, some=some)
+        add("archive", [landed.archive, landed.pages], lambda before: rel.accept_batches(search, rel.in_order(landed.archive, "query", asked.archive), context.most, seen=before, before=total, at_least_one=True))
+    if landed.sitemaps is not None:
+        add("sitemaps", [landed.sitemaps, landed.pages], lambda before: first_of(sitemap_phase(landed, context, asked.sites), before))
+        if total < context.most:
+            widen = lambda some: sitemap_phase(landed, context, asked.sites, wide=True, some=some)
+            add("top_up", [landed.sitemaps, landed.pages], lambda before: rel.accept_batches(widen, [s.name for s in asked.sites], context.most, seen=before, before=total))
+    return rows
+
+
+_PHASES = ("feeds", "news", "archive", "sitemaps", "top_up")
+
+
+def _nothing(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "seq array<bigint>, id string, Source string, Title string, Content string, url string, Year int, Month int, Week int, Minggu_ke int, Minggu_Mulai string, Week_Label string, Penyakit string, Lokasi string")
+
+
+def full(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, folder: str | None = None, asked: Asked | None = None) -> tuple[DataFrame, DataFrame]:
+    """A full run, of the rows that accepted() takes: numbered clean rows, and those that the audit takes out."""
+    return articles.finalize(accepted(landed, context, asked or Asked(sites=tuple(sites)), folder=folder), context, ["phase", "seq"])
+
+
+def weekly(existing: DataFrame, landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, asked: Asked | None = None) -> DataFrame:
+    """existing with the articles of as_of's week from feeds, news and sitemaps; of a URL that several give the first counts.
+
+    The news search ends before the query that finds context.news_cap rows or more taken; a query's result is taken whole.
+    """
+    asked, parts = asked or Asked(sites=tuple(sites)), []
     if landed.feeds is not None:
-        parts.append(feed_phase(landed.feeds, context, week=True))
+        parts.append(feed_phase(landed.feeds, context, week=True, sources=asked.feeds))
     if landed.news is not None:
-        parts.append(news_phase(landed.news, context, week=True))
+        make = lambda some: news_phase(landed.news, context, week=True, queries=asked.news, some=some)
+        seen = settled(parts[0]) if parts else None
+        parts = [seen] if parts else []
+        found = rel.accept_batches(make, rel.in_order(landed.news, "query", asked.news), context.news_cap, seen=seen)
+        parts += [found.drop("batch")] if found is not None else []
     if landed.sitemaps is not None:
-        parts.append(sitemap_phase(landed, context, sites, week=True))
+        parts.append(sitemap_phase(landed, context, asked.sites, week=True).drop("batch"))
     together = None
     for number, rows in enumerate(parts):
         numbered = rows.withColumn("phase", F.lit(number))
         together = numbered if together is None else together.unionByName(numbered)
     if together is None:
         return existing
-    first = rel.keep_first(together, "id", ["phase", "seq"])
-    return articles.weekly_update(existing, rel.number_rows(first.withColumnRenamed("seq", "__seq"), [F.col("phase"), F.col("__seq")], name="seq").drop("__seq"), context)
+    first = rel.keep_first(together, "id", ["phase", "seq"]).withColumnRenamed("seq", "place")
+    return articles.weekly_update(existing, rel.number_rows(first, [F.col("phase"), F.col("place")], name="seq").drop("place"), context)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,27 +64,30 @@ def is_index(xml: Column) -> Column:
 
 
 def sitemap_trees(sitemaps: DataFrame, roots: DataFrame) -> DataFrame:
-    """source, sitemap_url and level of all landed sitemaps that are reached from each source's roots (source, sitemap_url), each once, at its least level.
+    """source, sitemap_url and path of all landed sitemaps that are reached from each source's roots (source, sitemap_url, place), each once, with its least path.
 
-    Levels are joined one by one, each with what is new to its source, until there is nothing new: any depth is reached, and a cycle ends. Sitemaps of pictures and films
-    are not followed. A level is settled before the next, so plans stay small.
+    A path is an array: the root's place, then the place of each sitemap in the index before it. In the order of paths sitemaps come as one meets them who reads each index from top to
+    bottom, going down before going on. Levels are joined one by one, each with what is new or got a lesser path, until there is nothing: any depth is
+    reached, and a cycle ends, for a way round it only makes a path longer. Sitemaps of pictures and films are not followed. A level is settled before the next, so plans stay small.
     """
-    edges = sitemaps.select(F.col("sitemap_url").alias("parent"), F.explode(_children(F.col("xml"))).alias("child")).filter(~F.col("child").rlike(SKIPPED))
-    edges = settled(edges.distinct())
-    level = settled(roots.select("source", "sitemap_url").distinct().withColumn("level", F.lit(0)))
+    listed = sitemaps.select(F.col("sitemap_url").alias("parent"), F.posexplode(_children(F.col("xml"))).alias("place", "child")).filter(~F.col("child").rlike(SKIPPED))
+    edges = settled(listed.groupBy("parent", "child").agg(F.min("place").cast("long").alias("place")))
+    least = lambda rows: rows.groupBy("source", "sitemap_url").agg(F.min("path").alias("path"))
+    level = settled(least(roots.select("source", "sitemap_url", F.array(F.col("place").cast("long")).alias("path"))))
     found = level
-    for n in itertools.count(1):
-        further = level.join(edges, F.col("sitemap_url") == F.col("parent")).select("source", F.col("child").alias("sitemap_url")).distinct()
-        level = settled(further.join(found.select("source", "sitemap_url"), ["source", "sitemap_url"], "left_anti").withColumn("level", F.lit(n)))
+    while True:
+        further = least(level.join(edges, F.col("sitemap_url") == F.col("parent")).select("source", F.col("child").alias("sitemap_url"), F.concat("path", F.array("place")).alias("path")))
+        known = found.withColumnRenamed("path", "known")
+        level = settled(further.join(known, ["source", "sitemap_url"], "left").filter("known is null or path < known").drop("known"))
         if level.isEmpty():
             break
-        found = settled(found.union(level))
-    return found.join(sitemaps.select("sitemap_url").distinct(), "sitemap_url", "left_semi").select("source", "sitemap_url", "level")
+        found = settled(least(found.union(level)))
+    return found.join(sitemaps.select("sitemap_url").distinct(), "sitemap_url", "left_semi").select("source", "sitemap_url", "path")
 
 
 def sitemap_tree(sitemaps: DataFrame, roots: list[str]) -> DataFrame:
-    """sitemap_url and level of all landed sitemaps that are reached from roots through indexes."""
-    start = sitemaps.sparkSession.createDataFrame([("", r) for r in roots], "source string, sitemap_url string")
+    """sitemap_url and path of all landed sitemaps that are reached from roots through indexes."""
+    start = sitemaps.sparkSession.createDataFrame([("", r, i) for i, r in enumerate(roots)], "source string, sitemap_url string, place long")
     return sitemap_trees(sitemaps, start).drop("source")
 
 

@@ -1,12 +1,12 @@
-"""Files: the published CSV, the JSON backup and checkpoints by phase."""
+"""Files: the published CSV and the JSON backup."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.store import exists
+
 _INTS = ("No", "Year", "Month", "Week", "Minggu_ke")
 _TEXTS = ("Source", "Title", "Content", "Minggu_Mulai", "Week_Label", "Penyakit", "Lokasi", "url")
 DATASET = "No bigint, Source string, Title string, Content string, Year int, Month int, Week int, Minggu_ke int, Minggu_Mulai string, Week_Label string, Penyakit string, Lokasi string, url string"
@@ -18,15 +18,9 @@ def _known(x: Column) -> Column:
     return F.when(~x.isin(*_NULLS), x)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
     """The published CSV in its schema; an empty table if there is none. Numbers may be written as 2026.0, missing ones as NA."""
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return spark.createDataFrame([], DATASET)
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     names = [f.split()[0] for f in DATASET.split(", ")]
@@ -49,39 +43,3 @@ def write_backup(df: DataFrame, path: str, years: list[int], scraped_at: str) ->
     df.write.mode("overwrite").json(f"{path}/rows")
     total = df.agg(F.count(F.lit(1)).alias("total"))
     total.select(F.lit(scraped_at).alias("scraped_at"), F.array(*map(F.lit, years)).alias("years"), "total").coalesce(1).write.mode("overwrite").json(f"{path}/about")
-
-
-def save_phase(df: DataFrame, folder: str, phase: int) -> None:
-    """A phase's rows, written again as a whole."""
-    df.write.mode("overwrite").parquet(f"{folder}/phase={phase}")
-
-
-def done_phases(spark: SparkSession, folder: str, phases: list[int]) -> list[int]:
-    """The phases that were written whole and can be read; others count as not done."""
-    return [p for p in phases if _exists(spark, f"{folder}/phase={p}/_SUCCESS") and _readable(spark, f"{folder}/phase={p}")]
-
-
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(1).collect()
-    except Exception:  # noqa: BLE001  what is damaged is made again
-        return False
-    return True
-
-
-def load_phase(spark: SparkSession, folder: str, phase: int) -> DataFrame:
-    return spark.read.parquet(f"{folder}/phase={phase}")
-
-
-def load_phases(spark: SparkSession, folder: str) -> DataFrame | None:
-    """Rows of the phases that are done, with their phase; None if none is."""
-    return spark.read.parquet(folder) if _exists(spark, folder) else None
-
-
-def resumed(spark: SparkSession, folder: str, phases: Sequence[Callable[[], DataFrame]]) -> list[DataFrame]:
-    """The tables of all phases: those that are done are read, the others are made and written, in order, so a run that broke off goes on where it was."""
-    done = set(done_phases(spark, folder, list(range(len(phases)))))
-    for number, make in enumerate(phases):
-        if number not in done:
-            save_phase(make(), folder, number)
-    return [load_phase(spark, folder, number) for number in range(len(phases))]

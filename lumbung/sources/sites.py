@@ -26,3 +26,6 @@ FEEDS = {
 
 # The archive search's name as a source, with the selectors of its pages.
 ARCHIVE = Site("Detik (archive search)", (), None, ("h1.detail__title", "h1.title", "h1"), (".detail__body-text", ".detail__body", "article"), (".detail__date", "time", "[class*='date']"))
+
+# The order in which sources' feeds are read.
+FEED_ORDER = ("Detik Health", "Republika Kesehatan", "Tribun Kesehatan", "Antara Kesehatan", "Medcom Kesehatan", "Kompas Health")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from lumbung.functions import dates
 from lumbung.operators import relational as rel
 from lumbung.plans import articles, phases
-from lumbung.sources import feeds, files, pages, searches
+from lumbung.sources import feeds, files, pages, runs, searches
 
 CONTEXT = articles.Context("2026-11-26T12:00:00", most=3)
 SITE = pages.Site("Sehat", ("top",), r"x\.id/sehat/", ("h1",), ("article",), ("time",), "datetime")
@@ -47,7 +47,7 @@ def test_full_run_with_all_phases(spark, landed, tmp_path):
     }
     assert rows["https://x.id/1"]["Content"] == "a b" and rows["https://www.berita.com/a"]["Penyakit"] == "Malaria" and rows["https://x.id/sehat/b"]["Lokasi"] == "Bali"
     assert rows["https://arsip.id/1"]["Month"] == 1 and rows["https://x.id/sehat/b"]["Month"] == 3 and bad.count() == 0
-    assert files.done_phases(spark, folder, [0, 1, 2, 3, 4]) == [0, 1, 2, 3]
+    assert runs.phases_of(spark, folder) == {"feeds": 1, "news": 1, "archive": 1, "sitemaps": 1}
     again, _ = phases.full(landed, CONTEXT, [SITE], folder=folder)
     assert sorted(map(str, again.collect())) == sorted(map(str, clean.collect()))
 
@@ -72,17 +72,7 @@ def test_nothing_landed():
 def test_deep_sitemaps_are_reached(spark):
     rows = [(f"m{i}", f"<sitemapindex><sitemap><loc>m{i + 1}</loc></sitemap></sitemapindex>") for i in range(9)] + [("m9", "<urlset/>")]
     found = feeds.sitemap_tree(spark.createDataFrame(rows, "sitemap_url string, xml string"), ["m0"])
-    assert {r["sitemap_url"]: r["level"] for r in found.collect()} == {f"m{i}": i for i in range(10)}
-
-
-def test_damaged_phases_are_made_again(spark, tmp_path):
-    folder, made = str(tmp_path / "p"), []
-    make = lambda n: lambda: (made.append(n), spark.range(n + 1))[1]
-    files.resumed(spark, folder, [make(0), make(1)])
-    for f in (tmp_path / "p" / "phase=1").glob("*.parquet"):
-        f.write_bytes(b"junk")
-    tables = files.resumed(spark, folder, [make(0), make(1)])
-    assert made == [0, 1, 1] and [t.count() for t in tables] == [1, 2]
+    assert {r["sitemap_url"]: r["path"] for r in found.collect()} == {f"m{i}": [0] * (i + 1) for i in range(10)}
 
 
 def test_requests_are_configuration(spark):

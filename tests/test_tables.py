@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from lumbung.operators import relational as rel
 from lumbung.plans import articles
 from lumbung.sources import dom, feeds, files, pages
-from lumbung.streaming.upsert import latest, upsert_stream
 
 CONTEXT = articles.Context("2026-11-26T12:00:00")
 ITEM = "seq long, source string, title string, content string, url string, pub struct<instant: timestamp, local: timestamp_ntz>"
@@ -106,7 +105,7 @@ def test_sitemap_cycles_end(spark):
     one = lambda u: f"<sitemap><loc>{u}</loc></sitemap>"
     rows = [("a", index.format(one("b") + one("video-map"))), ("b", index.format(one("a") + one("c"))), ("c", "<urlset/>"), ("video-map", "<urlset/>")]
     found = feeds.sitemap_tree(spark.createDataFrame(rows, "sitemap_url string, xml string"), ["a"])
-    assert {(r["sitemap_url"], r["level"]) for r in found.collect()} == {("a", 0), ("b", 1), ("c", 2)}
+    assert {(r["sitemap_url"], len(r["path"]) - 1) for r in found.collect()} == {("a", 0), ("b", 1), ("c", 2)}
 
 
 def test_files(spark, tmp_path):
@@ -115,22 +114,10 @@ def test_files(spark, tmp_path):
     back = {r["url"]: r for r in files.read_dataset(spark, str(tmp_path / "csv")).collect()}
     assert back["u1"]["Title"] == 'quote " and, comma\nline' and back["u2"]["Year"] is None and back["u1"]["Year"] == 2026
     assert files.read_dataset(spark, str(tmp_path / "none")).count() == 0
-    files.save_phase(rows, str(tmp_path / "ck"), 2)
-    assert files.done_phases(spark, str(tmp_path / "ck"), [1, 2]) == [2] and files.load_phases(spark, str(tmp_path / "ck")).count() == 2
     files.write_backup(rows, str(tmp_path / "b"), [2025], "now")
     assert spark.read.json(str(tmp_path / "b/about")).first()["total"] == 2
 
 
-def test_stream_upserts(spark, tmp_path):
-    schema = "url string, seq long, v string"
-    source = tmp_path / "in"
-    for k, rows in enumerate([[("u1", 1, "a"), ("u2", 2, "b")], [("u2", 3, "c"), ("u2", 4, "d"), ("u3", 5, "e")]]):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(source))
-        upsert_stream(spark.readStream.schema(schema).parquet(str(source)), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-        assert latest(spark, str(tmp_path / "out")).count() == 2 + k
-    assert {r["url"]: r["v"] for r in latest(spark, str(tmp_path / "out")).collect()} == {"u1": "a", "u2": "d", "u3": "e"}
-
-
 def test_registry_has_sql():
     from lumbung.plans import registry
 

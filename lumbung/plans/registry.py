@@ -5,17 +5,20 @@ The engine's own lexicons name topics that test tables don't speak of, so classi
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
-import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import classify, dates, text
 from ..operators import relational as rel
-from ..operators.store import settled
-from ..sources import feeds, files, pages
+from ..operators import store
+from ..sources import feeds, files, pages, runs
 from ..streaming import upsert
 from . import articles, phases
 
@@ -168,9 +171,17 @@ def future_audit_bad(spark, sf_dir):  # noqa: ANN001, ANN201
     return rel.audit(week_fields(spark, sf_dir), dates.instant(AS_OF))[1]
 
 
-@query("select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(timestamp '1995-04-01', timestamp '1995-06-01', interval 1 month)) as m)")
+_LAST_DAY = "(select max(o_orderdate) from orders)"
+
+
+def _last_day(spark: SparkSession, sf_dir: str) -> str:
+    return str(_read(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0])
+
+
+@query(f"select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(date_trunc('month', d) - interval 2 month, date_trunc('month', d), interval 1 month)) as m from (select {_LAST_DAY}::timestamp as d))")
 def month_ranges(spark, sf_dir):  # noqa: ANN001, ANN201
-    return dates.last_months(spark, AS_OF)
+    """The three months up to that of the last order."""
+    return dates.last_months(spark, _last_day(spark, sf_dir))
 
 
 @query("select doc_id, id from (select doc_id, md5(text) as id, row_number() over (partition by md5(text) order by doc_id) as r from documents) where r = 1")
@@ -198,9 +209,9 @@ def sort_and_number(spark, sf_dir):  # noqa: ANN001, ANN201
     return rel.number_rows(rows, rel.newest_first(["o_orderkey"])).select("o_orderkey", F.col("No").cast("long").alias("No"))
 
 
-@query("select doc_id, id from (select doc_id, md5(text) as id, row_number() over (partition by md5(text) order by doc_id) as r from documents) where r = 1 order by doc_id limit 3000")
+@query("select doc_id, id from (select doc_id, md5(text) as id, row_number() over (partition by md5(text) order by doc_id) as r from documents) where r = 1 order by doc_id limit 300")
 def phase_cap(spark, sf_dir):  # noqa: ANN001, ANN201
-    return rel.first_rows(dedup_keep_first(spark, sf_dir), 3000, ["doc_id"])
+    return rel.first_rows(dedup_keep_first(spark, sf_dir), 300, ["doc_id"])
 
 
 @query("""with b as (select strftime(o_orderdate, '%Y-%m') as batch, count(*) as n from orders group by 1),
@@ -383,13 +394,21 @@ _ISO_READ = "case when day(day) <= 12 and make_date(1995, day(day), month(day))
 
 
 def _landed_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entry = F.concat(F.lit("<sitemap><loc>m"), F.col("page_id").cast("string"), F.lit("</loc></sitemap>"))
+    """A sitemap of each page, below indexes of at most 1,000 entries; at the top root, which lists i0 to i6, with the pages of each remainder modulo 7 in order."""
     rows = _month_text(spark, sf_dir)
-    index = rows.groupBy((F.col("page_id") % 7).alias("k")).agg(F.concat_ws("", F.collect_list(entry)).alias("x"))
-    middle = index.select(F.concat(F.lit("i"), F.col("k").cast("string")).alias("sitemap_url"), F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>")).alias("xml"))
-    top = middle.agg(F.concat_ws("", F.collect_list(F.concat(F.lit("<sitemap><loc>"), F.col("sitemap_url"), F.lit("</loc></sitemap>")))).alias("x"))
     leaf = rows.select(F.concat(F.lit("m"), F.col("page_id").cast("string")).alias("sitemap_url"), F.concat(F.lit("<urlset><url><loc>"), _escaped("url"), F.lit("</loc><lastmod>"), F.col("lastmod"), F.lit("</lastmod></url></urlset>")).alias("xml"))
-    return top.select(F.lit("root").alias("sitemap_url"), F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>")).alias("xml")).union(middle).union(leaf)
+    k, n = F.col("page_id") % 7, F.floor(F.col("page_id") / 7)
+    nodes = rows.select(k.alias("k"), n.alias("n"), F.concat(F.lit("m"), F.col("page_id").cast("string")).alias("loc"))
+    found = leaf
+    for level in ("a", "b", "i"):
+        parent = F.floor(F.col("n") / 1000)
+        name = F.concat(F.lit("i"), F.col("k").cast("string")) if level == "i" else F.concat_ws("-", F.lit(level), F.col("k").cast("string"), parent.cast("string"))
+        entries = F.array_sort(F.collect_list(F.struct("n", F.concat(F.lit("<sitemap><loc>"), F.col("loc"), F.lit("</loc></sitemap>")).alias("x"))))
+        nodes = nodes.groupBy("k", name.alias("parent"), (F.lit(0) if level == "i" else parent).alias("up")).agg(F.concat_ws("", F.transform(entries, lambda e: e["x"])).alias("x"))
+        found = found.union(nodes.select("parent", F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>"))))
+        nodes = nodes.select("k", F.col("up").alias("n"), F.col("parent").alias("loc"))
+    top = "<sitemapindex>" + "".join(f"<sitemap><loc>i{i}</loc></sitemap>" for i in range(7)) + "</sitemapindex>"
+    return found.union(spark.createDataFrame([("root", top)], "sitemap_url string, xml string"))
 
 
 _CANDIDATES = rf"""select url, min(known) as known from (select url, case when dated then {_ISO_READ} end as known from ({_DATED}) where regexp_matches(url, '(?i)\.example\.(com|org)/'))
@@ -456,6 +475,81 @@ def news_articles(spark, sf_dir):  # noqa: ANN001, ANN201
     return phases.news_phase(news, _YEARS).select("Source", "Title", "url", "Month")
 
 
+#: Queries in an order that is not that of their names.
+_ASKED = tuple(f"q{7 * i % 13}" for i in range(13))
+
+
+def _landed_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of 13 queries, of four pages a month: each page is an entry of its own query, and another time of a second one."""
+    rows = _month_text(spark, sf_dir)
+    own, again = (F.struct((x % 13).alias("q"), F.lit(name).alias("name")) for x, name in ((F.col("page_id"), "Page "), (5 * F.col("page_id") + 3, "Again ")))
+    entries = rows.withColumn("e", F.explode(F.array(own, again)))
+    item = F.concat(F.lit("<item><title>"), F.col("e.name"), F.col("page_id").cast("string"), F.lit("</title><link>"), _escaped("url"), F.lit("</link><pubDate>"), F.col("named"), F.lit("</pubDate></item>"))
+    month = F.add_months(F.lit("1900-01-01").cast("date"), F.floor(F.col("page_id") / 52).cast("int"))
+    asked = entries.groupBy(F.concat(F.lit("q"), F.col("e.q").cast("string")).alias("query"), month.alias("month_start")).agg(F.array_sort(F.collect_list(F.struct("page_id", "e.name", item.alias("x")))).alias("items"))
+    return asked.select("query", "month_start", F.concat(F.lit("<rss><channel>"), F.concat_ws("", F.transform("items", lambda i: i["x"])), F.lit("</channel></rss>")).alias("xml"))
+
+
+_NEWS = f"""entries as (
+  select *, 'q' || q as query, page_id // 52 as month from (select *, page_id % 13 as q, 'Page ' as name from ({_DATED}) union all select *, (5 * page_id + 3) % 13, 'Again ' from ({_DATED}))),
+placed as (
+  select url, name || page_id as title, day, list_position([{", ".join(f"'{q}'" for q in _ASKED)}], query) as batch, month, page_id, name from entries where dated and url <> '' and day <= date '1995-06-18'),
+firsts as (select * from (select *, row_number() over (partition by url order by batch, month, page_id, name) as r from placed) where r = 1)"""
+
+
+@query(f"""with {_NEWS} select title as "Title", url, row_number() over (order by batch, month, page_id, name) as place from firsts order by place limit 60""")
+def news_budget(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The news phase of a run in the order of its queries, months and entries, up to its cap of 60 rows; a URL that several queries find belongs to the first."""
+    context = replace(_YEARS, news_cap=60)
+    found = phases.accepted(phases.Landed(news=_landed_news(spark, sf_dir)), context, phases.Asked(news=_ASKED))
+    return rel.number_rows(found, [F.col("seq")], name="place").select("Title", "url", "place")
+
+
+@query(f"""with {_NEWS.replace("day <= date '1995-06-18'", "day between date '1995-06-12' and date '1995-06-18'")},
+  counts as (select batch, count(*) as n from firsts group by batch), kept as (select batch, coalesce(sum(n) over (order by batch rows between unbounded preceding and 1 preceding), 0) as before from counts)
+  select title as "Title", url from firsts where batch in (select batch from kept where before < 6)""")
+def week_news_budget(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The news of as_of's week: before each query it is looked whether there are 6 rows already; a query's result is taken whole."""
+    nothing = spark.createDataFrame([], files.DATASET)
+    return phases.weekly(nothing, phases.Landed(news=_landed_news(spark, sf_dir)), replace(_YEARS, news_cap=6), asked=phases.Asked(news=_ASKED)).select("Title", "url")
+
+
+_ARCHIVE_FOUND = f"""s as (select page_id % 13 as q, min(page_id // 13) as stop from pages where page_id % 9 = 0 or page_id % 11 = 0 group by 1),
+listed as (
+  select url, list_position([{", ".join(f"'{q[1:]}'" for q in _ASKED)}], (page_id % 13)::varchar) as batch, page_id // 13 as page
+  from ({_DATED}) left join s on page_id % 13 = q where (stop is null or page_id // 13 < stop) and dated and day <= date '1995-06-18' and length(html) > 200 and {_HAS_H1}),
+firsts as (select * from (select *, row_number() over (partition by url order by batch, page) as r from listed) where r = 1)"""
+
+
+@query(f"""with {_ARCHIVE_FOUND}, counts as (select batch, count(*) as n from firsts group by batch),
+  kept as (select batch, coalesce(sum(n) over (order by batch rows between unbounded preceding and 1 preceding), 0) as before from counts)
+  select url, row_number() over (order by batch, page) as place from firsts where batch in (select batch from kept where before < 9)""")
+def archive_budget(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The archive phase of a run that is over after the query with which it has 9 rows: later queries are not read."""
+    landed = phases.Landed(archive=_result_pages(spark, sf_dir), pages=_read(spark, sf_dir, "pages"))
+    found = phases.accepted(landed, replace(_YEARS, most=9), phases.Asked(archive=tuple(q[1:] for q in _ASKED)))
+    return rel.number_rows(found, [F.col("seq")], name="place").select("url", "place")
+
+
+_SEVEN = [pages.Site(f"Site {i}", (f"i{i}",), r"\.example\.com/en", ("h1",), ("article",), ("time",)) for i in (3, 0, 6, 1, 5, 2, 4)]
+
+
+@query(rf"""with all_ as (
+  select url, page_id, list_position([3, 0, 6, 1, 5, 2, 4], page_id % 7) as batch, regexp_matches(url, '(?i)\.example\.com/en') as narrow, regexp_matches(url, '(?i)(la[-_.]tour|page|seite|news|/fr/)') as wide
+  from ({_DATED}) where dated and ({_ISO_READ}) is not null and length(html) > 200 and {_HAS_H1}),
+narrow as (select *, row_number() over (partition by url order by batch, page_id) as r from all_ where narrow),
+wide as (select *, row_number() over (partition by url order by batch, page_id) as r from all_ where wide and url not in (select url from narrow)),
+counts as (select batch, count(*) as n from wide where r = 1 group by batch),
+kept as (select batch, (select count(*) from narrow where r = 1) + coalesce(sum(n) over (order by batch rows between unbounded preceding and 1 preceding), 0) as before from counts)
+select 'Site ' || page_id % 7 as "Source", url from narrow where r = 1
+union all select 'Site ' || page_id % 7 || ' (top-up)', url from wide where r = 1 and batch in (select batch from kept where before < 60)""")
+def top_up_budget(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Sitemaps of seven sites, then again for URLs that name a topic, site by site in their order until there are 60 rows; what is met first counts."""
+    context = replace(_YEARS, most=60, topics={"a": ["la tour", "page", "abc"], "b": ["seite", "news", "/fr/"]})
+    landed = phases.Landed(sitemaps=_landed_sitemaps(spark, sf_dir), pages=_read(spark, sf_dir, "pages"))
+    return phases.accepted(landed, context, phases.Asked(sites=_SEVEN)).select("Source", "url")
+
+
 @query("""select q.query, m.month_start::date as month_start, q.query || ' after:' || strftime(m.month_start, '%Y-%m-%d') || ' before:' || strftime(m.month_start + interval 1 month, '%Y-%m-%d') as request,
   replace(replace(q.query, ' ', '%20'), '&', '%26') || '%20after%3A' || strftime(m.month_start, '%Y-%m-%d') || '%20before%3A' || strftime(m.month_start + interval 1 month, '%Y-%m-%d') as encoded
   from (select n_name || ' & region ' || n_regionkey as query from nation) q, (select unnest(generate_series(timestamp '1995-04-01', timestamp '1995-06-01', interval 1 month)) as month_start) m""")
@@ -565,9 +659,11 @@ def week_labels(spark, sf_dir):  # noqa: ANN001, ANN201
     return _read(spark, sf_dir, "orders").select("o_orderkey", dates.commit_label(day).alias("label"), dates.week_label(day).alias("week"))
 
 
-@query("select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(timestamp '1994-01-01', timestamp '1995-06-01', interval 1 month)) as m)")
+@query(f"select m::date as month_start, (m + interval 1 month)::date as month_end from (select unnest(generate_series(date_trunc('year', d), {_LAST_DAY}::timestamp, interval 1 month)) as m from (select min(o_orderdate)::timestamp as d from orders))")
 def months_of_years(spark, sf_dir):  # noqa: ANN001, ANN201
-    return dates.months_of(spark, [1994, 1995, 1996], AS_OF)
+    """The months of all years that orders have, up to that of the last order."""
+    years = _read(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return dates.months_of(spark, list(range(years[0], years[1] + 1)), _last_day(spark, sf_dir))
 
 
 @query(f"select count(*) as n from orders where printf('%d-W%02d', isoyear(o_orderdate), week(o_orderdate)) = '1995-W24'")
@@ -616,50 +712,68 @@ def topped_up(spark, sf_dir):  # noqa: ANN001, ANN201
     return clean.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("No").alias("numbers"), F.max("No").cast("long").alias("last"))
 
 
-@query(f"""select "Year", count(*) as n from ({_ARTICLES}) where "Year" is not null group by 1""")
+@query(f"""with n as (select row_number() over (order by seq) as "No", * from ({_ARTICLES})) select {_PUBLIC} from n""")
 def csv_round_trip(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Articles published as CSV and read back."""
+    """Articles published as CSV and read back, all columns."""
     folder = _scratch(spark, "csv")
-    rows = rel.number_rows(_order_articles(spark, sf_dir), [F.col("seq")])
+    rows = rel.number_rows(_order_articles(spark, sf_dir).filter("Year is not null"), [F.col("seq")])
     files.write_dataset(rel.public_columns(rows), folder)
-    return rel.count_by_year(files.read_dataset(spark, folder))
+    return files.read_dataset(spark, folder)
 
 
-@query("select o_orderstatus as phase, count(*) as n from orders group by 1")
+@query("""select o_orderstatus as phase, year(o_orderdate)::integer as year, count(*) as n from orders where year(o_orderdate) in (1995, 1996) group by 1, 2""")
 def resumed_phases(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Phases that are written one by one; a run that broke off after the second makes the third only."""
+    """Two runs in one folder that differ in their year. The first breaks off after its second phase; after the other it goes on, and makes its third phase only."""
     folder = _scratch(spark, "phases")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("phase_name"))
-    parts = [lambda s=s: orders.filter(F.col("phase_name") == s) for s in ("F", "O", "P")]
-    for number in (0, 1):
-        files.save_phase(parts[number](), folder, number)
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("phase"), F.year("o_orderdate").alias("year"))
+
+    def broken() -> DataFrame:
+        raise InterruptedError("the run breaks off")
+
+    def go(year: int, *makes: Callable[[], DataFrame] | None) -> list[DataFrame]:
+        run = runs.Run(spark, folder, {"year": year})
+        return [run.phase(s, [orders], make or (lambda s=s: orders.filter((F.col("phase") == s) & (F.col("year") == year)))) for s, make in zip("FOP", makes, strict=True)]
+
+    with contextlib.suppress(InterruptedError):
+        go(1995, None, None, broken)
+    tables = go(1996, None, None, None) + go(1995, broken, broken, None)
+    return reduce(DataFrame.unionByName, tables).groupBy("phase", "year").agg(F.count(F.lit(1)).alias("n"))
 
-    def never() -> DataFrame:
-        raise AssertionError("this phase was done")
 
-    tables = files.resumed(spark, folder, [never, never, parts[2]])
-    both = tables[0].unionByName(tables[1]).unionByName(tables[2])
-    return both.groupBy(F.col("phase_name").alias("phase")).agg(F.count(F.lit(1)).alias("n"))
+def _thirds(spark: SparkSession, sf_dir: str, *columns: str) -> list[DataFrame]:
+    """Orders by their number, in three parts of which the later is newer."""
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("url"), F.col("o_orderkey").alias("seq"), *columns)
+    low, high = orders.agg(F.min("seq"), F.max("seq")).first()
+    edges = [low + k * (high - low + 1) // 3 for k in range(4)]
+    return [orders.filter((F.col("seq") >= a) & (F.col("seq") < b)) for a, b in pairwise(edges)]
 
 
 @query("select o_custkey as url, max(o_orderkey) as seq from orders group by 1")
 def stream_upsert(spark, sf_dir):  # noqa: ANN001, ANN201
-    """Orders as a stream of files: the newest row of each customer stays."""
+    """Orders as streams: the newest row of each customer stays. The last third comes from a stream with another checkpoint, after a write that broke off."""
     folder = _scratch(spark, "stream")
-    orders = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("url"), F.col("o_orderkey").alias("seq"))
-    low, high = orders.agg(F.min("seq"), F.max("seq")).first()
-    for k in range(3):  # what comes later is newer
-        part = orders.filter((F.col("seq") >= low + k * (high - low + 1) // 3) & (F.col("seq") < low + (k + 1) * (high - low + 1) // 3))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    upsert.upsert_stream(stream, f"{folder}/out", f"{folder}/state").awaitTermination()
+    for number, part in enumerate(_thirds(spark, sf_dir)):
+        part.write.parquet(f"{folder}/in{number}")
+        if number == 2:
+            part.limit(0).write.parquet(f"{folder}/out/data/broken-off")
+        state = f"{folder}/state{number // 2}"
+        stream = spark.readStream.schema(part.schema).option("pathGlobFilter", "*.parquet").parquet(f"{folder}/in[{number // 2 * 2}-{number}]")
+        upsert.upsert_stream(stream, f"{folder}/out", state).awaitTermination()
     return upsert.latest(spark, f"{folder}/out").select("url", "seq")
 
 
+@query("""select o_orderstatus as status, o_orderpriority as priority, count(*) as n from (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as r from orders) where r = 1 group by 1, 2""")
+def totals_after_upserts(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Newest orders of customers by status and priority after three upserts: totals that followed each, not a count of the table."""
+    folder = _scratch(spark, "totals")
+    for number, part in enumerate(_thirds(spark, sf_dir, F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))):
+        upsert.upsert(part, folder, "query", number, by=["status", "priority"])
+    return upsert.totals(spark, folder)
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     """A folder of its own in the shared checkpoint folder."""
-    settled(spark.range(1))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return store.scratch(spark, name)
 
 
 def as_of() -> dt.datetime:

@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.relational import free_name  # noqa: F401  the operators take it from here
+
 #: Folder that holds the package; Python workers must be able to import from it.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -71,14 +73,6 @@ def map_texts(docs: DataFrame, run: Callable[[Iterator], Iterator], schema: str)
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """The name, with as many underscores after it as it takes to be none of df's columns."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared checkpoint folder: computed once, and not lost with an executor."""
     prepare(df.sparkSession)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import cut, frugal, map_texts, partitions, prepare, within_bounds
+from .common import cut, free_name, frugal, map_texts, partitions, prepare, within_bounds
 from .graph import components
 
 _ONE, _TWO, _THREE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
@@ -456,8 +456,9 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, rule: Join) -> DataFrame:
     """docs with one document of each component: that of the smallest id. Rows that share its id stay together; rows without words and rows of null id stay as they are."""
-    gone = join_components(docs, rule).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(within_bounds(cut(gone)), F.col("doc_id") == F.col("__gone"), "left_anti")
+    name = free_name(docs, "__gone")
+    gone = join_components(docs, rule).filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(within_bounds(cut(gone)), F.col("doc_id") == F.col(name), "left_anti")
 
 
 #: The components of op8's rule: 3 words, 0.9. Documents are numbered, sets are met by their shingles, links are followed to their ends.

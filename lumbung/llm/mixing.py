@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, cut, within_bounds
+from .common import WORD, cut, free_name, within_bounds
 
 #: Quality weights are held within these bounds, which also bounds how uneven the buckets can be.
 WEIGHTS = (0.5, 2.0)
@@ -114,9 +114,10 @@ def repeat_documents(docs: DataFrame, weights: DataFrame | None = None, *, most:
     """
     times = _placed(docs, weights, most).select("source", "doc_id", "size", (F.col("epochs") + _all_or_none().cast("int")).cast("int").alias("times"))
     times = cut(times.filter("times > 0 and size > 0"))
-    known = times.select(*[F.col(c).alias(f"__mix_{c}") for c in times.columns])
-    same = F.col("doc_id").eqNullSafe(F.col("__mix_doc_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (word_count(F.col("text")) == F.col("__mix_size"))
-    repeated = docs.join(within_bounds(known), same).withColumn("__mix_copy", F.explode(F.expr("sequence(1, __mix_times)")))
+    own = {c: free_name(docs, f"__mix_{c}") for c in (*times.columns, "copy")}
+    known = times.select(*[F.col(c).alias(own[c]) for c in times.columns])
+    same = F.col("doc_id").eqNullSafe(F.col(own["doc_id"])) & F.col("source").eqNullSafe(F.col(own["source"])) & (word_count(F.col("text")) == F.col(own["size"]))
+    repeated = docs.join(within_bounds(known), same).withColumn(own["copy"], F.explode(F.sequence(F.lit(1), F.col(own["times"]))))
     return repeated.select(docs.columns)
 
 

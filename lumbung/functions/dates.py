@@ -179,15 +179,18 @@ def with_date(df: DataFrame, raw: Column, name: str, as_of: dt.datetime | str, *
     """df with a column of parse_date(). What the steps make is a column each, so every text is read once."""
     moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
     one, two = _patterns(_swaps(policy))
-    column = lambda x: F.col(f"__date_{x}")
+    own = "__date_"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    column = lambda x: F.col(own + x)
     past = lambda c: F.when(~is_future(c["instant"], instant(as_of)), c)
     # each step is small enough to be compiled well
     steps = [
         {"text": stripped(raw)},
         {"one": _written(column("text"), one), "two": _written(column("text"), two)},
-        {"names": F.when(F.coalesce("__date_one", "__date_two").isNull(), _split(_written(column("text"), _NAMED)))},
+        {"names": F.when(F.coalesce(column("one"), column("two")).isNull(), _split(_written(column("text"), _NAMED)))},
         {"named": F.when(column("names").isNotNull(), _named(column("names")))},
-        {"parts": _split(F.coalesce("__date_one", "__date_named")), "others": _split(column("two"))},
+        {"parts": _split(F.coalesce(column("one"), column("named"))), "others": _split(column("two"))},
         {"wall": _wall(column("parts")), "minutes": _minutes(column("parts"))},
         {"wall_two": _wall(column("others")), "minutes_two": _minutes(column("others"))},
         {"first": _moment(column("wall"), column("minutes"))},
@@ -196,9 +199,9 @@ def with_date(df: DataFrame, raw: Column, name: str, as_of: dt.datetime | str, *
     ]
     read = df
     for step in steps:
-        read = read.withColumns({f"__date_{c}": x for c, x in step.items()})
+        read = read.withColumns({own + c: x for c, x in step.items()})
     found = F.coalesce(past(column("first")), past(column("second")), F.get(F.filter(column("other"), lambda c: ~is_future(c["instant"], instant(as_of))), 0))
-    return read.withColumn(name, found).drop(*[f"__date_{c}" for step in steps for c in step])
+    return read.withColumn(name, found).drop(*[own + c for step in steps for c in step])
 
 
 def parse_date(raw: Column, as_of: dt.datetime | str, *, policy: str = "reference", strip: bool = True) -> Column:

@@ -17,6 +17,14 @@ def _order(columns: Sequence[str | Column], descending: bool = False) -> list[Co
     return [c.desc() if descending else c.asc() for c in named]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as it takes to be none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def public_columns(df: DataFrame) -> DataFrame:
     """The public columns that df has, in their order."""
     return df.select([c for c in PUBLIC if c in df.columns])
@@ -46,7 +54,8 @@ def keep_last(df: DataFrame, key: str | Sequence[str], order: Sequence[str | Col
 def _one(df: DataFrame, key: str | Sequence[str], order: list[Column]) -> DataFrame:
     # filter on row_number() is planned with a group limit before the shuffle, so a key with many rows sends one from each task
     place = F.row_number().over(Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order))
-    return df.withColumn("__place", place).filter("__place = 1").drop("__place")
+    name = free_name(df, "__place")
+    return df.withColumn(name, place).filter(F.col(name) == 1).drop(name)
 
 
 def newest_first(order: Sequence[str | Column] = ()) -> list[Column]:
@@ -64,13 +73,14 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "No", partitions
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     # the place in a partition is the low half of the id, its number the high half
-    marked = settled(ranged.withColumn("__mark", F.monotonically_increasing_id()))
-    part, place = F.shiftright("__mark", 33), F.col("__mark").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = marked.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__rows"))
-    before = F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("__part", before.alias("__start"))  # a row for each partition
-    joined = marked.withColumn("__part", part).join(F.broadcast(starts), "__part")
-    return joined.withColumn(name, F.col("__start") + place + 1).drop("__mark", "__part", "__start")
+    mark, number, start = (free_name(df, c) for c in ("__mark", "__part", "__start"))
+    marked = settled(ranged.withColumn(mark, F.monotonically_increasing_id()))
+    part, place = F.shiftright(mark, 33), F.col(mark).bitwiseAND(F.lit((1 << 33) - 1))
+    counts = marked.groupBy(part.alias(number)).agg(F.count(F.lit(1)).alias("__rows"))
+    before = F.coalesce(F.sum("__rows").over(Window.orderBy(number).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(number, before.alias(start))  # a row for each partition
+    joined = marked.withColumn(number, part).join(F.broadcast(starts), number)
+    return joined.withColumn(name, F.col(start) + place + 1).drop(mark, number, start)
 
 
 def future_row(today: Column, year: str = "Year", month: str = "Month", monday: str = "Minggu_Mulai") -> Column:
@@ -87,11 +97,13 @@ def audit(df: DataFrame, today: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(~bad), df.filter(bad)
 
 
-def merge_by_url(existing: DataFrame, new: DataFrame, order: str = "seq", key: str = "url") -> DataFrame:
-    """Both tables with one row of each url: the last of the new ones, else the last that there was. Columns are matched by name; "__source" tells
+def merge_by_url(existing: DataFrame, new: DataFrame, order: str = "seq", key: str = "url", side: str = "__source") -> DataFrame:
+    """Both tables with one row of each url: the last of the new ones, else the last that there was. Columns are matched by name; the column `side`, which neither may have, tells
     old (0) from new (1)."""
-    both = existing.withColumn("__source", F.lit(0)).unionByName(new.withColumn("__source", F.lit(1)), allowMissingColumns=True)
-    return keep_last(both, key, ["__source", order])
+    if side in existing.columns or side in new.columns:
+        raise ValueError(f"{side} is a column of the tables: name another with side")
+    both = existing.withColumn(side, F.lit(0)).unionByName(new.withColumn(side, F.lit(1)), allowMissingColumns=True)
+    return keep_last(both, key, [side, order])
 
 
 def merge_totals(existing: DataFrame, new: DataFrame, key: str = "url") -> DataFrame:
@@ -151,7 +163,8 @@ def accept_batches(make: Callable[[list[str]], DataFrame], batches: Sequence[str
 def until_first_empty(df: DataFrame, query: str = "query", page: str = "page", empty: str = "is_empty") -> DataFrame:
     """Of each query the pages before its first empty one."""
     stop = F.min(F.when(F.col(empty), F.col(page))).over(Window.partitionBy(query))
-    return df.withColumn("__stop", stop).filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop"))).drop("__stop")
+    name = free_name(df, "__stop")
+    return df.withColumn(name, stop).filter(F.col(name).isNull() | (F.col(page) < F.col(name))).drop(name)
 
 
 def count_by_year(df: DataFrame) -> DataFrame:

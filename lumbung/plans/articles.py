@@ -91,8 +91,9 @@ def weekly_update(existing: DataFrame, new: DataFrame, context: Context) -> Data
     if fresh.isEmpty():
         return existing
     old = existing.withColumn("seq", F.col("No").cast("long")).drop("No")
-    merged = rel.merge_by_url(old, fresh.drop("id", "phase"))
-    return finalize(merged, context, ["__source", "seq"])[0]
+    side = rel.free_name(old, rel.free_name(fresh, "__source"))
+    merged = rel.merge_by_url(old, fresh.drop("id", "phase"), side=side)
+    return finalize(merged, context, [side, "seq"])[0]
 
 
 def week_candidates(urls: DataFrame, context: Context) -> DataFrame:

@@ -2,9 +2,9 @@
 
 A tree is built with the tags that HTML implies (a block ends a paragraph, a list item the one before, a cell the cell before, a stray end tag ends
 nothing). Elements that are not shown are left out: heads, scripts, templates, closed details and dialogs, options that aren't chosen, and what the hidden attribute, inline styles
-and the page's style sheets hide (styles.py: display and visibility by selector, specificity and order, media rules). What is visible within something invisible is shown.
+and the page's style sheets hide (styles.py). What is visible within something invisible is shown.
 Text of pictures (svg) and formulas (math) is shown; what stands in for an object, a film or a script that doesn't run is not.
-The rest is laid out: white space collapses within a block, blocks begin on new lines with blank lines where
+The rest is laid out, by tag or as display, white-space and list-style say: white space collapses within a block, blocks begin on new lines with blank lines where
 browsers leave a margin, list items get bullets or numbers and are indented, and the cells of a table are padded to columns.
 
 Everything runs on stacks of its own, and what is open is found by tag, so nesting of any depth and attributes of any length are read in time that grows
@@ -111,8 +111,8 @@ def _tag_end(source: str, at: int, closing: dict[str, int]) -> int:
                 at = end + 1
 
 
-def parse(source: str) -> tuple[Node, list[str]]:
-    """The tree of a page, and its style sheets."""
+def parse(source: str) -> tuple[Node, list[tuple[str, str]]]:
+    """The tree of a page, and its style sheets with the media that each is for."""
     root, styles = Node("html"), []
     open_ = Open(root)
     stack = open_.stack
@@ -182,7 +182,7 @@ def parse(source: str) -> tuple[Node, list[str]]:
             stop = close_tag.start() if close_tag else end
             content = source[at:stop]
             if tag == "style":
-                styles.append(content)
+                styles.append((node.get("media") or "", content))
             node.children.append(html.unescape(content) if tag in ("textarea", "title") else content)
             at = source.find(">", stop) + 1 if close_tag else end
             at = at or end
@@ -191,16 +191,58 @@ def parse(source: str) -> tuple[Node, list[str]]:
     return root, styles
 
 
-def _shown(node: Node, path: list[Node], sheets: Sheets, seen: bool) -> tuple[bool, bool]:
-    """Whether an element has a place on the page, and whether its text is visible. seen: whether its parent's is."""
+#: What an element's text is laid out by, as it inherits it: visibility, how white space is kept, and the marks of list items, if they are named.
+State = tuple[bool, str, str]
+_KEEPS = {"pre": "pre", "pre-wrap": "pre", "break-spaces": "pre", "pre-line": "lines", "normal": "", "nowrap": "", "initial": ""}
+_INLINE = frozenset("inline inline-block inline-flex inline-grid inline-table contents ruby".split())
+_TYPES = {"a": "lower-alpha", "A": "upper-alpha", "i": "lower-roman", "I": "upper-roman", "1": "decimal"}
+
+
+def _styled(node: Node, path: list[Node], sheets: Sheets, state: State) -> tuple[str, State] | None:
+    """How an element is displayed ("" as its tag is) and what its text is laid out by; None if it has no place on the page."""
     if node.tag in UNSEEN:
-        return False, False
+        return None
     values = sheets.values(node, path) if sheets.by or node.attributes else {}
     away = bool(node.attributes and node.get("hidden") is not None) or (node.tag == "dialog" and node.get("open") is None)
-    if values.get("display", "none" if away else "") == "none":
-        return False, False
-    visibility = values.get("visibility")
-    return True, seen if visibility in (None, "inherit", "unset") else visibility not in ("hidden", "collapse")
+    display = values.get("display", "none" if away else "")
+    if display == "none":
+        return None
+    seen, white, marks = state
+    if (visibility := values.get("visibility")) not in (None, "inherit", "unset"):
+        seen = visibility not in ("hidden", "collapse")
+    white = _KEEPS.get(values.get("white-space", "pre" if node.tag in ("pre", "textarea") else ""), white) if node.tag in ("pre", "textarea") or "white-space" in values else white
+    if node.tag in ("ul", "ol", "menu", "dir"):
+        marks = _TYPES.get(node.get("type") or "", "") if node.tag == "ol" and node.attributes else ""
+    named = values.get("list-style-type")
+    return display, (seen, white, marks if named in (None, "inherit") else named)
+
+
+def _roman(n: int) -> str:
+    out = ""
+    for value, letters in zip((1000, 900, 500, 400, 100, 90, 50, 40, 10, 9, 5, 4, 1), "m cm d cd c xc l xl x ix v iv i".split(), strict=True):
+        out += letters * (n // value)
+        n %= value
+    return out
+
+
+def mark(kind: str, number: int | None) -> str:
+    """What stands before a list item: of an unordered list (no number) a dash, of others the number as the list counts."""
+    if kind == "none":
+        return ""
+    if kind in ("disc", "circle", "square") or (number is None and not kind):
+        return "- "
+    number = 1 if number is None else number
+    text = str(number)
+    if kind == "decimal-leading-zero" and 0 <= number < 10:
+        text = f"0{number}"
+    elif kind.endswith(("alpha", "latin")) and number > 0:
+        text, rest = "", number
+        while rest:
+            rest, digit = divmod(rest - 1, 26)
+            text = chr(97 + digit) + text
+    elif kind.endswith("roman") and 0 < number < 4000:
+        text = _roman(number)
+    return (text.upper() if kind.startswith("upper") else text) + ". "
 
 
 def _chosen(node: Node) -> list[Node]:
@@ -260,32 +302,31 @@ class Lines:
         self.margin = max(self.margin, margin)
 
 
-def _table(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
-    """Rows of cells (lines, columns, rows) with their columns aligned."""
-    grid: list[list[list[str]]] = []
-    taken: dict[tuple[int, int], bool] = {}
-    for r, row in enumerate(rows):
-        placed: list[list[str]] = []
+def _table(rows: list[tuple[int, list[tuple[list[str], int, int]]]]) -> list[str]:
+    """Rows of cells (lines, columns, rows) with their columns aligned. Each row has the number of its group, which cells of several rows don't leave; those of 0 rows go to its end."""
+    last = {group: r for r, (group, _) in enumerate(rows)}
+    grid: list[dict[int, list[str]]] = []
+    reaching: list[tuple[int, int, int]] = []  # first and next column of cells from rows above, and the last row of each
+    widths: dict[int, int] = {}
+    for r, (group, row) in enumerate(rows):
+        reaching = sorted(x for x in reaching if x[2] >= r)
+        placed, column, at, more = {}, 0, 0, []
         for lines, wide, high in row:
-            while taken.pop((r, len(placed)), False):
-                placed.append([])
-            for i in range(wide):
-                for j in range(1, min(high, len(rows) - r)):
-                    taken[r + j, len(placed)] = True
-                placed.append(lines if not i else [])
-        while taken.pop((r, len(placed)), False):
-            placed.append([])
+            while at < len(reaching) and reaching[at][0] <= column:
+                column, at = max(column, reaching[at][1]), at + 1
+            placed[column] = lines
+            widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
+            end = last[group] if high == 0 else min(last[group], r + high - 1)
+            if end > r:
+                more.append((column, column + wide, end))
+            column += wide
+        reaching += more
         grid.append(placed)
-    widths: list[int] = []
-    for row in grid:
-        widths += [0] * (len(row) - len(widths))
-        for i, lines in enumerate(row):
-            widths[i] = max(widths[i], max(map(len, lines), default=0))
-    shown = [i for i, w in enumerate(widths) if w]
+    shown = sorted(i for i, w in widths.items() if w)
     out = []
-    for row in grid:
-        for k in range(max(map(len, row), default=0)):
-            out.append("  ".join((row[i][k] if i < len(row) and k < len(row[i]) else "").ljust(widths[i]) for i in shown).rstrip())
+    for placed in grid:
+        for k in range(max(map(len, placed.values()), default=0)):
+            out.append("  ".join((placed[i][k] if i in placed and k < len(placed[i]) else "").ljust(widths[i]) for i in shown).rstrip())
     return out
 
 
@@ -293,6 +334,15 @@ def _number(value: str | None, least: int, most: int, default: int) -> int:
     return min(most, max(least, int(value))) if value and value.strip().isascii() and value.strip().lstrip("-").isdigit() and len(value) < 9 else default
 
 
+def _displayed(tag: str, display: str) -> tuple[bool, bool]:
+    """Whether an element is a block, and whether it is laid out as its tag is, as a list item, a cell and so on."""
+    if display in _INLINE:
+        return False, False
+    if display in ("block", "flex", "grid", "flow-root"):
+        return True, tag in ("dd", "blockquote")
+    return tag in BLOCK or display in ("table", "list-item", "table-row", "table-caption"), tag in _LAID_OUT
+
+
 def render(source: str | None) -> str:
     """Visible text of a page; "" for null and empty ones."""
     if not source:
@@ -300,22 +350,24 @@ def render(source: str | None) -> str:
     root, styles = parse(source)
     sheets = Sheets(styles)
     out = [Lines()]
-    lists: list[list] = []  # open lists: number of the next item, or None
-    tables: list[list] = []  # open tables: rows of cells, and captions
+    lists: list[list] = []  # open lists: number of the next item, or None, and how it goes on
+    tables: list[list] = []  # open tables: rows of cells, captions, and the number of the row group
     path: list[Node] = []  # open elements
-    pre = drawn = 0  # open pre elements; open svg elements, less the parts of them that hold text
-    stack: list[tuple] = [(root, None, True)]
+    drawn = 0  # open svg elements, less the parts of them that hold text
+    stack: list[tuple] = [(root, None, (True, "", ""))]
     while stack:
-        node, leave, seen = stack.pop()
+        node, leave, state = stack.pop()
         if isinstance(node, str):
-            if not seen or drawn:
+            if not state[0] or drawn:
                 continue
-            if pre:
+            if state[1]:
                 for i, line in enumerate(node.split("\n")):
                     if i:
                         out[-1].put(["".join(out[-1].inline)])
-                        out[-1].inline = []
-                    if line:
+                        out[-1].inline, out[-1].space = [], False
+                    if state[1] == "lines":
+                        out[-1].text(line)
+                    elif line:
                         out[-1].inline.append(line)
             else:
                 out[-1].text(node)
@@ -326,9 +378,11 @@ def render(source: str | None) -> str:
                 now.put(["".join(now.inline)])
                 now.inline, now.space = [], False
                 continue
-            there, seen = _shown(node, path, sheets, seen)
-            if not there:
+            found = _styled(node, path, sheets, state)
+            if found is None:
                 continue
+            display, state = found
+            seen = state[0]
             if tag == "hr":
                 now.block(1)
                 now.put(["---"] if seen else [])
@@ -344,66 +398,69 @@ def render(source: str | None) -> str:
                 continue
             if tag in VOID:
                 continue
-            if tag in BLOCK:
+            block, laid = _displayed(tag, display)
+            if block:
                 now.block(0 if tag in ("ul", "ol") and lists else int(tag in MARGIN))
-            laid = tag in _LAID_OUT and len(out) <= DEEPEST
+            laid = laid and len(out) <= DEEPEST
             kept = drawn
             if tag == "svg" or tag in ("text", "foreignobject"):
                 drawn = int(tag == "svg")
-            stack.append((node, (laid, kept), seen))
+            stack.append((node, (block, laid, kept), state))
             path.append(node)
+            children = node.children
             if tag in ("ul", "menu", "dir"):
-                lists.append([None])
+                lists.append([None, 0])
             elif tag == "ol":
-                lists.append([_number(node.get("start"), -(10**6), 10**6, 1)])
+                backward = node.get("reversed") is not None
+                items = sum(isinstance(c, Node) and c.tag == "li" for c in children) if backward else 1
+                lists.append([_number(node.get("start"), -(10**6), 10**6, items), -1 if backward else 1])
             elif tag == "table" and laid:
-                tables.append([[], []])
+                tables.append([[], [], 0])
+            elif tag in ("thead", "tbody", "tfoot") and tables:
+                tables[-1][2] += 1
             elif tag == "tr" and tables:
-                tables[-1][0].append([])
-            if tag == "pre":
-                pre += 1
+                tables[-1][0].append((tables[-1][2], []))
             if laid:
                 out.append(Lines())
-            children = node.children
             if tag == "details" and node.get("open") is None:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             elif tag == "select":
                 children = _chosen(node)
-            if tag == "pre" and children and isinstance(children[0], str):
+            if tag in ("pre", "textarea") and children and isinstance(children[0], str):
                 children = [children[0].removeprefix("\n"), *children[1:]]
-            stack.extend((c, None, seen) for c in reversed(children))
+            stack.extend((c, None, state) for c in reversed(children))
             continue
         path.pop()
-        laid, drawn = leave
-        if tag in BLOCK:
+        block, laid, drawn = leave
+        if block:
             now.end()
         if laid:
             lines, outer = out.pop(), out[-1]
             lines.end()
             lines = lines.lines
             if tag == "li":
-                mark = "- "
-                if lists and lists[-1][0] is not None:
-                    lists[-1][0] = _number(node.get("value"), -(10**6), 10**6, lists[-1][0])
-                    mark = f"{lists[-1][0]}. "
-                    lists[-1][0] += 1
-                outer.put([(mark if not i else " " * len(mark)) + x if x else "" for i, x in enumerate(lines)])
+                number = lists[-1][0] if lists else None
+                if number is not None:
+                    number = _number(node.get("value"), -(10**6), 10**6, number)
+                    lists[-1][0] = number + lists[-1][1]
+                before = mark(state[2], number)
+                outer.put([(before if not i else " " * len(before)) + x if x else "" for i, x in enumerate(lines)])
             elif tag in ("dd", "blockquote"):
                 outer.put([("    " if tag == "dd" else "> ") + x if x else "" for x in lines])
             elif tag in ("td", "th") and tables and tables[-1][0]:
-                tables[-1][0][-1].append((lines, _number(node.get("colspan"), 1, 100, 1), _number(node.get("rowspan"), 1, 1000, 1)))
+                tables[-1][0][-1][1].append((lines, _number(node.get("colspan"), 1, 1000, 1) or 1, _number(node.get("rowspan"), 0, 65534, 1)))
             elif tag == "caption" and tables:
                 tables[-1][1] += lines
             elif tag == "table" and tables:
-                rows, caption = tables.pop()
+                rows, caption, _ = tables.pop()
                 outer.put(caption + lines + _table(rows))
             else:
                 outer.put(lines)
         if tag in ("ul", "ol", "menu", "dir"):
             lists.pop()
-        if tag == "pre":
-            pre -= 1
-        if tag in BLOCK:
+        elif tag in ("thead", "tbody", "tfoot") and tables:
+            tables[-1][2] += 1
+        if block:
             out[-1].block(0 if tag in ("ul", "ol") and lists else int(tag in MARGIN))
     out[0].end()
     return "\n".join(line.rstrip() for line in out[0].lines).strip("\n")

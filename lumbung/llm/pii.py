@@ -10,8 +10,11 @@ changed, where it came from:
 
 The same patterns run over what the transducers give; their spans are mapped back through all of them to the source. Names and hosts may have any length.
 
-What words alone can't tell from prose stays: a bare "at" counts only before a host with a spelled dot and one of ENDINGS or any ending of two letters, and no
-article before that dot ("at the dot in"); before a host with plain dots, only if the name has a digit or sign in it, or a word like "mail" is before it.
+Disguised dots count between the numbers of an IP address and the digits of a phone number too ("192[.]168[.]1[.]1", "10 dot 0 dot 0 dot 1").
+
+What words alone can't tell from prose stays: a bare "at" counts only before a host with a spelled dot and no article before that dot ("at the dot in"). Its last label may be any word if one like "mail" is
+before the address, if the name has a digit, sign or dot in it, or if there are two spelled dots; otherwise it must be one of ENDINGS or have two letters. Before a
+host with plain dots a bare "at" counts only with such a word or name.
 """
 
 from __future__ import annotations
@@ -56,7 +59,12 @@ LOOKALIKES = {
     "﹫": "@", " ": " ", " ": " ", " ": " ",
 }
 # Endings of three letters or more of a host whose dots are spelled without brackets, articles that are no host there, and words that an address follows.
-ENDINGS = frozenset("com org net edu gov mil int info biz app dev example test online site shop store xyz club blog news cloud tech email live world pro name mobi travel jobs asia top web page".split())
+ENDINGS = frozenset(
+    "com org net edu gov mil int info biz app dev example test online site shop store xyz club blog news cloud tech email live world pro name mobi travel jobs asia top web page "
+    "software agency media digital studio solutions services systems network company group global academy consulting design marketing software technology university school college "
+    "health care clinic law legal finance bank capital money energy engineering expert foundation gallery guide hosting institute international house land life love ltd gmbh llc inc "
+    "management museum photo photography press productions properties restaurant review science security social space support team tools tours training video wiki works zone coop aero post tel arpa local internal localhost invalid".split()
+)
 ARTICLES = frozenset("the a an this that each every one any der die das den dem ein eine le la les un une el los las una".split())
 _CUE = re.compile(r"(?:e-?mail|mail|mailto|contact|reach|write|kontakt|courriel|correo)\W+(?:(?:me|us|to|is|an|à|a)\W+)*\Z", re.I)
 INVISIBLE = "­​‌‍⁠﻿"
@@ -72,6 +80,11 @@ _LABEL = re.compile(r"[A-Za-z0-9-]+")
 _OPEN, _CLOSE = r"(?<!\s)\s*+[\[({<]\s*+", r"\s*+[\])}>]\s*+"
 _AT = re.compile(rf"(?P<sure>{_OPEN}(?:at|@|{'|'.join(ATS)}){_CLOSE}|(?<![ \t])[ \t]++(?:{'|'.join(ATS)})[ \t]++)|(?<![ \t])(?:[ \t]++at[ \t]++|[ \t]*+@[ \t]*+)", re.I)
 _DOT = re.compile(rf"(?P<sure>{_OPEN}(?:{'|'.join(DOTS)}|\.){_CLOSE})|(?<![ \t])[ \t]++(?P<word>{'|'.join(DOTS)})[ \t]++|\.", re.I)
+_POINT = rf"(?:\s*+[\[({{<]\s*+(?:{'|'.join(DOTS)}|\.)\s*+[\])}}>]\s*+|[ \t]++(?:{'|'.join(DOTS)})[ \t]++)"
+_POINTS = re.compile(_POINT, re.I)
+_POINTED = re.compile(rf"[0-9]{_POINT}[0-9]", re.I)
+_QUAD = re.compile(rf"(?<![0-9])[0-9]++(?:(?:{_POINT}|\.)[0-9]++){{3}}", re.I)
+_CALL = re.compile(rf"\+[0-9](?:{_POINT}|[\x20().0-9-])*[0-9]", re.I)
 _BRACKETED = re.compile(rf"[\[({{<]\s*+(?:at|@|{'|'.join(ATS + DOTS)}|\.)\s*+[\])}}>]", re.I)
 _BARE_WORDS = re.compile(rf"[ \t](?:{'|'.join(ATS + DOTS)})[ \t]", re.I)
 _AT_HOST = re.compile(r"[ \t]at[ \t]++[A-Za-z0-9-]++\.", re.I)
@@ -210,6 +223,20 @@ def _digits(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), new) for m in _RUN.finditer(text) if (new := _spelled(m[0])) is not None]
 
 
+def _numbers(text: str) -> list[tuple[int, int, str]]:
+    """Edits of the disguised dots within IP addresses and phone numbers."""
+    edits: dict[int, tuple[int, int, str]] = {}
+    if not _POINTED.search(text):
+        return []
+    for m in _QUAD.finditer(text):
+        if all(map(_number, re.findall("[0-9]+", m[0]))):
+            edits |= {m.start() + p.start(): (m.start() + p.start(), m.start() + p.end(), ".") for p in _POINTS.finditer(m[0])}
+    for m in _CALL.finditer(text) if "+" in text else ():
+        if PHONE_DIGITS[0] <= sum(c.isdigit() for c in m[0]) <= PHONE_DIGITS[1]:
+            edits |= {m.start() + p.start(): (m.start() + p.start(), m.start() + p.end(), ".") for p in _POINTS.finditer(m[0])}
+    return [edits[k] for k in sorted(edits)]
+
+
 def _disguised(text: str) -> bool:
     """Whether a text has any sign that _signs() could take for another."""
     if any(x in text for x in "[({<") and _BRACKETED.search(text):
@@ -238,8 +265,11 @@ def _signs(text: str) -> list[tuple[int, int, str]]:
             good = [i for i, (dot, label) in enumerate(host) if not dot["word"] or _ends(label)] or [0]
         else:
             disguised = [i for i, (dot, label) in enumerate(host) if dot["sure"] or dot["word"]]
-            good = [i for i in disguised if host[i][0]["sure"] or (_ends(host[i][1]) and _before(text, host[i][0]).lower() not in ARTICLES)]
-            if not disguised and "@" not in at[0] and _ends(host[-1][1]) and (any(not c.isalpha() for c in text[start : at.start()]) or _CUE.search(text, max(0, start - 40), start)):
+            told = "@" not in at[0] and (any(not c.isalpha() for c in text[start : at.start()]) or bool(_CUE.search(text, max(0, start - 40), start)))
+            any_ending = told or len(disguised) + len(name[1]) > 1
+            ended = lambda i: _ends(host[i][1]) or (any_ending and len(host[i][1]) > 1 and host[i][1].isalpha() and host[i][1].lower() not in ARTICLES)  # noqa: E731, B023
+            good = [i for i in disguised if host[i][0]["sure"] or (ended(i) and _before(text, host[i][0]).lower() not in ARTICLES)]
+            if not disguised and told and _ends(host[-1][1]):
                 good = [len(host) - 1]
         if good:
             host = host[: good[-1] + 1]
@@ -298,14 +328,19 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     if not text.isascii():
         mapped.rewrite(_letters(mapped.text))
     mapped.rewrite(_digits(mapped.text))
+    mapped.rewrite(_numbers(mapped.text))
     mapped.rewrite(_signs(mapped.text))
     if len(mapped.starts) == 1 and mapped.same[0]:
         return base, base
-    added = []
+    known = [([s for k, s, _ in base if k == kind], [e for k, _, e in base if k == kind]) for kind in range(len(KINDS))]
+    added, ends = [], [0] * len(KINDS)
     for kind, start, end in detect(mapped.text):
         a, b = mapped.back(start, end)
-        if not any(k == kind and s < b and a < e for k, s, e in [*base, *added]):
+        starts, stops = known[kind]
+        at = bisect_right(stops, a)  # the first base span that ends after a
+        if a >= ends[kind] and not (at < len(starts) and starts[at] < b):
             added.append((kind, a, b))
+            ends[kind] = b
     return base, sorted(base + added)
 
 

@@ -45,6 +45,9 @@ def test_base_patterns():
         ("mail jane at example.com or call", "email", "jane at example.com"), ("see jo.doe at example.com.", "email", "jo.doe at example.com"), ("eva [at] firma punkt de", "email", "eva [at] firma punkt de"),
         ("plus drei vier - " + " ".join(["cinco"] * 4 + ["eins", "zwei", "drei"]), "phone", "plus drei vier - " + " ".join(["cinco"] * 4 + ["eins", "zwei", "drei"])),
         ("más tres cuatro nueve uno dos tres cuatro cinco seis", "phone", "más tres cuatro nueve uno dos tres cuatro cinco seis"), ("plus trois trois un deux huit neuf zéro sept six cinq", "phone", "plus trois trois un deux huit neuf zéro sept six cinq"),
+        ("at 192[.]168[.]1[.]1 now", "ip", "192[.]168[.]1[.]1"), ("10 dot 0 dot 0 dot 1", "ip", "10 dot 0 dot 0 dot 1"), ("x 10 (dot) 0 (dot) 0 (dot) 1.", "ip", "10 (dot) 0 (dot) 0 (dot) 1"), ("10.0[.]0.255", "ip", "10.0[.]0.255"),
+        ("１９２ punkt １６８ punkt 1 punkt 1", "ip", "１９２ punkt １６８ punkt 1 punkt 1"), ("tel +49[.]30[.]1234567 ok", "phone", "+49[.]30[.]1234567"), ("+1 555 dot 123 dot 4567, dot", "phone", "+1 555 dot 123 dot 4567"), ("+1 (555) 123 point 4567", "phone", "+1 (555) 123 point 4567"),
+        ("jo at x dot software", "email", "jo at x dot software"), ("contact jo at x dot anyword", "email", "jo at x dot anyword"), ("jo.b at x dot anyword", "email", "jo.b at x dot anyword"), ("jo dot b at x dot anyword", "email", "jo dot b at x dot anyword"), ("jo at mail dot x dot agency", "email", "jo at mail dot x dot agency"),
         ("un neuf deux point un six huit point un point deux", "ip", "un neuf deux point un six huit point un point deux"),
     ],
 )
@@ -54,7 +57,7 @@ def test_disguises(text, kind, span):
     assert span not in pii.redact(text)
 
 
-@pytest.mark.parametrize("text", ["Look at the dot matrix printer. It is new.", "We met at noon at one of two or three places.", "One two three go", "Los dos están at home (at) last", "", "a @ b", "Look at example.com for it", "He stared at the dot in the corner", "We met at noon. It was fine", "un dos tres", "Das ist an dem Punkt so"])
+@pytest.mark.parametrize("text", ["Look at the dot matrix printer. It is new.", "We met at noon at one of two or three places.", "One two three go", "Los dos están at home (at) last", "", "a @ b", "Look at example.com for it", "He stared at the dot in the corner", "We met at noon. It was fine", "un dos tres", "Das ist an dem Punkt so", "1 dot 2 dot 3", "version 300 dot 1 dot 2 dot 3", "We met at polka dot dresses", "a score of 3 point 5 to 4 point 2 in 10 games", "+1 dot 2"])
 def test_prose_is_left_alone(text):
     assert pii.find(text) == ([], [])
 

@@ -2,13 +2,15 @@
 
 Texts and templates are words in lower case without punctuation. Every K words have a hash; of each WINDOW hashes in a row the smallest is a fingerprint
 (winnowing), so a run of K + WINDOW - 1 common words always gives a common fingerprint. An inverted index from fingerprints to places in templates is
-small and goes to every task. Templates that are shorter than that run are looked up by all hashes of the text. Hits of a template near one diagonal are a candidate, and the template is aligned with the text there, within a
+small and goes to every task. Where few changes can break every such run, in templates under BRIEF words, all hashes are looked up; and in those whose allowed changes can leave runs of under K words, hashes of two
+words too, of which two must be near each other. Hits of a template near one diagonal are a candidate, and the template is aligned with the text there, within a
 band: that gives the words of the template that the text has (coverage) and where they begin and end in the text (span, in code points).
-Templates are notices and headers; the bodies of Apache-2.0 and the GPL and the BSD disclaimer have none.
+Templates are notices, headers, short licenses, and of the long ones (Apache-2.0, GPL) the sections that grant rights or open them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +23,8 @@ from .common import map_texts, prepare
 
 #: Words of a hash, hashes of a window, least share of a template's words.
 K, WINDOW, COVERAGE = 3, 3, 0.8
+#: Words of a template under which all its hashes are looked up.
+BRIEF = 40
 #: Half the width of the band: words, and the share of a template's words, that a text may have more or less up to a place.
 BAND_WORDS, BAND_SHARE = 6, 0.15
 
@@ -51,6 +55,11 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("all-rights-reserved", "All rights reserved. No part of this work may be reproduced without permission."),
     ("all-rights-reserved", "All rights reserved."),
+    ("BSD", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
+    ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."),
+    ("Apache-2.0", "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable (except as stated in this section) patent license to make, have made, use, offer to sell, sell, import, and otherwise transfer the Work, where such license applies only to those patent claims licensable by such Contributor that are necessarily infringed by their Contribution(s) alone or by combination of their Contribution(s) with the Work to which such Contribution(s) was submitted."),
+    ("GPL-3.0", "The GNU General Public License is a free, copyleft license for software and other kinds of works. The licenses for most software and other practical works are designed to take away your freedom to share and change the works. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change all versions of a program--to make sure it remains free software for all its users."),
+    ("GPL-2.0", "The licenses for most software are designed to take away your freedom to share and change it. By contrast, the GNU General Public License is intended to guarantee your freedom to share and change free software--to make sure the software is free for all its users. This General Public License applies to most of the Free Software Foundation's software and to any other program whose authors commit to using it."),
 ]
 
 
@@ -69,15 +78,15 @@ class Match:
         return self.matched / self.words
 
 
-def grams(h: np.ndarray, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of K words in a row, and where they begin; none goes over the end of a document (doc: that of each word)."""
-    n = len(h) - K + 1
+def grams(h: np.ndarray, doc: np.ndarray | None = None, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of k words in a row, and where they begin; none goes over the end of a document (doc: that of each word)."""
+    n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    out = np.full(n, K, np.uint64)
-    for j in range(K):
+    out = np.full(n, k, np.uint64)
+    for j in range(k):
         out = hashing.mix(out * np.uint64(0xD6E8FEB86659FD93) + h[j : j + n])
-    at = np.arange(n) if doc is None else np.flatnonzero(doc[:n] == doc[K - 1 :])
+    at = np.arange(n) if doc is None else np.flatnonzero(doc[:n] == doc[k - 1 :])
     return out[at], at
 
 
@@ -96,41 +105,64 @@ def fingerprints(g: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return chosen
 
 
+def _run(n: int) -> int:
+    """Words in a row that n words still have, at least, when as many are changed as COVERAGE allows."""
+    changed = n - math.ceil(COVERAGE * n)
+    return -(-(n - changed) // (changed + 1))
+
+
+class _Places:
+    """Hashes, sorted, and the (template, place) of each."""
+
+    def __init__(self, rows: list[tuple[int, int, int]]) -> None:
+        rows = sorted(rows)
+        self.hashes = np.array([r[0] for r in rows], np.uint64)
+        self.places = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)
+
+    def hits(self, g: np.ndarray) -> Iterator[tuple[int, list[list[int]]]]:
+        """Which of some hashes are here, and where."""
+        if len(g) and len(self.hashes):
+            first = np.searchsorted(self.hashes, g, "left")
+            for i in np.flatnonzero(self.hashes[np.minimum(first, len(self.hashes) - 1)] == g):
+                yield int(i), self.places[first[i] : np.searchsorted(self.hashes, g[i], "right")].tolist()
+
+
 class Index:
-    """Fingerprints of templates and the (template, place) of each."""
+    """Fingerprints of templates, all hashes of the brief ones, and the pairs of words of those that changes can leave without K words in a row."""
 
     def __init__(self, templates: list[tuple[str, str]] = TEMPLATES) -> None:
         self.names = [n for n, _ in templates]
         self.words = [hashing.words([t], hashing.PLAIN).hashes for _, t in templates]
-        self.short = [len(h) < K + WINDOW - 1 for h in self.words]
-        rows = []
+        winnowed, all_, pairs = [], [], []
         for i, h in enumerate(self.words):
             g, at = grams(h)
-            for j in np.flatnonzero(fingerprints(g, np.zeros(len(g)))):
-                rows.append((int(g[j]), i, int(at[j])))
-        rows.sort()
-        self.hashes = np.array([r[0] for r in rows], np.uint64)
-        self.places = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)
-        self.brief = np.array([h for h, i, _ in rows if self.short[i]], np.uint64)
+            brief = len(h) < BRIEF
+            for j in range(len(g)) if brief else np.flatnonzero(fingerprints(g, np.zeros(len(g)))):
+                (all_ if brief else winnowed).append((int(g[j]), i, int(at[j])))
+            if _run(len(h)) < K:
+                g, at = grams(h, k=2)
+                pairs += [(int(x), i, int(p)) for x, p in zip(g, at, strict=True)]
+        self.winnowed, self.all, self.pairs = _Places(winnowed), _Places(all_), _Places(pairs)
 
     def scan(self, texts: list[str | None]) -> Iterator[tuple[int, Match, int, int]]:
         """Of some texts: (number of the text, match, start, end in code points)."""
         found = hashing.words(texts, hashing.PLAIN)
         doc = np.repeat(np.arange(len(texts)), np.diff(found.first))
         g, at = grams(found.hashes, doc)
-        if not len(g) or not len(self.hashes):
-            return
-        hit = np.flatnonzero(self.hashes[np.minimum(np.searchsorted(self.hashes, g), len(self.hashes) - 1)] == g)
-        if not len(hit):
-            return
-        chosen = fingerprints(g, doc[at])
+        chosen = np.flatnonzero(fingerprints(g, doc[at]))
+        two, two_at = grams(found.hashes, doc, 2)
         hits: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for i in hit[chosen[hit] | np.isin(g[hit], self.brief)]:
-            a, b = np.searchsorted(self.hashes, g[i], "left"), np.searchsorted(self.hashes, g[i], "right")
-            for template, place in self.places[a:b].tolist():
-                if not (chosen[i] or self.short[template]):
-                    continue
-                hits.setdefault((int(doc[at[i]]), template), []).append((int(at[i]), place))
+        loose: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for index, hashes, starts, out in ((self.winnowed, g[chosen], at[chosen], hits), (self.all, g, at, hits), (self.pairs, two, two_at, loose)):
+            for i, places in index.hits(hashes):
+                for template, place in places:
+                    out.setdefault((int(doc[starts[i]]), template), []).append((int(starts[i]), place))
+        for key, places in loose.items():  # a pair of words alone says little: another must be near it
+            places.sort()
+            reach = BAND_WORDS + 2 * len(self.words[key[1]])
+            near = [p for n, p in enumerate(places) if (n and p[0] - places[n - 1][0] <= reach) or (n + 1 < len(places) and places[n + 1][0] - p[0] <= reach)]
+            if near:
+                hits.setdefault(key, []).extend(near)
         by_doc: dict[int, list[Match]] = {}
         for (d, template), places in hits.items():
             begin, end = int(found.first[d]), int(found.first[d + 1])
@@ -231,7 +263,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataF
     """A row for each license text in each row of docs (doc_id, text), with its coverage and its span in code points.
 
     Null, empty and clean texts have no rows; repeated rows and null ids have theirs each. A text may have several, also of one license. The index grows
-    with the templates only. Other columns are not read; an empty table gives no rows.
+    with the templates only. Texts of any length are read whole. Other columns are not read, whatever their names; an empty table gives no rows.
     """
     shared = prepare(docs.sparkSession).sparkContext.broadcast(Index(templates))
 

@@ -86,6 +86,24 @@ def test_recall_against_full_alignment():
     assert expected > 40 and found / expected >= 0.9, (found, expected)
 
 
+def test_recall_by_length_of_the_template():
+    """Texts with changed words that still have 80 % of a template, of short and of long ones."""
+    r, index = random.Random(8), licenses.Index()
+    counts = {}
+    for k in range(600):
+        i = k % len(licenses.TEMPLATES)
+        words_ = licenses.TEMPLATES[i][1].split()
+        for j in r.sample(range(len(words_)), r.randint(0, len(words_) // 5)):
+            words_[j] = f"q{r.randrange(99)}"
+        text = f"{words(9, k)} {' '.join(words_)} {words(9, 700 + k)}"
+        full = licenses.align(index.words[i], hashing.words([text], hashing.PLAIN).hashes, 0, 400 + len(words_), i)
+        if full.coverage >= licenses.COVERAGE:
+            length = min(3, len(index.words[i]) // 6)
+            seen, of = counts.get(length, (0, 0))
+            counts[length] = seen + any(index.names[m.template] == index.names[i] for _, m, _, _ in index.scan([text])), of + 1
+    assert len(counts) == 4 and all(of > 30 and seen / of >= 0.97 for seen, of in counts.values()), counts
+
+
 def test_touching_notices_are_both_reported():
     text = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0. All rights reserved."
     found = [licenses.Index().names[m.template] for _, m, _, _ in licenses.Index().scan([text])]

@@ -3,14 +3,14 @@
 Documents are cut into pieces of a sequence's length at most. Pieces that fill a sequence are one; the others are dealt by
 their row number to cells of about CELL pieces. A cell is packed on several islands, each of which is a row that holds a population of packings:
 
-* an island begins with pieces put best-fit in random orders, which leaves room in many bins; one of the first island's packings takes them longest first;
+* an island begins with pieces put best-fit, longest first, and in orders near that one;
 * crossover injects whole well-filled bins of one packing into another, takes out the bins that hold a duplicate, and puts the displaced
   pieces back best-fit, longest first;
 * mutation dissolves some of the emptiest bins in the same way;
 * after each epoch an island's best packing goes to the next island of its cell.
 
-All cells evolve for an epoch. After it, a cell that has as few bins as its tokens need is done. The bins that are not well filled, of all cells, are opened again and their
-pieces dealt to new cells, so that what cells lose at their ends is lost once, not once a cell.
+An island evolves until it has as few bins as its tokens need. Of all cells the best filled bins stay, those with half of the pieces or more: full ones at first. The others are opened again and
+their pieces dealt to new cells; when what is left is one task's worth it is packed as a single cell. So what cells lose at their ends is lost once, not once a cell.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import random
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -31,9 +32,9 @@ from .common import cut, frugal, map_texts, partitions, prepare
 from .tokens import CHUNK, Encoder
 
 #: Pieces of a cell; islands, epochs, generations an epoch, packings of an island.
-CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 1500, 3, 2, 4, 5
-#: Share of a sequence from which a bin is well filled, and stays as it is.
-WELL = 0.995
+CELL, ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3000, 3, 2, 4, 5
+#: Pieces up to which the rest of all cells is packed as one cell, by one task an island.
+LAST = 20_000
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -97,7 +98,7 @@ class Island:
 
     def __init__(self, sizes: list[int], capacity: int, seed: int) -> None:
         self.sizes, self.capacity, self.random = sizes, capacity, random.Random(seed)
-        self.least = -(-sum(sizes) // capacity)
+        self.least = max(-(-sum(sizes) // capacity), sum(2 * s > capacity for s in sizes))
         self.packings: list[tuple] = []
 
     def add(self, bins: list[list[int]], free: list[int] | None = None) -> None:
@@ -110,17 +111,17 @@ class Island:
     def done(self) -> bool:
         return bool(self.packings) and len(self.packings[0][1]) <= self.least
 
-    def begin(self, longest_first: bool = False) -> None:
-        """Best-fit in random orders, and longest first for one packing if asked for."""
+    def begin(self) -> None:
+        """Best-fit, longest first; and, unless that is as good as can be, in orders of which each is farther from that one."""
         for number in range(POPULATION):
-            order = list(range(len(self.sizes)))
-            self.random.shuffle(order)
-            if longest_first and not number:
-                order.sort(key=lambda i: -self.sizes[i])
+            noise = 0.15 * number
+            order = sorted(range(len(self.sizes)), key=lambda i: -self.sizes[i] * (1 + noise * (self.random.random() - 0.5)))  # noqa: B023  used at once
             bins: list[list[int]] = []
             free: list[int] = []
             best_fit(order, self.sizes, self.capacity, bins, free)
             self.add(bins, free)
+            if self.done:
+                return
 
     def _refill(self, bins: list[list[int]], free: list[int], displaced: list[int]) -> None:
         displaced.sort(key=lambda i: -self.sizes[i])
@@ -186,13 +187,13 @@ def _epoch(islands: DataFrame, capacity: int, first: bool, seed: int) -> DataFra
             out = []
             for row in b.itertuples(index=False):
                 sizes = [int(x) for x in row.sizes]
-                island = Island(sizes, capacity, int(row.cell) * 1009 + int(row.island) * 31 + seed)
+                island = Island(sizes, capacity, (int(row.cell) * ISLANDS + int(row.island)) * 4096 + seed)
                 if first:
-                    island.begin(longest_first=not row.island)
+                    island.begin()
                 else:
                     for p in [*row.packings, *([row.guest] if row.guest is not None else [])]:
                         island.add(_load(p))
-                if first or not island.done:
+                if not island.done:
                     island.evolve()
                 out.append((row.cell, row.island, [_dump(p[1], len(sizes)) for p in island.packings]))
             yield pd.DataFrame(out, columns=["cell", "island", "packings"])
@@ -200,10 +201,9 @@ def _epoch(islands: DataFrame, capacity: int, first: bool, seed: int) -> DataFra
     return islands.mapInPandas(frugal(run), _STATE)
 
 
-def _pack_cells(pieces: DataFrame, capacity: int, level: int, cell: int = CELL) -> DataFrame:
-    """pieces (with row, a number of their own) with bin (cell, number in the cell), fill (tokens of the bin) and offset."""
+def _pack_cells(pieces: DataFrame, capacity: int, level: int, count: int) -> DataFrame:
+    """pieces (with row, a number of their own), dealt to `count` cells, with bin (cell, number in the cell), fill (tokens of the bin) and offset."""
     spark = pieces.sparkSession
-    count = max(1, -(-pieces.count() // cell))
     placed = pieces.withColumn("cell", F.expr(f"pmod(xxhash64(row, {level}), {count})"))
     members = F.array_sort(F.collect_list(F.struct("length", "row", "doc_id", "piece", "start", "ids_crc32")))
     cells = cut(placed.groupBy("cell").agg(members.alias("items")))
@@ -248,12 +248,16 @@ def pack(pieces: DataFrame, length: int = 2048, *, cell: int = CELL) -> DataFram
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     pieces = cut(pieces.select(*columns[:5], F.monotonically_increasing_id().alias("row")))
     full = pieces.filter(F.col("length") >= length).withColumn("sequence_id", -1 - F.col("row")).withColumn("offset", F.lit(0).cast("long"))
-    number = lambda level: (F.lit(level).cast("long") * F.lit(1 << 61)) + F.col("cell") * (1 << 24) + F.col("bin")
-    first = cut(_pack_cells(pieces.filter(F.col("length") < length), length, 0, cell))
-    well = F.col("fill") >= int(WELL * length)
-    again = _pack_cells(first.filter(~well).select(*columns[:5], "row"), length, 1, cell)
-    kept = first.filter(well).withColumn("sequence_id", number(0)).select(columns)
-    return full.select(columns).union(kept).union(again.withColumn("sequence_id", number(1)).select(columns))
+    parts, rest, level = [full.select(columns)], pieces.filter(F.col("length") < length), 0
+    while left := rest.count():
+        last = left <= max(cell, LAST)
+        packed = cut(_pack_cells(rest, length, level, 1 if last else -(-left // cell)))
+        number = F.lit(level).cast("long") * F.lit(1 << 56) + F.col("cell") * (1 << 24) + F.col("bin")
+        # half of the pieces at least are in bins that are filled as well as this
+        stays = F.col("fill") >= (0 if last else packed.agg(F.percentile_approx("fill", 0.5)).first()[0])
+        parts.append(packed.filter(stays).withColumn("sequence_id", number).select(columns))
+        rest, level = packed.filter(~stays).select(*columns[:5], "row"), level + 1
+    return reduce(DataFrame.union, parts)
 
 
 def pack_documents(docs: DataFrame, length: int = 2048, tokenizer: str | None = None) -> DataFrame:

@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("a is not null and b is not null and u <> v").distinct())
     before = None
     while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
+        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(20,0)"))).first()
         if tuple(state) == before or not state[0]:
             break
         before = tuple(state)

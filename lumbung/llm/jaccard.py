@@ -419,8 +419,12 @@ def _links(docs: DataFrame, candidates: DataFrame, rule: Join) -> DataFrame:
     rows = rows.mapInPandas(frugal(sets), "doc_id long, cluster long, blocks int, tokens binary")
     rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(doc_id), blocks) as int)"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    rows = rows.select("doc_id", "tokens", "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"))
-    rows = rows.repartition(partitions(spark), "cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "side", "doc_id")
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    # pairs of a cluster's blocks are dealt in turn, from a place of the cluster's own: by a hash of each, several would meet in one task by chance
+    n = partitions(spark)
+    spot = F.pmod(F.xxhash64("cluster") + (low * F.col("blocks") - F.floor(low * (low - 1) / 2) + high - low), F.lit(n)).cast("int")
+    rows = rows.select("doc_id", "tokens", "cluster", low.alias("low"), high.alias("high"), (F.col("block") > F.col("other")).cast("int").alias("side"), spot.alias("spot"))
+    rows = rows.repartitionById(n, F.col("spot")).sortWithinPartitions("cluster", "low", "high", "side", "doc_id").drop("spot")
     return rows.mapInPandas(frugal(meet), "a long, b long")
 
 
@@ -443,7 +447,7 @@ def join_components(docs: DataFrame, rule: Join) -> DataFrame:
     inside = cut(classes.filter("rep is not null").join(clusters, F.col("d1") == F.col("node")).select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "cluster"))
     sizes = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens")).filter("sets > 1")
     # blocks of at least block_sets, and of more in large groups, so that a set isn't sent too often
-    by_sets = F.ceil(F.col("sets") / F.greatest(F.lit(rule.block_sets), F.least(F.lit(16 * rule.block_sets), F.col("sets") / 8)))
+    by_sets = F.ceil(F.col("sets") / F.greatest(F.lit(rule.block_sets), F.least(F.lit(16 * rule.block_sets), F.col("sets") / 12)))
     by_tokens = F.ceil(F.col("tokens") / rule.block_tokens)
     sizes = sizes.select("cluster", F.when(F.col("sets") <= 2 * rule.block_sets, by_tokens).otherwise(F.greatest(by_sets, by_tokens)).cast("int").alias("blocks"))
     links = _links(docs, cut(inside.drop("n").join(sizes, "cluster")), rule)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import os
 import re
 import tempfile
 import uuid
@@ -13,9 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.relational import free_name  # noqa: F401  the operators take it from here
-
-#: Folder that holds the package; Python workers must be able to import from it.
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from ..ship import shipped
 
 #: A word, in the syntax that Java, Python and RE2 share.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,16 +42,14 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package, bounds Arrow batches, and sets a checkpoint folder where none is set.
+    """Sends this package to Python workers, bounds Arrow batches, and sets a checkpoint folder where none is set.
 
     spark.checkpoint.dir names a shared folder and is used as it is. Only where all runs in one process, as in tests, a temporary folder stands in for it.
     """
     context = spark.sparkContext
+    shipped(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    known = context.environment.get("PYTHONPATH", "")
-    if ROOT not in known.split(os.pathsep) + os.environ.get("PYTHONPATH", "").split(os.pathsep):
-        context.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, ROOT) if x)
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):

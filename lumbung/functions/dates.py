@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import shipped
+
 # Names of months and days, and their abbreviations.
 NAMES = {
     "januari": "January", "februari": "February", "maret": "March", "april": "April", "mei": "May", "juni": "June", "juli": "July",
@@ -139,6 +141,7 @@ def _reader(as_of: dt.datetime, swap: bool):  # noqa: ANN202
 
 def _other_udf(as_of: dt.datetime):  # noqa: ANN202
     """Readings of texts that no expression reads."""
+    shipped()
 
     @F.pandas_udf(f"array<{STRUCT}>")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -153,6 +156,7 @@ def first_date(raws: Column, as_of: dt.datetime | str, *, policy: str = "referen
     """The first of an array of texts that parse_date() reads, in one evaluation for arrays of any length; null if none is read."""
     moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
     swap = _swaps(policy)
+    shipped()
 
     @F.pandas_udf(f"array<{STRUCT}>")
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

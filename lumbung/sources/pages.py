@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, text
 from ..operators import relational as rel
+from ..ship import shipped
 from . import dom
 
 #: Pages of more characters and status 200 are worth parsing; body text is cut at text.CONTENT.
@@ -83,6 +84,7 @@ def extract(pages: DataFrame, site: Site | Mapping[str, Site], keep: tuple[str,
             kept = [f for f in found if f is not None]
             yield rows.assign(title=[f[0] for f in kept], body=[f[1] for f in kept], raw_dates=[f[2] + f[3] for f in kept])
 
+    shipped(pages.sparkSession)
     columns = [*keep, "html"] + ([] if one or "source" in keep else ["source"])
     return pages.select(*columns).mapInPandas(run, schema)
 
@@ -98,6 +100,7 @@ def archive_lists(pages: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"query": b["query"], "page": b["page"], "items": [read_list(h) if s == 200 and h is not None else [] for s, h in zip(b["status"], b["html"], strict=True)]})
 
+    shipped(pages.sparkSession)
     read = pages.select("query", F.col("page").cast("int").alias("page"), "status", "html").mapInPandas(run, schema)
     read = rel.until_first_empty(read.withColumn("is_empty", F.size("items") == 0))
     return read.select("query", "page", F.posexplode("items").alias("idx", "item")).select("query", "page", "idx", "item.*")

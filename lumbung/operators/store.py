@@ -73,9 +73,15 @@ def write_text(spark: SparkSession, path: str, text: str, *, replace: bool = Tru
     stream = system.create(beside, True)
     stream.write(bytearray(text.encode()))
     stream.close()
+    if system.exists(where) and not replace:
+        system.delete(beside, False)
+        return False
+    return moved(spark, beside.toString(), path)
+
+
+def moved(spark: SparkSession, source: str, path: str) -> bool:
+    """Moves a file to its place, where it takes another's."""
+    system, where = _at(spark, path)
     if system.exists(where):
-        if not replace:
-            system.delete(beside, False)
-            return False
         system.delete(where, False)
-    return bool(system.rename(beside, where))
+    return bool(system.rename(_at(spark, source)[1], where))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, dates, text
 from ..operators import relational as rel
 from ..operators import store
-from ..sources import feeds, files, pages, runs
+from ..sources import feeds, files, pages, runs, single
 from ..streaming import upsert
 from . import articles, phases
 
@@ -721,6 +721,25 @@ def csv_round_trip(spark, sf_dir):  # noqa: ANN001, ANN201
     return files.read_dataset(spark, folder)
 
 
+@query(f"""with n as (select row_number() over (order by seq) as "No", * from ({_ARTICLES})) select {_PUBLIC} from n""")
+def csv_one_file(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Articles published as one CSV file, written by many tasks in their order and stitched, and read back."""
+    path = _scratch(spark, "file") + "/dataset.csv"
+    rows = rel.number_rows(_order_articles(spark, sf_dir).filter("Year is not null"), [F.col("seq")])
+    single.write_csv(rel.public_columns(rows), path, ["No"])
+    return files.read_dataset(spark, path)
+
+
+@query(f"""select {_PUBLIC.partition(", ")[2]}, count(*) over () as total from ({_ARTICLES})""")
+def json_one_file(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Articles in one JSON document with its envelope, written by many tasks and stitched, and read back with the total that it states."""
+    path = _scratch(spark, "file") + "/backup.json"
+    rows = _order_articles(spark, sf_dir).filter("Year is not null")
+    single.write_json(rows.select("seq", *rel.public_columns(rows).columns), path, ["seq"], {"scraped_at": AS_OF, "years": list(CONTEXT.years)})
+    found, about = single.read_json(spark, path)
+    return rel.public_columns(found).withColumn("total", F.lit(about["total"]).cast("long")).withColumns({c: F.col(c).cast("int") for c in ("Year", "Month", "Week", "Minggu_ke")})
+
+
 @query("""select o_orderstatus as phase, year(o_orderdate)::integer as year, count(*) as n from orders where year(o_orderdate) in (1995, 1996) group by 1, 2""")
 def resumed_phases(spark, sf_dir):  # noqa: ANN001, ANN201
     """Two runs in one folder that differ in their year. The first breaks off after its second phase; after the other it goes on, and makes its third phase only."""

@@ -19,10 +19,11 @@ def _known(x: Column) -> Column:
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """The published CSV in its schema; an empty table if there is none. Numbers may be written as 2026.0, missing ones as NA."""
+    """The published CSV in its schema, one file or a folder of them; an empty table if there is none. A byte-order mark is not part of the first name. Numbers may be written as 2026.0, missing ones as NA."""
     if not exists(spark, path):
         return spark.createDataFrame([], DATASET)
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = raw.toDF(*[c.removeprefix("\ufeff") for c in raw.columns])
     names = [f.split()[0] for f in DATASET.split(", ")]
     number = lambda c: F.expr(f"try_cast(try_cast(`{c}` as double) as {'bigint' if c == 'No' else 'int'})")
     columns = [number(c).alias(c) if c in _INTS else _known(F.col(c)).alias(c) for c in names if c in raw.columns]

@@ -1,12 +1,17 @@
-"""Labels from ordered lexicons."""
+"""Labels from ordered lexicons: as expressions, and over an automaton for lexicons of tens of thousands of keywords."""
 
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from ..ship import shipped
+from .automaton import Automaton
 from .lexicon import DEFAULT_PLACE, DEFAULT_TOPIC, PROVINCES, Lexicon
 from .text import any_keyword, every_match_pattern
 
@@ -54,6 +59,68 @@ def label_topic(title: Column, content: Column, lexicon: Lexicon, default: str =
     return F.coalesce(F.get(F.transform(F.array(found(title)), best), 0), F.lit(default))
 
 
+class Labels:
+    """The rules of label_topic() and label_place() over an automaton of all keywords, for lexicons that are too large for a pattern."""
+
+    def __init__(self, lexicon: Lexicon) -> None:
+        words = sorted({w.lower() for ws in lexicon.values() for w in ws})
+        number = {w: i for i, w in enumerate(words)}
+        self.names = list(lexicon)
+        self.owners: list[list[int]] = [[] for _ in words]
+        for i, ws in enumerate(lexicon.values()):
+            for w in ws:
+                self.owners[number[w.lower()]].append(i)
+        self.automaton = Automaton(words)
+
+    def _by_text(self, texts: list[str | None]) -> list[list[tuple[int, int]]]:
+        """(place, category) of the matches in each text, in order; a category as often as it has the keyword."""
+        out: list[list[tuple[int, int]]] = [[] for _ in texts]
+        for text, keyword, place in zip(*(x.tolist() for x in self.automaton.find(texts)), strict=True):
+            out[text] += [(place, c) for c in self.owners[keyword]]
+        return out
+
+    def topics(self, titles: list[str | None], contents: list[str | None]) -> list[str | None]:
+        """The category of each title; None if there is none. Contents are read only where several compete."""
+        first = []
+        for matches in self._by_text(titles):
+            places: dict[int, int] = {}
+            for place, c in matches:
+                places.setdefault(c, place)
+            first.append(places)
+        open_ = [i for i, p in enumerate(first) if len(p) > 1]
+        counts = dict(zip(open_, (Counter(c for _, c in m) for m in self._by_text([contents[i] for i in open_])), strict=True))
+        best = [min(p, key=lambda c: (-counts[i][c] if i in counts else 0, p[c], c)) if p else None for i, p in enumerate(first)]  # noqa: B023  used at once
+        return [None if b is None else self.names[b] for b in best]
+
+    def places(self, texts: list[str | None]) -> list[str | None]:
+        """The first category, in the lexicon's order, that has a keyword in each text."""
+        return [self.names[min(c for _, c in m)] if m else None for m in self._by_text(texts)]
+
+
+def _column(of, spark: SparkSession | None, *columns: Column) -> Column:  # noqa: ANN001
+    """What a function from lists of texts to a list of texts makes of columns, with its Labels broadcast."""
+    shipped(spark)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(of(*([x if isinstance(x, str) else None for x in b] for b in batch)), dtype="object")
+
+    return run(*columns)
+
+
+def label_topic_large(spark: SparkSession, title: Column, content: Column, lexicon: Lexicon, default: str) -> Column:
+    """label_topic() for lexicons of any size: the plan stays as large as it is, whatever the lexicon, which is broadcast as arrays of a checked size (automaton.TABLE_BYTES)."""
+    shared = spark.sparkContext.broadcast(Labels(lexicon))
+    return F.coalesce(_column(lambda a, b: shared.value.topics(a, b), spark, title, content), F.lit(default))
+
+
+def label_place_large(spark: SparkSession, text: Column, lexicon: Lexicon, default: str) -> Column:
+    """label_place() likewise."""
+    shared = spark.sparkContext.broadcast(Labels(lexicon))
+    return F.coalesce(_column(lambda a, _: shared.value.places(a), spark, text, F.lit("")), F.lit(default))
+
+
 def topic_of(title: str, content: str | None, compiled: list[tuple[str, list[re.Pattern]]], default: str = DEFAULT_TOPIC) -> str:
     """The same rule for one row, said plainly in Python; the tests hold label_topic() against it."""
     places = {}

@@ -16,6 +16,10 @@ from ..operators import relational as rel
 from ..sources.searches import ARCHIVE_PAGES, NEWS_QUERIES
 
 
+#: Keywords up to which a lexicon is an expression in the plan; larger ones are an automaton, with the same labels.
+EXPRESSED = 1000
+
+
 @dataclass(frozen=True)
 class Context:
     """What a run depends on: the time it is made at, the years it is for and the lexicons.
@@ -47,8 +51,10 @@ def make_rows(items: DataFrame, context: Context) -> DataFrame:
     kept = [c for c in ("phase", "batch", "seq") if c in items.columns]
     ready = items.withColumn("__pub", pub).withColumn("__content", text.truncate(F.coalesce("content", F.lit(""))))
     fields = dates.week_fields(F.col("__pub.local"))
-    place = classify.label_place(F.concat_ws(" ", "title", "__content"), context.places, context.default_place)
-    topic = classify.label_topic(F.col("title"), F.col("__content"), context.topics, context.default_topic)
+    both, title, content = F.concat_ws(" ", "title", "__content"), F.col("title"), F.col("__content")
+    large = lambda lexicon: sum(map(len, lexicon.values())) > EXPRESSED
+    place = classify.label_place_large(items.sparkSession, both, context.places, context.default_place) if large(context.places) else classify.label_place(both, context.places, context.default_place)
+    topic = classify.label_topic_large(items.sparkSession, title, content, context.topics, context.default_topic) if large(context.topics) else classify.label_topic(title, content, context.topics, context.default_topic)
     return ready.select(
         *kept, text.url_id(F.col("url")).alias("id"), F.col("source").alias("Source"), text.strip_text(F.col("title")).alias("Title"), text.truncate(text.strip_text(F.col("__content"))).alias("Content"), "url",
         *[c.alias(n) for n, c in fields.items()], topic.alias("Penyakit"), place.alias("Lokasi"),

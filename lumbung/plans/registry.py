@@ -128,6 +128,18 @@ def detect_disease(spark, sf_dir):  # noqa: ANN001, ANN201
     return _titled(spark, sf_dir).select("doc_id", classify.label_topic(F.col("title"), F.col("content"), CORPUS, "none").alias("label"))
 
 
+@query(_topic_sql(_TITLED, CORPUS, "none"))
+def detect_topic_large(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The same labels by the automaton that large lexicons take."""
+    return _titled(spark, sf_dir).select("doc_id", classify.label_topic_large(spark, F.col("title"), F.col("content"), CORPUS, "none").alias("label"))
+
+
+@query(ORACLE_SQL["detect_location"])
+def detect_place_large(spark, sf_dir):  # noqa: ANN001, ANN201
+    """The first category with a keyword, by the automaton."""
+    return _titled(spark, sf_dir).select("doc_id", classify.label_place_large(spark, F.concat_ws(" ", "title", "content"), CORPUS, "none").alias("label"))
+
+
 _URL_DAY = "case when o_orderstatus = 'P' then '/1995/02/30/' else strftime(o_orderdate, '/%Y/%m/%d/') end"
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -155,7 +156,11 @@ def _other_udf(as_of: dt.datetime):  # noqa: ANN202
 def first_date(raws: Column, as_of: dt.datetime | str, *, policy: str = "reference") -> Column:
     """The first of an array of texts that parse_date() reads, in one evaluation for arrays of any length; null if none is read."""
     moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
-    swap = _swaps(policy)
+    return F.get(_first_udf(moment, _swaps(policy))(F.when(F.size(raws) > 0, raws)), 0)
+
+
+def _first_udf(moment: dt.datetime, swap: bool):  # noqa: ANN202
+    """The first of an array of texts that dateutil reads, as an array of one; null if none is."""
     shipped()
 
     @F.pandas_udf(f"array<{STRUCT}>")
@@ -165,7 +170,44 @@ def first_date(raws: Column, as_of: dt.datetime | str, *, policy: str = "referen
         for b in batches:
             yield pd.Series([next(([f] for t in (x if x is not None else ()) if t and (s := blank.sub("", t)) for f in read(s) if f["instant"] <= latest), None) for x in b], dtype="object")
 
-    return F.get(find(F.when(F.size(raws) > 0, raws)), 0)
+    return find
+
+
+def with_first_date(df: DataFrame, raws: Column, name: str, as_of: dt.datetime | str, *, policy: str = "reference") -> DataFrame:
+    """df with a column of first_date(), by expressions over the array: of ISO dates, numeric ones and those with a month's name no text goes to Python.
+
+    What no expression reads, and stands before the first that one does, goes to dateutil; for rows without such texts that is an empty batch entry.
+    """
+    moment = (dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of).replace(tzinfo=None)
+    one, two = _patterns(_swaps(policy))
+    own = "__first_"
+    while any(c.lower().startswith(own) for c in df.columns):
+        own += "_"
+    past = lambda c: F.when(~is_future(c["instant"], instant(as_of)), c)
+    # each step adds fields to what is known of each text
+    steps = [
+        lambda s: {"one": _written(s["text"], one), "two": _written(s["text"], two)},
+        lambda s: {"names": F.when(F.coalesce(s["one"], s["two"]).isNull(), _split(_written(s["text"], _NAMED)))},
+        lambda s: {"named": F.when(s["names"].isNotNull(), _named(s["names"]))},
+        lambda s: {"parts": _split(F.coalesce(s["one"], s["named"])), "others": _split(s["two"])},
+        lambda s: {"wall": _wall(s["parts"]), "minutes": _minutes(s["parts"]), "wall_two": _wall(s["others"]), "minutes_two": _minutes(s["others"])},
+        lambda s: {"first": _moment(s["wall"], s["minutes"]), "second": _moment(s["wall_two"], s["minutes_two"])},
+    ]
+    read = df.withColumn(own + "each", F.transform(F.filter(raws, lambda x: x.isNotNull()), lambda x: F.struct(stripped(x).alias("text"))))
+    def grown(step) -> Column:  # noqa: ANN001
+        added = lambda s: reduce(lambda to, field: to.withField(*field), step(s).items(), s)
+        return F.transform(own + "each", lambda s: added(s))
+
+    for step in steps:
+        read = read.withColumn(own + "each", grown(step))
+    done = F.transform(own + "each", lambda s: F.struct(F.coalesce(past(s["first"]), past(s["second"])).alias("date"), F.when(s["first"].isNull() & s["second"].isNull() & (s["text"] != ""), s["text"]).alias("open")))
+    read = read.withColumn(own + "done", done)
+    at = F.array_position(F.transform(own + "done", lambda s: s["date"].isNotNull()), F.lit(True))
+    before = F.filter(F.transform(F.when(at > 0, F.slice(own + "done", F.lit(1), F.greatest(at - 1, F.lit(0)).cast("int"))).otherwise(F.col(own + "done")), lambda s: s["open"]), lambda x: x.isNotNull())
+    read = read.withColumn(own + "at", at).withColumn(own + "open", F.when(F.size(before) > 0, before))
+    read = read.withColumn(own + "other", _first_udf(moment, _swaps(policy))(F.col(own + "open")))
+    found = F.coalesce(F.get(F.col(own + "other"), 0), F.get(own + "done", (F.col(own + "at") - 1).cast("int"))["date"])
+    return read.withColumn(name, found).drop(*[own + c for c in ("each", "done", "at", "open", "other")])
 
 
 def stripped(raw: Column) -> Column:

@@ -258,8 +258,8 @@ def _pages_as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages to article rows: the path that every page takes."""
     found = pages.extract(pages.usable(_read(spark, sf_dir, "pages")), pages.Site("any"), keep=("page_id", "url"))
     now = "2026-11-26T12:00:00"
-    pub = pages.published(F.lit(None).cast(dates.STRUCT), F.col("raw_dates"), F.col("url"), now)
-    items = found.select(F.col("page_id").alias("seq"), text.domain_source(F.col("url")).alias("source"), "title", F.col("body").alias("content"), "url", pub.alias("pub"))
+    dated = pages.with_published(found, F.lit(None).cast(dates.STRUCT), F.col("raw_dates"), F.col("url"), "pub", now)
+    items = dated.select(F.col("page_id").alias("seq"), text.domain_source(F.col("url")).alias("source"), "title", F.col("body").alias("content"), "url", "pub")
     context = articles.Context(now, topics=CORPUS, places=CORPUS, default_topic="none", default_place="none")
     return rel.keep_first(articles.make_rows(items, context), "id", ["seq"])
 
@@ -616,7 +616,7 @@ def page_dates(spark, sf_dir):  # noqa: ANN001, ANN201
     known = F.when((kind == 0) & (F.col("iso") <= "1995-06-18"), early).when(kind > 0, late)
     texts = F.when(kind == 0, F.array(F.lit("31 Juni 1995"), F.concat(F.col("iso"), F.lit(" at noon")))).when(kind == 1, F.array(F.lit("soon"), F.col("iso"))).otherwise(F.array(F.lit("2 Maret 2094")))
     url = F.when(kind == 2, F.lit("https://x.example/1995/03/02/a")).otherwise(F.lit("https://x.example/a"))
-    return rows.select("page_id", pages.published(known, texts, url, AS_OF)["local"].cast("date").alias("day"))
+    return pages.with_published(rows.select("page_id", known.alias("known"), texts.alias("texts"), url.alias("url")), F.col("known"), F.col("texts"), F.col("url"), "day", AS_OF).select("page_id", F.col("day.local").cast("date").alias("day"))
 
 
 @query(f"""select page_id, case when status = 200 and length(html) > 200 then 1 else 0 end as usable from (select *, case when page_id % 6 = 0 then 404 else 200 end as status from pages)""")

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ..functions import classify, dates, text
 from ..operators import relational as rel
 from ..operators import store
-from ..sources import feeds, files, pages, runs, single
-from ..streaming import upsert
+from ..sources import feeds, fetch, files, pages, runs, single
+from ..streaming import arrivals, upsert
 from . import articles, phases
 
 CORPUS = {"alpha": ["the", "of the", "of"], "beta": ["and", "in"], "gamma": ["de", "la", "que"], "delta": ["of", "to", "is"]}
@@ -802,6 +802,34 @@ def totals_after_upserts(spark, sf_dir):  # noqa: ANN001, ANN201
     return upsert.totals(spark, folder)
 
 
+def _served(url: str) -> tuple[int, str | None]:
+    """A transport that answers by the length of the URL: some are not found, some are busy, some give no answer."""
+    if len(url) % 7 == 3:
+        raise TimeoutError(url)
+    return (404, None) if len(url) % 5 == 0 else (503, "busy") if len(url) % 11 == 0 else (200, f"<h1>{url}</h1>")
+
+
+@query("""select page_id, url, case when length(url) % 7 = 3 then 0 when length(url) % 5 = 0 then 404 when length(url) % 11 = 0 then 503 else 200 end as status,
+  case when length(url) % 7 = 3 or length(url) % 5 = 0 then null when length(url) % 11 = 0 then 'busy' else '<h1>' || url || '</h1>' end as html,
+  case when length(url) % 7 = 3 then 3 when length(url) % 5 = 0 then 1 when length(url) % 11 = 0 then 3 else 1 end as attempts from pages""")
+def fetched_pages(spark, sf_dir):  # noqa: ANN001, ANN201
+    """All pages' URLs asked by tasks, a task a host, over a transport without a network; what may pass is asked for twice more."""
+    return fetch.fetch(_read(spark, sf_dir, "pages").select("page_id", "url"), _served, fetch.Manners(interval=0, again=2, patience=0))
+
+
+@query(f"""select distinct user_id as id from events where ts >= (select date_trunc('week', max(ts)) from events) and ts < (select date_trunc('week', max(ts)) + interval 7 day from events)""")
+def week_arrivals(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Events as a stream in no order of time: the users of the last week, each as it is first seen."""
+    folder = _scratch(spark, "arrivals")
+    events = _read(spark, sf_dir, "events").select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("pub"))
+    as_of = str(events.agg(F.max("pub")).first()[0])
+    events.repartition(6, F.hash("pub", "id")).write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    found = arrivals.week_arrivals(stream, as_of)
+    found.writeStream.option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("id")
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     """A folder of its own in the shared checkpoint folder."""
     return store.scratch(spark, name)

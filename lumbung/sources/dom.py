@@ -6,12 +6,23 @@ import re
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Elements that end an open element of these tags when they begin.
-ENDS = {
-    **dict.fromkeys("p div section article ul ol table h1 h2 h3 h4 h5 h6 pre blockquote form header footer nav main aside figure address hr".split(), {"p"}),
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_FONT = ("tt", "i", "b", "u", "s", "strike", "big", "small")
+# Which open elements a recovering HTML 4 parser ends when an element begins, as long as one of them is the innermost; elements of HTML 5 end none.
+STARTS = {
+    "form": {"form", "p", "hr", *_HEADINGS, "dl", "ul", "ol", "menu", "dir", "address", "pre", "head"}, "head": {"p"}, "title": {"p"}, "body": {"head", "style", "script", "title"},
+    "li": {"p", *_HEADINGS, "dl", "address", "pre", "head", "li"}, "hr": {"p", "head"}, **{h: {"p", "head", *_HEADINGS} - {h} for h in _HEADINGS},
+    "dir": {"p", "head"}, "address": {"p", "head", "ul"}, "pre": {"p", "head", "ul"}, "blockquote": {"p", "head"},
+    "dl": {"p", "dt", "menu", "dir", "address", "pre", "head"}, "dt": {"p", "menu", "dir", "address", "pre", "head", "dd"}, "dd": {"p", "menu", "dir", "address", "pre", "head", "dt"},
+    "ul": {"p", "head", "ol", "menu", "dir", "address", "pre"}, "ol": {"p", "head", "ul"}, "menu": {"p", "head", "ul"}, "p": {"p", "head", *_HEADINGS, *_FONT}, "div": {"p", "head"}, "noscript": {"script"},
+    "center": {"font", "b", "i", "p", "head"}, "a": {"a", "head"}, "caption": {"p"}, "colgroup": {"caption", "colgroup", "col", "p"}, "col": {"caption", "col", "p"},
+    "table": {"p", "head", *_HEADINGS, "pre", "a"}, **dict.fromkeys(("th", "td"), {"th", "td", "p", "span", "font", "a", "b", "i", "u"}), "tr": {"th", "td", "tr", "caption", "col", "colgroup", "p"},
+    "thead": {"caption", "col", "colgroup"}, "tfoot": {"th", "td", "tr", "caption", "col", "colgroup", "thead", "tbody", "p"}, "tbody": {"th", "td", "tr", "caption", "col", "colgroup", "thead", "tfoot", "tbody", "p"},
+    "optgroup": {"option"}, "option": {"option"}, "fieldset": {"legend", "p", "head", *_HEADINGS, "pre", "a"},
 }
-_WALLS = frozenset("table ul ol dl td th article section div body html".split())
+# Ranks of elements; an end tag does not reach past an open element of a higher rank than its own.
+RANKS = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180, "table": 190, "head": 200, "body": 200, "html": 220}
+_RANK = 100
 REMOVED = frozenset("script style figure aside iframe nav noscript".split())
 
 
@@ -49,13 +60,9 @@ class _Builder(HTMLParser):
         self.stack = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        for open_ in ENDS.get(tag, ()):
-            for i in range(len(self.stack) - 1, 0, -1):
-                if self.stack[i].tag == open_:
-                    del self.stack[i:]
-                    break
-                if self.stack[i].tag in _WALLS and self.stack[i].tag != open_:
-                    break
+        ends = STARTS.get(tag, ())
+        while self.stack[-1].tag in ends:
+            self.stack.pop()
         node = Element(tag, {k: v or "" for k, v in attrs})
         self.stack[-1].children.append(node)
         if tag not in VOID:
@@ -65,10 +72,14 @@ class _Builder(HTMLParser):
         self.stack[-1].children.append(Element(tag, {k: v or "" for k, v in attrs}))
 
     def handle_endtag(self, tag: str) -> None:
+        """Ends the innermost open element of this tag, with all in it; nothing if there is none, or one of a higher rank is within it."""
+        rank = RANKS.get(tag, _RANK)
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
                 del self.stack[i:]
-                break
+                return
+            if RANKS.get(self.stack[i].tag, _RANK) > rank:
+                return
 
     def handle_data(self, data: str) -> None:
         self.stack[-1].children.append(data)

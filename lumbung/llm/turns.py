@@ -173,9 +173,10 @@ def _ordered(rows: DataFrame) -> DataFrame:
     """Rows conv_id, turn, role, text, copy and gone with their first fault, each conversation in one partition and in order: one shuffle."""
     spark = prepare(rows.sparkSession)
     dealt = rows.withColumn("digest", F.sha2("text", 256)).repartition(partitions(spark), "conv_id")
-    seen = F.expr("row_number() over (partition by conv_id, gone, role, digest order by turn, copy)") > 1
-    fault = F.when(~F.col("text").rlike(f"[^{_BLANKS}]"), BLANK).when(seen, DUPLICATE).when(~F.col("text").rlike(rf"[.!?][{_BLANKS}]*\z"), TRUNCATED).otherwise(FINE)
-    marked = dealt.withColumn("fault", fault).sortWithinPartitions("conv_id", "turn", "role", "text", "copy")
+    dealt = dealt.withColumn("nth", F.expr("row_number() over (partition by conv_id, gone, role, digest order by turn, copy)"))
+    fault = F.when(~F.col("text").rlike(f"[^{_BLANKS}]"), BLANK).when(F.col("nth") > 1, DUPLICATE).when(~F.col("text").rlike(rf"[.!?][{_BLANKS}]*\z"), TRUNCATED).otherwise(FINE)
+    # equal rows of a turn come in the order that they are counted in, so the first is never the duplicate
+    marked = dealt.withColumn("fault", fault).sortWithinPartitions("conv_id", "turn", "role", "text", "nth")
     return marked.select(F.col("conv_id").cast("string").alias("conv_id"), "turn", "role", "text", "fault", "gone")
 
 

@@ -114,6 +114,11 @@ def test_odd_rows(spark):
     assert plain(turns.damaged_report(frame(spark, [(gone, 0, "user", "Hi.")]))) == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
 
 
+def test_repeated_rows_of_a_turn(spark):
+    rows = [(c, t, "user", "Same.") for c in range(40) for t in (0, 0, 1, 1, 1)] + [(c, 0, "assistant", "Other.") for c in range(40)]
+    assert plain(turns.report(frame(spark, rows).repartition(7))) == brute(rows, False)
+
+
 def test_long_conversations_pass_as_a_stream(spark):
     r = random.Random(5)
     rows = [(1, t, r.choice(["user", "assistant", "tool"]), r.choice(["Yes.", f"T{t}.", "cut", ""])) for t in range(3000)] + [(2, t, ["user", "assistant"][t % 2], f"T{t}.") for t in range(500)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,16 +96,21 @@ def archive_phase(archive: DataFrame, landed_pages: DataFrame, context: articles
     return _pages_of(listed, landed_pages, context, {ARCHIVE.name: ARCHIVE}, False)
 
 
-def candidates(sitemaps: DataFrame, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None) -> DataFrame:
+def trees(sitemaps: DataFrame, sites: Sequence[pages.Site]) -> DataFrame:
+    """What the sites' sitemaps reach: source, sitemap_url and path; see feeds.sitemap_trees()."""
+    roots = [(s.name, u, k) for s in sites for k, u in enumerate(s.sitemaps)]
+    return read.sitemap_trees(sitemaps, sitemaps.sparkSession.createDataFrame(roots, "source string, sitemap_url string, place long"))
+
+
+def candidates(sitemaps: DataFrame, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None, reached: DataFrame | None = None) -> DataFrame:
     """source, batch (the site's place), url, known (a struct, may be null) and path of the URLs that the sites' sitemaps list, each once a source, where it is met first.
 
     No pictures or films; only URLs that the site's filter lets through, or, if wide, that name a topic; dates that are known must be in the years, and in the week if
-    asked for. A URL's date is that of the sitemap, else the one in the URL. some: only these sites.
+    asked for. A URL's date is that of the sitemap, else the one in the URL. some: only these sites. reached: trees() of all sites, if they are known.
     """
     spark = sitemaps.sparkSession
     chosen = [(i, s) for i, s in enumerate(sites) if some is None or s.name in some]
-    roots = spark.createDataFrame([(s.name, u, k) for _, s in chosen for k, u in enumerate(s.sitemaps)], "source string, sitemap_url string, place long")
-    reached = read.sitemap_trees(sitemaps, roots)
+    reached = trees(sitemaps, [s for _, s in chosen]) if reached is None else reached.filter(F.col("source").isin([s.name for _, s in chosen]))
     listed = read.sitemap_urls(sitemaps.filter(~read.is_index(F.col("xml")))).join(reached, "sitemap_url").withColumnRenamed("loc", "url")
     listed = listed.filter(text.not_media(F.col("url")))
     if wide:
@@ -128,9 +134,9 @@ def _pages_of(listed: DataFrame, landed_pages: DataFrame, context: articles.Cont
     return _made(items, context, week)
 
 
-def sitemap_phase(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None) -> DataFrame:
-    """Articles that the sites' sitemaps list, from their landed pages, as one meets them. wide: the top-up, with URLs that name a topic. some: only these sites."""
-    listed = candidates(landed.sitemaps, context, sites, wide=wide, week=week, some=some)
+def sitemap_phase(landed: Landed, context: articles.Context, sites: Sequence[pages.Site] = tuple(SITES), *, wide: bool = False, week: bool = False, some: Sequence[str] | None = None, reached: DataFrame | None = None) -> DataFrame:
+    """Articles that the sites' sitemaps list, from their landed pages, as one meets them. wide: the top-up, with URLs that name a topic. some, reached: as in candidates()."""
+    listed = candidates(landed.sitemaps, context, sites, wide=wide, week=week, some=some, reached=reached)
     return _pages_of(listed, landed.pages, context, {s.name: s for s in sites}, week, " (top-up)" if wide else "")
 
 
@@ -183,9 +189,10 @@ def accepted(landed: Landed, context: articles.Context, asked: Asked = Asked(),
         search = lambda some: archive_phase(landed.archive, landed.pages, context, queries=asked.archive, some=some)
         add("archive", [landed.archive, landed.pages], lambda before: rel.accept_batches(search, rel.in_order(landed.archive, "query", asked.archive), context.most, seen=before, before=total, at_least_one=True))
     if landed.sitemaps is not None:
-        add("sitemaps", [landed.sitemaps, landed.pages], lambda before: first_of(sitemap_phase(landed, context, asked.sites), before))
+        reached = cache(lambda: settled(trees(landed.sitemaps, asked.sites)))  # for both times that they are gone through
+        add("sitemaps", [landed.sitemaps, landed.pages], lambda before: first_of(sitemap_phase(landed, context, asked.sites, reached=reached()), before))
         if total < context.most:
-            widen = lambda some: sitemap_phase(landed, context, asked.sites, wide=True, some=some)
+            widen = lambda some: sitemap_phase(landed, context, asked.sites, wide=True, some=some, reached=reached())
             add("top_up", [landed.sitemaps, landed.pages], lambda before: rel.accept_batches(widen, [s.name for s in asked.sites], context.most, seen=before, before=total))
     return rows
 

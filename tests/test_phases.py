@@ -121,3 +121,38 @@ def test_searches(spark):
     archive = articles.archive_requests(articles.search_queries(spark, searches.ARCHIVE_QUERIES), CONTEXT)
     row = archive.filter("query = 'asam urat' and page = 15").first()
     assert archive.count() == 600 and (row["encoded"], row["from"], row["to"]) == ("asam%20urat", "01/01/2025", "26/11/2026")
+
+
+def test_sitemaps_are_read_as_one_meets_them(spark):
+    index = "<sitemapindex>{}</sitemapindex>"
+    one = lambda u: f"<sitemap><loc>{u}</loc></sitemap>"
+    rows = [("r", index.format(one("a") + one("b"))), ("a", index.format(one("c") + one("b") + one("r"))), ("b", "<urlset/>"), ("c", "<urlset/>"), ("s", index.format(one("c")))]
+    found = feeds.sitemap_tree(spark.createDataFrame(rows, "sitemap_url string, xml string"), ["s", "r"])
+    assert {r["sitemap_url"]: r["path"] for r in found.collect()} == {"s": [0], "c": [0, 0], "r": [1], "a": [1, 0], "b": [1, 0, 1]}
+
+
+def test_the_order_of_queries_is_the_configurations(spark):
+    rss = "<rss><channel><item><title>flu {}</title><link>https://{}.id/</link><pubDate>24 Nov 2026</pubDate></item></channel></rss>"
+    news = spark.createDataFrame([("alpha", "2026-11-01", rss.format("a", "a")), ("zeta", "2026-11-01", rss.format("z", "z")), ("other", "2026-11-01", rss.format("o", "o"))], "query string, month_start string, xml string")
+    context = articles.Context("2026-11-26T12:00:00", topics={"Flu": ["flu"]}, places={"Bali": ["bali"]}, news_cap=2)
+    asked = phases.Asked(news=("zeta", "alpha"))
+    assert {r["url"] for r in phases.accepted(phases.Landed(news=news), context, asked).collect()} == {"https://z.id/", "https://a.id/"}
+    week = phases.weekly(spark.createDataFrame([], files.DATASET), phases.Landed(news=news), context, asked=asked)
+    assert {r["url"] for r in week.collect()} == {"https://z.id/", "https://a.id/"}
+
+
+def test_batches_end_and_later_ones_are_not_made(spark):
+    made = []
+
+    def make(some):
+        made.append(list(some))
+        rows = [(f"{b}{i}" if i else "same", [int(b), i], int(b)) for b in some for i in range(3)]
+        return spark.createDataFrame(rows, "id string, seq array<int>, batch int")
+
+    names = [str(i) for i in range(20)]
+    taken = rel.accept_batches(make, names, 5)
+    assert sorted(r["id"] for r in taken.collect()) == ["01", "02", "11", "12", "same"] and made == [["0"], ["1", "2"]]
+    assert rel.accept_batches(make, names, 4, whole=False).count() == 4
+    seen = spark.createDataFrame([("same",)], "id string")
+    assert sorted(r["id"] for r in rel.accept_batches(make, names, 4, seen=seen, before=9, at_least_one=True).collect()) == ["01", "02"]
+    assert rel.accept_batches(make, names, 4, before=4) is None and rel.accept_batches(make, [], 4) is None

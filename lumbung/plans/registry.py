@@ -338,16 +338,18 @@ def feed_entries(spark, sf_dir):  # noqa: ANN001, ANN201
     return feeds.feed_entries(both.select(F.col("page_id").cast("string").alias("source"), "feed_idx", F.lit(200).alias("status"), xml.alias("xml")))
 
 
-@query("select 'root' as sitemap_url, 0 as level union all select 'r' || r_regionkey, 1 from region union all select 'n' || n_nationkey, 2 from nation")
+@query("""with r as (select r_regionkey, row_number() over (order by r_regionkey) - 1 as i from region),
+  n as (select n_nationkey, n_regionkey, row_number() over (partition by n_regionkey order by n_nationkey) - 1 as j from nation)
+  select 'root' as sitemap_url, 0 as level, '0' as path union all select 'r' || r_regionkey, 1, '0.' || i from r union all select 'n' || n_nationkey, 2, '0.' || i || '.' || j from n join r on n_regionkey = r_regionkey""")
 def sitemap_tree(spark, sf_dir):  # noqa: ANN001, ANN201
-    """An index of regions, each an index of its nations."""
-    entry = lambda c, key: F.concat(F.lit(f"<sitemap><loc>{c}"), F.col(key).cast("string"), F.lit("</loc></sitemap>"))
-    index = lambda c: F.concat(F.lit("<sitemapindex>"), F.concat_ws("", F.collect_list(c)), F.lit("</sitemapindex>"))
+    """An index of regions, each an index of its nations: how deep each is, and by which places it is met."""
+    entry = lambda c, key: F.struct(F.col(key).alias("k"), F.concat(F.lit(f"<sitemap><loc>{c}"), F.col(key).cast("string"), F.lit("</loc></sitemap>")).alias("x"))
+    index = lambda c: F.concat(F.lit("<sitemapindex>"), F.concat_ws("", F.transform(F.array_sort(F.collect_list(c)), lambda e: e["x"])), F.lit("</sitemapindex>"))
     region, nation = _read(spark, sf_dir, "region"), _read(spark, sf_dir, "nation")
     maps = region.groupBy().agg(index(entry("r", "r_regionkey")).alias("xml")).select(F.lit("root").alias("sitemap_url"), "xml")
     maps = maps.union(nation.groupBy("n_regionkey").agg(index(entry("n", "n_nationkey")).alias("xml")).select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")), "xml"))
     maps = maps.union(nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")), F.lit("<urlset></urlset>")))
-    return feeds.sitemap_tree(maps, ["root"])
+    return feeds.sitemap_tree(maps, ["root"]).select("sitemap_url", (F.size("path") - 1).alias("level"), F.concat_ws(".", F.transform("path", lambda x: x.cast("string"))).alias("path"))
 
 
 def _order_articles(spark: SparkSession, sf_dir: str) -> DataFrame:

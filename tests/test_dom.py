@@ -28,3 +28,10 @@ def test_bodies_in_misnested_tables():
     html = "<h1>Long title</h1><div class=body><table><tr><td>one</div>two</td></tr></table>three</div>four"
     assert pages.read_page(html, pages.Site("s", title=("h1",), body=(".body",)))[1] == "onetwothree"
     assert pages.read_page("<h1>Title here<article>inside", pages.Site("s"))[:2] == ("Title hereinside", "inside")
+
+
+def test_references_by_name_need_their_semicolon():
+    html = '<h1>Salt &amp; pepper &ampPepper &lt;b&gt; &copy; &star; &copy &amp</h1><article>one &amp;amp two &am<script>a&b && "&lt"</script></article><time datetime="a&amp=b&amp;c&lt"></time>'
+    title, body, raw, _ = pages.read_page(html, pages.Site("s", date=("time",), date_attribute="datetime"))
+    assert title == "Salt & pepper &ampPepper <b> © &star; &copy &amp" and body == "one &amp two &am" and raw == ["a&amp=b&c&lt"]
+    assert shape(dom.parse("<script>a&b && '&lt'</script>\ue000 &lt")) == "script(a&b && '&lt')\ue000 &lt"

@@ -164,3 +164,11 @@ def test_queries_of_a_phase_may_be_many(spark, monkeypatch):
     news = spark.createDataFrame([(q, "2026-11-01", rss.format(q)) for q in ("b", "z", "a", "q", "c", "zz")] + [(None, None, rss.format("n"))], "query string, month_start string, xml string")
     rows = phases.news_phase(news, CONTEXT, queries=("zz", "not asked", "q")).orderBy("seq").collect()
     assert [(r["url"], r["batch"]) for r in rows] == [(f"https://{q}.id/", i) for i, q in enumerate(("zz", "q", "a", "b", "c", "z"))]
+
+
+def test_the_cap_of_a_phase_is_that_of_a_run(spark, tmp_path):
+    from lumbung.plans import registry
+
+    n = registry.CONTEXT.news_cap
+    spark.range(n + 9).selectExpr("id as doc_id", "cast(id as string) as text").write.parquet(str(tmp_path / "documents.parquet"))
+    assert registry.phase_cap(spark, str(tmp_path)).count() == n and f"limit {n}" in registry.ORACLE_SQL["phase_cap"]

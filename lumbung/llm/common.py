@@ -21,6 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of an Arrow batch: texts may be long, and a batch is held as a whole.
 BATCH_ROWS = 2000
 
+#: Bytes of an Arrow batch, about: it is held by the JVM, by the worker and as Python objects at once, in each of an executor's tasks.
+BATCH_BYTES = 8 << 20
+
 
 #: Rows of ids up to which a side of a join is broadcast, some tens of MB; texts then stay where they are.
 BROADCAST_ROWS = 500_000
@@ -50,6 +53,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     shipped(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    held = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jsparkSession.sessionState().conf().arrowMaxBytesPerBatch()) > BATCH_BYTES:
+        spark.conf.set(held, BATCH_BYTES)
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):

@@ -91,3 +91,20 @@ def test_postings():
     counts = r.integers(1, 70_000, len(keys))
     again = resample.decode(resample.encode(keys, counts))
     assert (again[0] == keys).all() and (again[1] == counts).all()
+
+
+def test_batches_of_large_rows_are_bounded_by_bytes(spark):
+    """Postings of a part of a block are hundreds of KB: 2,000 of them in a batch would not fit a task."""
+    import pyarrow as pa
+
+    from lumbung.llm import common
+
+    common.prepare(spark)
+    sizes = spark.range(0, 60, 1, 1).selectExpr("cast(repeat('x', 500000) as binary) as x").mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+    found = [r["n"] for r in sizes.collect()]
+    assert sum(found) >= 30_000_000 and max(found) <= common.BATCH_BYTES + 1_000_000
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    common.prepare(spark)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)

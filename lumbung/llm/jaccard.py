@@ -5,8 +5,10 @@ are sorted by (prefix filter). The plan:
 
 1. One pass gives each document's set a size and a 128-bit digest, so that equal sets go on as one, and counts all words and all tokens in
    hashed counters.
-2. Under the first order (tokens of rare words first, tokens that are frequent as a whole last, by those counters), the prefix tokens are dealt out by
-   token, and sets that share one make a group; equal groups are taken once.
+2. Under the first order (tokens of rare words first; then those that many prefixes hold, which are counted in a pass of their own, since hashed
+   counters fill up as texts grow; tokens that are frequent as a whole last, by those counters), the prefix tokens are dealt out by
+   token, and sets that share one, with sizes that can link, make a group; equal groups are taken once. Groups whose leaders, the
+   least sets in them, meet are filtered as one: a set goes there once with its second prefix, not once for each of its tokens.
 3. Within a group, sets must also share enough of their prefixes under the second order (by a hash): two sets that link lack few tokens of
    each other, so of their prefixes up to the earlier end all but those few are common. Pairs that pass are only chained, not returned. Groups of
    frequent tokens are salted and chained as a whole, by the first set of each part.
@@ -38,6 +40,8 @@ from .graph import components
 _ONE, _TWO, _THREE = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 #: Counters are sent in parts of this many.
 _PART = 1 << 12
+#: Prefix tokens that are counted at once, in a task.
+_HELD = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -45,7 +49,8 @@ class Join:
     """Sets of word n-grams of `words` words link when den * intersection >= num * union. word_counters, token_counters: hashed counters, powers of two.
 
     block_sets, block_tokens: bounds of a block. salt_rows: rows of a frequent token that go to one part. group_sets: sets
-    of a group up to which its pairs are filtered by the second order; a larger one is chained as a whole.
+    of a group up to which its pairs are filtered by the second order; a larger one is chained as a whole. often: prefixes that hold a token, of those that
+    meet in a task, from which it comes late in the first order. most_often: tokens of that kind at most, those of most prefixes.
     """
 
     words: int = 5
@@ -57,8 +62,10 @@ class Join:
     block_tokens: int = 1 << 20
     salt_rows: int = 1000
     group_sets: int = 512
+    often: int = 16
+    most_often: int = 1 << 18
 
-    def needed(self, a: int, b: np.ndarray) -> np.ndarray:
+    def needed(self, a: int | np.ndarray, b: np.ndarray) -> np.ndarray:
         """Least intersection with which sets of sizes a and b link."""
         return -(-self.num * (a + b) // (self.num + self.den))
 
@@ -159,68 +166,130 @@ def _counters(measured: DataFrame, rule: Join) -> tuple[np.ndarray, np.ndarray]:
     return out[: rule.word_counters], out[rule.word_counters :]
 
 
+class _FirstOrder:
+    """The first order. frequent: sorted tokens and their numbers of prefixes, as _frequent() finds them."""
+
+    def __init__(self, counters: tuple[np.ndarray, np.ndarray], frequent: tuple[np.ndarray, np.ndarray], rule: Join) -> None:
+        words, often = counters
+        usual = 2 * max(8.0, float(often.mean()))
+        self.rule, self.tokens = rule, frequent[0]
+        self.weight = np.log2(words + 1.0).astype(np.float32)
+        self.late = np.round(np.where(often > usual, 1000 + 4 * np.log2(np.maximum(often / usual, 1)), 0)).astype(np.float32)
+        self.later = np.round(700 + 4 * np.log2(np.maximum(frequent[1], 1))).astype(np.float32)
+        self.parts = np.where(often > usual, often // rule.salt_rows, 0).astype(np.uint64)
+
+    def prefix(self, t: np.ndarray, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The prefix of a set as word_sets() gives it, and in how many parts each of its tokens is dealt out."""
+        sums = np.concatenate(([0], np.cumsum(self.weight[_slot(h, len(self.weight))], dtype=np.float64)))
+        slot = _slot(t, len(self.late))
+        # rounded, so that the sums of equal words are equal in all places
+        rank = np.maximum(np.round(4 * (sums[np.minimum(at + self.rule.words, len(h))] - sums[at])), self.late[slot])
+        if len(self.tokens):
+            place = np.minimum(np.searchsorted(self.tokens, t), len(self.tokens) - 1)
+            rank = np.where(self.tokens[place] == t, np.maximum(rank, self.later[place]), rank)
+        order = np.argsort(rank, kind="stable")[: self.rule.prefix(len(t))]
+        return t[order], self.parts[slot[order]]
+
+
+def _frequent(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], rule: Join) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that many prefixes hold, sorted, and of how many it is known: all prefixes are counted, but a task tells only of tokens that it meets more than once."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, seen, held, size = _FirstOrder(shared.value, none, rule), set(), [], 0
+
+        def told() -> pa.RecordBatch:
+            token, times = np.unique(np.concatenate(held or [none[0]]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(token[times > 1].view(np.int64)), pa.array(times[times > 1])], ["token", "times"])
+
+        for b in batches:
+            for t, at, h in word_sets(b.column("text").to_pylist(), rule.words):
+                sid = set_digest(t)[0]
+                if len(t) and sid not in seen:
+                    seen.add(sid)
+                    held.append(first.prefix(t, at, h)[0])
+                    size += len(held[-1])
+            if size > _HELD:
+                yield told()
+                size = 0
+        yield told()
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"tokens": [b["token"].to_numpy(np.int64).tobytes()], "times": [b["times"].to_numpy(np.int64).tobytes()]})
+
+    sums = docs.select("text").mapInArrow(frugal(run), "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+    sums = cut(sums.filter(F.col("times") >= rule.often))
+    if sums.count() > rule.most_often:
+        sums = sums.orderBy(F.desc("times"), "token").limit(rule.most_often)
+    rows = sums.mapInPandas(pack, "tokens binary, times binary").collect()
+    tokens, times = (np.frombuffer(b"".join(bytes(r[c]) for r in rows), kind) for c, kind in (("tokens", np.uint64), ("times", np.int64)))
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
+
+
 def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: DataFrame, rule: Join) -> DataFrame:
     """Links (a, b) between the d1 of sets that share prefix tokens under the first and the second order. seconds: d1, n, second."""
     spark = docs.sparkSession
-    usual = 2 * max(8.0, float(counters[1].mean()))
-    shared = spark.sparkContext.broadcast(counters)
+    shared = spark.sparkContext.broadcast((counters, _frequent(docs, counters, rule)))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows key, sid, n, token; token is 0 if it isn't dealt out in parts."""
         seen: set[int] = set()  # of the task's sets: copies go out once a task
-        words, often = shared.value
-        weight = np.log2(words + 1.0).astype(np.float32)
-        late = np.where(often > usual, 1000 + 4 * np.log2(np.maximum(often / usual, 1)), 0).astype(np.float32)
-        parts = np.where(often > usual, often // rule.salt_rows, 0).astype(np.uint64)
+        first = _FirstOrder(*shared.value, rule)
         for b in batches:
-            tokens, sids, salted = [], [], []
+            tokens, sids, sizes, parts = [], [], [], []
             for t, at, h in word_sets(b.column("text").to_pylist(), rule.words):
                 sid = set_digest(t)[0]
                 if not len(t) or sid in seen:
                     continue
                 seen.add(sid)
-                sums = np.concatenate(([0], np.cumsum(weight[_slot(h, len(weight))], dtype=np.float64)))
-                slot = _slot(t, len(often))
-                # rounded, so that the sums of equal words are equal in all places
-                rank = np.maximum(np.round(4 * (sums[np.minimum(at + rule.words, len(h))] - sums[at])), np.round(late[slot]))
-                order = np.argsort(rank, kind="stable")[: rule.prefix(len(t))]
-                tokens.append(t[order])
-                sids.append(np.full(len(order), sid, np.int64))
-                salted.append(parts[slot[order]])
+                prefix, part = first.prefix(t, at, h)
+                tokens.append(prefix)
+                sids.append(np.full(len(prefix), sid, np.int64))
+                sizes.append(np.full(len(prefix), len(t), np.int64))
+                parts.append(part)
             if not tokens:
                 continue
-            token, sid = np.concatenate(tokens), np.concatenate(sids)
-            salts = np.concatenate(salted)
+            token, sid, salts = np.concatenate(tokens), np.concatenate(sids), np.concatenate(parts)
             salt = np.where(salts > 1, hashing.mix(sid.view(np.uint64)) % np.maximum(salts, 1), 0)
             key = hashing.mix(token + salt * _ONE)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(token.view(np.int64)), pa.array(sid), pa.array(salts > 1)], ["key", "token", "sid", "salted"])
+            token = np.where(salts > 1, np.maximum(token, 1), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(sid), pa.array(np.concatenate(sizes)), pa.array(token.view(np.int64))], ["key", "sid", "n", "token"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Over rows sorted by key, token, sid. kind 0: (group, sid) of groups to filter; 1: (first, sid) of groups to chain; 2: (token, first) of salted parts."""
-        rest = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
+        """Over rows sorted by key, n, sid. kind 0: (group, sid, leader) of groups to filter; 1: (first, sid) of groups to chain; 2: (token, first) of salted parts."""
+        rest = [np.zeros(0, np.int64)] * 4
         leader = None  # of the group in rest, if it is being chained
 
         def batch(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-            kinds = np.concatenate([np.full(len(a), k, np.int32) for k, a, _ in rows] or [np.zeros(0, np.int32)])
-            a, b = (np.concatenate([r[i] for r in rows] or [np.zeros(0, np.int64)]) for i in (1, 2))
-            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(a), pa.array(b)], ["kind", "a", "b"])
+            kinds = np.concatenate([np.full(len(r[1]), r[0], np.int32) for r in rows] or [np.zeros(0, np.int32)])
+            a, b, leaders = (np.concatenate([r[i] for r in rows] or [np.zeros(0, np.int64)]) for i in (1, 2, -1))
+            return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(a), pa.array(b), pa.array(leaders)], ["kind", "a", "b", "leader"])
 
-        def take(key: np.ndarray, token: np.ndarray, sid: np.ndarray, salted: np.ndarray, last: bool) -> pa.RecordBatch:
+        def take(key: np.ndarray, sid: np.ndarray, n: np.ndarray, token: np.ndarray, last: bool) -> pa.RecordBatch:
             nonlocal rest, leader
             out: list[tuple[int, np.ndarray, np.ndarray]] = []
             if not len(key):
                 return batch(out)
-            starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (token[1:] != token[:-1]))))
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])))  # copies of other tasks go
+            key, sid, n, token = key[new], sid[new], n[new], token[new]
+            salted = token != 0
+            # a group ends where sizes are too far apart for a link
+            starts = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (rule.needed(n[:-1], n[1:]) > n[:-1]))))
             ends = np.append(starts[1:], len(key))
             if leader is not None:  # the first group goes on
                 out.append((1, np.full(ends[0], leader, np.int64), sid[: ends[0]]))
                 done = last or len(starts) > 1
                 if not done:
-                    rest = [x[-1:] for x in (key, token, sid, salted)]
+                    rest = [x[-1:] for x in (key, sid, n, token)]
                     return batch(out)
                 leader, starts, ends = None, starts[1:], ends[1:]
             if not last and len(starts):
                 begin = starts[-1]
-                rest = [x[begin:] for x in (key, token, sid, salted)]
+                rest = [x[begin:] for x in (key, sid, n, token)]
                 if ends[-1] - begin > rule.group_sets:
                     leader = int(sid[begin])
                     out.append((1, np.full(ends[-1] - begin, leader, np.int64), sid[begin:]))
@@ -235,33 +304,34 @@ def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: D
             out.append((2, token[heads], sid[heads]))
             whole = (sizes > rule.group_sets) | salted[starts] if len(starts) else np.zeros(0, bool)
             for kind, chosen in ((0, ~whole & (sizes > 1)), (1, whole & (sizes > 1))):
-                n, s = sizes[chosen], starts[chosen]
-                if not len(n):
+                m, s = sizes[chosen], starts[chosen]
+                if not len(m):
                     continue
-                at = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                members = sid[at]
+                first = np.concatenate(([0], np.cumsum(m)[:-1]))
+                members = sid[np.repeat(s - first, m) + np.arange(m.sum())]
+                leaders = np.repeat(np.minimum.reduceat(members, first), m)
                 if kind:
-                    name = np.repeat(sid[s], n)
+                    name = leaders
                 else:  # a group's name follows from its members, so equal groups are one
-                    sums = np.add.reduceat(hashing.mix(members.view(np.uint64)), np.concatenate(([0], np.cumsum(n)[:-1])))
-                    name = np.repeat(hashing.mix(sums + n.astype(np.uint64)).view(np.int64), n)
-                pairs = np.unique(np.stack([name, members], 1), axis=0)
-                out.append((kind, pairs[:, 0], pairs[:, 1]))
+                    sums = np.add.reduceat(hashing.mix(members.view(np.uint64)), first)
+                    name = np.repeat(hashing.mix(sums + m.astype(np.uint64)).view(np.int64), m)
+                rows = np.unique(np.stack([name, members, leaders], 1), axis=0)
+                out.append((kind, *rows.T))
             return batch(out)
 
         for b in batches:
-            new = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "token", "sid", "salted")]
+            new = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "sid", "n", "token")]
             yield take(*(np.concatenate(x) for x in zip(rest, new, strict=True)), last=False)
         yield take(*rest, last=True)
 
     n = partitions(spark)
-    rows = docs.select("text").mapInArrow(frugal(prefixes), "key long, token long, sid long, salted boolean")
-    rows = rows.repartition(n, "key").sortWithinPartitions("key", "token", "sid")
-    found = cut(rows.mapInArrow(frugal(group), "kind int, a long, b long"))
+    rows = docs.select("text").mapInArrow(frugal(prefixes), "key long, sid long, n long, token long")
+    rows = rows.repartition(n, "key").sortWithinPartitions("key", "n", "sid")
+    found = cut(rows.mapInArrow(frugal(group), "kind int, a long, b long, leader long"))
     heads = found.filter("kind = 2").select(F.col("a").alias("token"), F.col("b").alias("sid"))
     firsts = heads.groupBy("token").agg(F.min("sid").alias("a"))
     chained = found.filter("kind = 1").select("a", "b").union(heads.join(firsts, "token").select("a", F.col("sid").alias("b")))
-    members = found.filter("kind = 0").select(F.col("a").alias("name"), F.col("b").alias("sid")).distinct()
+    members = _merged(found.filter("kind = 0").select(F.col("a").alias("name"), F.col("b").alias("sid"), "leader"), rule)
 
     def narrow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Over rows sorted by name: chains of the pairs of each group that pass the second order."""
@@ -281,6 +351,24 @@ def _chains(docs: DataFrame, counters: tuple[np.ndarray, np.ndarray], seconds: D
     return chained.union(rows.mapInPandas(frugal(narrow), "a long, b long"))
 
 
+def _merged(groups: DataFrame, rule: Join) -> DataFrame:
+    """Rows (name, sid), from groups as rows (name, sid, leader), leader being a group's least set.
+
+    A group goes with all groups of the least leader that its own leader meets in any group; if these have more than group_sets sets, with those of its own leader;
+    if these have more too, alone. No group is parted.
+    """
+    rows = cut(groups.distinct())
+    met = rows.groupBy("sid").agg(F.min("leader").alias("least"), F.max(F.col("sid") == F.col("leader")).alias("leads"))
+    rows = rows.join(within_bounds(cut(met.filter("leads").select(F.col("sid").alias("leader"), "least"))), "leader")
+    parts = []
+    for by in ("least", "leader"):
+        whole = cut(rows.select(by, "sid").distinct())
+        large = within_bounds(cut(whole.groupBy(by).agg(F.count(F.lit(1)).alias("sets")).filter(F.col("sets") > rule.group_sets).select(by)))
+        parts.append(whole.join(large, by, "left_anti").select(F.xxhash64(F.lit(by), by).alias("name"), "sid"))
+        rows = rows.join(large, by, "left_semi")
+    return parts[0].union(parts[1]).union(rows.select("name", "sid").distinct())
+
+
 def passed(group: list[tuple], rule: Join) -> list[tuple[int, int]]:
     """Chains (sid, sid) of the sets of a group, rows (name, sid, n, second prefix), that pass the second order.
 

@@ -119,3 +119,32 @@ def test_components(spark, monkeypatch, broadcast):
     assert {x["node"]: x["component"] for x in found.collect()} == {x: find(x) for x in root}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
     assert found.groupBy("node").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_sets_go_to_few_groups(spark):
+    """A set of a cluster goes once with its second prefix, however many groups its tokens make; groups of too many sets go each by its own leader or name."""
+    rows = [(100 * c + g, 10 * c + x, 10 * c + (g % 3)) for c in range(4) for g in range(8) for x in range(g % 3, 8)]
+    groups = spark.createDataFrame(rows, "name long, sid long, leader long")
+    for most, copies in ((512, 1), (7, 5), (1, 8)):
+        found = jaccard._merged(groups, jaccard.Join(group_sets=most)).collect()
+        assert sum(r["sid"] == 7 for r in found) == copies and len(found) == len(set(found))
+        merged = defaultdict(set)
+        for r in found:
+            merged[r["name"]].add(r["sid"])
+        for name in {r[0] for r in rows}:  # no group is parted
+            assert any({r[1] for r in rows if r[0] == name} <= m for m in merged.values())
+
+
+def test_passages_come_late(spark):
+    """A passage that many documents hold is no prefix of theirs, however full the hashed counters are."""
+    passage = words(12, 5)
+    rows = [(i, passage + " " + words(120, 900 + i), "en", "s") for i in range(60)]
+    rule = jaccard.Join(3, 90, 100, token_counters=1 << 12, word_counters=1 << 12)
+    docs = documents(spark, rows).repartition(2)
+    counters = np.ones(1 << 12, np.uint32), np.full(1 << 12, 1000, np.uint32)
+    tokens, times = jaccard._frequent(docs, counters, rule)
+    shared = next(jaccard.token_sets([passage], 3))
+    assert len(tokens) and (np.diff(tokens.astype(object)) > 0).all() and times.min() >= rule.often
+    t, at, h = next(jaccard.word_sets([rows[0][1]], 3))
+    late = jaccard._FirstOrder(counters, (shared, np.full(len(shared), 60)), rule).prefix(t, at, h)[0]
+    assert not set(late.tolist()) & set(shared.tolist()) and len(late) == rule.prefix(len(t))

@@ -12,6 +12,7 @@ import json
 import re
 
 import numpy as np
+import pandas as pd
 
 from . import hashing
 
@@ -169,14 +170,16 @@ class Encoder:
 
     def _fresh(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of pieces, as little-endian 32-bit bytes."""
-        short = [p if len(p) <= LONG else b"" for p in pieces]
+        long = [i for i, p in enumerate(pieces) if len(p) > LONG]
+        short = list(pieces)
+        for i in long:
+            short[i] = b""
         ids, counts = self.merges.run(short)
         data, place = ids.astype("<u4").tobytes(), [0, *(4 * np.cumsum(counts)).tolist()]
         out = [data[a:b] for a, b in zip(place, place[1:], strict=False)]
-        letters = byte_letters()
-        for i, p in enumerate(pieces):
-            if len(p) > LONG:
-                out[i] = np.array([t.id for t in self.tokenizer.model.tokenize("".join(letters[b] for b in p))], "<u4").tobytes()
+        letters = byte_letters() if long else {}
+        for i in long:
+            out[i] = np.array([t.id for t in self.tokenizer.model.tokenize("".join(letters[b] for b in pieces[i]))], "<u4").tobytes()
         return out
 
     def _known(self, keys: list[bytes], make) -> list[bytes]:
@@ -186,13 +189,13 @@ class Encoder:
         if new:
             if len(self.known) > CACHE // 2:
                 self.older, self.known = self.known, {}
-            for i in new:
-                values[i] = self.older.get(keys[i])
-            fresh = [i for i in new if values[i] is None]
-            for i, v in zip(fresh, make([keys[i] for i in fresh]), strict=True):
+            names = [keys[i] for i in new]
+            found = list(map(self.older.get, names))
+            fresh = iter(make([k for k, v in zip(names, found, strict=True) if v is None]))
+            found = [next(fresh) if v is None else v for v in found]
+            self.known.update(zip(names, found, strict=True))
+            for i, v in zip(new, found, strict=True):
                 values[i] = v
-            for i in new:
-                self.known[keys[i]] = values[i]
         return values
 
     def many(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -248,7 +251,9 @@ class Encoder:
         base = np.cumsum([0, *(len(r) + 1 for r in raw)])
         data = b" ".join([*raw, b""])
         begins, ends = split(data)
-        _, at, place = np.unique(hashing.spans(data, begins, ends), return_index=True, return_inverse=True)
+        place, known = pd.factorize(hashing.spans(data, begins, ends))
+        at = np.zeros(len(known), np.int64)
+        at[place[::-1]] = np.arange(len(place) - 1, -1, -1)  # where each comes first
         values = self._known([data[a:b] for a, b in zip(begins[at].tolist(), ends[at].tolist(), strict=True)], self._fresh)
         sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
         ids, starts = np.frombuffer(b"".join(values), "<u4"), np.cumsum(sizes) - sizes

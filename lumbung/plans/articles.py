@@ -42,6 +42,11 @@ class Context:
         return dates.instant(self.as_of)
 
 
+def with_content(found: DataFrame) -> DataFrame:
+    """Extracted pages with an article's content in place of the body, which is whole: what follows, checkpoints too, need not carry the rest."""
+    return found.withColumn("content", text.truncate(F.col("body"))).drop("body")
+
+
 def make_rows(items: DataFrame, context: Context) -> DataFrame:
     """Article rows of items: source, title, content, url and pub (instant and local, may be null); phase, batch and seq stay.
 

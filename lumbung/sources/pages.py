@@ -10,13 +10,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import dates
 from ..operators import relational as rel
 from ..ship import shipped
 from . import dom
 
-#: Pages of more characters and status 200 are worth parsing; body text is cut at text.CONTENT.
+#: Pages of more characters and status 200 are worth parsing.
 SHORTEST = 200
+#: Characters of pages, about, whose bodies are held and handed on at once; a batch may have many more.
+PART_CHARS = 8 << 20
 _META = ("article:published_time", "datePublished", "og:published_time")
 _SPACES = re.compile(r"\s+")
 
@@ -42,7 +44,7 @@ def usable(pages: DataFrame) -> DataFrame:
 
 
 def read_page(html: str, site: Site) -> tuple[str, str, list[str], list[str]] | None:
-    """Title, body, raw dates of the selectors and of meta elements; None without a title.
+    """Title, whole body, raw dates of the selectors and of meta elements; None without a title.
 
     A title selector needs more than 5 characters, the h1 that stands in for it any. The first body selector that finds an element wins, even if that is
     empty; scripts, asides and the like are taken out of it for good, so what looks for dates or paragraphs later does not see them.
@@ -57,17 +59,17 @@ def read_page(html: str, site: Site) -> tuple[str, str, list[str], list[str]] |
     for selector in site.body:
         if (e := dom.select_one(root, selector)) is not None:
             e.remove(dom.REMOVED)
-            body = _SPACES.sub(" ", e.text()).strip()[: text.CONTENT]
+            body = _SPACES.sub(" ", e.text()).strip()
             break
     if not body:
-        body = " ".join(t.strip() for p in dom.find_all(root, "p") if len(t := p.text()) > 60)[: text.CONTENT]
+        body = " ".join(t.strip() for p in dom.find_all(root, "p") if len(t := p.text()) > 60)
     found = [e for s in site.date if (e := dom.select_one(root, s)) is not None]
     raw = [e.attributes.get(site.date_attribute, "") if site.date_attribute else e.text() for e in found]
     return title, body, raw, [m.attributes.get("content", "") for name in _META if (m := dom.find_meta(root, name)) is not None]
 
 
 def extract(pages: DataFrame, site: Site | Mapping[str, Site], keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """keep, title, body and raw_dates (selectors, then meta) of each page that has a title. Filter pages before: nothing can be pushed below this.
+    """keep, title, whole body and raw_dates (selectors, then meta) of each page that has a title. Filter pages before: nothing can be pushed below this.
 
     site: of all pages, or by the source of each (column source); pages of other sources are left out.
     """
@@ -78,11 +80,14 @@ def extract(pages: DataFrame, site: Site | Mapping[str, Site], keep: tuple[str,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = {c["key"]: Site(**{k: tuple(v) if isinstance(v, list) else v for k, v in c.items() if k != "key"}) for c in config}
         for b in batches:
-            sites = [own[""]] * len(b) if one else [own.get(s) for s in b["source"]]
-            found = [read_page(h, s) if h is not None and s is not None else None for h, s in zip(b["html"], sites, strict=True)]
-            rows = b.loc[[f is not None for f in found], list(keep)].reset_index(drop=True)
-            kept = [f for f in found if f is not None]
-            yield rows.assign(title=[f[0] for f in kept], body=[f[1] for f in kept], raw_dates=[f[2] + f[3] for f in kept])
+            chars = pd.Series([len(h or "") for h in b["html"]], b.index, "int64").cumsum()
+            for _, part in b.groupby(chars // PART_CHARS):
+                sites = [own[""]] * len(part) if one else [own.get(s) for s in part["source"]]
+                found = [read_page(h, s) if h is not None and s is not None else None for h, s in zip(part["html"], sites, strict=True)]
+                rows = part.loc[[f is not None for f in found], list(keep)].reset_index(drop=True)
+                kept = [f for f in found if f is not None]
+                if kept:  # Arrow can't make lists of a column without values
+                    yield rows.assign(title=[f[0] for f in kept], body=[f[1] for f in kept], raw_dates=[f[2] + f[3] for f in kept])
 
     shipped(pages.sparkSession)
     columns = [*keep, "html"] + ([] if one or "source" in keep else ["source"])
